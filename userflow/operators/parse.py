@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from userflow.functions.times import event_time
 from userflow.schema import COUNTRY_ONLY, TEXT_FIELDS, USER_FIELDS, ddl
 
 FIELDS = (*USER_FIELDS, "country")
@@ -76,6 +77,19 @@ def stamp(users: DataFrame, as_of: Column | None = None) -> DataFrame:
     return users.withColumn("processed_timestamp", now)
 
 
+def with_event_time(
+    users: DataFrame, name: str = "timestamp", kind: str = "timestamp"
+) -> DataFrame:
+    """Turn the time text of the records into a time column called ``name``.
+
+    A time window drops rows without a time. Catalyst would move that filter below
+    the parse and decode every message once for the filter and once more for the
+    row; it does not move a filter on generated rows below the generator.
+    """
+    time = F.explode(F.array(event_time("timestamp", kind))).alias(name)
+    return users.select(*(c for c in users.columns if c != "timestamp"), time)
+
+
 def _schema(wanted: tuple[str, ...], available: dict[str, str], mode: str) -> str:
     if mode == "declared":
         used = {"location" if name == "country" else name for name in wanted}

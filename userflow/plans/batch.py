@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.functions.times import event_time
 from userflow.operators import analytics, views
-from userflow.operators.parse import parse_users
+from userflow.operators.parse import parse_users, with_event_time
 from userflow.plans.users import (
     damaged_messages,
     raw_messages,
@@ -24,10 +23,7 @@ def _users(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     """Users parsed from their messages, with only the given fields; ``timestamp``
     becomes the event time ``ts``."""
     users = parse_users(user_messages(spark, sf_dir), fields=fields)
-    if "timestamp" not in fields:
-        return users
-    timed = users.withColumn("ts", event_time("timestamp", NTZ))
-    return timed.drop("timestamp")
+    return with_event_time(users, "ts", NTZ) if "timestamp" in fields else users
 
 
 # -- the five analytics ----------------------------------------------------------
@@ -80,9 +76,12 @@ def analytics_in_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_inflow_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = user_records(spark, sf_dir).agg(F.max("ts")).scalar()
-    inflow = user_inflow(spark, sf_dir).select("window_start", "count")
-    return views.inflow_series(inflow, newest, "1 day")
+    """Over the stored inflow, where the time condition reaches the scan."""
+    root = scratch(spark, "inflow")
+    tables.replace(user_inflow(spark, sf_dir), root, "user_inflow")
+    newest = user_records(spark, sf_dir).agg(F.max("ts")).first()[0]
+    inflow = tables.find(spark, root, "user_inflow", columns=["window_start", "count"])
+    return views.inflow_series(inflow, F.lit(newest).cast(NTZ), "1 day")
 
 
 def gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:

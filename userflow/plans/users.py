@@ -20,18 +20,18 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, gender, age, country, ts``.
 
-    The two dimensions are joined with each other first, so the events take part in
-    one join only. Whether it broadcasts is left to Spark's check of the dimension's
-    size; beyond it the adaptive plan splits a user that many events share.
+    Whether the joins broadcast is left to Spark's check of the table sizes, which
+    it knows best when each table joins the events directly. A dimension beyond the
+    limit is shuffled, and the adaptive plan splits a user that many events share.
     """
     events = load(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    countries = (
-        load(spark, sf_dir, "customer")
-        .join(load(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "n_name")
+    customers = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nations = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    placed = events.join(customers, F.col("user_id") == F.col("c_custkey")).join(
+        nations, F.col("c_nationkey") == F.col("n_nationkey")
     )
     number = F.col("event_id")
-    return events.join(countries, F.col("user_id") == F.col("c_custkey")).select(
+    return placed.select(
         F.concat(F.lit("u-"), number.cast("string")).alias("id"),
         F.when(number % 29 == 0, None)
         .when(F.col("user_id") % 2 == 0, "female")

@@ -20,9 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from userflow.functions.times import event_time
 from userflow.operators import analytics
-from userflow.operators.parse import parse_users, stamp
+from userflow.operators.parse import parse_users, stamp, with_event_time
 from userflow.schema import RESULT_KEYS
 from userflow.sources import tables
 
@@ -56,7 +55,7 @@ def topic_results(
             fields = (*fields, "timestamp")
         parsed = parse_users(messages, parse, fields, skip_bad)
         if "timestamp" in fields:
-            parsed = parsed.withColumn("timestamp", event_time("timestamp"))
+            parsed = with_event_time(parsed)
         return stamp(parsed, as_of)
 
     inflow_time = "timestamp" if by_event_time else "processed_timestamp"
@@ -228,7 +227,7 @@ def combined_results(
         fields = (*fields, "timestamp")
     users = parse_users(messages, parse, fields, skip_bad)
     if by_event_time:
-        users = users.withColumn("timestamp", event_time("timestamp"))
+        users = with_event_time(users)
     users = stamp(users, as_of)
     time_col = "timestamp" if by_event_time else "processed_timestamp"
     now = F.current_timestamp() if as_of is None else as_of
