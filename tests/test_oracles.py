@@ -1,7 +1,6 @@
 """Every registered query against its SQL, run by an independent engine."""
 
 import glob
-import math
 import os
 
 import duckdb
@@ -25,9 +24,7 @@ def canonical(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
 
     def cell(value):
-        if isinstance(value, float):
-            return "nan" if math.isnan(value) else f"{value:.9g}"
-        return "" if value is None else str(value)
+        return "" if value is None else repr(value) if isinstance(value, float) else str(value)
 
     return sorted(tuple(cell(row[i]) for i in order) for row in rows)
 

@@ -1,0 +1,154 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from userflow.operators.parse import FIELDS, parse_users, stamp, with_event_time
+
+PARTIAL = "spark.sql.json.enablePartialResults"
+
+NO_OBJECT = ["not json", '{"gender":"male","age":3', "null", "5", '[{"gender":"m"}]']
+NO_BODY = ["", None]
+
+
+def messages(spark, values):
+    rows = [(None if v is None else bytearray(v, "utf-8"),) for v in values]
+    return spark.createDataFrame(rows, "value binary")
+
+
+def parse(spark, values, **options):
+    return parse_users(messages(spark, values), **options).collect()
+
+
+@pytest.fixture(params=["true", "false"])
+def partial_results(spark, request):
+    spark.conf.set(PARTIAL, request.param)
+    yield request.param
+    spark.conf.unset(PARTIAL)
+
+
+@pytest.mark.parametrize("mode", ["declared", "normalized"])
+@pytest.mark.parametrize("fields", [None, ("gender",), ("age", "country")])
+def test_malformed_bodies_stay_as_rows_of_nulls(spark, mode, fields):
+    rows = parse(spark, NO_OBJECT + NO_BODY + ["{}"], mode=mode, fields=fields)
+    assert len(rows) == 8
+    assert all(value is None for row in rows for value in row)
+
+
+@pytest.mark.parametrize("mode", ["declared", "normalized"])
+@pytest.mark.parametrize("fields", [None, ("gender",)])
+def test_skip_bad_keeps_objects_only(spark, mode, fields):
+    good = ["{}", '{"gender":"x","age":"30"}', '{"gender":"y"}']
+    rows = parse(spark, NO_OBJECT + good + NO_BODY, mode=mode, fields=fields, skip_bad=True)
+    assert sorted(str(r.gender) for r in rows) == ["None", "x", "y"]
+
+
+def test_no_fields_keeps_the_number_of_messages(spark):
+    bodies = ["{}", "not json", None]
+    assert parse_users(messages(spark, bodies), fields=()).count() == 3
+    assert parse_users(messages(spark, bodies), fields=(), skip_bad=True).count() == 1
+
+
+def test_declared_types_are_strict(spark):
+    ages = ['"30"', "30.7", "3000000000", "30"]
+    rows = parse(spark, [f'{{"gender":"g","age":{a}}}' for a in ages], mode="declared")
+    assert [r.age for r in rows] == [None, None, None, 30]
+    assert {r.gender for r in rows} == {"g"}
+
+
+def test_declared_object_in_text_field_is_its_json(spark):
+    (row,) = parse(spark, ['{"name":{"first":"A"},"dob":{"age":5}}'], mode="declared")
+    assert json.loads(row.name) == {"first": "A"}
+    assert json.loads(row.dob) == {"age": 5}
+    assert row.age is None
+
+
+def test_key_case_unknown_and_duplicate_keys(spark):
+    (row,) = parse(spark, ['{"Gender":"a","other":1,"gender":"b","gender":"c"}'], mode="declared")
+    assert row.gender == "c"
+    (row,) = parse(spark, ['{"Gender":"a"}'], mode="declared")
+    assert row.gender is None
+
+
+RAW = json.dumps(
+    {
+        "gender": "female",
+        "name": {"title": "Ms", "first": "A", "last": "B"},
+        "location": {
+            "city": "Oslo",
+            "state": "S",
+            "country": "Norway",
+            "coordinates": {"latitude": "-12.5", "longitude": "x"},
+        },
+        "email": "a@b.c",
+        "login": {"uuid": "u-1", "username": "n"},
+        "dob": {"date": "1990-01-01T00:00:00Z", "age": 34},
+        "phone": "1",
+        "nat": "NO",
+    }
+)
+FLAT = json.dumps(
+    {
+        "id": "u-2",
+        "gender": "male",
+        "age": 40,
+        "dob": "1980-01-01",
+        "location": {"country": "Peru", "coordinates": {"latitude": 1.5, "longitude": 2}},
+        "nationality": "PE",
+        "timestamp": "2024-01-01T00:00:01",
+    }
+)
+
+
+def test_normalized_accepts_both_shapes(spark, partial_results):
+    raw, flat = parse(spark, [RAW, FLAT])
+    assert (raw.id, raw.age, raw.nationality, raw.country) == ("u-1", 34, "NO", "Norway")
+    assert (flat.id, flat.age, flat.nationality, flat.country) == ("u-2", 40, "PE", "Peru")
+    spot = raw.location.coordinates
+    assert (spot.latitude, spot.longitude, raw.location.city) == (-12.5, None, "Oslo")
+    spot = flat.location.coordinates
+    assert (spot.latitude, spot.longitude) == (1.5, 2.0)
+
+
+def test_normalized_does_not_lose_fields_to_wrong_types(spark, partial_results):
+    (row,) = parse(spark, ['{"gender":"g","age":"30","login":"x","dob":7,"nat":"N"}'])
+    assert (row.gender, row.age, row.id, row.nationality) == ("g", 30, None, "N")
+
+
+def test_declared_raw_shape_has_no_age(spark):
+    (row,) = parse(spark, [RAW], mode="declared")
+    assert (row.age, row.id, row.nationality) == (None, None, None)
+    assert (row.gender, row.country, row.email) == ("female", "Norway", "a@b.c")
+    spot = row.location.coordinates
+    assert (spot.latitude, spot.longitude) == (None, None)
+
+
+@pytest.mark.parametrize("mode", ["declared", "normalized"])
+def test_every_single_field_equals_the_full_parse(spark, mode):
+    bodies = [RAW, FLAT, "not json", "{}"]
+    whole = parse(spark, bodies, mode=mode)
+    for field in FIELDS:
+        alone = parse(spark, bodies, mode=mode, fields=(field,))
+        assert [r[field] for r in alone] == [r[field] for r in whole], field
+
+
+def test_unknown_names_are_refused(spark):
+    with pytest.raises(ValueError):
+        parse(spark, ["{}"], fields=("nope",))
+    with pytest.raises(ValueError):
+        parse(spark, ["{}"], mode="nope")
+
+
+def test_stamp_is_repeatable_with_a_given_time(spark):
+    at = datetime(2024, 1, 1)
+    rows = stamp(spark.range(2), F.lit(at)).collect()
+    assert [r.processed_timestamp for r in rows] == [at, at]
+    assert dict(stamp(spark.range(1)).dtypes)["processed_timestamp"] == "timestamp"
+
+
+def test_event_time_keeps_rows_without_a_time(spark):
+    texts = ["2024-01-01T00:00:01.5", "no time", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, timestamp string")
+    timed = {r.n: r.ts for r in with_event_time(rows, "ts").collect()}
+    assert timed == {0: datetime(2024, 1, 1, 0, 0, 1, 500000), 1: None, 2: None}

@@ -1,0 +1,190 @@
+import json
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from userflow.sources import tables
+
+SCHEMA = "id int, gender string, age int"
+
+
+def frame(spark, *rows, schema=SCHEMA):
+    return spark.createDataFrame(list(rows), schema)
+
+
+def as_set(df):
+    return {tuple(r) for r in df.collect()}
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path)
+
+
+def versions(root, name):
+    return [d for d in os.listdir(f"{root}/{name}") if d.startswith("version-")]
+
+
+def test_replace_keeps_only_the_last_result(spark, root):
+    for n in range(4):
+        assert tables.replace(frame(spark, (n, "x", n)), root, "t")
+        assert as_set(tables.table(spark, root, "t")) == {(n, "x", n)}
+    assert len(versions(root, "t")) == tables.KEPT_VERSIONS
+    assert not [f for f in os.listdir(f"{root}/t") if f.startswith("_current-")]
+
+
+def test_empty_results_leave_the_previous_rows(spark, root):
+    rows = frame(spark, (1, "x", 1))
+    assert not tables.replace(rows.where("false"), root, "t")
+    assert not tables.exists(spark, root, "t")
+    tables.replace(rows, root, "t")
+    assert not tables.replace(rows.where("false"), root, "t")
+    assert as_set(tables.table(spark, root, "t")) == {(1, "x", 1)}
+    assert len(versions(root, "t")) == 1
+
+
+def test_a_reader_of_the_replaced_version_finishes(spark, root):
+    tables.replace(frame(spark, (1, "old", 1)), root, "t")
+    reading = tables.table(spark, root, "t")
+    tables.replace(frame(spark, (2, "new", 2)), root, "t")
+    assert as_set(reading) == {(1, "old", 1)}
+
+
+def test_failed_write_leaves_the_previous_rows(spark, root):
+    tables.replace(frame(spark, (1, "x", 1)), root, "t")
+    broken = frame(spark, (2, "y", 2)).withColumn("age", F.raise_error(F.lit("stop")))
+    with pytest.raises(Exception, match="stop"):
+        tables.replace(broken.withColumn("age", F.col("age").cast("int")), root, "t")
+    assert as_set(tables.table(spark, root, "t")) == {(1, "x", 1)}
+
+
+def test_append_adds_rows_with_unique_ids(spark, root):
+    tables.append(frame(spark, (1, "x", 1), (2, "x", 1)), root, "t", with_id=True)
+    tables.append(frame(spark, (3, "x", 1)), root, "t", with_id=True)
+    one = tables.append_row(spark, root, "t", {"id": 4, "gender": None}, SCHEMA)
+    rows = tables.table(spark, root, "t").collect()
+    assert {r.id for r in rows} == {1, 2, 3, 4}
+    assert len({r._id for r in rows}) == 4
+    assert [r._id for r in rows if r.id == 4] == [one]
+
+
+def test_append_goes_to_the_current_version(spark, root):
+    tables.replace(frame(spark, (1, "x", 1)), root, "t")
+    tables.append(frame(spark, (2, "y", 2)), root, "t")
+    assert as_set(tables.table(spark, root, "t")) == {(1, "x", 1), (2, "y", 2)}
+
+
+def test_find(spark, root):
+    rows = [(1, "m", 5), (2, None, 5), (3, None, None), (4, "f", 70)]
+    tables.append(frame(spark, *rows), root, "t")
+    find = lambda *args: as_set(tables.find(spark, root, "t", *args))
+    assert find() == set(rows)
+    assert find({}, []) == set(rows)
+    assert find({"gender": None, "age": 5}) == {(2, None, 5)}
+    assert find("age > 4", ["id"]) == {(1,), (2,), (4,)}
+    assert find(F.col("gender") == "f", ("gender", "age")) == {("f", 70)}
+
+
+def test_find_reaches_the_scan(spark, root, capsys):
+    tables.append(frame(spark, (1, "m", 5)), root, "t")
+    tables.find(spark, root, "t", F.col("age") >= 65, ["id"]).explain()
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(age,65)" in plan
+    assert "ReadSchema: struct<id:int,age:int>" in plan
+
+
+TARGET = [(1, "m", 10), (2, "f", 20), (3, "m", None), (None, "x", 1)]
+
+
+def test_update_only(spark, root):
+    tables.replace(frame(spark, *TARGET), root, "t")
+    changes = frame(spark, (1, None, 11), (2, "f", 20), (9, "z", 9))
+    counts = tables.upsert(changes, root, "t", ["id"])
+    assert counts == {"matched": 2, "modified": 1, "inserted": 0}
+    assert as_set(tables.table(spark, root, "t")) == {
+        (1, None, 11), (2, "f", 20), (3, "m", None), (None, "x", 1),
+    }
+
+
+def test_upsert_inserts_and_matches_null_keys(spark, root):
+    tables.replace(frame(spark, *TARGET), root, "t")
+    changes = frame(spark, (None, "y", 2), (9, "z", 9))
+    counts = tables.upsert(changes, root, "t", ["id"], insert=True)
+    assert counts == {"matched": 1, "modified": 1, "inserted": 1}
+    assert as_set(tables.table(spark, root, "t")) == {
+        *TARGET[:3], (None, "y", 2), (9, "z", 9),
+    }
+    again = tables.upsert(changes, root, "t", ["id"], insert=True)
+    assert again == {"matched": 2, "modified": 0, "inserted": 0}
+
+
+def test_partial_columns_leave_the_others_alone(spark, root):
+    tables.replace(frame(spark, *TARGET), root, "t")
+    changes = frame(spark, (2, None), (7, 70), schema="id int, age int")
+    tables.upsert(changes, root, "t", ["id"], insert=True)
+    rows = as_set(tables.table(spark, root, "t"))
+    assert {(2, "f", None), (7, None, 70)} <= rows
+    assert len(rows) == 5
+
+
+def test_ambiguous_or_unknown_updates_are_refused(spark, root):
+    tables.replace(frame(spark, *TARGET), root, "t")
+    with pytest.raises(ValueError, match="several rows"):
+        tables.upsert(frame(spark, (1, "a", 1), (1, "b", 2)), root, "t", ["id"])
+    with pytest.raises(ValueError, match="no such columns"):
+        tables.upsert(frame(spark, (1, 2), schema="id int, other int"), root, "t", ["id"])
+    assert as_set(tables.table(spark, root, "t")) == set(TARGET)
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_merge_against_brute_force_with_a_hot_key(spark, broadcast):
+    """A third of the target shares one key, in several files and join strategies."""
+    target = [(0 if i % 3 == 0 else i % 50, f"g{i}", i) for i in range(3000)]
+    changes = [(k, f"new{k}", -k) for k in range(0, 80, 2)]
+    fresh = dict((k, (g, a)) for k, g, a in changes)
+    want = [(k, *fresh[k]) if k in fresh else (k, g, a) for k, g, a in target]
+    seen = {k for k, _, _ in target}
+    want += [row for row in changes if row[0] not in seen]
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, broadcast)
+    try:
+        merged = tables.merge_rows(
+            frame(spark, *target).repartition(8), frame(spark, *changes), ["id"], insert=True
+        )
+        got = [tuple(r)[:3] for r in merged.collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(got) == sorted(want)
+
+
+def test_documents_are_text_in_utc(spark):
+    at = datetime(2024, 1, 2, 3, 4, 5, 999999)
+    rows = spark.createDataFrame([(1, at), (2, None)], "id int, timestamp timestamp")
+    rows = tables.with_lineage(rows, 3, F.lit(at)).withColumn(
+        "window_start", F.col("timestamp").cast("timestamp_ntz")
+    )
+    text = {r.id: r for r in tables.to_documents(rows).collect()}
+    assert text[1].timestamp == text[1].updated_at == "2024-01-02 03:04:05"
+    assert text[1].window_start == "2024-01-02 03:04:05"
+    assert text[2].timestamp is None and text[2].batch_id == 3
+
+
+def test_instants_are_rendered_in_utc_in_any_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        instant = spark.range(1).select(F.timestamp_seconds(F.lit(0)).alias("timestamp"))
+        assert tables.to_documents(instant).first().timestamp == "1970-01-01 00:00:00"
+        free = spark.sql("select timestamp_ntz'2024-01-01 05:06:07' as t")
+        assert tables.to_documents(free).first().t == "2024-01-01 05:06:07"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_json_documents_keep_null_fields(spark):
+    (row,) = tables.to_json_documents(frame(spark, (1, None, 2))).collect()
+    assert json.loads(row.document) == {"id": 1, "gender": None, "age": 2}

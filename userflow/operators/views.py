@@ -27,9 +27,9 @@ def inflow_series(
 
 
 def share(result: DataFrame, value: str = "count") -> DataFrame:
-    """Add ``percent``: each row's part of the column total."""
+    """Add ``percent``: each row's part of the column total, null if that is 0."""
     whole = result.agg(F.sum(value).cast("double")).scalar()
-    return result.withColumn("percent", F.lit(100.0) * F.col(value) / whole)
+    return result.withColumn("percent", F.try_divide(F.lit(100.0) * F.col(value), whole))
 
 
 def latest(
