@@ -24,7 +24,7 @@ def root(tmp_path):
 
 
 def versions(root, name):
-    return [d for d in os.listdir(f"{root}/{name}") if d.startswith("version-")]
+    return os.listdir(f"{root}/{name}/{tables.VERSIONS}")
 
 
 def test_replace_keeps_only_the_last_result(spark, root):
@@ -32,7 +32,6 @@ def test_replace_keeps_only_the_last_result(spark, root):
         assert tables.replace(frame(spark, (n, "x", n)), root, "t")
         assert as_set(tables.table(spark, root, "t")) == {(n, "x", n)}
     assert len(versions(root, "t")) == tables.KEPT_VERSIONS
-    assert not [f for f in os.listdir(f"{root}/t") if f.startswith("_current-")]
 
 
 def test_empty_results_leave_the_previous_rows(spark, root):
@@ -120,6 +119,28 @@ def test_upsert_inserts_and_matches_null_keys(spark, root):
     assert again == {"matched": 2, "modified": 0, "inserted": 0}
 
 
+def test_upsert_makes_a_missing_table(spark, root):
+    changes = frame(spark, (1, "a", 1), (2, None, 2))
+    counts = tables.upsert(changes, root, "t", ["id"], insert=True)
+    assert counts == {"matched": 0, "modified": 0, "inserted": 2}
+    assert as_set(tables.table(spark, root, "t")) == {(1, "a", 1), (2, None, 2)}
+
+
+def test_upsert_into_an_appended_table(spark, root):
+    tables.append(frame(spark, *TARGET), root, "t")
+    assert tables.exists(spark, root, "t")
+    tables.upsert(frame(spark, (1, "n", 0)), root, "t", ["id"])
+    assert as_set(tables.table(spark, root, "t")) == {(1, "n", 0), *TARGET[1:]}
+    tables.append(frame(spark, (5, "e", 5)), root, "t")
+    assert tables.table(spark, root, "t").count() == 5
+
+
+def test_a_version_without_pointer_is_not_read(spark, root):
+    tables.append(frame(spark, (1, "x", 1)), root, "t")
+    frame(spark, (2, "lost", 2)).write.parquet(f"{root}/t/{tables.VERSIONS}/lost")
+    assert as_set(tables.table(spark, root, "t")) == {(1, "x", 1)}
+
+
 def test_partial_columns_leave_the_others_alone(spark, root):
     tables.replace(frame(spark, *TARGET), root, "t")
     changes = frame(spark, (2, None), (7, 70), schema="id int, age int")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,3 +30,8 @@ def event_time(text: Column | str, kind: str = "timestamp") -> Column:
     """
     text = F.col(text) if isinstance(text, str) else text
     return text.try_cast(kind)
+
+
+def wall_time(moment: datetime) -> Column:
+    """A zone-free time as a literal, the same in every session zone."""
+    return F.lit(moment.isoformat()).cast("timestamp_ntz")

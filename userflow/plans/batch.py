@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from userflow.functions.times import wall_time
 from userflow.operators import analytics, views
 from userflow.operators.parse import parse_users, with_event_time
 from userflow.plans.users import (
@@ -81,7 +84,7 @@ def user_inflow_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.replace(user_inflow(spark, sf_dir), root, "user_inflow")
     newest = user_records(spark, sf_dir).agg(F.max("ts")).first()[0]
     inflow = tables.find(spark, root, "user_inflow", columns=["window_start", "count"])
-    return views.inflow_series(inflow, F.lit(newest).cast(NTZ), "1 day")
+    return views.inflow_series(inflow, wall_time(newest), "1 day")
 
 
 def gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,21 +174,23 @@ def publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def find_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch(spark, "find")
-    tables.append(user_records(spark, sf_dir), root, "users")
-    return tables.find(
-        spark,
-        root,
-        "users",
-        F.col("gender").isNull() & (F.col("age") >= 65),
-        ["id", "gender", "country"],
+    old_unknown = F.col("gender").isNull() & (F.col("age") >= 65)
+    return tables.find_rows(
+        user_records(spark, sf_dir), old_unknown, ["id", "gender", "country"]
     )
 
 
 def find_users_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch(spark, "find")
-    tables.append(user_records(spark, sf_dir), root, "users")
-    return tables.find(spark, root, "users", {"gender": "male", "country": None})
+    return tables.find_rows(
+        user_records(spark, sf_dir), {"gender": "male", "country": None}
+    )
+
+
+def find_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A given table, found by name under its root."""
+    return tables.find(
+        spark, sf_dir, "events.parquet", {"event_type": "error"}, ["event_id", "user_id"]
+    )
 
 
 def append_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,11 +232,9 @@ def upsert_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def update_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch(spark, "update")
     target, changes = _update_parts(spark, sf_dir)
-    tables.replace(target, root, "users")
-    tables.upsert(changes.select("id", "gender", "age"), root, "users", ["id"])
-    return tables.table(spark, root, "users")
+    merged = tables.merge_rows(target, changes.select("id", "gender", "age"), ["id"])
+    return merged.drop("_merge")
 
 
 def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,7 +249,7 @@ def documents_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    written = F.lit("2024-02-01 12:30:45").cast(NTZ)
+    written = wall_time(datetime(2024, 2, 1, 12, 30, 45))
     return tables.to_json_documents(
         tables.with_lineage(_ages_by_day(spark, sf_dir), 7, written)
     )
@@ -280,6 +283,7 @@ QUERIES = {
         publish_messages,
         find_users,
         find_users_equal,
+        find_events,
         append_users,
         replace_result,
         upsert_users,

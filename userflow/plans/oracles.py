@@ -129,6 +129,7 @@ _BODIES = {
        where gender is not distinct from null and age >= 65""",
     "find_users_equal": """select id, gender, age, country, ts from u
        where gender = 'male' and country is null""",
+    "find_events": "select event_id, user_id from events where event_type = 'error'",
     "append_users": "select id, gender, age, country, ts from u",
     "replace_result": """select gender, count(*) as count, cast(1 as bigint) as batch_id
        from u group by gender""",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.functions.times import MICROS
+from userflow.functions.times import MICROS, wall_time
 from userflow.sources.topic import as_topic_rows, encode_topic
 
 
@@ -104,7 +104,7 @@ def land_in_two(spark: SparkSession, sf_dir: str, path: str):
     A generator: each step lands one half, so that a stream can run in between.
     """
     edge = load(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
-    middle = F.lit(edge[0] + (edge[1] - edge[0]) / 2).cast("timestamp_ntz")
+    middle = wall_time(edge[0] + (edge[1] - edge[0]) / 2)
     users = user_records(spark, sf_dir)
     for half in (F.col("ts") < middle, F.col("ts") >= middle):
         messages = encode_topic(flat_records(users.where(half)), F.col("id"))

@@ -1,9 +1,9 @@
 """Result tables: find, append, replace, keyed upsert, document text.
 
 A table is a directory under a root path. ``append`` adds parquet files to it.
-``replace`` and ``upsert`` write a new version next to the current one and then
-move a one-line pointer file over the old pointer, so a reader sees the old rows or
-the new rows and never an empty or half-written table. One writer per table.
+``replace`` and ``upsert`` write a new version below it and then move a one-line
+pointer file over the old pointer, so a reader sees the old rows or the new rows and
+never an empty or half-written table. One writer per table.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 
 from userflow.functions.times import utc_text
 
+# Spark skips names with a leading underscore when it lists a table directory.
 POINTER = "_current"
+VERSIONS = "_versions"
 KEPT_VERSIONS = 2
 
 
@@ -33,8 +35,15 @@ def table_path(spark: SparkSession, root: str, name: str) -> str:
 
 
 def exists(spark: SparkSession, root: str, name: str) -> bool:
-    """Whether a table was written by ``replace`` or ``upsert``."""
-    return _read_pointer(spark, f"{root}/{name}") is not None
+    """Whether anything was written to a table yet."""
+    base = f"{root}/{name}"
+    if _read_pointer(spark, base) is not None:
+        return True
+    _, place, fs = _hadoop(spark, base)
+    return fs.exists(place) and any(
+        not entry.getPath().getName().startswith(("_", "."))
+        for entry in fs.listStatus(place)
+    )
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -48,13 +57,19 @@ def find(
     where: Column | str | Mapping[str, object] | None = None,
     columns: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Rows of a table; predicate and projection reach the parquet scan.
+    """Rows of a table; predicate and projection reach the parquet scan."""
+    return find_rows(table(spark, root, name), where, columns)
 
-    ``where`` is a condition, or a mapping of column to value that must all be
+
+def find_rows(
+    rows: DataFrame,
+    where: Column | str | Mapping[str, object] | None = None,
+    columns: Iterable[str] | None = None,
+) -> DataFrame:
+    """``where`` is a condition, or a mapping of column to value that must all be
     equal, with None matching null. No predicate gives all rows, no (or an empty)
     projection all columns.
     """
-    rows = table(spark, root, name)
     if isinstance(where, Mapping):
         where = reduce(
             and_,
@@ -115,13 +130,20 @@ def upsert(
     """Update the rows of a table that match ``updates`` on ``keys``.
 
     Returns how many rows matched, changed and were inserted. Keys must be unique
-    in ``updates``; a null key matches null and a null value overwrites.
+    in ``updates``; a null key matches null and a null value overwrites. With
+    ``insert`` a table that does not exist yet is made of the updates.
+
+    The updates are read several times: pass a table, not a long computation.
     """
     spark = updates.sparkSession
     repeated = updates.groupBy(*keys).count().where("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"updates hold several rows for one key of {keys}")
-    merged = merge_rows(table(spark, root, name), updates, keys, insert)
+    if insert and not exists(spark, root, name):
+        target = updates.where(F.lit(False))
+    else:
+        target = table(spark, root, name)
+    merged = merge_rows(target, updates, keys, insert)
     seen = Observation()
     counted = merged.observe(
         seen, *(F.count_if(F.col("_merge") == m).alias(m) for m in MERGE_KINDS)
@@ -225,7 +247,7 @@ def to_json_documents(df: DataFrame) -> DataFrame:
 
 
 def _new_version() -> str:
-    return f"version-{uuid.uuid4().hex}"
+    return f"{VERSIONS}/{uuid.uuid4().hex}"
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -253,7 +275,7 @@ def _read_pointer(spark: SparkSession, base: str) -> str | None:
 def _publish(spark: SparkSession, base: str, version: str) -> None:
     """Move the pointer to a written version in one rename, then drop old ones."""
     jvm, place, fs = _hadoop(spark, f"{base}/{POINTER}")
-    draft = jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}-{version}")
+    draft = jvm.org.apache.hadoop.fs.Path(f"{base}/{version}.pointer")
     out = fs.create(draft, True)
     out.write(bytearray(version, "utf-8"))
     out.close()
@@ -269,12 +291,11 @@ def _publish(spark: SparkSession, base: str, version: str) -> None:
 
 def _drop_old_versions(spark: SparkSession, base: str, current: str) -> None:
     """Keep the current version and, for readers still on it, the one before."""
-    _, place, fs = _hadoop(spark, base)
+    _, place, fs = _hadoop(spark, f"{base}/{VERSIONS}")
     older = [
         entry
         for entry in fs.listStatus(place)
-        if entry.getPath().getName().startswith("version-")
-        and entry.getPath().getName() != current
+        if f"{VERSIONS}/{entry.getPath().getName()}" != current
     ]
     older.sort(key=lambda entry: entry.getModificationTime(), reverse=True)
     for entry in older[KEPT_VERSIONS - 1 :]:
