@@ -17,6 +17,13 @@ MARKER_MIN, MARKER_MAX = 2.0, 15.0
 ALERT_FROM, BASE_COLOR, ALERT_COLOR = 80, "green", "red"
 TOP_K = 10
 
+# Panel titles in layout order.
+INFLOW_PANEL = "User Inflow Over Time"
+GENDER_PANEL = "Gender Distribution"
+AGE_PANEL = "Age Distribution"
+COUNTRY_PANEL = "Top Countries by User Count"
+MEAN_PANEL = "Average Age by Country"
+
 
 def inflow_series(
     inflow: DataFrame, as_of: Column, trailing: str = TRAILING
@@ -99,6 +106,18 @@ def markers(
     )
 
 
+def panels(results: dict[str, DataFrame], as_of: Column) -> dict[str, DataFrame]:
+    """The frames behind the dashboard's panels, by title, from the five results."""
+    inflow = inflow_series(results["user_inflow"], as_of)
+    return {
+        INFLOW_PANEL: inflow.withColumn("band", band("count")),
+        GENDER_PANEL: share(results["gender_distribution"]),
+        AGE_PANEL: bracket_bars(results["age_distribution"]),
+        COUNTRY_PANEL: top_k(results["country_distribution"]),
+        MEAN_PANEL: markers(results["avg_age_by_country"]),
+    }
+
+
 def _position(value: Column, low: Column, high: Column) -> Column:
     """Where a value lies between two bounds, 0 to 1."""
     part = (value - low).cast("double") / (high - low)

@@ -38,6 +38,14 @@ TEXT_FIELDS = {
     "login": "string",
 }
 
+# A parsed user as it is landed: the record, its country, and its arrival.
+LANDED_FIELDS = {
+    **USER_FIELDS,
+    "country": "string",
+    "processed_timestamp": "timestamp",
+    "arrival_date": "date",
+}
+
 COUNTRY_ONLY = "struct<country:string>"
 
 # Result columns as they leave the aggregation, stamp included.

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from userflow.operators import analytics
 from userflow.operators.parse import parse_users, stamp, with_event_time
-from userflow.schema import RESULT_KEYS
+from userflow.schema import LANDED_FIELDS, RESULT_KEYS, ddl
 from userflow.sources import tables
 
 EVERY = "10 seconds"
@@ -92,24 +92,26 @@ def replacing(root: str, name: str) -> BatchSink:
     return write
 
 
-def upserting(root: str, name: str, keys: list[str]) -> BatchSink:
+def upserting(spark: SparkSession, root: str, name: str, keys: list[str]) -> BatchSink:
     """Rows of each batch replace the rows with the same key.
 
     The batch is written once and merged from there: running its plan again would
-    read and commit the state store again. A replayed batch merges to the same rows.
+    read and commit the state store again. The merge runs in the given session,
+    because a stream's own session has adaptive execution switched off. A replayed
+    batch merges to the same rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         staged = f"{name}_changes"
         if not tables.replace(tables.with_lineage(batch, batch_id), root, staged):
             return
-        changes = tables.table(batch.sparkSession, root, staged)
+        changes = tables.table(spark, root, staged)
         tables.upsert(changes, root, name, keys, insert=True)
 
     return write
 
 
-def splitting(root: str) -> BatchSink:
+def splitting(spark: SparkSession, root: str) -> BatchSink:
     """Each batch of the combined result replaces all five tables.
 
     The batch is written once; the five tables are made from what was written.
@@ -118,7 +120,7 @@ def splitting(root: str) -> BatchSink:
     def write(batch: DataFrame, batch_id: int) -> None:
         if not tables.replace(tables.with_lineage(batch, batch_id), root, "combined"):
             return
-        combined = tables.table(batch.sparkSession, root, "combined")
+        combined = tables.table(spark, root, "combined")
         for name in RESULTS:
             tables.replace(analytics.pick_result(combined, name), root, name)
 
@@ -158,7 +160,7 @@ def start_result(
         writer = writer.format("parquet").option("path", f"{root}/{name}")
     else:
         if sink is None and mode == "update":
-            sink = upserting(root, name, keys or RESULT_KEYS[name])
+            sink = upserting(result.sparkSession, root, name, keys or RESULT_KEYS[name])
         writer = writer.foreachBatch(sink or replacing(root, name))
     with _shuffle_partitions(result.sparkSession, state_partitions):
         return writer.start()
@@ -206,7 +208,7 @@ def run_pipeline(
     return [
         start_result(
             combined, root, "combined", checkpoint, mode, every,
-            sink=splitting(root), state_partitions=state_partitions,
+            sink=splitting(messages.sparkSession, root), state_partitions=state_partitions,
         )
     ]
 
@@ -260,8 +262,8 @@ def land_users(
 
 
 def stream_users(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of a table written by ``land_users``; the schema comes from its files."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    """Stream of a table written by ``land_users``."""
+    reader = spark.readStream.schema(ddl(LANDED_FIELDS))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
