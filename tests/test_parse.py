@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -152,3 +153,51 @@ def test_event_time_keeps_rows_without_a_time(spark):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, timestamp string")
     timed = {r.n: r.ts for r in with_event_time(rows, "ts").collect()}
     assert timed == {0: datetime(2024, 1, 1, 0, 0, 1, 500000), 1: None, 2: None}
+
+
+def random_body(pick):
+    """A record with fields of any JSON type, at times damaged."""
+    anything = ["x", "7", "", 7, -1, 7.5, True, None, {"a": 1}, [1], {"age": 3, "uuid": "u"}]
+    places = [*anything, {"country": "N"}, {"country": 5, "city": None}, {"coordinates": {}},
+              {"country": "P", "coordinates": {"latitude": "1.5", "longitude": 2}}]
+    names = [*FIELDS[:-1], "nat", "login", "other"]
+    record = {
+        name: pick.choice(places if name == "location" else anything)
+        for name in names
+        if pick.random() < 0.7
+    }
+    body = json.dumps(record)
+    damage = pick.random()
+    if damage < 0.1:
+        return body[: pick.randrange(len(body))]
+    return body
+
+
+def test_any_selection_of_fields_equals_the_full_parse(spark):
+    pick = random.Random(5)
+    bodies = [random_body(pick) for _ in range(400)]
+    for mode in ("declared", "normalized"):
+        whole = parse(spark, bodies, mode=mode)
+        assert len(whole) == len(bodies)
+        for _ in range(4):
+            fields = pick.sample(FIELDS, 3)
+            some = parse(spark, bodies, mode=mode, fields=fields)
+            for body, a, b in zip(bodies, some, whole):
+                assert [a[f] for f in fields] == [b[f] for f in fields], (mode, fields, body)
+
+
+def test_normalized_values_against_plain_python(spark):
+    pick = random.Random(6)
+    bodies = [json.dumps(json.loads(b)) for b in (random_body(pick) for _ in range(400)) if b[-1:] == "}"]
+    for body, row in zip(bodies, parse(spark, bodies)):
+        record = json.loads(body)
+        place = record.get("location")
+        country = place.get("country") if isinstance(place, dict) else None
+        assert row.country == (None if country is None else str(country)), body
+        if isinstance(record.get("nationality"), str):
+            assert row.nationality == record["nationality"]
+        age, birth = record.get("age"), record.get("dob")
+        if type(age) is int:
+            assert row.age == age, body
+        elif age is None and isinstance(birth, dict):
+            assert row.age == birth.get("age"), body

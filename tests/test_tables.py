@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from datetime import datetime
 
 import pytest
@@ -182,6 +183,54 @@ def test_merge_against_brute_force_with_a_hot_key(spark, broadcast):
     assert sorted(got) == sorted(want)
 
 
+def test_update_where(spark, root):
+    tables.replace(frame(spark, *TARGET), root, "t")
+    values = {"gender": "z", "age": F.col("age") + 1}
+    counts = tables.update_where(spark, root, "t", {"gender": "m"}, values)
+    assert counts == {"matched": 2, "modified": 2, "inserted": 0}
+    rows = {(1, "z", 11), (2, "f", 20), (3, "z", None), (None, "x", 1)}
+    assert as_set(tables.table(spark, root, "t")) == rows
+
+    counts = tables.update_where(spark, root, "t", "age is null", {"gender": "z"})
+    assert counts == {"matched": 1, "modified": 0, "inserted": 0}
+    counts = tables.update_where(spark, root, "t", F.col("id") > 99, {"gender": "q"})
+    assert counts == {"matched": 0, "modified": 0, "inserted": 0}
+    assert as_set(tables.table(spark, root, "t")) == rows
+
+    key = {"id": 50}
+    counts = tables.update_where(spark, root, "t", key, {"gender": "q"}, insert=True)
+    assert counts == {"matched": 0, "modified": 0, "inserted": 1}
+    counts = tables.update_where(spark, root, "t", key, {"gender": None}, insert=True)
+    assert counts == {"matched": 1, "modified": 1, "inserted": 0}
+    assert as_set(tables.table(spark, root, "t")) == rows | {(50, None, None)}
+    with pytest.raises(ValueError, match="no such columns"):
+        tables.update_where(spark, root, "t", key, {"nope": 1})
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("keys", [["id"], ["id", "gender"]])
+def test_random_merges_against_brute_force(spark, seed, keys):
+    pick = random.Random(seed)
+
+    def row():
+        return (pick.choice([None, *range(12)]), pick.choice("mfx"), pick.choice([None, 1, 2]))
+
+    target = [row() for _ in range(60)]
+    size = len(keys)
+    updates = list({r[:size]: r for r in (row() for _ in range(25))}.values())
+    by_key = {r[:size]: r for r in updates}
+    want = [
+        (*by_key[r[:size]], "same" if by_key[r[:size]] == r else "modified")
+        if r[:size] in by_key
+        else (*r, "untouched")
+        for r in target
+    ]
+    present = {r[:size] for r in target}
+    want += [(*r, "inserted") for r in updates if r[:size] not in present]
+    merged = tables.merge_rows(frame(spark, *target), frame(spark, *updates), keys, insert=True)
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted(want, key=str)
+
+
 def test_documents_are_text_in_utc(spark):
     at = datetime(2024, 1, 2, 3, 4, 5, 999999)
     rows = spark.createDataFrame([(1, at), (2, None)], "id int, timestamp timestamp")

@@ -35,10 +35,11 @@ def parse_users(
     """User rows out of messages whose ``value`` holds one JSON record each.
 
     ``declared`` reads the fixed schema and nothing else: a field whose JSON type
-    differs is null. ``normalized`` also accepts the raw published shape: the age
-    and date nested under ``dob``, ``nat`` for the nationality, ``login.uuid`` for
-    the id, and coordinates or ages written as strings. It does not depend on
-    ``spark.sql.json.enablePartialResults``.
+    differs is null, provided ``spark.sql.json.enablePartialResults`` has its default.
+    ``normalized`` also accepts the raw published shape: the age nested under
+    ``dob``, ``nat`` for the nationality, ``login.uuid`` for the id, and coordinates
+    or ages written as strings. It gives the same rows for both shapes whatever that
+    setting is.
 
     A body that is no JSON object still gives one row, of nulls, because messages
     are counted whether or not they parse. ``skip_bad`` drops those rows.

@@ -237,6 +237,16 @@ def update_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.drop("_merge")
 
 
+def set_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns set where a condition holds, without a join."""
+    changed = tables.update_rows(
+        user_records(spark, sf_dir),
+        {"country": None, "gender": "female"},
+        {"country": "unknown", "age": F.col("age") + 1},
+    )
+    return changed.withColumnRenamed("_merge", "outcome")
+
+
 def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, changes = _update_parts(spark, sf_dir)
     merged = tables.merge_rows(target, changes, ["id"], insert=True)
@@ -288,6 +298,7 @@ QUERIES = {
         replace_result,
         upsert_users,
         update_users,
+        set_users,
         upsert_counts,
         documents_view,
         json_documents,

@@ -138,6 +138,10 @@ _BODIES = {
     "update_users": f"""select id, case when {CHANGED} then null else gender end as gender,
        case when {CHANGED} then age + 1 else age end as age, country, ts from u
        where country is not null""",
+    "set_users": """select id, gender, case when h then age + 1 else age end as age,
+       case when h then 'unknown' else country end as country, ts,
+       case when h then 'modified' else 'untouched' end as outcome
+       from (select *, coalesce(gender = 'female' and country is null, false) as h from u)""",
     "upsert_counts": """select case when country is null then 'inserted'
        when age >= 65 then 'modified' else 'untouched' end as outcome,
        count(*) as count from u group by 1""",
@@ -156,6 +160,7 @@ _BODIES = {
     "stream_all_results": LONG,
     "stream_shared_scan": LONG,
     "stream_parsed_table": GENDERS,
+    "backfill_results": LONG,
     "ingest_raw_records": RAW_USERS,
 }
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from userflow.operators import analytics, views
 from userflow.operators.parse import parse_users
-from userflow.plans.users import land_in_two, raw_records, user_records
+from userflow.plans.users import land_in_two, raw_records, user_messages, user_records
 from userflow.session import scratch
 from userflow.sources import tables, topic
 from userflow.streaming import pipeline
@@ -125,6 +125,13 @@ def stream_shared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(spark, _run(spark, sf_dir, start))
 
 
+def backfill_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five tables by one batch job over all messages."""
+    root = scratch(spark, "backfill")
+    pipeline.backfill(user_messages(spark, sf_dir), root, by_event_time=True)
+    return _long(spark, root)
+
+
 def stream_parsed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parse once into a columnar table, then aggregate a stream of that table."""
 
@@ -171,6 +178,7 @@ QUERIES = {
         stream_all_results,
         stream_shared_scan,
         stream_parsed_table,
+        backfill_results,
         ingest_raw_records,
     )
 }

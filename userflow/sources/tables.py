@@ -66,12 +66,21 @@ def find_rows(
     where: Column | str | Mapping[str, object] | None = None,
     columns: Iterable[str] | None = None,
 ) -> DataFrame:
-    """``where`` is a condition, or a mapping of column to value that must all be
-    equal, with None matching null. No predicate gives all rows, no (or an empty)
-    projection all columns.
-    """
+    """Matching rows. No predicate gives all rows, no (or an empty) projection all
+    columns."""
+    if where is not None:
+        rows = rows.where(condition(where))
+    columns = list(columns or ())
+    return rows.select(*columns) if columns else rows
+
+
+def condition(where: Column | str | Mapping[str, object]) -> Column:
+    """A condition as it is, as SQL text, or as a mapping of column to value that
+    must all be equal, with None matching null."""
+    if isinstance(where, str):
+        return F.expr(where)
     if isinstance(where, Mapping):
-        where = reduce(
+        return reduce(
             and_,
             (
                 F.col(c).isNull() if v is None else F.col(c) == F.lit(v)
@@ -79,10 +88,7 @@ def find_rows(
             ),
             F.lit(True),
         )
-    if where is not None:
-        rows = rows.where(where)
-    columns = list(columns or ())
-    return rows.select(*columns) if columns else rows
+    return where
 
 
 # -- writing ---------------------------------------------------------------------
@@ -143,20 +149,32 @@ def upsert(
         target = updates.where(F.lit(False))
     else:
         target = table(spark, root, name)
-    merged = merge_rows(target, updates, keys, insert)
-    seen = Observation()
-    counted = merged.observe(
-        seen, *(F.count_if(F.col("_merge") == m).alias(m) for m in MERGE_KINDS)
-    )
-    version = _new_version()
-    counted.drop("_merge").write.parquet(f"{root}/{name}/{version}")
-    _publish(spark, f"{root}/{name}", version)
-    kinds = seen.get
-    return {
-        "matched": kinds["same"] + kinds["modified"],
-        "modified": kinds["modified"],
-        "inserted": kinds["inserted"],
-    }
+    return _write_merged(merge_rows(target, updates, keys, insert), root, name)
+
+
+def update_where(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    where: Column | str | Mapping[str, object],
+    values: Mapping[str, object],
+    insert: bool = False,
+) -> dict[str, int]:
+    """Set columns of all rows that satisfy a condition; returns counts as ``upsert``
+    does. Values are constants or expressions of the row. With ``insert`` and no
+    match, one row is added from a mapping's values and the new ones.
+    """
+    changed = update_rows(table(spark, root, name), where, values)
+    counts = _write_merged(changed, root, name)
+    if insert and not counts["matched"]:
+        given = {**(where if isinstance(where, Mapping) else {}), **values}
+        schema = table(spark, root, name).schema
+        one = spark.range(1).select(
+            *(_value(given.get(f.name)).cast(f.dataType).alias(f.name) for f in schema)
+        )
+        append(one, root, name)
+        counts["inserted"] = 1
+    return counts
 
 
 MERGE_KINDS = ("untouched", "same", "modified", "inserted")
@@ -213,6 +231,50 @@ def merge_rows(
     return merged.unionByName(inserted)
 
 
+def update_rows(
+    rows: DataFrame,
+    where: Column | str | Mapping[str, object],
+    values: Mapping[str, object],
+) -> DataFrame:
+    """Rows with columns set where a condition holds, and ``_merge`` as above. No
+    shuffle is needed."""
+    unknown = set(values) - set(rows.columns)
+    if unknown:
+        raise ValueError(f"no such columns in the table: {sorted(unknown)}")
+    hit = F.coalesce(condition(where), F.lit(False))
+    fresh = {c: _value(v).cast(rows.schema[c].dataType) for c, v in values.items()}
+    differs = reduce(
+        or_, (~F.col(c).eqNullSafe(v) for c, v in fresh.items()), F.lit(False)
+    )
+    return rows.select(
+        *(
+            F.when(hit, fresh[c]).otherwise(F.col(c)).alias(c) if c in fresh else F.col(c)
+            for c in rows.columns
+        ),
+        F.when(~hit, "untouched").when(differs, "modified").otherwise("same").alias("_merge"),
+    )
+
+
+def _value(value: object) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
+def _write_merged(merged: DataFrame, root: str, name: str) -> dict[str, int]:
+    """Publish merged rows and count what happened to them, in one job."""
+    spark, version, seen = merged.sparkSession, _new_version(), Observation()
+    counted = merged.observe(
+        seen, *(F.count_if(F.col("_merge") == m).alias(m) for m in MERGE_KINDS)
+    )
+    counted.drop("_merge").write.parquet(f"{root}/{name}/{version}")
+    _publish(spark, f"{root}/{name}", version)
+    kinds = seen.get
+    return {
+        "matched": kinds["same"] + kinds["modified"],
+        "modified": kinds["modified"],
+        "inserted": kinds["inserted"],
+    }
+
+
 # -- documents -------------------------------------------------------------------
 
 

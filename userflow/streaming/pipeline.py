@@ -6,7 +6,8 @@ Output modes and their sinks:
   watermark neither drops late rows nor frees state here.
 * ``update``: changed rows are upserted into the result table by key.
 * ``append``: closed windows only, so inflow only; Spark's file sink adds them
-  exactly once.
+  exactly once. Such a table belongs to its stream: readers go by the sink's log and
+  do not see rows that ``tables.append`` adds.
 
 Each query has its own checkpoint, so a restart resumes its counts.
 """
@@ -213,6 +214,12 @@ def run_pipeline(
     ]
 
 
+def backfill(messages: DataFrame, root: str, batch_id: int = 0, **parsing) -> None:
+    """The same five tables from a batch of messages, read and parsed once."""
+    combined = combined_results(messages, **parsing)
+    splitting(messages.sparkSession, root)(combined, batch_id)
+
+
 def combined_results(
     messages: DataFrame,
     parse: str = "normalized",
