@@ -70,6 +70,14 @@ def test_append_adds_rows_with_unique_ids(spark, root):
     assert [r._id for r in rows if r.id == 4] == [one]
 
 
+def test_append_keeps_the_columns_of_the_table(spark, root):
+    tables.append(frame(spark, (1, "x", 1)), root, "t")
+    tables.append(frame(spark, (5, 2), schema="age int, id int"), root, "t")
+    assert as_set(tables.table(spark, root, "t")) == {(1, "x", 1), (2, None, 5)}
+    with pytest.raises(ValueError, match="no such columns"):
+        tables.append(frame(spark, (3, "x", 1)), root, "t", with_id=True)
+
+
 def test_append_goes_to_the_current_version(spark, root):
     tables.replace(frame(spark, (1, "x", 1)), root, "t")
     tables.append(frame(spark, (2, "y", 2)), root, "t")
@@ -183,6 +191,18 @@ def test_merge_against_brute_force_with_a_hot_key(spark, broadcast):
     assert sorted(got) == sorted(want)
 
 
+def test_merge_statement_resolves(spark, root):
+    """A plain parquet table refuses MERGE only once the statement is analysed."""
+    target = frame(spark, *TARGET)
+    target.write.option("path", f"{root}/merged").saveAsTable("merge_target")
+    try:
+        changes = frame(spark, (1, None, 11), (9, "z", 9))
+        with pytest.raises(Exception, match="does not support MERGE"):
+            tables.merge_into(changes, "merge_target", ["id"], insert=True)
+    finally:
+        spark.sql("drop table merge_target")
+
+
 def test_update_where(spark, root):
     tables.replace(frame(spark, *TARGET), root, "t")
     values = {"gender": "z", "age": F.col("age") + 1}

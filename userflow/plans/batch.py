@@ -227,7 +227,8 @@ def upsert_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "upsert")
     target, changes = _update_parts(spark, sf_dir)
     tables.replace(target, root, "users")
-    tables.upsert(changes, root, "users", ["id"], insert=True)
+    tables.replace(changes, root, "changes")
+    tables.upsert(tables.table(spark, root, "changes"), root, "users", ["id"], insert=True)
     return tables.table(spark, root, "users")
 
 

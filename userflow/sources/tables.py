@@ -95,10 +95,32 @@ def condition(where: Column | str | Mapping[str, object]) -> Column:
 
 
 def append(df: DataFrame, root: str, name: str, with_id: bool = False) -> None:
-    """Add rows; ``with_id`` gives each a unique ``_id``."""
+    """Add rows; ``with_id`` gives each a unique ``_id``.
+
+    A table keeps the columns of its first rows: later rows get null for those they
+    lack and must not bring others.
+    """
+    spark = df.sparkSession
     if with_id:
         df = df.withColumn("_id", F.uuid())
-    df.write.mode("append").parquet(table_path(df.sparkSession, root, name))
+    if exists(spark, root, name):
+        schema = table(spark, root, name).schema
+        _refuse_unknown(df.columns, schema.names)
+        df = df.select(
+            *(
+                (F.col(f.name) if f.name in df.columns else F.lit(None))
+                .cast(f.dataType)
+                .alias(f.name)
+                for f in schema
+            )
+        )
+    df.write.mode("append").parquet(table_path(spark, root, name))
+
+
+def _refuse_unknown(columns: Iterable[str], known: Iterable[str]) -> None:
+    unknown = set(columns) - set(known)
+    if unknown:
+        raise ValueError(f"no such columns in the table: {sorted(unknown)}")
 
 
 def append_row(
@@ -139,7 +161,8 @@ def upsert(
     in ``updates``; a null key matches null and a null value overwrites. With
     ``insert`` a table that does not exist yet is made of the updates.
 
-    The updates are read several times: pass a table, not a long computation.
+    The updates are read several times: pass a table, not a long computation. The
+    whole table is rewritten; for few changes to a large one see ``merge_into``.
     """
     spark = updates.sparkSession
     repeated = updates.groupBy(*keys).count().where("count > 1")
@@ -152,6 +175,23 @@ def upsert(
     return _write_merged(merge_rows(target, updates, keys, insert), root, name)
 
 
+def merge_into(
+    updates: DataFrame, table_name: str, keys: list[str], insert: bool = False
+) -> None:
+    """The same upsert on a catalog table whose format supports ``MERGE``: only the
+    files that hold changed rows are rewritten, in one transaction."""
+    same_key = F.expr(
+        " and ".join(f"{table_name}.`{k}` <=> source.`{k}`" for k in keys)
+    )
+    values = {c: F.col(f"source.{c}") for c in updates.columns if c not in keys}
+    merge = updates.alias("source").mergeInto(table_name, same_key)
+    merge = merge.whenMatched().update(values)
+    if insert:
+        every = {c: F.col(f"source.{c}") for c in updates.columns}
+        merge = merge.whenNotMatched().insert(every)
+    merge.merge()
+
+
 def update_where(
     spark: SparkSession,
     root: str,
@@ -191,9 +231,7 @@ def merge_rows(
     A full outer join allows neither. New keys are found from the few target keys
     that updates touch.
     """
-    unknown = set(updates.columns) - set(target.columns)
-    if unknown:
-        raise ValueError(f"no such columns in the table: {sorted(unknown)}")
+    _refuse_unknown(updates.columns, target.columns)
     values = [c for c in updates.columns if c not in keys]
     fresh = updates.select(
         *(F.col(k).alias(f"_key_{k}") for k in keys),
@@ -238,9 +276,7 @@ def update_rows(
 ) -> DataFrame:
     """Rows with columns set where a condition holds, and ``_merge`` as above. No
     shuffle is needed."""
-    unknown = set(values) - set(rows.columns)
-    if unknown:
-        raise ValueError(f"no such columns in the table: {sorted(unknown)}")
+    _refuse_unknown(values, rows.columns)
     hit = F.coalesce(condition(where), F.lit(False))
     fresh = {c: _value(v).cast(rows.schema[c].dataType) for c, v in values.items()}
     differs = reduce(
