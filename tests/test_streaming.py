@@ -96,6 +96,38 @@ def batch_answers(feed):
     return {name: as_set(df, *COLUMNS[name]) for name, df in results.items()}
 
 
+@pytest.mark.parametrize("per_batch", [False, True])
+def test_update_mode_reaches_the_same_tables(spark, feed, places, per_batch):
+    root, checkpoint = places
+    for step in range(2):
+        feed.land(people(40, start=40 * step) + ["not json"])
+        run(pipeline.run_pipeline(
+            feed.stream(), root, checkpoint, "update", None, per_batch=per_batch,
+        ))
+    answers = batch_answers(feed)
+    for name in ("gender_distribution", "country_distribution", "avg_age_by_country"):
+        assert as_set(tables.table(spark, root, name), *COLUMNS[name]) == answers[name], name
+    ages = tables.table(spark, root, "age_distribution")
+    assert ages.select("timestamp").distinct().count() == 2
+    bars = views.bracket_bars(ages)
+    assert as_set(bars, *COLUMNS["age_distribution"]) == answers["age_distribution"]
+    inflow = tables.table(spark, root, "user_inflow")
+    assert views.total(inflow).first().total == 82
+
+
+def test_queries_that_cannot_all_start_leave_none_running(spark, feed, places):
+    feed.land(people(3))
+    results = pipeline.topic_results(feed.stream())
+    broken = {**results, "gender_distribution": feed.batch()}
+    order = ["country_distribution", "gender_distribution"]
+    before = set(q.id for q in spark.streams.active)
+    with pytest.raises(Exception):
+        pipeline.start_all({n: broken[n] for n in order}, *places, every="1 second")
+    assert set(q.id for q in spark.streams.active) == before
+    with pytest.raises(ValueError, match="inflow"):
+        pipeline.run_pipeline(feed.stream(), *places, mode="append")
+
+
 @pytest.mark.parametrize("shared", [False, True])
 def test_streams_equal_the_batch_and_resume(spark, feed, places, shared):
     root, checkpoint = places

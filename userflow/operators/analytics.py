@@ -100,7 +100,7 @@ def all_analytics(
     """The five results by name, each a lazy frame over the same users."""
     return {
         "gender_distribution": gender_distribution(users, as_of),
-        "age_distribution": age_distribution(users, per_batch, time_col, as_of=as_of),
+        "age_distribution": age_distribution(users, per_batch, as_of=as_of),
         "country_distribution": country_distribution(users, as_of),
         "user_inflow": user_inflow(users, time_col, as_of=as_of),
         "avg_age_by_country": avg_age_by_country(users, as_of),

@@ -12,12 +12,14 @@ from userflow.operators import analytics, views
 from userflow.operators.parse import parse_users, with_event_time
 from userflow.plans.users import (
     damaged_messages,
+    flat_columns,
+    raw_columns,
     raw_messages,
     user_messages,
     user_records,
 )
 from userflow.session import scratch
-from userflow.sources import tables
+from userflow.sources import tables, topic
 
 NTZ = "timestamp_ntz"
 
@@ -170,6 +172,23 @@ def publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def publish_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_messages(spark, sf_dir).select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
+    )
+
+
+def split_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses that list a user's record in both shapes, split and parsed."""
+    shapes = (F.to_json(F.struct(*flat_columns())), F.to_json(F.struct(*raw_columns())))
+    body = F.concat(
+        F.lit('{"results":['), F.concat_ws(",", *shapes), F.lit('],"info":{}}')
+    )
+    responses = user_records(spark, sf_dir).select(body.alias("value"))
+    messages = topic.encode_records(topic.split_responses(responses))
+    return parse_users(messages, fields=("id", "gender", "age", "country"))
+
+
 # -- tables ----------------------------------------------------------------------
 
 
@@ -292,6 +311,8 @@ QUERIES = {
         malformed_counted,
         malformed_skipped,
         publish_messages,
+        publish_raw_messages,
+        split_responses,
         find_users,
         find_users_equal,
         find_events,

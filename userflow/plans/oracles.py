@@ -52,6 +52,12 @@ RECORD = f"""concat('{{"id":', {_text("id")}, ',"gender":', {_text("gender")},
        ',"age":', {_number("age")}, ',"location":{{"country":', {_text("country")},
        '}},"timestamp":', {_text(MICROS)}, '}}')"""
 BIRTH = f"""concat('{{"date":', {_text(MICROS)}, ',"age":', {_number("age")}, '}}')"""
+RAW_RECORD = f"""concat('{{"gender":', {_text("gender")},
+       ',"name":{{"first":', {_text("id")}, ',"last":"User"}},"location":{{"country":',
+       {_text("country")}, ',"coordinates":{{"latitude":"', number % 90,
+       '.25","longitude":"', -(number % 180), '.5"}}}},"login":{{"uuid":', {_text("id")},
+       '}},"dob":', {BIRTH}, ',"nat":', case when number % 7 <> 0 then '"NA"' else 'null' end,
+       '}}')"""
 DAMAGED = "number % 17 = 0 or number % 19 = 0 or number % 37 = 0"
 CHANGED = "age >= 65 or country is null"
 RAW_USERS = """select id, gender, age, country,
@@ -125,6 +131,10 @@ _BODIES = {
        where not ({DAMAGED}) group by gender""",
     "publish_messages": f"""select concat('{{"uuid":', {_text("id")}, '}}') as key,
        {RECORD} as value from u""",
+    "publish_raw_messages": f"""select concat('{{"uuid":', {_text("id")}, '}}') as key,
+       {RAW_RECORD} as value from u""",
+    "split_responses": """select id, gender, age, country from u
+       union all select id, gender, age, country from u""",
     "find_users": """select id, gender, country from u
        where gender is not distinct from null and age >= 65""",
     "find_users_equal": """select id, gender, age, country, ts from u

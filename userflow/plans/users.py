@@ -6,7 +6,7 @@ is that of the customer behind it. Nulls are planted on purpose.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from userflow.functions.times import MICROS, wall_time
@@ -43,22 +43,22 @@ def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flat_records(users: DataFrame) -> DataFrame:
-    """Users in the declared record shape."""
-    return users.select(
-        "id",
-        "gender",
-        "age",
+def flat_columns() -> list[Column]:
+    """A user in the declared record shape."""
+    return [
+        F.col("id"),
+        F.col("gender"),
+        F.col("age"),
         F.struct("country").alias("location"),
         F.date_format("ts", MICROS).alias("timestamp"),
-    )
+    ]
 
 
-def raw_records(users: DataFrame) -> DataFrame:
-    """Users in the published shape: nested name, birth, login and coordinates."""
+def raw_columns() -> list[Column]:
+    """A user in the published shape: nested name, birth, login and coordinates."""
     number = F.substring("id", 3, 20).cast("bigint")
-    return users.select(
-        "gender",
+    return [
+        F.col("gender"),
         F.struct(F.col("id").alias("first"), F.lit("User").alias("last")).alias("name"),
         F.struct(
             F.col("country").alias("country"),
@@ -70,7 +70,15 @@ def raw_records(users: DataFrame) -> DataFrame:
         F.struct(F.col("id").alias("uuid")).alias("login"),
         F.struct(F.date_format("ts", MICROS).alias("date"), "age").alias("dob"),
         F.when(number % 7 != 0, "NA").alias("nat"),
-    )
+    ]
+
+
+def flat_records(users: DataFrame) -> DataFrame:
+    return users.select(*flat_columns())
+
+
+def raw_records(users: DataFrame) -> DataFrame:
+    return users.select(*raw_columns())
 
 
 def user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

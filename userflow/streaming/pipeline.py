@@ -30,6 +30,8 @@ EVERY = "10 seconds"
 STATE_PARTITIONS = 8
 
 RESULTS = tuple(analytics.NEEDS)
+# What identifies an age count that is kept per micro-batch.
+BATCH_KEYS = ["age_group", "timestamp"]
 
 
 # -- results of a topic ----------------------------------------------------------
@@ -173,15 +175,25 @@ def start_all(
     checkpoint: str,
     mode: str = "complete",
     every: str | None = EVERY,
+    keys: dict[str, list[str]] | None = None,
     state_partitions: int = STATE_PARTITIONS,
 ) -> list[StreamingQuery]:
-    """Start one query per result and hand back all of them."""
-    return [
-        start_result(
-            result, root, name, checkpoint, mode, every, state_partitions=state_partitions
-        )
-        for name, result in results.items()
-    ]
+    """Start one query per result and hand back all of them, or none if one cannot
+    start."""
+    started: list[StreamingQuery] = []
+    try:
+        for name, result in results.items():
+            started.append(
+                start_result(
+                    result, root, name, checkpoint, mode, every,
+                    keys=(keys or {}).get(name), state_partitions=state_partitions,
+                )
+            )
+    except Exception:
+        for query in started:
+            query.stop()
+        raise
+    return started
 
 
 def run_pipeline(
@@ -200,9 +212,12 @@ def run_pipeline(
     ``shared_scan`` one query scans it once and writes all five tables from one
     batch, so the tables agree with each other.
     """
+    if mode == "append":
+        raise ValueError("only inflow has windows that close: start_result it alone")
     if not shared_scan:
         results = topic_results(messages, **parsing)
-        return start_all(results, root, checkpoint, mode, every, state_partitions)
+        keys = {"age_distribution": BATCH_KEYS} if parsing.get("per_batch") else None
+        return start_all(results, root, checkpoint, mode, every, keys, state_partitions)
     if mode != "complete":
         raise ValueError("a shared scan replaces whole tables: use complete mode")
     combined = combined_results(messages, **parsing)
