@@ -28,11 +28,13 @@ def versions(root, name):
     return os.listdir(f"{root}/{name}/{tables.VERSIONS}")
 
 
-def test_replace_keeps_only_the_last_result(spark, root):
+@pytest.mark.parametrize("minutes,kept", [(0, 2), (10, 4)])
+def test_replace_publishes_only_the_last_result(spark, root, monkeypatch, minutes, kept):
+    monkeypatch.setattr(tables, "KEPT_MINUTES", minutes)
     for n in range(4):
         assert tables.replace(frame(spark, (n, "x", n)), root, "t")
         assert as_set(tables.table(spark, root, "t")) == {(n, "x", n)}
-    assert len(versions(root, "t")) == tables.KEPT_VERSIONS
+    assert len(versions(root, "t")) == kept
 
 
 def test_empty_results_leave_the_previous_rows(spark, root):
@@ -159,6 +161,16 @@ def test_partial_columns_leave_the_others_alone(spark, root):
     assert len(rows) == 5
 
 
+def test_updates_take_the_types_of_the_table(spark, root):
+    tables.replace(frame(spark, *TARGET), root, "t")
+    schema = tables.table(spark, root, "t").schema
+    changes = frame(spark, (1, 11), (8, 80), schema="id long, age long")
+    tables.upsert(changes, root, "t", ["id"], insert=True)
+    rows = tables.table(spark, root, "t")
+    assert rows.schema == schema
+    assert {(1, "m", 11), (8, None, 80)} <= as_set(rows)
+
+
 def test_ambiguous_or_unknown_updates_are_refused(spark, root):
     tables.replace(frame(spark, *TARGET), root, "t")
     with pytest.raises(ValueError, match="several rows"):

@@ -8,6 +8,7 @@ never an empty or half-written table. One writer per table.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable, Mapping
 from functools import reduce
@@ -22,7 +23,8 @@ from userflow.functions.times import utc_text
 # Spark skips names with a leading underscore when it lists a table directory.
 POINTER = "_current"
 VERSIONS = "_versions"
-KEPT_VERSIONS = 2
+# Replaced versions stay this long for readers that are still on them.
+KEPT_MINUTES = 10
 
 
 # -- reading ---------------------------------------------------------------------
@@ -201,20 +203,21 @@ def update_where(
     insert: bool = False,
 ) -> dict[str, int]:
     """Set columns of all rows that satisfy a condition; returns counts as ``upsert``
-    does. Values are constants or expressions of the row. With ``insert`` and no
-    match, one row is added from a mapping's values and the new ones.
+    does. Values are constants or expressions of the row. Without a match nothing is
+    rewritten; with ``insert`` one row is then added, from a mapping's values and the
+    new ones.
     """
-    changed = update_rows(table(spark, root, name), where, values)
-    counts = _write_merged(changed, root, name)
-    if insert and not counts["matched"]:
+    rows = table(spark, root, name)
+    _refuse_unknown(values, rows.columns)
+    if not rows.where(condition(where)).isEmpty():
+        return _write_merged(update_rows(rows, where, values), root, name)
+    if insert:
         given = {**(where if isinstance(where, Mapping) else {}), **values}
-        schema = table(spark, root, name).schema
         one = spark.range(1).select(
-            *(_value(given.get(f.name)).cast(f.dataType).alias(f.name) for f in schema)
+            *(_value(given.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.schema)
         )
         append(one, root, name)
-        counts["inserted"] = 1
-    return counts
+    return {"matched": 0, "modified": 0, "inserted": int(insert)}
 
 
 MERGE_KINDS = ("untouched", "same", "modified", "inserted")
@@ -233,9 +236,10 @@ def merge_rows(
     """
     _refuse_unknown(updates.columns, target.columns)
     values = [c for c in updates.columns if c not in keys]
+    kinds = {f.name: f.dataType for f in target.schema}
     fresh = updates.select(
-        *(F.col(k).alias(f"_key_{k}") for k in keys),
-        *(F.col(c).alias(f"_new_{c}") for c in values),
+        *(F.col(k).cast(kinds[k]).alias(f"_key_{k}") for k in keys),
+        *(F.col(c).cast(kinds[c]).alias(f"_new_{c}") for c in values),
         F.lit(True).alias("_hit"),
     )
     same_key = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
@@ -261,7 +265,7 @@ def merge_rows(
             if f.name in keys
             else F.col(f"_new_{f.name}").alias(f.name)
             if f.name in values
-            else F.lit(None).cast(f.dataType).alias(f.name)
+            else F.lit(None).cast(kinds[f.name]).alias(f.name)
             for f in target.schema
         ),
         F.lit("inserted").alias("_merge"),
@@ -388,7 +392,7 @@ def _publish(spark: SparkSession, base: str, version: str) -> None:
 
 
 def _drop_old_versions(spark: SparkSession, base: str, current: str) -> None:
-    """Keep the current version and, for readers still on it, the one before."""
+    """Keep the current version, the one before, and all recent ones."""
     _, place, fs = _hadoop(spark, f"{base}/{VERSIONS}")
     older = [
         entry
@@ -396,5 +400,7 @@ def _drop_old_versions(spark: SparkSession, base: str, current: str) -> None:
         if f"{VERSIONS}/{entry.getPath().getName()}" != current
     ]
     older.sort(key=lambda entry: entry.getModificationTime(), reverse=True)
-    for entry in older[KEPT_VERSIONS - 1 :]:
-        fs.delete(entry.getPath(), True)
+    recent = (time.time() - 60 * KEPT_MINUTES) * 1000
+    for entry in older[1:]:
+        if entry.getModificationTime() < recent:
+            fs.delete(entry.getPath(), True)
