@@ -186,9 +186,17 @@ def test_any_selection_of_fields_equals_the_full_parse(spark):
                 assert [a[f] for f in fields] == [b[f] for f in fields], (mode, fields, body)
 
 
+def is_json(body):
+    try:
+        return json.loads(body) is not None
+    except ValueError:
+        return False
+
+
 def test_normalized_values_against_plain_python(spark):
     pick = random.Random(6)
-    bodies = [json.dumps(json.loads(b)) for b in (random_body(pick) for _ in range(400)) if b[-1:] == "}"]
+    bodies = [random_body(pick) for _ in range(400)]
+    bodies = [body for body in bodies if is_json(body)]
     for body, row in zip(bodies, parse(spark, bodies)):
         record = json.loads(body)
         place = record.get("location")
