@@ -28,7 +28,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return f"{TESTDATA}/sf0.01"
+    return f"{TESTDATA}/sf{os.environ.get('TEST_SF', '0.01')}"
 
 
 @pytest.fixture(scope="session")

@@ -3,6 +3,8 @@ import os
 import time
 from datetime import datetime, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,15 +25,21 @@ class Feed:
 
     def land(self, records):
         """Add one file of JSON records."""
-        lines = [(r if isinstance(r, str) else json.dumps(r),) for r in records]
-        rows = topic.as_topic_rows(
-            topic.encode_records(self.spark.createDataFrame(lines, "value string"))
+        lines = [r if isinstance(r, str) else json.dumps(r) for r in records]
+        count = len(lines)
+        rows = pa.table(
+            {
+                "key": pa.nulls(count, pa.binary()),
+                "value": pa.array([line.encode() for line in lines], pa.binary()),
+                "topic": pa.array(["user_data"] * count),
+                "partition": pa.nulls(count, pa.int32()),
+                "offset": pa.nulls(count, pa.int64()),
+                "timestamp": pa.array([MIDNIGHT] * count, pa.timestamp("us", "UTC")),
+                "timestampType": pa.array([0] * count, pa.int32()),
+            }
         )
-        part = f"{self.path}-parts/{self.files}"
-        rows.coalesce(1).write.parquet(part)
-        name = next(f for f in os.listdir(part) if f.endswith(".parquet"))
         target = f"{self.path}/{self.files:04d}.parquet"
-        os.link(f"{part}/{name}", target)
+        pq.write_table(rows, target)
         arrived = time.time() - 10_000 + 10 * self.files
         os.utime(target, (arrived, arrived))
         self.files += 1
@@ -75,6 +83,10 @@ def as_set(df, *columns):
     return {tuple(r) for r in df.select(*columns).collect()}
 
 
+# State of few keys: fewer files to commit per batch.
+SMALL = {"every": None, "state_partitions": 2}
+
+
 def run(queries):
     pipeline.wait_for(queries)
     return queries
@@ -102,7 +114,7 @@ def test_update_mode_reaches_the_same_tables(spark, feed, places, per_batch):
     for step in range(2):
         feed.land(people(40, start=40 * step) + ["not json"])
         run(pipeline.run_pipeline(
-            feed.stream(), root, checkpoint, "update", None, per_batch=per_batch,
+            feed.stream(), root, checkpoint, "update", per_batch=per_batch, **SMALL
         ))
     answers = batch_answers(feed)
     for name in ("gender_distribution", "country_distribution", "avg_age_by_country"):
@@ -135,7 +147,7 @@ def test_streams_equal_the_batch_and_resume(spark, feed, places, shared):
         for part in range(2):
             feed.land(people(40, start=100 * step + 40 * part) + ["not json"])
         run(pipeline.run_pipeline(
-            feed.stream(), root, checkpoint, every=None, shared_scan=shared, by_event_time=True
+            feed.stream(), root, checkpoint, shared_scan=shared, by_event_time=True, **SMALL
         ))
         for name, answer in batch_answers(feed).items():
             table = tables.table(spark, root, name)
@@ -146,7 +158,7 @@ def test_streams_equal_the_batch_and_resume(spark, feed, places, shared):
 
 def test_dashboard_reads_the_result_tables(spark, feed, places):
     feed.land(people(60))
-    run(pipeline.run_pipeline(feed.stream(), *places, every=None, by_event_time=True))
+    run(pipeline.run_pipeline(feed.stream(), *places, by_event_time=True, **SMALL))
     results = {name: tables.table(spark, places[0], name) for name in COLUMNS}
     as_of = F.lit(MIDNIGHT + timedelta(hours=1))
     panels = {t: df.collect() for t, df in views.panels(results, as_of).items()}
@@ -158,7 +170,7 @@ def test_dashboard_reads_the_result_tables(spark, feed, places):
 
 def test_processing_time_is_one_window_per_batch(spark, feed, places):
     feed.land(people(30))
-    run(pipeline.run_pipeline(feed.stream(), *places, every=None))
+    run(pipeline.run_pipeline(feed.stream(), *places, **SMALL))
     rows = tables.table(spark, places[0], "user_inflow").collect()
     assert [r["count"] for r in rows] == [30]
 
@@ -171,7 +183,7 @@ def test_age_counts_per_batch_never_merge(spark, feed, places):
     run(
         [
             pipeline.start_result(
-                results["age_distribution"], root, "age_distribution", checkpoint, every=None
+                results["age_distribution"], root, "age_distribution", checkpoint, **SMALL
             )
         ]
     )
@@ -211,7 +223,7 @@ def inflow(spark, feed, places, mode, sequence):
     (query,) = run(
         [
             pipeline.start_result(
-                results["user_inflow"], root, "user_inflow", checkpoint, mode, every=None
+                results["user_inflow"], root, "user_inflow", checkpoint, mode, **SMALL
             )
         ]
     )
@@ -250,7 +262,7 @@ def test_parsed_table_in_between(spark, feed, places, tmp_path):
     users = pipeline.stream_users(spark, parsed, max_files=1)
     assert users.dtypes == spark.read.parquet(parsed).dtypes
     results = analytics.all_analytics(users, as_of=F.current_timestamp())
-    run(pipeline.start_all(results, root, checkpoint, every=None))
+    run(pipeline.start_all(results, root, checkpoint, **SMALL))
     for name in ("gender_distribution", "country_distribution", "avg_age_by_country"):
         got = as_set(tables.table(spark, root, name), *COLUMNS[name])
         assert got == batch_answers(feed)[name], name

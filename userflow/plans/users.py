@@ -114,7 +114,8 @@ def land_in_two(spark: SparkSession, sf_dir: str, path: str):
     edge = load(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
     middle = wall_time(edge[0] + (edge[1] - edge[0]) / 2)
     users = user_records(spark, sf_dir)
-    for half in (F.col("ts") < middle, F.col("ts") >= middle):
+    early = F.col("ts") < middle
+    for half in (early, F.coalesce(~early, F.lit(True))):
         messages = encode_topic(flat_records(users.where(half)), F.col("id"))
         as_topic_rows(messages).write.mode("append").parquet(path)
         yield path
