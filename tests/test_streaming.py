@@ -136,7 +136,7 @@ def test_queries_that_cannot_all_start_leave_none_running(spark, feed, places):
     with pytest.raises(Exception):
         pipeline.start_all({n: broken[n] for n in order}, *places, every="1 second")
     assert set(q.id for q in spark.streams.active) == before
-    with pytest.raises(ValueError, match="inflow"):
+    with pytest.raises(ValueError, match="bounded"):
         pipeline.run_pipeline(feed.stream(), *places, mode="append")
 
 
@@ -192,6 +192,26 @@ def test_age_counts_per_batch_never_merge(spark, feed, places):
     assert sum(r["count"] for r in rows) == 12
 
 
+def test_bounded_modes_free_the_state_of_past_batches(spark, feed, places):
+    root, checkpoint = places
+    for _ in range(5):
+        feed.land([{"age": 20}, {"age": 20}, {"age": 70}])
+    queries = run(pipeline.run_pipeline(
+        feed.stream(), root, checkpoint, "bounded", per_batch=True,
+        watermark="0 seconds", window="1 second", **SMALL,
+    ))
+    by_name = {q.name: q for q in queries}
+    for name in ("user_inflow", "age_distribution"):
+        states = [p["stateOperators"][0] for p in by_name[name].recentProgress]
+        assert max(s["numRowsTotal"] for s in states) <= 4, name
+        assert sum(s["numRowsDroppedByWatermark"] for s in states) == 0
+    ages = tables.table(spark, root, "age_distribution").collect()
+    assert sorted((r.age_group, r["count"]) for r in ages) == [("18-24", 2)] * 5 + [("65+", 1)] * 5
+    assert len({r.timestamp for r in ages}) == 5
+    genders = tables.table(spark, root, "gender_distribution").collect()
+    assert [r["count"] for r in genders] == [15]
+
+
 def test_a_replayed_batch_leaves_one_copy(spark, tmp_path):
     root = str(tmp_path)
     batch = spark.createDataFrame([("m", 1), ("f", 2)], "gender string, count long")

@@ -20,11 +20,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
     analyse = jobs.add_parser("analyse", help="topic to result tables")
     analyse.add_argument("--root", required=True, help="folder of the result tables")
-    analyse.add_argument("--mode", default="complete", choices=["complete", "update"])
+    analyse.add_argument("--mode", default="complete", choices=["complete", "update", "bounded"])
     analyse.add_argument("--every", default=pipeline.EVERY)
     analyse.add_argument("--parse", default="normalized", choices=["normalized", "declared"])
     analyse.add_argument("--skip-bad", action="store_true")
     analyse.add_argument("--by-event-time", action="store_true")
+    analyse.add_argument("--per-batch", action="store_true", help="age counts per batch")
     analyse.add_argument("--shared-scan", action="store_true")
     analyse.add_argument("--min-partitions", type=int)
     analyse.add_argument("--max-per-trigger", type=int)
@@ -54,6 +55,13 @@ def main(argv: list[str] | None = None) -> None:
             min_partitions=args.min_partitions,
             max_per_trigger=args.max_per_trigger,
         )
+        parsing = {
+            "parse": args.parse,
+            "skip_bad": args.skip_bad,
+            "by_event_time": args.by_event_time,
+        }
+        if args.per_batch:
+            parsing["per_batch"] = True
         queries = pipeline.run_pipeline(
             messages,
             args.root,
@@ -61,9 +69,7 @@ def main(argv: list[str] | None = None) -> None:
             args.mode,
             args.every,
             args.shared_scan,
-            parse=args.parse,
-            skip_bad=args.skip_bad,
-            by_event_time=args.by_event_time,
+            **parsing,
         )
     else:
         lines = topic.stream_record_files(spark, args.records)

@@ -35,16 +35,20 @@ def age_distribution(
     per_batch: bool = False,
     batch_col: str = "processed_timestamp",
     unknown_label: str | None = None,
+    watermark: str | None = None,
     as_of: Column | None = None,
 ) -> DataFrame:
     """Users per age bracket.
 
     With ``per_batch`` the batch time is a second key and becomes ``timestamp``:
-    counts of different micro-batches never merge, so state and result grow by up
-    to seven rows per batch. The default keeps running totals.
+    counts of different micro-batches never merge, so the result grows by up to
+    seven rows per batch. So does the state, unless a watermark closes past batches
+    in ``append`` or ``update`` mode. The default keeps running totals.
     """
     bracket = age_bracket("age", unknown_label).alias("age_group")
     if per_batch:
+        if users.isStreaming and watermark is not None:
+            users = users.withWatermark(batch_col, watermark)
         return users.groupBy(bracket, F.col(batch_col).alias("timestamp")).agg(
             F.sum(F.lit(1)).alias("count")
         ).select("age_group", "count", "timestamp")
@@ -95,14 +99,18 @@ def all_analytics(
     users: DataFrame,
     per_batch: bool = False,
     time_col: str = "processed_timestamp",
+    window: str = "1 minute",
+    watermark: str | None = "1 minute",
     as_of: Column | None = None,
 ) -> dict[str, DataFrame]:
     """The five results by name, each a lazy frame over the same users."""
     return {
         "gender_distribution": gender_distribution(users, as_of),
-        "age_distribution": age_distribution(users, per_batch, as_of=as_of),
+        "age_distribution": age_distribution(
+            users, per_batch, watermark=watermark, as_of=as_of
+        ),
         "country_distribution": country_distribution(users, as_of),
-        "user_inflow": user_inflow(users, time_col, as_of=as_of),
+        "user_inflow": user_inflow(users, time_col, window, watermark, as_of),
         "avg_age_by_country": avg_age_by_country(users, as_of),
     }
 

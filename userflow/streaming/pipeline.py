@@ -5,8 +5,8 @@ Output modes and their sinks:
 * ``complete`` (default): every trigger replaces the whole result table. The
   watermark neither drops late rows nor frees state here.
 * ``update``: changed rows are upserted into the result table by key.
-* ``append``: closed windows only, so inflow only; Spark's file sink adds them
-  exactly once. Such a table belongs to its stream: readers go by the sink's log and
+* ``append``: final rows only, so closed windows of inflow, or age counts of past
+  batches; Spark's file sink adds them exactly once. Such a table belongs to its stream: readers go by the sink's log and
   do not see rows that ``tables.append`` adds.
 
 Each query has its own checkpoint, so a restart resumes its counts.
@@ -14,7 +14,7 @@ Each query has its own checkpoint, so a restart resumes its counts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
@@ -44,12 +44,15 @@ def topic_results(
     skip_bad: bool = False,
     per_batch: bool = False,
     by_event_time: bool = False,
+    window: str = "1 minute",
+    watermark: str | None = "1 minute",
     as_of: Column | None = None,
 ) -> dict[str, DataFrame]:
     """The five results of a topic; each decodes only the fields it uses.
 
     Inflow counts arrivals by processing time, or with ``by_event_time`` by the
     time written in the record. ``per_batch`` keys the age counts by micro-batch.
+    The watermark applies to both.
     """
     now = F.current_timestamp() if as_of is None else as_of
 
@@ -68,13 +71,13 @@ def topic_results(
             users("gender_distribution"), now
         ),
         "age_distribution": analytics.age_distribution(
-            users("age_distribution"), per_batch, as_of=now
+            users("age_distribution"), per_batch, watermark=watermark, as_of=now
         ),
         "country_distribution": analytics.country_distribution(
             users("country_distribution"), now
         ),
         "user_inflow": analytics.user_inflow(
-            users("user_inflow"), inflow_time, as_of=now
+            users("user_inflow"), inflow_time, window, watermark, now
         ),
         "avg_age_by_country": analytics.avg_age_by_country(
             users("avg_age_by_country"), now
@@ -179,19 +182,20 @@ def start_all(
     results: dict[str, DataFrame],
     root: str,
     checkpoint: str,
-    mode: str = "complete",
+    mode: str | Mapping[str, str] = "complete",
     every: str | None = EVERY,
     keys: dict[str, list[str]] | None = None,
     state_partitions: int = STATE_PARTITIONS,
 ) -> list[StreamingQuery]:
     """Start one query per result and hand back all of them, or none if one cannot
-    start."""
+    start. ``mode`` is one for all, or a mapping by name; complete where unnamed."""
+    modes = mode if isinstance(mode, Mapping) else dict.fromkeys(results, mode)
     started: list[StreamingQuery] = []
     try:
         for name, result in results.items():
             started.append(
                 start_result(
-                    result, root, name, checkpoint, mode, every,
+                    result, root, name, checkpoint, modes.get(name, "complete"), every,
                     keys=(keys or {}).get(name), state_partitions=state_partitions,
                 )
             )
@@ -206,7 +210,7 @@ def run_pipeline(
     messages: DataFrame,
     root: str,
     checkpoint: str,
-    mode: str = "complete",
+    mode: str | Mapping[str, str] = "complete",
     every: str | None = EVERY,
     shared_scan: bool = False,
     state_partitions: int = STATE_PARTITIONS,
@@ -217,9 +221,16 @@ def run_pipeline(
     Five queries scan the topic five times and advance on their own. With
     ``shared_scan`` one query scans it once and writes all five tables from one
     batch, so the tables agree with each other.
+
+    ``mode="bounded"`` appends what becomes final, so that watermarks free the state
+    that would grow for ever (inflow windows, age counts per batch), and keeps the
+    other results, which have few keys, in complete mode.
     """
     if mode == "append":
-        raise ValueError("only inflow has windows that close: start_result it alone")
+        raise ValueError("not all results have rows that become final: use 'bounded'")
+    if mode == "bounded":
+        growing = ["user_inflow", *(["age_distribution"] if parsing.get("per_batch") else [])]
+        mode = dict.fromkeys(growing, "append")
     if not shared_scan:
         results = topic_results(messages, **parsing)
         keys = {"age_distribution": BATCH_KEYS} if parsing.get("per_batch") else None
