@@ -167,6 +167,7 @@ _BODIES = {
        where window_end <= (select max(ts) from u) - interval 1 minute""",
     "stream_inflow_update": INFLOW,
     "stream_age_per_batch": BARS,
+    "stream_age_bounded": BARS,
     "stream_all_results": LONG,
     "stream_shared_scan": LONG,
     "stream_parsed_table": GENDERS,

@@ -32,11 +32,11 @@ def _run(spark: SparkSession, sf_dir: str, start) -> str:
     return root
 
 
-def _one(name: str, mode: str = "complete", per_batch: bool = False):
+def _one(name: str, mode: str = "complete", **parsing):
     """Start the named result only."""
 
     def start(messages: DataFrame, root: str, checkpoint: str):
-        results = pipeline.topic_results(messages, per_batch=per_batch, by_event_time=True)
+        results = pipeline.topic_results(messages, by_event_time=True, **parsing)
         return [
             pipeline.start_result(results[name], root, name, checkpoint, mode, every=None)
         ]
@@ -80,6 +80,13 @@ def stream_age_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.bracket_bars(tables.table(spark, root, "age_distribution"))
 
 
+def stream_age_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, but past batches are appended and leave the state."""
+    start = _one("age_distribution", "append", per_batch=True, watermark="0 seconds")
+    root = _run(spark, sf_dir, start)
+    return views.bracket_bars(tables.table(spark, root, "age_distribution"))
+
+
 def _long(spark: SparkSession, root: str) -> DataFrame:
     """The five result tables as one long frame."""
     keys = {
@@ -175,6 +182,7 @@ QUERIES = {
         stream_inflow_append,
         stream_inflow_update,
         stream_age_per_batch,
+        stream_age_bounded,
         stream_all_results,
         stream_shared_scan,
         stream_parsed_table,
