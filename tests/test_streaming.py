@@ -168,6 +168,28 @@ def test_dashboard_reads_the_result_tables(spark, feed, places):
     assert starts == [55, 56, 57, 58, 59]
 
 
+def test_shared_scan_with_bounded_state(spark, feed, places):
+    root, checkpoint = places
+    for step in range(2):
+        feed.land(people(60, start=60 * step) + ["not json"])
+        queries = run(pipeline.run_pipeline(
+            feed.stream(), root, checkpoint, "bounded", shared_scan=True, by_event_time=True,
+            watermark="0 seconds", **SMALL,
+        ))
+        assert [q.name for q in queries] == ["combined", "user_inflow"]
+        answers = batch_answers(feed)
+        inflow = answers.pop("user_inflow")
+        for name, answer in answers.items():
+            assert as_set(tables.table(spark, root, name), *COLUMNS[name]) == answer, name
+        if step == 0:
+            last = max(inflow)
+            closed = as_set(tables.table(spark, root, "user_inflow"), *COLUMNS["user_inflow"])
+            assert closed == inflow - {last}
+    # The second feed repeats the minutes of the first: all but the last are over.
+    rows = tables.table(spark, root, "user_inflow").collect()
+    assert len(rows) == 59
+
+
 def test_processing_time_is_one_window_per_batch(spark, feed, places):
     feed.land(people(30))
     run(pipeline.run_pipeline(feed.stream(), *places, **SMALL))
@@ -322,3 +344,5 @@ def test_shared_scan_needs_complete_mode(spark, feed, places):
     feed.land(people(1))
     with pytest.raises(ValueError):
         pipeline.run_pipeline(feed.stream(), *places, mode="update", shared_scan=True)
+    with pytest.raises(ValueError):
+        pipeline.run_pipeline(feed.stream(), *places, shared_scan=True, per_batch=True)

@@ -116,25 +116,25 @@ def all_analytics(
 
 
 def analytics_in_one_pass(
-    users: DataFrame, time_col: str = "processed_timestamp"
+    users: DataFrame, time_col: str | None = "processed_timestamp"
 ) -> DataFrame:
     """All results from a single scan, as one long frame keyed by ``result``.
 
     Five separate results read and parse the source five times. Grouping sets do
     it once: every row is counted under its gender, bracket, country and minute
     before the shuffle, which then carries one row per key and map task.
-    ``pick_result`` gives the single results back.
+    ``pick_result`` gives the single results back. Without a ``time_col`` there is no
+    inflow among them.
     """
-    minute = F.date_trunc("minute", F.col(time_col)).cast(users.schema[time_col].dataType)
-    keys = ("gender", "age_group", "country", "window_start")
+    keys = ["gender", "age_group", "country"]
+    columns = [F.col("gender"), age_bracket("age").alias("age_group"), F.col("country")]
+    if time_col is not None:
+        kind = users.schema[time_col].dataType
+        minute = F.date_trunc("minute", F.col(time_col)).cast(kind)
+        keys.append("window_start")
+        columns.append(minute.alias("window_start"))
     counted = (
-        users.select(
-            "gender",
-            age_bracket("age").alias("age_group"),
-            "country",
-            minute.alias("window_start"),
-            "age",
-        )
+        users.select(*columns, "age")
         .groupingSets([[F.col(k)] for k in keys], *(F.col(k) for k in keys))
         .agg(
             _rows(),
@@ -148,17 +148,15 @@ def analytics_in_one_pass(
         .when(F.col("no_country") == 0, "avg_age_by_country")
         .otherwise("user_inflow")
     )
-    # A row without a time belongs to no window but counts everywhere else.
-    timeless = (F.col("no_window_start") == 0) & F.col("window_start").isNull()
-    return counted.where(~timeless).select(
-        result.alias("result"),
-        "gender",
-        "age_group",
-        "country",
-        "window_start",
-        (F.col("window_start") + F.expr("interval 1 minute")).alias("window_end"),
-        "avg_age",
-        "count",
+    windows = []
+    if time_col is not None:
+        # A row without a time belongs to no window but counts everywhere else.
+        timeless = (F.col("no_window_start") == 0) & F.col("window_start").isNull()
+        counted = counted.where(~timeless)
+        end = F.col("window_start") + F.expr("interval 1 minute")
+        windows = [F.col("window_start"), end.alias("window_end")]
+    return counted.select(
+        result.alias("result"), *keys[:3], *windows, "avg_age", "count"
     )
 
 

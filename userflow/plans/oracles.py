@@ -62,14 +62,23 @@ DAMAGED = "number % 17 = 0 or number % 19 = 0 or number % 37 = 0"
 CHANGED = "age >= 65 or country is null"
 RAW_USERS = """select id, gender, age, country,
        case when number % 7 <> 0 then 'NA' end as nationality from u"""
-LONG = f"""select 'gender_distribution' as result, gender as series, count(*) as count,
+CLOSED = f"""select * from ({INFLOW})
+       where window_end <= (select max(ts) from u) - interval 1 minute"""
+
+
+def _long(inflow: str) -> str:
+    """All results in one list; they share the columns ``series``, ``count``, ``avg_age``."""
+    return f"""select 'gender_distribution' as result, gender as series, count(*) as count,
        cast(null as double) as avg_age from u group by gender
 union all select 'age_distribution', {BRACKET}, count(*), null from u group by 2
 union all select 'country_distribution', country, count(*), null from u group by country
-union all select 'user_inflow', strftime({MINUTE}, '%Y-%m-%d %H:%M:%S'), count(*), null
-       from u group by 2
+union all select 'user_inflow', strftime(window_start, '%Y-%m-%d %H:%M:%S'), count, null
+       from ({inflow})
 union all select 'avg_age_by_country', country, count(*), avg(age) from u group by country"""
 
+
+LONG = _long(INFLOW)
+
 ONE_PASS = f"""select 'gender_distribution' as result, gender,
        cast(null as varchar) as age_group, cast(null as varchar) as country,
        cast(null as timestamp) as window_start, cast(null as timestamp) as window_end,
@@ -163,13 +172,13 @@ _BODIES = {
                count(*) as count from u group by 1, 2)""",
     "stream_avg_age": MEANS,
     "stream_inflow_complete": INFLOW,
-    "stream_inflow_append": f"""select * from ({INFLOW})
-       where window_end <= (select max(ts) from u) - interval 1 minute""",
+    "stream_inflow_append": CLOSED,
     "stream_inflow_update": INFLOW,
     "stream_age_per_batch": BARS,
     "stream_age_bounded": BARS,
     "stream_all_results": LONG,
     "stream_shared_scan": LONG,
+    "stream_shared_bounded": _long(CLOSED),
     "stream_parsed_table": GENDERS,
     "backfill_results": LONG,
     "ingest_raw_records": RAW_USERS,

@@ -110,26 +110,30 @@ def _long(spark: SparkSession, root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def stream_all_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five queries side by side."""
+def _all(**how):
+    """Start the whole pipeline."""
 
     def start(messages: DataFrame, root: str, checkpoint: str):
         return pipeline.run_pipeline(
-            messages, root, checkpoint, every=None, by_event_time=True
+            messages, root, checkpoint, every=None, by_event_time=True, **how
         )
 
-    return _long(spark, _run(spark, sf_dir, start))
+    return start
+
+
+def stream_all_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five queries side by side."""
+    return _long(spark, _run(spark, sf_dir, _all()))
 
 
 def stream_shared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query that scans the topic once for all five results."""
+    return _long(spark, _run(spark, sf_dir, _all(shared_scan=True)))
 
-    def start(messages: DataFrame, root: str, checkpoint: str):
-        return pipeline.run_pipeline(
-            messages, root, checkpoint, every=None, shared_scan=True, by_event_time=True
-        )
 
-    return _long(spark, _run(spark, sf_dir, start))
+def stream_shared_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query for the four small results, and closed windows of inflow."""
+    return _long(spark, _run(spark, sf_dir, _all(shared_scan=True, mode="bounded")))
 
 
 def backfill_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,6 +189,7 @@ QUERIES = {
         stream_age_bounded,
         stream_all_results,
         stream_shared_scan,
+        stream_shared_bounded,
         stream_parsed_table,
         backfill_results,
         ingest_raw_records,

@@ -118,12 +118,15 @@ def upserting(spark: SparkSession, root: str, name: str, keys: list[str]) -> Bat
     return write
 
 
-def splitting(spark: SparkSession, root: str) -> BatchSink:
-    """Each batch of the combined result replaces all five tables.
+def splitting(
+    spark: SparkSession, root: str, names: Iterable[str] = RESULTS
+) -> BatchSink:
+    """Each batch of the combined result replaces the tables of all its results.
 
-    The batch is written once; the five tables are made from what was written, by
-    five small jobs side by side.
+    The batch is written once; the tables are made from what was written, by small
+    jobs side by side.
     """
+    names = tuple(names)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not tables.replace(tables.with_lineage(batch, batch_id), root, "combined"):
@@ -133,8 +136,8 @@ def splitting(spark: SparkSession, root: str) -> BatchSink:
         def replace(name: str) -> bool:
             return tables.replace(analytics.pick_result(combined, name), root, name)
 
-        with ThreadPoolExecutor(len(RESULTS)) as pool:
-            list(pool.map(replace, RESULTS))
+        with ThreadPoolExecutor(len(names)) as pool:
+            list(pool.map(replace, names))
 
     return write
 
@@ -184,7 +187,8 @@ def start_all(
     checkpoint: str,
     mode: str | Mapping[str, str] = "complete",
     every: str | None = EVERY,
-    keys: dict[str, list[str]] | None = None,
+    keys: Mapping[str, list[str]] | None = None,
+    sinks: Mapping[str, BatchSink] | None = None,
     state_partitions: int = STATE_PARTITIONS,
 ) -> list[StreamingQuery]:
     """Start one query per result and hand back all of them, or none if one cannot
@@ -196,7 +200,8 @@ def start_all(
             started.append(
                 start_result(
                     result, root, name, checkpoint, modes.get(name, "complete"), every,
-                    keys=(keys or {}).get(name), state_partitions=state_partitions,
+                    keys=(keys or {}).get(name), sink=(sinks or {}).get(name),
+                    state_partitions=state_partitions,
                 )
             )
     except Exception:
@@ -219,31 +224,43 @@ def run_pipeline(
     """Topic to result tables: read, parse, aggregate, write. Returns the queries.
 
     Five queries scan the topic five times and advance on their own. With
-    ``shared_scan`` one query scans it once and writes all five tables from one
+    ``shared_scan`` one query scans and parses it once and writes all tables from one
     batch, so the tables agree with each other.
 
     ``mode="bounded"`` appends what becomes final, so that watermarks free the state
     that would grow for ever (inflow windows, age counts per batch), and keeps the
-    other results, which have few keys, in complete mode.
+    other results, which have few keys, in complete mode. With a shared scan, inflow
+    is then a second query, which decodes no more than a time.
     """
+    spark, bounded = messages.sparkSession, mode == "bounded"
+    per_batch = parsing.get("per_batch", False)
     if mode == "append":
         raise ValueError("not all results have rows that become final: use 'bounded'")
-    if mode == "bounded":
-        growing = ["user_inflow", *(["age_distribution"] if parsing.get("per_batch") else [])]
-        mode = dict.fromkeys(growing, "append")
     if not shared_scan:
         results = topic_results(messages, **parsing)
-        keys = {"age_distribution": BATCH_KEYS} if parsing.get("per_batch") else None
-        return start_all(results, root, checkpoint, mode, every, keys, state_partitions)
-    if mode != "complete":
-        raise ValueError("a shared scan replaces whole tables: use complete mode")
-    combined = combined_results(messages, **parsing)
-    return [
-        start_result(
-            combined, root, "combined", checkpoint, mode, every,
-            sink=splitting(messages.sparkSession, root), state_partitions=state_partitions,
+        growing = ["user_inflow", "age_distribution"] if per_batch else ["user_inflow"]
+        modes = dict.fromkeys(growing, "append") if bounded else mode
+        keys = {"age_distribution": BATCH_KEYS} if per_batch else None
+        return start_all(
+            results, root, checkpoint, modes, every, keys, state_partitions=state_partitions
         )
-    ]
+    if per_batch or (mode != "complete" and not bounded):
+        raise ValueError("a shared scan replaces whole tables of totals")
+    shared = {k: parsing[k] for k in ("parse", "skip_bad", "as_of") if k in parsing}
+    if bounded:
+        results = {
+            "combined": combined_results(messages, windows=False, **shared),
+            "user_inflow": topic_results(messages, **parsing)["user_inflow"],
+        }
+        names = [name for name in RESULTS if name != "user_inflow"]
+    else:
+        by_event_time = parsing.get("by_event_time", False)
+        combined = combined_results(messages, by_event_time=by_event_time, **shared)
+        results, names = {"combined": combined}, RESULTS
+    return start_all(
+        results, root, checkpoint, {"user_inflow": "append"}, every,
+        sinks={"combined": splitting(spark, root, names)}, state_partitions=state_partitions,
+    )
 
 
 def backfill(messages: DataFrame, root: str, batch_id: int = 0, **parsing) -> None:
@@ -257,19 +274,21 @@ def combined_results(
     parse: str = "normalized",
     skip_bad: bool = False,
     by_event_time: bool = False,
+    windows: bool = True,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """All results of a topic from one scan and one parse."""
-    fields = ("gender", "age", "country")
-    if by_event_time:
-        fields = (*fields, "timestamp")
+    """All results of a topic from one scan and one parse; without ``windows`` all but
+    the inflow."""
+    timed = by_event_time and windows
+    fields = ("gender", "age", "country", *(["timestamp"] if timed else []))
     users = parse_users(messages, parse, fields, skip_bad)
-    if by_event_time:
+    if timed:
         users = with_event_time(users)
     users = stamp(users, as_of)
-    time_col = "timestamp" if by_event_time else "processed_timestamp"
+    time_col = "timestamp" if timed else "processed_timestamp"
     now = F.current_timestamp() if as_of is None else as_of
-    return analytics.analytics_in_one_pass(users, time_col).withColumn("timestamp", now)
+    combined = analytics.analytics_in_one_pass(users, time_col if windows else None)
+    return combined.withColumn("timestamp", now)
 
 
 # -- a parsed table in between ---------------------------------------------------
