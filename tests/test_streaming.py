@@ -346,3 +346,5 @@ def test_shared_scan_needs_complete_mode(spark, feed, places):
         pipeline.run_pipeline(feed.stream(), *places, mode="update", shared_scan=True)
     with pytest.raises(ValueError):
         pipeline.run_pipeline(feed.stream(), *places, shared_scan=True, per_batch=True)
+    with pytest.raises(ValueError, match="per minute"):
+        pipeline.run_pipeline(feed.stream(), *places, shared_scan=True, window="1 hour")

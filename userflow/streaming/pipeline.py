@@ -246,6 +246,8 @@ def run_pipeline(
         )
     if per_batch or (mode != "complete" and not bounded):
         raise ValueError("a shared scan replaces whole tables of totals")
+    if "window" in parsing and not bounded:
+        raise ValueError("a shared scan counts inflow per minute")
     shared = {k: parsing[k] for k in ("parse", "skip_bad", "as_of") if k in parsing}
     if bounded:
         results = {
