@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from userflow.llm import near_dups
+from userflow.llm import decontaminate, near_dups, quality, toxicity
+from userflow.llm.labelled import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +17,36 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def _judged(docs: DataFrame, score: Column, out: Column) -> DataFrame:
+    scored = docs.select("doc_id", out.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), ~out)
+    return _judged(docs, toxicity.score("text", model), out)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), ~out)
+    return _judged(docs, quality.score("text", model), out)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return decontaminate.judged(found).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(listed, 256).alias("items_sha256"), "contaminated"
+    )
+
+
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
+    "op10_decontamination": op10_decontamination,
 }

@@ -32,16 +32,12 @@ def seeds(n: int, salt: int) -> np.ndarray:
     return mix(mix(steps * np.uint64(_BASE))) | np.uint64(1)
 
 
-def _alphabet(is_word) -> tuple[np.ndarray, np.ndarray]:
-    member = np.array([is_word(c) for c in range(256)])
-    values = seeds(256, 7)
-    values[65:91] = values[97:123]
-    return member, values
+_FOLDED = seeds(256, 7)  # a number for each byte
+_FOLDED[65:91] = _FOLDED[97:123]
 
-
-# Everything but ASCII white space, and everything but ASCII that is no letter or digit.
-SPACED = _alphabet(lambda c: c != 0x20 and not 0x09 <= c <= 0x0D)
-ALNUM = _alphabet(lambda c: c >= 128 or chr(c).isalnum())
+# Word bytes: all but ASCII white space, and all but ASCII that is no letter or digit.
+SPACED = np.array([c != 0x20 and not 0x09 <= c <= 0x0D for c in range(256)])
+ALNUM = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 
 _powers = np.empty(0, np.uint64)
 _inverses = np.empty(0, np.uint64)
@@ -95,30 +91,41 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[Slice]:
         row = stop
 
 
-def words(part: Slice, alphabet=SPACED) -> Words:
-    member, values = alphabet
-    data, offsets = part.data, part.offsets
-    n = len(data)
-    if n == 0:
-        return Words(np.empty(0, np.uint64), np.zeros(len(offsets), np.int64))
-    inside = member[data]
-    before = np.empty(n, bool)
-    before[0] = False
+def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true values; a run ends where a text does."""
+    n = len(inside)
+    before = np.zeros(n, bool)
     before[1:] = inside[:-1]
-    after = np.empty(n, bool)
-    after[-1] = False
+    after = np.zeros(n, bool)
     after[:-1] = inside[1:]
-    cuts = offsets[1:-1]
+    cuts = bounds[1:-1]
     before[cuts[cuts < n]] = False
     after[cuts[cuts > 0] - 1] = False
-    starts = np.flatnonzero(inside & ~before)
-    ends = np.flatnonzero(inside & ~after) + 1
-    powers, inverses = _power_tables(n + 1)
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(values[data] * powers[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * inverses[starts])
-    return Words(hashes, np.searchsorted(starts, offsets))
+    return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+
+
+def placed(part: Slice, alphabet: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of the words, and the bounds of the texts among them."""
+    starts, ends = runs(alphabet[part.data], part.offsets)
+    return starts, ends, np.searchsorted(starts, part.offsets)
+
+
+class Hasher:
+    """Hashes of byte ranges of a slice, A-Z as a-z, out of prefix sums."""
+
+    def __init__(self, part: Slice):
+        n = len(part.data)
+        powers, self.inverses = _power_tables(n + 1)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_FOLDED[part.data] * powers[:n], out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverses[starts] + np.uint64(salt))
+
+
+def words(part: Slice, alphabet: np.ndarray = SPACED) -> Words:
+    starts, ends, bounds = placed(part, alphabet)
+    return Words(Hasher(part).of(starts, ends), bounds)
 
 
 def windows(found: Words, n: int) -> Words:
