@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import decontaminate, near_dups, quality, toxicity
+from userflow.llm import decontaminate, lengths, near_dups, packing, quality, tokens, toxicity
 from userflow.llm.labelled import held_out
+from userflow.llm.tables import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,14 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), tokens.public())
+    digests = pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+    return packing.with_step_groups(stored(digests, "pieces"))
+
+
 def _judged(docs: DataFrame, score: Column, out: Column) -> DataFrame:
     scored = docs.select("doc_id", out.alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
@@ -36,6 +45,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(docs, quality.score("text", model), out)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = lengths.histogram(_table(spark, sf_dir, "documents"), tokens.public())
+    return lengths.with_suffix_sums(counts)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
@@ -46,7 +60,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
+    "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
