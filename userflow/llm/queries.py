@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import decontaminate, lengths, near_dups, packing, quality, tokens, toxicity
+from userflow.llm import decontaminate, lengths, multi_index, near_dups, packing, quality, tokens, toxicity
 from userflow.llm.labelled import held_out
 from userflow.llm.tables import stored
 
@@ -45,6 +45,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(docs, quality.score("text", model), out)
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(_table(spark, sf_dir, "embeddings"), similarity=0.98)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = lengths.histogram(_table(spark, sf_dir, "documents"), tokens.public())
     return lengths.with_suffix_sums(counts)
@@ -63,6 +67,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
