@@ -5,8 +5,10 @@ member stands for it. Each class gets MinHash samples. The first of them make ba
 and classes that share a key are candidates. All of them are folded into an odd sketch:
 sample i flips one bit of a small bitmap, so that equal samples cancel in the XOR of two
 bitmaps and its population count tells how many samples differ, most precisely at high
-similarity. Candidates whose count is too high for the threshold go without a look at
-their sets; the others are decided on their full sets.
+similarity. A second bitmap holds the parity of the whole set; its count is never more
+than the shingles by which two sets differ, so that what it refutes is refuted for sure.
+Candidates whose counts are too high for the threshold go without a look at their sets;
+the others are decided on their full sets.
 
 No pair list grows with the square of a bucket. First every class is compared with one
 hub of each of its buckets. Links found so join classes. Then only pairs of different
@@ -26,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from userflow.llm import graph, words
+from userflow.llm import bloom, graph, words
 from userflow.llm.tables import stored
 
 ROWS = 4  # samples that make one band key
 SAMPLES = 192  # samples folded into a sketch
 SKETCH_WORDS = 4  # 64-bit words of a sketch
+PARITY_WORDS = 16  # 64-bit words of the whole set's parity
+ID_BITS = 1 << 27  # of the filter that finds the texts to read again, at most
 MISS = 1e-7  # chance that a pair at the threshold shares no band
 SIGMAS = 4.7  # allowance of the sketch's estimate below the threshold
 
@@ -65,6 +69,15 @@ def _signed(found: words.Words, bands: int, samples: int) -> tuple[np.ndarray, n
     return keys, sketch
 
 
+def _parities(found: words.Words) -> np.ndarray:
+    """Of each text's set: a bit per shingle, flipped by its hash."""
+    rows, bits = len(found.bounds) - 1, 64 * PARITY_WORDS
+    text = np.repeat(np.arange(rows), np.diff(found.bounds))
+    place = (words.mix(found.hashes) >> np.uint64(54)).astype(np.int64)
+    odd = (np.bincount(text * bits + place, minlength=rows * bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.uint64)
+
+
 def _signatures(shingle: int, bands: int, samples: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,8 +100,9 @@ def _signatures(shingle: int, bands: int, samples: int):
                         pa.array(marks, pa.binary()),
                         words.lists(keys.reshape(-1), width * bands),
                         words.lists(sketch.reshape(-1), width * SKETCH_WORDS),
+                        words.lists(_parities(kept), width * PARITY_WORDS),
                     ],
-                    ["doc_id", "n_shingles", "mark", "bands", "sketch"],
+                    ["doc_id", "n_shingles", "mark", "bands", "sketch", "parity"],
                 )
 
     return run
@@ -96,8 +110,8 @@ def _signatures(shingle: int, bands: int, samples: int):
 
 def signatures(docs: DataFrame, shingle: int, bands: int, samples: int) -> DataFrame:
     """Per text of docs (doc_id, text): n_shingles, mark (equal for equal sets, null for
-    the empty one), bands (band keys) and sketch (odd sketch)."""
-    schema = "doc_id long, n_shingles long, mark binary, bands array<long>, sketch array<long>"
+    the empty one), bands (band keys), sketch (odd sketch of the samples) and parity."""
+    schema = "doc_id long, n_shingles long, mark binary, bands array<long>, sketch array<long>, parity array<long>"
     return docs.mapInArrow(_signatures(shingle, bands, samples), schema)
 
 
@@ -115,8 +129,11 @@ def _sets(shingle: int):
 def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets meet the threshold. Only their texts are read
     again; one side of a pair carries its set to the other."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    items = stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(shingle), "doc_id long, items array<long>"), "sets")
+    ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
+    # Most texts are in no pair: a filter of bounded size keeps them out of the shuffle.
+    few = bloom.build(ids, "doc_id", bloom.bits_for(ids.count(), 16, ID_BITS), 2)
+    texts = docs.where(few.contains(F.col("doc_id"))).join(ids, "doc_id", "left_semi")
+    items = stored(texts.mapInArrow(_sets(shingle), "doc_id long, items array<long>"), "sets")
     left = items.select(F.col("doc_id").alias("a"), F.col("items").alias("left"))
     right = items.select(F.col("doc_id").alias("b"), F.col("items").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
@@ -124,10 +141,21 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
     return pairs.join(left, "a").join(right, "b").where(linked).select("a", "b")
 
 
-def _plausible(flips: int):
-    """Whether two sketches x and y differ in few enough bits."""
-    words_apart = [F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(SKETCH_WORDS)]
-    return sum(words_apart[1:], words_apart[0]) <= flips
+def _apart(x: str, y: str, size: int):
+    """In how many bits two bitmaps differ."""
+    counts = [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(size)]
+    return sum(counts[1:], counts[0])
+
+
+def _plausible(flips: int, percent: int):
+    """Whether texts x and y may be linked: few flips of the samples, and no more than
+    the threshold allows of the sets. d shingles apart, n of both sets, and a similarity
+    of (n - d) / (n + d)."""
+    sets_apart = _apart("x.parity", "y.parity", PARITY_WORDS)
+    both = F.col("x.n_shingles") + F.col("y.n_shingles")
+    return (_apart("x.sketch", "y.sketch", SKETCH_WORDS) <= flips) & (
+        (100 + percent) * sets_apart <= (100 - percent) * both
+    )
 
 
 def near_duplicates(
@@ -153,7 +181,11 @@ def near_duplicates(
     classes = stored(
         rows.where("mark is not null and doc_id is not null")
         .groupBy("mark")
-        .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
+        .agg(
+            F.min("doc_id").alias("node"),
+            F.first("bands").alias("bands"),
+            F.struct(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")).alias("form"),
+        ),
         "classes",
     )
     keyed = classes.select("node", F.explode("bands").alias("key"))
@@ -165,14 +197,15 @@ def near_duplicates(
     )
     members = stored(keyed.join(buckets, "key"), "members")
     flips = most_flips(percent, samples)
-    sketches = classes.select("node", "sketch")
+    forms = classes.select("node", "form")
+    plausible = _plausible(flips, percent)
 
     def of(side: str, name: str) -> DataFrame:
-        return sketches.select(F.col("node").alias(side), F.col("sketch").alias(name))
+        return forms.select(F.col("node").alias(side), F.col("form").alias(name))
 
     stars = (
         members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-        .join(of("a", "x"), "a").join(of("b", "y"), "b").where(_plausible(flips)).select("a", "b").distinct()
+        .join(of("a", "x"), "a").join(of("b", "y"), "b").where(plausible).select("a", "b").distinct()
     )
     links = stored(verified(stored(stars, "pairs"), docs, shingle, percent), "links")
     joined = graph.components(links)
@@ -185,14 +218,14 @@ def near_duplicates(
     ).where("parts > 1")
     mixed = stored(largest.select("key", F.col("top.component").alias("main")), "mixed")
     mixed_members = stored(
-        placed.join(mixed, "key").join(sketches, "node").select("key", "node", "component", "main", "sketch"), "mixed-members"
+        placed.join(mixed, "key").join(forms, "node").select("key", "node", "component", "main", "form"), "mixed-members"
     )
-    one = mixed_members.where("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("sketch").alias("x"))
+    one = mixed_members.where("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("form").alias("x"))
     other = mixed_members.select(
-        "key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("main"), F.col("sketch").alias("y")
+        "key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("main"), F.col("form").alias("y")
     )
     once = (F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))
-    rest = one.join(other, "key").where((F.col("ca") != F.col("cb")) & once & _plausible(flips))
+    rest = one.join(other, "key").where((F.col("ca") != F.col("cb")) & once & plausible)
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = verified(stored(rest, "pairs"), docs, shingle, percent)
     # An id of several texts ties their classes.

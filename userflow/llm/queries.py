@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import decontaminate, lengths, multi_index, near_dups, packing, quality, tokens, toxicity
+from userflow.llm import decontaminate, lengths, licenses, multi_index, near_dups, packing, quality, tokens, toxicity, url_filter, warc
 from userflow.llm.labelled import held_out
 from userflow.llm.tables import stored
 
@@ -14,10 +14,42 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The rules, and the words that put a host on the list.
+URL_RULES = (
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+)
+LISTED_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    url = F.col("url")
+    named = F.arrays_overlap(F.split(url_filter.host(url), "[.-]"), F.array(*[F.lit(w) for w in LISTED_WORDS]))
+    listed = pages.where(named).select(F.concat(url_filter.host(url), url_filter.path(url)).alias("key"))
+    return url_filter.filter_urls(pages, URL_RULES, listed)
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table has no capture times; they follow from the ids.
+    captured = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("page_id"))
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", captured.alias("captured"), "html")
+    return warc.archived(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured"
+    )
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), tokens.public())
     digests = pieces.select(
@@ -63,7 +95,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_warc": op3_warc,
+    "op4_license_scan": op4_license_scan,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
