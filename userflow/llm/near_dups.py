@@ -241,3 +241,22 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, percent: int = 80
+) -> DataFrame:
+    """The rows of ``docs`` whose document stands for its group; all columns stay. Of rows
+    that share an id one stays; all rows without an id stay."""
+    judged = near_duplicates(docs, text, doc_id, shingle, percent)
+    gone = stored(judged.where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    repeated = stored(
+        judged.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__repeated")),
+        "repeated",
+    )
+    left = docs.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
+    if repeated.isEmpty():
+        return left
+    single = left.join(repeated, F.col(doc_id) == F.col("__repeated"), "left_anti")
+    several = left.join(repeated, F.col(doc_id) == F.col("__repeated"), "left_semi")
+    return single.unionByName(several.dropDuplicates([doc_id]))

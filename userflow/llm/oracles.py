@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from userflow.llm import licenses
+from userflow.llm.queries import LISTED_WORDS, URL_RULES
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 # Components: the smallest number reachable over the links of edges(a, b).
 _REACH = """
 reach(node, other) AS (
@@ -13,32 +19,171 @@ reach(node, other) AS (
 smallest AS (SELECT node, min(other) AS component FROM reach GROUP BY node)
 """
 
+
+def _op1() -> str:
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
+    listed = ", ".join(f"'{w}'" for w in LISTED_WORDS)
+    return rf"""
+WITH parts AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+),
+rules(verdict, host, path) AS (VALUES {rules}),
+listed AS (SELECT DISTINCT host || path AS key FROM parts
+  WHERE list_has_any(string_split_regex(host, '[.-]'), [{listed}])),
+fitting AS (
+  SELECT p.*, r.host || r.path AS rule, r.verdict AS ruled,
+    row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) AS place
+  FROM parts p LEFT JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+)
+SELECT page_id, host, path, rule, key IS NOT NULL AS listed,
+  coalesce(ruled, CASE WHEN key IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM fitting LEFT JOIN listed ON key = host || path
+WHERE place = 1
+"""
+
+
 OP2 = rf"""
 WITH RECURSIVE split AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
-    ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
   FROM split
 ),
 items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
 shared AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n, any_value(x.n + y.n) AS both
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n, any_value(x.n + y.n) AS whole
   FROM items x JOIN items y ON x.item = y.item AND x.doc_id < y.doc_id
   WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
   GROUP BY 1, 2
 ),
-edges AS MATERIALIZED (SELECT a, b FROM shared WHERE 100 * n >= 80 * (both - n)),
+edges AS MATERIALIZED (SELECT a, b FROM shared WHERE 100 * n >= 80 * (whole - n)),
 {_REACH}
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id,
   coalesce(component, doc_id) = doc_id AS kept
 FROM sets LEFT JOIN smallest ON node = doc_id
 """
 
+OP3 = """
+WITH bodies AS (
+  SELECT page_id, url, encode(coalesce(html, '')) AS body FROM pages
+),
+sized AS (
+  SELECT page_id, url, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest FROM bodies
+),
+held AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS holder FROM sized
+),
+parts AS (SELECT *, split_part(url, '://', 2) AS rest FROM held)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN holder <> page_id THEN holder END AS refers_to,
+  array_to_string(list_reverse(string_split(lower(split_part(rest, '/', 1)), '.')), ',') || ')'
+    || split_part(substr(rest, length(split_part(rest, '/', 1)) + 1), '#', 1) AS url_key,
+  1600000000 + page_id AS captured_s
+FROM parts
+"""
+
+
+def _op4() -> str:
+    templates = licenses._templates(licenses.TEMPLATES)
+    width = max(len(text.split()) for own in licenses.TEMPLATES.values() for text in own)
+    rows = ", ".join(f"({i}, '{label}', {words!r})" for i, label, words in templates)
+    base = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in licenses.PHRASES.items())
+    return rf"""
+WITH worded AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+phrases(phrase, label, n) AS (VALUES {base}),
+spots AS (
+  SELECT doc_id, label, unnest(list_filter(range(0, len(w) - n + 1),
+    lambda i: array_to_string(w[i + 1 : i + n], ' ') = phrase)) AS spot
+  FROM worded, phrases WHERE contains(' ' || array_to_string(w, ' ') || ' ', ' ' || phrase || ' ')
+),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list(DISTINCT label) AS own
+  FROM spots GROUP BY 1
+),
+templates(template, label, ordered) AS (VALUES {rows}),
+blocks AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) + 1, {width}), lambda i: w[i : i + {2 * width - 1}])) AS block FROM worded
+),
+parts AS (
+  SELECT doc_id, label, len(list_intersect(ordered, block)) AS n, len(ordered) AS t FROM blocks, templates
+),
+met AS (
+  SELECT doc_id, list(DISTINCT label) AS more, max(n / t) AS part
+  FROM parts WHERE n >= ceil({licenses.CONTAINED} * t - 1e-9) GROUP BY 1
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  array_to_string(list_sort(coalesce(own, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(more, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(part, 0.0)::DOUBLE END AS score
+FROM worded LEFT JOIN base USING (doc_id) LEFT JOIN met USING (doc_id)
+"""
+
+
+OP8 = f"""
+WITH RECURSIVE able AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+edges AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM able x JOIN able y
+    ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98
+),
+counts AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM edges UNION ALL SELECT b FROM edges) GROUP BY id),
+{_REACH}
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component, vec_id) AS component_id,
+  coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN counts ON id = vec_id LEFT JOIN smallest ON node = vec_id
+"""
+
+OP10 = rf"""
+WITH items AS (
+  SELECT item_id, w, least(13, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+),
+windows AS (
+  SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i : i + n - 1], ' '))) AS win
+  FROM items
+),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+places AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos, w FROM docs, (SELECT DISTINCT n FROM items) WHERE len(w) >= n
+),
+found AS (
+  SELECT doc_id, pos, p.n, item_id
+  FROM (SELECT doc_id, n, pos, array_to_string(w[pos : pos + n - 1], ' ') AS win FROM places) p
+  JOIN windows x ON x.win = p.win AND x.n = p.n
+),
+hits AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS spot FROM found) GROUP BY 1
+),
+named AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',') AS ids
+  FROM found GROUP BY 1
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 ORACLES = {
+    "op1_url_filter": _op1(),
     "op2_minhash_near_dedup": OP2,
+    "op3_warc": OP3,
+    "op4_license_scan": _op4(),
+    "op8_embedding_near_dedup": OP8,
+    "op10_decontamination": OP10,
 }

@@ -15,7 +15,7 @@ the counts per task.
 
 from __future__ import annotations
 
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -131,28 +131,32 @@ def _powers(pieces: list[Piece]) -> Iterator[list[Piece]]:
         yield window
 
 
-SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+SCHEMA = (
+    "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, window long, place long"
+)
+_NAMES = [field.split()[0] for field in SCHEMA.split(", ")]
 
 
 def _packed(vocabulary: Vocabulary):
-    def batch_of(windows: list[list[Piece]], first: int) -> pa.RecordBatch:
+    def batch_of(windows: list[list[Piece]], first: int, placed: Counter) -> pa.RecordBatch:
         rows = []
-        for number, window in enumerate(windows, first):
-            offset = 0
-            for piece in window:
-                rows.append((piece.doc, piece.start, len(piece.ids), piece.ids.tobytes(), piece.total, number, offset))
+        for number, pieces in enumerate(windows, first):
+            size, offset = sum(len(piece.ids) for piece in pieces), 0
+            window = size if size.bit_count() == 1 else WINDOW
+            for piece in pieces:
+                own = (piece.doc, piece.start, len(piece.ids), piece.ids.tobytes(), piece.total, number, offset)
+                rows.append((*own, window, placed[window]))
                 offset += len(piece.ids)
-        columns = list(zip(*rows, strict=True))
-        types = [pa.binary() if i == 3 else pa.int64() for i in range(7)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-            ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-        )
+            placed[window] += 1
+        types = [pa.binary() if name == "ids" else pa.int64() for name in _NAMES]
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, pool = encoder(vocabulary), Pool()
         number = TaskContext.get().partitionId() << _TASK_BITS
         done: list[list[Piece]] = []
+        placed: Counter[int] = Counter()  # sequences of each window size so far
         waiting = 0
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -167,12 +171,12 @@ def _packed(vocabulary: Vocabulary):
                 if pool.held >= POOL_IDS:
                     done += _windows(pool, POOL_IDS // 2)
                 if done and waiting >= POOL_IDS:
-                    yield batch_of(done, number)
+                    yield batch_of(done, number, placed)
                     number += len(done)
                     done, waiting = [], 0
         done += _windows(pool, 0)
         if done:
-            yield batch_of(done, number)
+            yield batch_of(done, number, placed)
 
     return run
 
@@ -180,7 +184,8 @@ def _packed(vocabulary: Vocabulary):
 def pack(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces of all rows of ``docs``: doc_id, start (ids of the document before it),
     length, ids (little-endian 32-bit), doc_tokens (of the whole document, with the end
-    id), sequence_id, offset (place in its sequence, without gaps from 0).
+    id), sequence_id, offset (place in its sequence, without gaps from 0), window (ids of
+    the sequence when padded), place (of the sequence among its task's of that window).
 
     Null and empty texts are an end id alone. Repeated rows and rows without an id are
     documents of their own. An empty table has no pieces. Other columns are not looked
@@ -191,20 +196,13 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text:
 
 
 def with_step_groups(pieces: DataFrame, step_ids: int = STEP_IDS) -> DataFrame:
-    """``pieces`` (written ones) with window (ids of its sequence when padded) and
-    step_group: groups of about ``step_ids`` ids; of each window size all groups get the
-    same number of sequences, but for one."""
-    size = F.sum("length")
-    power = F.bit_count(size) == 1
-    sequences = pieces.groupBy("sequence_id").agg(F.when(power, size).otherwise(WINDOW).cast("int").alias("window"))
-    sequences = stored(sequences.withColumn("task", F.shiftright("sequence_id", _TASK_BITS)), "sequences")
-    counts = sequences.groupBy("task", "window").agg(F.count("*").alias("n"))
+    """``pieces`` (written ones) with step_group: groups of about ``step_ids`` ids; of each
+    window size all groups get the same number of sequences, but for one. Only the counts
+    per task are shuffled."""
+    tasked = pieces.withColumn("task", F.shiftright("sequence_id", _TASK_BITS))
+    counts = tasked.groupBy("task", "window").agg((F.max("place") + 1).alias("n"))
     before = Window.partitionBy("window").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     counts = stored(counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "sequence-counts")
     groups = max(1, -(-(counts.agg(F.sum(F.col("n") * F.col("window"))).first()[0] or 0) // step_ids))
-    own = Window.partitionBy("task", "window").orderBy("sequence_id")
-    place = F.col("before") + F.row_number().over(own) - 1
-    grouped = sequences.join(counts.drop("n"), ["task", "window"]).select(
-        "sequence_id", "window", F.pmod(place, F.lit(groups)).alias("step_group")
-    )
-    return pieces.join(grouped, "sequence_id")
+    joined = tasked.join(counts.drop("n"), ["task", "window"])
+    return joined.withColumn("step_group", F.pmod(F.col("before") + F.col("place"), F.lit(groups))).drop("task", "before", "place")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from userflow.llm import decontaminate, lengths, licenses, multi_index, near_dups, packing, quality, tokens, toxicity, url_filter, warc
 from userflow.llm.labelled import held_out
 from userflow.llm.tables import stored
@@ -42,7 +43,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("page_id"))
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", captured.alias("captured"), "html")
     return warc.archived(pages).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key",
+        F.unix_seconds("captured").alias("captured_s"),
     )
 
 
@@ -53,7 +55,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), tokens.public())
     digests = pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "place"
     )
     return packing.with_step_groups(stored(digests, "pieces"))
 
@@ -95,6 +97,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_url_filter": op1_url_filter,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_warc": op3_warc,
