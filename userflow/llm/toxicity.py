@@ -91,7 +91,7 @@ def _fit(numbers: list[np.ndarray], toxic: np.ndarray, fairness: float) -> Model
     """Proximal gradient steps, scaled per feature."""
     n, size = len(numbers), 1 << BITS
     if not n or toxic.min() == toxic.max():
-        share = (toxic.sum() + 0.5) / (n + 1)
+        share = (toxic.sum() + 0.5) / (n + 2)
         return Model(float(np.log(share / (1 - share))), np.empty(0, np.int64), np.empty(0))
     feature = np.concatenate(numbers).astype(np.int64)
     row = np.repeat(np.arange(n), [len(x) for x in numbers])
@@ -125,7 +125,8 @@ def fit(
 ) -> Model:
     """Learns from at most ``rows`` labelled texts for whose label ``learns`` holds (a
     condition on labels.doc_id); their features are fetched to the driver. Without labels
-    of both kinds the model knows no feature and gives every text one score."""
+    of both kinds the model knows no feature and gives every text one score, on the
+    labelled side, or not toxic when there is no label at all."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
     taken = labelled.sample(docs, known, "label", F.lit(True) if learns is None else learns, rows)
