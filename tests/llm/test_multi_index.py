@@ -1,0 +1,73 @@
+import numpy as np
+import pytest
+
+from userflow.llm import multi_index
+
+SCHEMA = "vec_id long, embedding array<float>, label int, node string, copies string"
+
+
+def expected(rows, similarity):
+    able = [
+        (k, i, label, np.array(v, np.float32).astype(float))
+        for k, (i, v, label) in enumerate(rows)
+        if i is not None and label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    ]
+    links = {k: 0 for k, *_ in able}
+    root = {k: k for k, *_ in able}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, (k, _, label, x) in enumerate(able):
+        for j, _, other, y in able[:a]:
+            if label == other and len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= similarity:
+                links[k] += 1
+                links[j] += 1
+                root[find(k)] = find(j)
+    least = {}
+    for k, i, *_ in able:
+        least[find(k)] = min(i, least.get(find(k), i))
+    return sorted(
+        (str(i), links.get(k, 0), str(least[find(k)] if k in root else i)) for k, (i, _, _) in enumerate(rows)
+    )
+
+
+def got(spark, rows, **options):
+    table = spark.createDataFrame([(i, v, label, "n", "c") for i, v, label in rows], SCHEMA)
+    found = multi_index.near_vectors(table, **options).collect()
+    assert all(r.kept == (r.vec_id is None or r.vec_id == r.component_id) for r in found)
+    return sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in found)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, None, 1), (2, [], 1), (3, [0.0, 0.0], 1), (4, [nan, 1.0], 1), (5, [inf, 1.0], 1), (6, [None, 1.0], 1),
+        (7, [1.0, 0.0], None), (8, [1.0, 0.0], 1), (9, [2.0, 0.0], 1), (9, [1.0, 0.0], 1), (10, [1.0, 0.01], 2),
+        (11, [1.0, 0.0], 2), (None, [1.0, 0.0], 1), (12, [1.0], 1), (13, [3.0], 1), (14, [1e30, 1e28], 1),
+        (15, [-1.0, 0.0], 1), (15, [0.0, 1.0], 1), (0, [0.0, 5.0], 1),
+    ]
+    assert got(spark, rows) == expected(rows, 0.98)
+    assert got(spark, []) == []
+
+
+@pytest.mark.parametrize("size", [2, 9])
+def test_crowded_cells_lose_no_link(spark, size, monkeypatch):
+    monkeypatch.setattr(multi_index, "BLOCK_ROWS", 16)
+    draw = np.random.default_rng(size)
+    centres = draw.normal(size=(5, size))
+    rows = []
+    for i in range(400):
+        x = centres[0 if i % 3 else i % 5] + draw.normal(size=size) * draw.choice([0.0, 0.03, 0.3])
+        rows.append((int(i * 7 % 400), [float(np.float32(v)) for v in x], int(i % 2)))
+    assert got(spark, rows) == expected(rows, 0.98)
+
+
+def test_cells_are_visited_from_the_nearest_on():
+    draw = np.random.default_rng(0)
+    first, second = draw.random(6), draw.random(7)
+    sums = first[:, None] + second[None, :]
+    cells = multi_index.visited(first, second, 0.8)
+    assert [sums[c] for c in cells] == sorted(sums[sums <= 0.8])
