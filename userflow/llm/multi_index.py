@@ -2,13 +2,12 @@
 
 Each half of a unit vector has its own codebook; a pair of codes is a cell of the product
 grid, and an inverted list holds the vectors of a cell. A query visits cells in the order
-of their least possible distance (multi-sequence traversal of the two sorted code lists)
-and stops where no cell can hold a vector within the similarity, so that the recall is
-that of a full search up to rounding. What it finds is verified by the cosine.
-
-The least distance of a query's half to a code's cell is the greater of two bounds: how
-far the cell's farthest vector reaches out from its centre, and how far the plane lies
-that parts the cell from the query's own nearest one.
+of their distance (multi-sequence traversal of the two sorted code lists), up to the
+distance at which the target recall is reached: that of neighbours made at the threshold
+similarity in random directions. A cell's distance is how far the query's halves lie
+from the planes that part the cell's codes from the query's own. What is found is verified
+by the cosine. A pair is found when either of the two visits the other's cell, so that far
+fewer pairs are missed than the target allows for one query.
 
 Cells are searched in blocks of bounded size, points against queries, so that a crowded
 cell is dealt to many tasks. A block returns counts and a spanning forest of its links,
@@ -33,18 +32,29 @@ from userflow.llm import graph
 from userflow.llm.tables import stored
 
 SAMPLE_ROWS = 20000  # vectors that the codebooks are fitted on, at most
-LEAST_CODES, MOST_CODES = 8, 512
+CALIBRATION_ROWS = 5000  # neighbours made to find the reach
+RECALL = 0.999  # of neighbours at the threshold, by one query's visits
+LEAST_CODES, MOST_CODES = 4, 512
+CELL_ROWS = 64
 ROUNDS = 12  # of k-means
 BLOCK_ROWS = 512  # points, and queries, that one block holds on average
-SLACK = 1e-9  # of squared distances, for rounding
 
 
 class Index(NamedTuple):
-    """Codebooks of the two halves and the reach of each code's farthest vector."""
+    """Codebooks of the two halves, and the greatest squared distance of a visited cell."""
 
     split: int
     codes: tuple[np.ndarray, np.ndarray]
-    reach: tuple[np.ndarray, np.ndarray]
+    most: float
+
+    def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return x[:, : self.split], x[:, self.split :]
+
+    def own(self, x: np.ndarray) -> list[np.ndarray]:
+        return [_distances(h, c).argmin(1) for h, c in zip(self.halves(x), self.codes, strict=True)]
+
+    def least(self, x: np.ndarray) -> list[np.ndarray]:
+        return [_least(h, c) for h, c in zip(self.halves(x), self.codes, strict=True)]
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -97,30 +107,27 @@ def _codebook(x: np.ndarray, n: int) -> np.ndarray:
     return codes
 
 
-def _placed(index: Index):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _matrix(batch.column("unit"))
-            found = [_distances(h, c) for h, c in zip((x[:, : index.split], x[:, index.split :]), index.codes, strict=True)]
-            code = [d.argmin(1) for d in found]
-            reach = [np.sqrt(d.min(1)) for d in found]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int32()) for c in code), *(pa.array(r) for r in reach)], ["first", "second", "reach1", "reach2"]
-            )
-
-    return run
-
-
-def _least(x: np.ndarray, codes: np.ndarray, reach: np.ndarray) -> np.ndarray:
-    """Squared lower bounds of the distance of each x to any vector of each code."""
+def _least(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Squared distance of each x to the plane between each code and its nearest one."""
     squared = _distances(x, codes)
     near = squared.argmin(1)
-    out = np.maximum(np.sqrt(squared) - reach[None, :], 0)
-    between = np.sqrt(np.maximum(_distances(codes, codes), 0))[near]
+    between = np.sqrt(_distances(codes, codes))[near]
     plane = (squared - squared[np.arange(len(x)), near][:, None]) / (2 * np.where(between > 0, between, np.inf))
-    return np.maximum(out, np.maximum(plane, 0)) ** 2
+    return np.maximum(plane, 0) ** 2
+
+
+def _reach(index: Index, x: np.ndarray, similarity: float, recall: float) -> float:
+    """Squared distance within which a share of ``recall`` of neighbours at the threshold
+    have their cells, over random directions from the sample."""
+    draw = np.random.default_rng(1)
+    x = x[draw.integers(len(x), size=CALIBRATION_ROWS)]
+    aside = draw.normal(size=x.shape)
+    aside -= (aside * x).sum(1)[:, None] * x
+    aside /= np.maximum(np.sqrt((aside * aside).sum(1)), 1e-300)[:, None]
+    first, second = index.own(similarity * x + math.sqrt(max(0.0, 1 - similarity**2)) * aside)
+    near, far = index.least(x)
+    rows = np.arange(len(x))
+    return float(np.quantile(near[rows, first] + far[rows, second], recall))
 
 
 def visited(first: np.ndarray, second: np.ndarray, most: float) -> list[tuple[int, int]]:
@@ -140,33 +147,28 @@ def visited(first: np.ndarray, second: np.ndarray, most: float) -> list[tuple[in
     return cells
 
 
-def _cells(index: Index, similarity: float):
-    most = 2 - 2 * similarity + SLACK
-
+def _cells(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = _matrix(batch.column("unit"))
-            halves = (x[:, : index.split], x[:, index.split :])
-            bounds = [_least(h, c, r) for h, c, r in zip(halves, index.codes, index.reach, strict=True)]
-            own = [_distances(h, c).argmin(1) for h, c in zip(halves, index.codes, strict=True)]
-            row, first, second, home = [], [], [], []
-            for i in range(len(x)):
-                mine = (int(own[0][i]), int(own[1][i]))
-                cells = visited(bounds[0][i], bounds[1][i], most)
-                if mine not in cells:
-                    cells.append(mine)
-                row += [i] * len(cells)
-                first += [c[0] for c in cells]
-                second += [c[1] for c in cells]
-                home += [c == mine for c in cells]
-            taken = pa.array(row, pa.int64())
+            first, second = index.least(x)
+            own = np.stack(index.own(x), axis=1)
+            cells = [visited(a, b, index.most) for a, b in zip(first, second, strict=True)]
+            rows = np.repeat(np.arange(len(x)), [len(c) for c in cells])
+            codes = np.array([c for found in cells for c in found])
+            taken = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(taken), batch.column("label").take(taken),
-                 pa.array(first, pa.int32()), pa.array(second, pa.int32()), pa.array(home)],
+                [
+                    batch.column("node").take(taken),
+                    batch.column("label").take(taken),
+                    pa.array(codes[:, 0], pa.int32()),
+                    pa.array(codes[:, 1], pa.int32()),
+                    pa.array((codes == own[rows]).all(1)),
+                ],
                 ["node", "label", "first", "second", "home"],
-            )
+            )
 
     return run
 
@@ -185,56 +187,55 @@ def _forest(linked: np.ndarray, points: np.ndarray, queries: np.ndarray) -> tupl
     return nodes[nodes != ends], ends[nodes != ends]
 
 
-def _searched(similarity: float):
+def _searched(index: Index, similarity: float):
     def run(rows: pa.Table) -> pa.Table:
         home = rows["home"].to_numpy()
-        x, node, copies = _matrix(rows["unit"]), rows["node"].to_numpy(), rows["copies"].to_numpy()
-        at, to = node[home], node[~home]
-        linked = (x[~home] @ x[home].T >= similarity) & (to[:, None] != at[None, :])
-        counts = linked @ copies[home]
-        nodes, ends = _forest(linked, at, to)
-        hit = counts > 0
-        zeros = np.zeros(len(nodes), np.int64)
-        return pa.table(
-            {
-                "node": np.concatenate([to[hit], nodes]),
-                "n_links": np.concatenate([counts[hit], zeros]),
-                "end": np.concatenate([to[hit], ends]),
-            }
-        )
+        unit, node, copies = _matrix(rows["unit"]), rows["node"].to_numpy(), rows["copies"].to_numpy()
+        x, y, at, to = unit[home], unit[~home], node[home], node[~home]
+        linked = (y @ x.T >= similarity) & (to[:, None] != at[None, :])
+        on = linked.any(1), linked.any(0)
+        if on[0].any():  # only what has links goes on
+            linked, x, y, at, to = linked[on[0]][:, on[1]], x[on[1]], y[on[0]], at[on[1]], to[on[0]]
+            copies_at, copies_to = copies[home][on[1]], copies[~home][on[0]]
+            # A point that visits its query's cell finds the pair there by itself.
+            first, second = index.own(y)
+            near, far = index.least(x)
+            alone = linked & ~((near[:, first] + far[:, second]) <= index.most).T
+            nodes, ends = _forest(linked, at, to)
+            counts = linked @ copies_at, copies_to @ alone
+            node = np.concatenate([to, at, nodes])
+            return pa.table(
+                {
+                    "node": node,
+                    "n_links": np.concatenate([*counts, np.zeros(len(nodes), np.int64)]),
+                    "end": np.concatenate([to, at, ends]),
+                }
+            )
+        none = pa.array([], pa.int64())
+        return pa.table({"node": none, "n_links": none, "end": none})
 
     return run
 
 
-def build(units: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Index | None:
-    """Codebooks fitted on at most ``sample_rows`` of the (written) unit vectors, those
-    with the smallest hashes; as many codes as make a cell of the grid hold few vectors
-    on average, within fixed bounds. The reach of a code is taken over all vectors."""
+def build(units: DataFrame, similarity: float, recall: float = RECALL, sample_rows: int = SAMPLE_ROWS) -> Index:
+    """Codebooks fitted on at most ``sample_rows`` of the (written, not empty) unit vectors,
+    those with the smallest hashes; as many codes as make a cell of the grid hold CELL_ROWS
+    on average, within fixed bounds. All vectors are indexed."""
     n = units.count()
-    if not n:
-        return None
     fetched = units.orderBy(F.xxhash64("node"), "node").limit(sample_rows).select("unit").toArrow()
     x = _matrix(fetched["unit"])
     split = max(1, x.shape[1] // 2)
-    number = int(min(MOST_CODES, max(LEAST_CODES, math.sqrt(n) / 4)))
-    codes = (_codebook(x[:, :split], number), _codebook(x[:, split:], number))
-    index = Index(split, codes, (np.zeros(len(codes[0])), np.zeros(len(codes[1]))))
-    placed = units.select("unit").mapInArrow(_placed(index), "first int, second int, reach1 double, reach2 double")
-    reach = []
-    for code, far, book in (("first", "reach1", codes[0]), ("second", "reach2", codes[1])):
-        own = np.zeros(len(book))
-        for row in placed.groupBy(code).agg(F.max(far)).collect():  # a row for each code
-            own[row[0]] = row[1]
-        reach.append(own)
-    return index._replace(reach=tuple(reach))
+    number = int(min(MOST_CODES, max(LEAST_CODES, math.sqrt(n / CELL_ROWS))))
+    index = Index(split, (_codebook(x[:, :split], number), _codebook(x[:, split:], number)), 0.0)
+    return index._replace(most=_reach(index, x, similarity, recall))
 
 
 def _linked(units: DataFrame, similarity: float) -> DataFrame:
     """(node, n_links, end): counts of each node's links, and forest links (node, end)."""
-    index = build(units)
+    index = build(units, similarity)
     cells = stored(
         units.select("node", "label", "unit").mapInArrow(
-            _cells(index, similarity), "node long, label long, first int, second int, home boolean"
+            _cells(index), "node long, label long, first int, second int, home boolean"
         ),
         "cells",
     )
@@ -258,7 +259,7 @@ def _linked(units: DataFrame, similarity: float) -> DataFrame:
     points = points.select(*cell, "node", "home", "p", others.alias("q"))
     queries = queries.select(*cell, "node", "home", others.alias("p"), "q")
     blocks = points.unionByName(queries).join(units.select("node", "copies", "unit"), "node")
-    return blocks.groupBy(*cell, "p", "q").applyInArrow(_searched(similarity), "node long, n_links long, end long")
+    return blocks.groupBy(*cell, "p", "q").applyInArrow(_searched(index, similarity), "node long, n_links long, end long")
 
 
 def near_vectors(
