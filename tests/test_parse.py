@@ -209,3 +209,19 @@ def test_normalized_values_against_plain_python(spark):
             assert row.age == age, body
         elif age is None and isinstance(birth, dict):
             assert row.age == birth.get("age"), body
+
+
+GLUED = ['{"gender":"m"} x', '{"gender":"m"}{"gender":"f"}', '{"gender":"m"},{"gender":"f"}', '{"gender":"m"},']
+CLOSED = ['{"gender":"m"}]', '{"gender":"m"}] x', '[{"gender":"m"}]', "5", '"x"', "null", "", " ", "[]", "]"]
+
+
+@pytest.mark.parametrize("mode", ["declared", "normalized"])
+def test_skip_bad_takes_one_record_and_nothing_else(spark, mode):
+    rows = parse(spark, [*GLUED, *CLOSED, ' {"gender":"k"}\n'], mode=mode, fields=("gender",), skip_bad=True)
+    assert [r.gender for r in rows] == ["k"]
+
+
+def test_skip_bad_decodes_once(spark):
+    users = parse_users(messages(spark, ["{}"]), fields=("gender", "age"), skip_bad=True)
+    plan = users.where("gender = 'x'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "json_object_keys" not in plan

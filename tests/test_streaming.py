@@ -14,6 +14,7 @@ from userflow.sources import tables, topic
 from userflow.streaming import pipeline
 
 MIDNIGHT = datetime(2024, 1, 1)
+ARRIVAL = datetime(2024, 1, 2)
 
 
 class Feed:
@@ -23,8 +24,8 @@ class Feed:
         self.spark, self.path, self.files = spark, f"{base}/topic", 0
         os.makedirs(self.path)
 
-    def land(self, records):
-        """Add one file of JSON records."""
+    def land(self, records, arrived=ARRIVAL):
+        """Add one file of JSON records that the topic got at one time."""
         lines = [r if isinstance(r, str) else json.dumps(r) for r in records]
         count = len(lines)
         rows = pa.table(
@@ -34,14 +35,14 @@ class Feed:
                 "topic": pa.array(["user_data"] * count),
                 "partition": pa.nulls(count, pa.int32()),
                 "offset": pa.nulls(count, pa.int64()),
-                "timestamp": pa.array([MIDNIGHT] * count, pa.timestamp("us", "UTC")),
+                "timestamp": pa.array([arrived] * count, pa.timestamp("us", "UTC")),
                 "timestampType": pa.array([0] * count, pa.int32()),
             }
         )
         target = f"{self.path}/{self.files:04d}.parquet"
         pq.write_table(rows, target)
-        arrived = time.time() - 10_000 + 10 * self.files
-        os.utime(target, (arrived, arrived))
+        written = time.time() - 10_000 + 10 * self.files
+        os.utime(target, (written, written))
         self.files += 1
 
     def stream(self, max_files=1):
@@ -147,7 +148,7 @@ def test_streams_equal_the_batch_and_resume(spark, feed, places, shared):
         for part in range(2):
             feed.land(people(40, start=100 * step + 40 * part) + ["not json"])
         run(pipeline.run_pipeline(
-            feed.stream(), root, checkpoint, shared_scan=shared, by_event_time=True, **SMALL
+            feed.stream(), root, checkpoint, shared_scan=shared, inflow_by="record", **SMALL
         ))
         for name, answer in batch_answers(feed).items():
             table = tables.table(spark, root, name)
@@ -158,7 +159,7 @@ def test_streams_equal_the_batch_and_resume(spark, feed, places, shared):
 
 def test_dashboard_reads_the_result_tables(spark, feed, places):
     feed.land(people(60))
-    run(pipeline.run_pipeline(feed.stream(), *places, by_event_time=True, **SMALL))
+    run(pipeline.run_pipeline(feed.stream(), *places, inflow_by="record", **SMALL))
     results = {name: tables.table(spark, places[0], name) for name in COLUMNS}
     as_of = F.lit(MIDNIGHT + timedelta(hours=1))
     panels = {t: df.collect() for t, df in views.panels(results, as_of).items()}
@@ -173,7 +174,7 @@ def test_shared_scan_with_bounded_state(spark, feed, places):
     for step in range(2):
         feed.land(people(60, start=60 * step) + ["not json"])
         queries = run(pipeline.run_pipeline(
-            feed.stream(), root, checkpoint, "bounded", shared_scan=True, by_event_time=True,
+            feed.stream(), root, checkpoint, "bounded", shared_scan=True, inflow_by="record",
             watermark="0 seconds", **SMALL,
         ))
         assert [q.name for q in queries] == ["combined", "user_inflow"]
@@ -261,7 +262,7 @@ def inflow(spark, feed, places, mode, sequence):
     root, checkpoint = places
     for times in sequence:
         feed.land([{"timestamp": at(t)} for t in times])
-    results = pipeline.topic_results(feed.stream(), by_event_time=True)
+    results = pipeline.topic_results(feed.stream(), inflow_by="record")
     (query,) = run(
         [
             pipeline.start_result(
@@ -348,3 +349,82 @@ def test_shared_scan_needs_complete_mode(spark, feed, places):
         pipeline.run_pipeline(feed.stream(), *places, shared_scan=True, per_batch=True)
     with pytest.raises(ValueError, match="per minute"):
         pipeline.run_pipeline(feed.stream(), *places, shared_scan=True, window="1 hour")
+
+
+def arrivals(spark, root):
+    return as_set(tables.table(spark, root, "user_inflow"), "window_start", "count")
+
+
+@pytest.mark.parametrize("mode", ["append", "update", "complete"])
+def test_a_wrong_clock_loses_no_row(spark, feed, places, mode):
+    root, checkpoint = places
+    results = pipeline.topic_results(feed.stream(), inflow_by="record")
+    corrected = dropped = 0
+    for minute in range(6):
+        told = at(f"1:{minute}:30") if minute != 1 else "2999-01-01T00:00:00"
+        feed.land([{"timestamp": told}], MIDNIGHT + timedelta(hours=1, minutes=minute, seconds=31))
+        query = pipeline.start_result(results["user_inflow"], root, "user_inflow", checkpoint, mode, **SMALL)
+        run([query])
+        corrected += sum(p.observedMetrics["event_times"].corrected for p in query.recentProgress if p.numInputRows)
+        dropped += sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress)
+    assert (corrected, dropped) == (1, 0)
+    final = 4 if mode == "append" else 6
+    assert arrivals(spark, root) == {(MIDNIGHT + timedelta(hours=1, minutes=i), 1) for i in range(final)}
+
+
+def test_inflow_by_arrival_decodes_nothing(spark, feed, places):
+    root, checkpoint = places
+    feed.land(people(7) + ["not json"])
+    results = pipeline.topic_results(feed.stream(), inflow_by="arrival")
+    plan = pipeline.topic_results(feed.batch(), inflow_by="arrival")["user_inflow"]
+    assert "from_json" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    run([pipeline.start_result(results["user_inflow"], root, "user_inflow", checkpoint, **SMALL)])
+    assert arrivals(spark, root) == {(ARRIVAL, 8)}
+    with pytest.raises(ValueError, match="inflow is by"):
+        pipeline.topic_results(feed.batch(), inflow_by="event")
+
+
+def test_backfill_counts_by_arrival_and_makes_every_table(spark, feed, places):
+    root, _ = places
+    feed.land(people(5))
+    pipeline.backfill(feed.batch(), root, unknown_label="unknown")
+    assert arrivals(spark, root) == {(ARRIVAL, 5)}
+    assert tables.table(spark, root, "age_distribution").where("age_group = 'unknown'").first()["count"] == 1
+    timeless = feed.batch().withColumn("timestamp", F.lit(None).cast("timestamp"))
+    pipeline.backfill(timeless, f"{root}/other")
+    assert arrivals(spark, f"{root}/other") == set()
+    assert tables.table(spark, f"{root}/other", "gender_distribution").count() == 3
+
+
+def test_append_streams_and_versions_do_not_mix(spark, feed, places):
+    root, checkpoint = places
+    feed.land(people(5))
+    run(pipeline.run_pipeline(feed.stream(), root, checkpoint, **SMALL))
+    with pytest.raises(ValueError, match="no append stream"):
+        pipeline.run_pipeline(feed.stream(), root, f"{checkpoint}/new", "bounded", **SMALL)
+    other = f"{root}/other"
+    run(pipeline.run_pipeline(feed.stream(), other, f"{checkpoint}/other", "bounded", inflow_by="record", **SMALL))
+    rows = tables.table(spark, other, "user_inflow")
+    for write in (tables.replace, tables.append):
+        with pytest.raises(ValueError, match="append stream"):
+            write(rows, other, "user_inflow")
+
+
+def test_closed_dates_are_archived_in_few_files(spark, feed, places, tmp_path):
+    root, checkpoint = places
+    for step in range(4):
+        feed.land(people(6, 6 * step))
+        run([pipeline.land_users(feed.stream(), f"{root}/users", f"{checkpoint}/users", every=None, files=2)])
+    landed, archive = f"{root}/users", f"{root}/archive"
+
+    def files(path):
+        return sum(name.endswith(".parquet") for _, _, names in os.walk(path) for name in names)
+
+    pipeline.archive_dates(spark, landed, archive, "2024-01-01")
+    assert files(archive) == 0
+    for _ in range(2):
+        pipeline.archive_dates(spark, landed, archive, "2999-01-01")
+        assert files(archive) < files(landed)
+        columns = ["gender", "age", "country", "arrival_date"]
+        got, want = (sorted(map(str, spark.read.parquet(p).select(*columns).collect())) for p in (archive, landed))
+        assert got == want and len(got) == 24

@@ -1,7 +1,7 @@
 import json
 import os
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,13 +28,69 @@ def versions(root, name):
     return os.listdir(f"{root}/{name}/{tables.VERSIONS}")
 
 
-@pytest.mark.parametrize("minutes,kept", [(0, 2), (10, 4)])
-def test_replace_publishes_only_the_last_result(spark, root, monkeypatch, minutes, kept):
-    monkeypatch.setattr(tables, "KEPT_MINUTES", minutes)
+def test_replace_publishes_only_the_last_result(spark, root):
     for n in range(4):
         assert tables.replace(frame(spark, (n, "x", n)), root, "t")
         assert as_set(tables.table(spark, root, "t")) == {(n, "x", n)}
-    assert len(versions(root, "t")) == kept
+    assert len(versions(root, "t")) == 4
+
+
+def test_expire_drops_what_was_replaced_before(spark, root):
+    assert tables.expire(spark, root, "t", timedelta(0)) == 0
+    tables.append(frame(spark, (0, "x", 0)), root, "t")
+    assert tables.expire(spark, root, "t", timedelta(0)) == 0
+    for n in range(1, 4):
+        tables.replace(frame(spark, (n, "x", n)), root, "t")
+    assert tables.expire(spark, root, "t", timedelta(hours=1)) == 0
+    assert as_set(spark.read.parquet(f"{root}/t")) == {(0, "x", 0)}
+    assert tables.expire(spark, root, "t", timedelta(0)) > 2
+    assert len(versions(root, "t")) == 1
+    assert not [f for f in os.listdir(f"{root}/t") if f.endswith(".parquet")]
+    assert as_set(tables.table(spark, root, "t")) == {(3, "x", 3)}
+
+
+def test_a_first_empty_result_can_make_the_table(spark, root):
+    rows = frame(spark, (1, "x", 1))
+    assert tables.replace(rows.where("false"), root, "t", make=True)
+    assert tables.table(spark, root, "t").columns == rows.columns
+    tables.replace(rows, root, "t")
+    assert not tables.replace(rows.where("false"), root, "t", make=True)
+    assert as_set(tables.table(spark, root, "t")) == {(1, "x", 1)}
+
+
+def test_a_table_not_written_yet(spark, root):
+    assert tables.find(spark, root, "t", {"id": 1}, ["age"], SCHEMA).collect() == []
+    none = {"matched": 0, "modified": 0, "inserted": 0}
+    assert tables.update_where(spark, root, "t", {"id": 1}, {"age": 2}, schema=SCHEMA) == none
+    assert not tables.exists(spark, root, "t")
+    made = tables.update_where(spark, root, "t", {"id": 1}, {"age": 2}, insert=True, schema=SCHEMA)
+    assert made["inserted"] == 1 and as_set(tables.table(spark, root, "t")) == {(1, None, 2)}
+
+
+def dated(spark, *rows):
+    return spark.createDataFrame([(k, datetime(2024, 1, d), n) for k, d, n in rows], "k string, at timestamp, n int")
+
+
+def test_dated_upsert_touches_its_dates_only(spark, root):
+    def kept():
+        rows = tables.table(spark, root, "t").collect()
+        return {(r.k, r["at"].day, r.n) for r in rows}
+
+    def files(day):
+        return sorted(os.listdir(f"{root}/t/{tables.DATE}=2024-01-{day:02}"))
+
+    tables.upsert_dated(dated(spark), root, "t", ["k", "at"], "at")
+    first = dated(spark, ("a", 1, 1), ("b", 1, 1), ("a", 2, 1), ("a", 3, 1))
+    tables.upsert_dated(first, root, "t", ["k", "at"], "at")
+    before = files(1), files(3)
+    changes = dated(spark, ("a", 2, 5), ("c", 2, 6), (None, 4, 7))
+    for _ in range(2):  # a repeated batch changes nothing
+        tables.upsert_dated(changes, root, "t", ["k", "at"], "at")
+        assert kept() == {("a", 1, 1), ("b", 1, 1), ("a", 2, 5), ("c", 2, 6), ("a", 3, 1), (None, 4, 7)}
+        assert (files(1), files(3)) == before
+    tables.replace(first, root, "versioned")
+    with pytest.raises(ValueError, match="by date"):
+        tables.upsert_dated(changes, root, "versioned", ["k", "at"], "at")
 
 
 def test_empty_results_leave_the_previous_rows(spark, root):
@@ -54,6 +110,14 @@ def test_a_reader_of_the_replaced_version_finishes(spark, root):
     assert as_set(reading) == {(1, "old", 1)}
 
 
+def test_a_reader_outlives_many_replaces(spark, root):
+    tables.replace(frame(spark, (0, "old", 0)), root, "t")
+    reading = tables.table(spark, root, "t")
+    for n in range(5):
+        tables.replace(frame(spark, (n, "new", 2)), root, "t")
+    assert as_set(reading) == {(0, "old", 0)}
+
+
 def test_failed_write_leaves_the_previous_rows(spark, root):
     tables.replace(frame(spark, (1, "x", 1)), root, "t")
     broken = frame(spark, (2, "y", 2)).withColumn("age", F.raise_error(F.lit("stop")))
@@ -290,3 +354,19 @@ def test_instants_are_rendered_in_utc_in_any_session_zone(spark):
 def test_json_documents_keep_null_fields(spark):
     (row,) = tables.to_json_documents(frame(spark, (1, None, 2))).collect()
     assert json.loads(row.document) == {"id": 1, "gender": None, "age": 2}
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/Berlin", "UTC"])
+def test_document_times_over_clock_changes(spark, zone):
+    """Springs skip an hour of the session zone, autumns repeat one."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    texts = [f"2024-{day} {h:02}:{m}:59" for day in ("03-10", "03-31", "10-27", "11-03") for h in range(9) for m in ("00", "30")]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        given = spark.createDataFrame([(t,) for t in texts], "t string")
+        instant = F.concat("t", F.lit(".123456+00:00")).cast("timestamp")
+        free = F.concat("t", F.lit(".9")).cast("timestamp_ntz")
+        rows = tables.to_documents(given.select("t", instant.alias("i"), free.alias("f"))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [(r.i, r.f) for r in rows] == [(t, t) for t in texts]

@@ -51,17 +51,16 @@ def test_broker_reader_and_writer_options():
         write, writeStream = Recorder(), Recorder()
 
     topic.publish(Messages, "h", "t")
-    assert [c[:2] for c in Messages.write.calls] == [
-        ("format", ("kafka",)),
-        ("option", ("kafka.bootstrap.servers", "h")),
-        ("option", ("topic", "t")),
-        ("save", ()),
+    assert Messages.write.calls == [
+        ("format", ("kafka",), {}),
+        ("options", (), {"kafka.bootstrap.servers": "h", "topic": "t"}),
+        ("save", (), {}),
     ]
-    topic.publish_stream(Messages, "h", "/checkpoint")
-    calls = [c[:2] for c in Messages.writeStream.calls]
-    assert ("option", ("checkpointLocation", "/checkpoint")) in calls
-    assert ("option", ("topic", "user_data")) in calls
-    assert calls[-1] == ("start", ())
+    topic.publish_stream(Messages, "h", "/checkpoint", extra={"kafka.acks": "all"})
+    calls = Messages.writeStream.calls
+    assert ("option", ("checkpointLocation", "/checkpoint"), {}) in calls
+    assert ("options", (), {"kafka.bootstrap.servers": "h", "topic": "user_data", "kafka.acks": "all"}) in calls
+    assert calls[-1] == ("start", (), {})
 
 
 def test_keys_hold_the_uuid_or_are_null(spark):
@@ -88,10 +87,37 @@ def test_records_are_published_unchanged(spark):
     assert [r.key and bytes(r.key).decode() for r in rows] == ['{"uuid":"u1"}', None, None]
 
 
+BODIES = [
+    '{"results":[{"gender":"m"},{"gender":"f"}],"info":{}}', '{"results":[]}', "oops",
+    '{"error":"x"}', '{"results":null}', '{"results":5}', "", '{"results":[null,{"gender":"x"}]}',
+]
+
+
 def test_responses_are_split_into_records(spark):
-    bodies = ['{"results":[{"gender":"m"},{"gender":"f"}],"info":{}}', '{"results":[]}', "oops"]
-    lines = topic.split_responses(spark.createDataFrame([(b,) for b in bodies], "value string"))
-    assert [json.loads(r.value)["gender"] for r in lines.collect()] == ["m", "f"]
+    split = topic.split_responses(spark.createDataFrame([(b,) for b in [*BODIES, None]], "value string"))
+    assert [json.loads(r.value)["gender"] for r in topic.accepted(split).collect()] == ["m", "f", "x"]
+    assert [r.value for r in topic.rejected(split).collect()] == [BODIES[i] for i in (2, 3, 4, 5, 6)]
+
+
+def test_rejected_responses_are_counted_and_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i, body in enumerate(BODIES):
+        (tmp_path / "in" / f"{i}.json").write_text(body + "\n" if body else "")
+    lines = topic.stream_record_files(spark, str(tmp_path / "in"), max_files=3)
+    query = topic.keep_rejected(topic.split_responses(lines), str(tmp_path / "bad"), str(tmp_path / "c"))
+    query.awaitTermination()
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "bad")).collect()) == sorted(BODIES[i] for i in (2, 3, 4, 5))
+    batches = [p for p in query.recentProgress if "responses" in p.observedMetrics]
+    assert sum(p.observedMetrics["responses"].rejected for p in batches) == 4 and len(batches) >= 3
+
+
+def test_connector_options_pass_through():
+    secured = topic.topic_options("h", extra={"kafka.security.protocol": "SSL", "startingOffsets": "x"})
+    assert secured["kafka.security.protocol"] == "SSL" and secured["startingOffsets"] == "x"
+    timed = topic.topic_options("h", since=5, until=9, ending="latest")
+    assert timed["startingTimestamp"] == "5" and timed["endingTimestamp"] == "9"
+    assert not {"startingOffsets", "endingOffsets"} & set(timed)
+    assert topic.topic_options("h", ending="latest")["endingOffsets"] == "latest"
 
 
 def test_topic_rows_have_the_topic_layout(spark, small_dir):

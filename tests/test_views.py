@@ -13,7 +13,7 @@ def frame(spark, schema, *rows):
 
 
 def test_series_is_trailing_and_ordered(spark):
-    rows = [(START + timedelta(minutes=i), i) for i in (9, 3, 5, 4, 10)]
+    rows = [(START + timedelta(minutes=i), i) for i in (9, 11, 3, 5, 60, 4, 10)]
     inflow = frame(spark, "window_start timestamp, count long", *rows)
     series = views.inflow_series(inflow, F.lit(START + timedelta(minutes=10)))
     assert [r["count"] for r in series.collect()] == [5, 9, 10]

@@ -7,19 +7,21 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: stored times are text with second precision.
-SECONDS = "yyyy-MM-dd HH:mm:ss"
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def utc_text(instant: Column | str, zoned: bool = True) -> Column:
     """Time as text to the second. An instant is rendered in UTC whatever the
     session zone is; a zone-free time (``zoned=False``) is rendered as it reads.
+
+    Neither goes through a time of the session zone: one that falls into the hour a
+    clock change skips would come out an hour off.
     """
     instant = F.col(instant) if isinstance(instant, str) else instant
     if zoned:
-        instant = F.to_utc_timestamp(instant, F.current_timezone())
-    return F.date_format(instant, SECONDS)
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        instant = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+    return F.substring(instant.cast("string"), 1, 19)
 
 
 def event_time(text: Column | str, kind: str = "timestamp") -> Column:

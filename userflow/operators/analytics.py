@@ -116,7 +116,9 @@ def all_analytics(
 
 
 def analytics_in_one_pass(
-    users: DataFrame, time_col: str | None = "processed_timestamp"
+    users: DataFrame,
+    time_col: str | None = "processed_timestamp",
+    unknown_label: str | None = None,
 ) -> DataFrame:
     """All results from a single scan, as one long frame keyed by ``result``.
 
@@ -127,7 +129,8 @@ def analytics_in_one_pass(
     inflow among them.
     """
     keys = ["gender", "age_group", "country"]
-    columns = [F.col("gender"), age_bracket("age").alias("age_group"), F.col("country")]
+    bracket = age_bracket("age", unknown_label).alias("age_group")
+    columns = [F.col("gender"), bracket, F.col("country")]
     if time_col is not None:
         kind = users.schema[time_col].dataType
         minute = F.date_trunc("minute", F.col(time_col)).cast(kind)

@@ -21,9 +21,16 @@ _SOURCES = {
 }
 
 
-def decode(messages: DataFrame) -> DataFrame:
-    """Keep the message body only, as text."""
-    return messages.select(F.col("value").cast("string").alias("value"))
+# When the topic got a message, among the parsed columns.
+ARRIVED = "arrived"
+# A record's own time may lie so far beyond its message's arrival.
+AHEAD = "5 minutes"
+
+
+def decode(messages: DataFrame, arrival: bool = False) -> DataFrame:
+    """Keep the message body only, as text; with ``arrival`` the topic's own time, too."""
+    body = F.col("value").cast("string").alias("value")
+    return messages.select(body, F.col("timestamp").alias(ARRIVED)) if arrival else messages.select(body)
 
 
 def parse_users(
@@ -31,6 +38,7 @@ def parse_users(
     mode: str = "normalized",
     fields: Iterable[str] | None = None,
     skip_bad: bool = False,
+    arrival: bool = False,
 ) -> DataFrame:
     """User rows out of messages whose ``value`` holds one JSON record each.
 
@@ -44,7 +52,8 @@ def parse_users(
     A body that is no JSON object still gives one row, of nulls, because messages
     are counted whether or not they parse. ``skip_bad`` drops those rows.
 
-    ``fields`` limits the columns, and with them what is decoded at all.
+    ``fields`` limits the columns, and with them what is decoded at all. ``arrival``
+    adds the message's own ``timestamp`` as ``ARRIVED``.
     """
     wanted = FIELDS if fields is None else tuple(fields)
     unknown = set(wanted) - set(FIELDS)
@@ -57,16 +66,33 @@ def parse_users(
     else:
         raise ValueError(f"mode is 'declared' or 'normalized', not {mode!r}")
 
-    body = decode(messages)
+    body = decode(messages, arrival)
+    extra = [ARRIVED] if arrival else []
+    if not wanted and not skip_bad:
+        return body.select(*extra)
+    schema = _schema(wanted, available, mode) or "`id` string"
     if skip_bad:
-        # Null for anything but one well-formed JSON object.
-        body = body.where(F.json_object_keys("value").isNotNull())
-    if not wanted:
-        return body.select()
-    record = F.from_json("value", _schema(wanted, available, mode))
-    return body.select(record.alias("user")).select(
-        *(resolve(name).alias(name) for name in wanted)
+        only = body.select(_strict(schema).alias("only"), *extra)
+        users = only.select(F.col("only")[0].alias("user"), *extra)
+    else:
+        users = body.select(F.from_json("value", schema).alias("user"), *extra)
+    return users.select(*(resolve(name).alias(name) for name in wanted), *extra)
+
+
+def _strict(schema: str) -> Column:
+    """A list of the record alone, for a body that is exactly one well-formed JSON
+    object; other bodies have no row.
+
+    Put into a list before a null, a body with anything more in it is no JSON, has
+    more elements, or closes the list before the null. The rows come from a generator, below which Catalyst moves no filter,
+    and the list is named once, so that each body is decoded once.
+    """
+    text = F.concat(F.lit("["), "value", F.lit(",null]"))
+    listed = F.from_json(text, f"array<struct<{schema}>>")
+    alone = F.filter(
+        F.array(listed), lambda r: (F.size(r) == 2) & r[0].isNotNull() & r[1].isNull()
     )
+    return F.explode(alone)
 
 
 def stamp(users: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -79,16 +105,34 @@ def stamp(users: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def with_event_time(
-    users: DataFrame, name: str = "timestamp", kind: str = "timestamp"
+    users: DataFrame,
+    name: str = "timestamp",
+    kind: str = "timestamp",
+    arrived: Column | None = None,
+    ahead: str = AHEAD,
 ) -> DataFrame:
     """Turn the time text of the records into a time column called ``name``.
 
+    Records are not to be trusted: with ``arrived``, a time more than ``ahead`` beyond
+    it counts as that arrival, so that one wrong clock neither loses a row nor moves a
+    watermark past all others. The query's observed metrics ``event_times`` count such
+    rows as ``corrected``; rows that came too late for the watermark are in its state
+    metrics as ``numRowsDroppedByWatermark``.
+
     A time window drops rows without a time. Catalyst would move that filter below
     the parse and decode every message once for the filter and once more for the
     row; it does not move a filter on generated rows below the generator.
     """
-    time = F.explode(F.array(event_time("timestamp", kind))).alias(name)
-    return users.select(*(c for c in users.columns if c != "timestamp"), time)
+    kept = [c for c in users.columns if c != "timestamp"]
+    told = event_time("timestamp", kind)
+    if arrived is None:
+        return users.select(*kept, F.explode(F.array(told)).alias(name))
+    both = F.explode(F.array(F.struct(told.alias("told"), arrived.cast(kind).alias("arrived"))))
+    timed = users.select(*kept, both.alias("_time"))
+    early = F.col("_time.told") > F.col("_time.arrived") + F.expr(f"interval {ahead}")
+    timed = timed.observe("event_times", F.count_if(early).alias("corrected"))
+    time = F.when(early, F.col("_time.arrived")).otherwise(F.col("_time.told"))
+    return timed.select(*kept, time.alias(name))
 
 
 def _schema(wanted: tuple[str, ...], available: dict[str, str], mode: str) -> str:

@@ -28,9 +28,11 @@ MEAN_PANEL = "Average Age by Country"
 def inflow_series(
     inflow: DataFrame, as_of: Column, trailing: str = TRAILING
 ) -> DataFrame:
-    """Windows that start within ``trailing`` before ``as_of``, in time order."""
+    """Windows that start within ``trailing`` before ``as_of``, in time order; later
+    ones are not shown."""
     since = as_of - F.expr(f"interval {trailing}")
-    return inflow.where(F.col("window_start") >= since).orderBy("window_start")
+    shown = F.col("window_start").between(since, as_of)
+    return inflow.where(shown).orderBy("window_start")
 
 
 def share(result: DataFrame, value: str = "count") -> DataFrame:

@@ -11,6 +11,7 @@ from userflow.functions.times import wall_time
 from userflow.operators import analytics, views
 from userflow.operators.parse import parse_users, with_event_time
 from userflow.plans.users import (
+    arrived_messages,
     damaged_messages,
     flat_columns,
     raw_columns,
@@ -20,6 +21,7 @@ from userflow.plans.users import (
 )
 from userflow.session import scratch
 from userflow.sources import tables, topic
+from userflow.streaming import pipeline
 
 NTZ = "timestamp_ntz"
 
@@ -72,6 +74,25 @@ def user_inflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.user_inflow(_users(spark, sf_dir, "timestamp"), "ts")
 
 
+def inflow_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the time the topic got each message."""
+    messages = arrived_messages(user_records(spark, sf_dir), flat_columns())
+    inflow = pipeline.topic_results(messages, inflow_by="arrival")["user_inflow"]
+    return _windows(inflow.drop("timestamp"))
+
+
+def inflow_by_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By a clock that stands still: one window holds every message, parsed or not."""
+    now = wall_time(datetime(2024, 2, 1, 12, 30, 45)).cast("timestamp")
+    results = pipeline.topic_results(damaged_messages(spark, sf_dir), as_of=now)
+    return _windows(results["user_inflow"])
+
+
+def _windows(rows: DataFrame) -> DataFrame:
+    times = [c for c in rows.columns if c != "count"]
+    return rows.select(*(F.col(c).cast(NTZ).alias(c) for c in times), "count")
+
+
 def analytics_in_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = _users(spark, sf_dir, "gender", "age", "country", "timestamp")
     return analytics.analytics_in_one_pass(users, "ts")
@@ -81,12 +102,12 @@ def analytics_in_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_inflow_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over the stored inflow, where the time condition reaches the scan."""
+    """A day of the stored inflow, seen half a day before its newest window."""
     root = scratch(spark, "inflow")
     tables.replace(user_inflow(spark, sf_dir), root, "user_inflow")
-    newest = user_records(spark, sf_dir).agg(F.max("ts")).first()[0]
     inflow = tables.find(spark, root, "user_inflow", columns=["window_start", "count"])
-    return views.inflow_series(inflow, wall_time(newest), "1 day")
+    newest = inflow.agg(F.max("window_start")).scalar()
+    return views.inflow_series(inflow, newest - F.expr("interval 12 hours"), "1 day")
 
 
 def gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,14 +200,21 @@ def publish_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses that list a user's record in both shapes, split and parsed."""
+    """Responses that list a user's record in both shapes, split and parsed, and those
+    without a list, as they are."""
     shapes = (F.to_json(F.struct(*flat_columns())), F.to_json(F.struct(*raw_columns())))
     body = F.concat(
         F.lit('{"results":['), F.concat_ws(",", *shapes), F.lit('],"info":{}}')
     )
-    responses = user_records(spark, sf_dir).select(body.alias("value"))
-    messages = topic.encode_records(topic.split_responses(responses))
-    return parse_users(messages, fields=("id", "gender", "age", "country"))
+    number = F.substring("id", 3, 20).cast("bigint")
+    error = F.concat(F.lit('{"error":"'), "id", F.lit('"}'))
+    bad = F.when(number % 11 == 0, error).when(number % 37 == 0, F.concat("id", F.lit(" oops")))
+    responses = user_records(spark, sf_dir).select(F.coalesce(bad, body).alias("value"))
+    split = topic.split_responses(responses)
+    messages = topic.encode_records(topic.accepted(split))
+    users = parse_users(messages, fields=("id", "gender", "age", "country"))
+    lost = topic.rejected(split).withColumnRenamed("value", "rejected")
+    return users.unionByName(lost, allowMissingColumns=True)
 
 
 # -- tables ----------------------------------------------------------------------
@@ -251,6 +279,28 @@ def upsert_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.table(spark, root, "users")
 
 
+def append_one_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single documents beside a table's rows; what a document lacks is null."""
+    root, users = scratch(spark, "append"), user_records(spark, sf_dir)
+    tables.append(users.select("id", "gender", "age"), root, "users", with_id=True)
+    schema = "id string, gender string, age int"
+    for row in ({"id": "one", "age": 30}, {"id": "two", "gender": "x"}):
+        tables.append_row(spark, root, "users", row, schema)
+    return tables.find(spark, root, "users", columns=["id", "gender", "age"])
+
+
+def update_where_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set in place where a condition holds, and added where none does; the first of the
+    conditions is for a table that is not there yet."""
+    root, users = scratch(spark, "update"), user_records(spark, sf_dir)
+    kinds = users.schema
+    tables.update_where(spark, root, "users", {"id": "new"}, {"age": 1}, True, kinds)
+    tables.append(users, root, "users")
+    tables.update_where(spark, root, "users", "age >= 65", {"age": F.col("age") + 1, "gender": None})
+    tables.update_where(spark, root, "users", {"id": "other", "country": None}, {"age": 2}, True)
+    return tables.table(spark, root, "users")
+
+
 def update_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, changes = _update_parts(spark, sf_dir)
     merged = tables.merge_rows(target, changes.select("id", "gender", "age"), ["id"])
@@ -295,6 +345,8 @@ QUERIES = {
         country_distribution,
         avg_age_by_country,
         user_inflow,
+        inflow_by_arrival,
+        inflow_by_processing_time,
         analytics_in_one_pass,
         user_inflow_recent,
         gender_share,
@@ -319,6 +371,8 @@ QUERIES = {
         append_users,
         replace_result,
         upsert_users,
+        append_one_user,
+        update_where_users,
         update_users,
         set_users,
         upsert_counts,

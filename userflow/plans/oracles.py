@@ -59,6 +59,8 @@ RAW_RECORD = f"""concat('{{"gender":', {_text("gender")},
        '}},"dob":', {BIRTH}, ',"nat":', case when number % 7 <> 0 then '"NA"' else 'null' end,
        '}}')"""
 DAMAGED = "number % 17 = 0 or number % 19 = 0 or number % 37 = 0"
+# Bodies that begin with a whole record; read alone, it counts.
+GLUED = "number % 41 = 0 or number % 43 = 0 or number % 47 = 0 or number % 53 = 0"
 CHANGED = "age >= 65 or country is null"
 RAW_USERS = """select id, gender, age, country,
        case when number % 7 <> 0 then 'NA' end as nationality from u"""
@@ -66,6 +68,20 @@ CLOSED = f"""select * from ({INFLOW})
        where window_end <= (select max(ts) from u) - interval 1 minute"""
 
 
+# Every 17th user of the earlier half lands with the later one, and is too late unless
+# its window is open yet. Times far ahead count at the arrival, which is ``ts``.
+UNTRUSTED = f""", m as (select make_timestamp(epoch_us(min(ts))
+         + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2) as middle from events),
+     w as (select max(ts) - interval 1 minute as seen from u, m
+       where ts < middle and number % 17 <> 0)
+select {MINUTE} as window_start, {MINUTE} + interval 1 minute as window_end,
+       count(*) as count
+from u, m, w
+where (ts < middle and number % 17 <> 0 or {MINUTE} + interval 1 minute > seen)
+  and {MINUTE} + interval 1 minute <= (select max(ts) from u) - interval 1 minute
+group by 1, 2"""
+
+
 def _long(inflow: str) -> str:
     """All results in one list; they share the columns ``series``, ``count``, ``avg_age``."""
     return f"""select 'gender_distribution' as result, gender as series, count(*) as count,
@@ -100,9 +116,14 @@ _BODIES = {
     "country_distribution": COUNTRIES,
     "avg_age_by_country": MEANS,
     "user_inflow": INFLOW,
+    "inflow_by_arrival": INFLOW,
+    "inflow_by_processing_time": """select timestamp '2024-02-01 12:30:00' as window_start,
+       timestamp '2024-02-01 12:31:00' as window_end,
+       timestamp '2024-02-01 12:30:45' as timestamp, count(*) as count from u""",
     "analytics_in_one_pass": ONE_PASS,
     "user_inflow_recent": f"""select {MINUTE} as window_start, count(*) as count from u
-       where {MINUTE} >= (select max(ts) from u) - interval 1 day group by 1""",
+       where {MINUTE} between (select max({MINUTE}) from u) - interval 36 hours
+         and (select max({MINUTE}) from u) - interval 12 hours group by 1""",
     "gender_share": """select gender, count(*) as count,
        100.0e0 * count(*) / sum(count(*)) over () as percent from u group by gender""",
     "latest_by_gender": """select gender, arg_max(count, d) as count from
@@ -137,13 +158,16 @@ _BODIES = {
     "malformed_counted": f"""select case when {DAMAGED} then null else gender end as gender,
        count(*) as count from u group by 1""",
     "malformed_skipped": f"""select gender, count(*) as count from u
-       where not ({DAMAGED}) group by gender""",
+       where not ({DAMAGED} or {GLUED}) group by gender""",
     "publish_messages": f"""select concat('{{"uuid":', {_text("id")}, '}}') as key,
        {RECORD} as value from u""",
     "publish_raw_messages": f"""select concat('{{"uuid":', {_text("id")}, '}}') as key,
        {RAW_RECORD} as value from u""",
-    "split_responses": """select id, gender, age, country from u
-       union all select id, gender, age, country from u""",
+    "split_responses": """select id, gender, age, country, cast(null as varchar) as rejected
+       from u, range(2) where number % 11 <> 0 and number % 37 <> 0
+       union all select null, null, null, null, case when number % 11 = 0
+         then concat('{"error":"', id, '"}') else concat(id, ' oops') end
+       from u where number % 11 = 0 or number % 37 = 0""",
     "find_users": """select id, gender, country from u
        where gender is not distinct from null and age >= 65""",
     "find_users_equal": """select id, gender, age, country, ts from u
@@ -154,6 +178,12 @@ _BODIES = {
        from u group by gender""",
     "upsert_users": f"""select id, case when {CHANGED} then null else gender end as gender,
        case when {CHANGED} then age + 1 else age end as age, country, ts from u""",
+    "append_one_user": """select id, gender, age from u
+       union all select 'one', null, 30 union all select 'two', 'x', null""",
+    "update_where_users": """select id, case when age >= 65 then null else gender end as gender,
+       case when age >= 65 then age + 1 else age end as age, country, ts from u
+       union all select 'new', null, 1, null, null
+       union all select 'other', null, 2, null, null""",
     "update_users": f"""select id, case when {CHANGED} then null else gender end as gender,
        case when {CHANGED} then age + 1 else age end as age, country, ts from u
        where country is not null""",
@@ -174,6 +204,8 @@ _BODIES = {
     "stream_inflow_complete": INFLOW,
     "stream_inflow_append": CLOSED,
     "stream_inflow_update": INFLOW,
+    "stream_inflow_by_arrival": INFLOW,
+    "stream_inflow_untrusted": UNTRUSTED,
     "stream_age_per_batch": BARS,
     "stream_age_bounded": BARS,
     "stream_all_results": LONG,
@@ -181,6 +213,7 @@ _BODIES = {
     "stream_shared_bounded": _long(CLOSED),
     "stream_parsed_table": GENDERS,
     "backfill_results": LONG,
+    "backfill_raw_records": LONG,
     "ingest_raw_records": RAW_USERS,
 }
 

@@ -12,9 +12,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from userflow.functions.times import MICROS
 from userflow.operators import analytics, views
 from userflow.operators.parse import parse_users
-from userflow.plans.users import land_in_two, raw_records, user_messages, user_records
+from userflow.plans.users import (
+    arrived_messages,
+    flat_columns,
+    land_in_two,
+    raw_columns,
+    raw_records,
+    user_messages,
+    user_records,
+)
 from userflow.session import scratch
 from userflow.sources import tables, topic
 from userflow.streaming import pipeline
@@ -22,12 +31,12 @@ from userflow.streaming import pipeline
 NTZ = "timestamp_ntz"
 
 
-def _run(spark: SparkSession, sf_dir: str, start) -> str:
+def _run(spark: SparkSession, sf_dir: str, start, rows=None, late=None) -> str:
     """Call ``start(messages, root, checkpoint)`` after each landing; the queries it
     starts run to the end of what is there. Returns the root of the result tables."""
     base = scratch(spark, "stream")
     root, checkpoint = f"{base}/tables", f"{base}/checkpoints"
-    for landed in land_in_two(spark, sf_dir, f"{base}/topic"):
+    for landed in land_in_two(spark, sf_dir, f"{base}/topic", rows, late):
         pipeline.wait_for(start(topic.stream_topic_files(spark, landed), root, checkpoint))
     return root
 
@@ -36,7 +45,7 @@ def _one(name: str, mode: str = "complete", **parsing):
     """Start the named result only."""
 
     def start(messages: DataFrame, root: str, checkpoint: str):
-        results = pipeline.topic_results(messages, by_event_time=True, **parsing)
+        results = pipeline.topic_results(messages, **{"inflow_by": "record", **parsing})
         return [
             pipeline.start_result(results[name], root, name, checkpoint, mode, every=None)
         ]
@@ -74,6 +83,29 @@ def stream_inflow_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(tables.table(spark, root, "user_inflow"))
 
 
+def stream_inflow_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the topic's own times, without decoding any record."""
+
+    def rows(users: DataFrame) -> DataFrame:
+        return arrived_messages(users, flat_columns())
+
+    root = _run(spark, sf_dir, _one("user_inflow", inflow_by="arrival"), rows)
+    return _windows(tables.table(spark, root, "user_inflow"))
+
+
+def stream_inflow_untrusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final windows of records of which some carry a time far ahead, and some come too
+    late: the former count at their arrival, the latter not at all."""
+    number = F.substring("id", 3, 20).cast("bigint")
+
+    def rows(users: DataFrame) -> DataFrame:
+        told = F.when(number % 13 == 0, "2999-12-31T00:00:00").otherwise(F.date_format("ts", MICROS))
+        return arrived_messages(users, [F.col("id"), told.alias("timestamp")])
+
+    root = _run(spark, sf_dir, _one("user_inflow", "append"), rows, number % 17 == 0)
+    return _windows(tables.table(spark, root, "user_inflow"))
+
+
 def stream_age_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per bracket and micro-batch, added up to one bar per bracket."""
     root = _run(spark, sf_dir, _one("age_distribution", per_batch=True))
@@ -115,7 +147,7 @@ def _all(**how):
 
     def start(messages: DataFrame, root: str, checkpoint: str):
         return pipeline.run_pipeline(
-            messages, root, checkpoint, every=None, by_event_time=True, **how
+            messages, root, checkpoint, every=None, inflow_by="record", **how
         )
 
     return start
@@ -139,7 +171,15 @@ def stream_shared_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five tables by one batch job over all messages."""
     root = scratch(spark, "backfill")
-    pipeline.backfill(user_messages(spark, sf_dir), root, by_event_time=True)
+    pipeline.backfill(user_messages(spark, sf_dir), root, inflow_by="record")
+    return _long(spark, root)
+
+
+def backfill_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same out of records in the published shape, which tell no time of their own:
+    inflow is by the topic's."""
+    root = scratch(spark, "backfill")
+    pipeline.backfill(arrived_messages(user_records(spark, sf_dir), raw_columns()), root)
     return _long(spark, root)
 
 
@@ -185,6 +225,8 @@ QUERIES = {
         stream_inflow_complete,
         stream_inflow_append,
         stream_inflow_update,
+        stream_inflow_by_arrival,
+        stream_inflow_untrusted,
         stream_age_per_batch,
         stream_age_bounded,
         stream_all_results,
@@ -192,6 +234,7 @@ QUERIES = {
         stream_shared_bounded,
         stream_parsed_table,
         backfill_results,
+        backfill_raw_records,
         ingest_raw_records,
     )
 }

@@ -91,8 +91,16 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_topic(raw_records(user_records(spark, sf_dir)))
 
 
+def arrived_messages(users: DataFrame, columns: list[Column]) -> DataFrame:
+    """Users as topic rows that arrived at their ``ts``."""
+    whole = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).cast("binary")
+    keyless = users.select(F.lit(None).cast("binary").alias("key"), whole.alias("value"), "ts")
+    return as_topic_rows(keyless, arrived=F.col("ts").cast("timestamp"))
+
+
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages of which some are cut short, no JSON, or empty."""
+    """Messages of which some are cut short, no JSON, or empty, or hold more than a
+    record: other text, or a second one with or without a comma."""
     number = F.substring(F.get_json_object(F.col("key").cast("string"), "$.uuid"), 3, 20)
     number = number.cast("bigint")
     text = F.col("value").cast("string")
@@ -101,21 +109,34 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(number % 17 == 0, F.expr("left(cast(value as string), length(value) - 1)"))
         .when(number % 19 == 0, "not json")
         .when(number % 37 == 0, None)
+        .when(number % 41 == 0, F.concat(text, F.lit(" junk")))
+        .when(number % 43 == 0, F.concat(text, text))
+        .when(number % 47 == 0, F.concat(text, F.lit(","), text))
+        .when(number % 53 == 0, F.concat(text, F.lit("] junk")))
         .otherwise(text)
         .cast("binary"),
     )
 
 
-def land_in_two(spark: SparkSession, sf_dir: str, path: str):
+def middle_of_time(spark: SparkSession, sf_dir: str) -> Column:
+    edge = load(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    return wall_time(edge[0] + (edge[1] - edge[0]) / 2)
+
+
+def land_in_two(spark: SparkSession, sf_dir: str, path: str, rows=None, late: Column | None = None):
     """Land all messages as topic files, the earlier half of the time range first.
 
-    A generator: each step lands one half, so that a stream can run in between.
+    A generator: each step lands one half, so that a stream can run in between. ``rows``
+    makes topic rows of users; the default ones arrive now. ``late`` users of the earlier
+    half land with the other.
     """
-    edge = load(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
-    middle = wall_time(edge[0] + (edge[1] - edge[0]) / 2)
     users = user_records(spark, sf_dir)
-    early = F.col("ts") < middle
+    early = F.col("ts") < middle_of_time(spark, sf_dir)
+    early = early if late is None else early & ~late
     for half in (early, F.coalesce(~early, F.lit(True))):
-        messages = encode_topic(flat_records(users.where(half)), F.col("id"))
-        as_topic_rows(messages).write.mode("append").parquet(path)
+        if rows is None:
+            landed = as_topic_rows(encode_topic(flat_records(users.where(half)), F.col("id")))
+        else:
+            landed = rows(users.where(half))
+        landed.write.mode("append").parquet(path)
         yield path

@@ -1,16 +1,19 @@
 """Result tables: find, append, replace, keyed upsert, document text.
 
-A table is a directory under a root path. ``append`` adds parquet files to it.
-``replace`` and ``upsert`` write a new version below it and then move a one-line
-pointer file over the old pointer, so a reader sees the old rows or the new rows and
-never an empty or half-written table. One writer per table.
+A table is a directory under a root path. ``replace`` and ``upsert`` write a new
+version below it and then move a one-line pointer file over the old pointer, so a
+reader sees the old rows or the new rows and never an empty or half-written table.
+Replaced versions stay until ``expire`` is called. ``append`` adds parquet files to the
+current version: a reader may see some of them before the others, and a repeated append
+adds its rows again. ``upsert_dated`` keeps a table as one folder per date and rewrites
+touched dates in place. One writer per table.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from datetime import UTC, datetime, timedelta
 from functools import reduce
 from operator import and_, or_
 
@@ -23,8 +26,10 @@ from userflow.functions.times import utc_text
 # Spark skips names with a leading underscore when it lists a table directory.
 POINTER = "_current"
 VERSIONS = "_versions"
-# Replaced versions stay this long for readers that are still on them.
-KEPT_MINUTES = 10
+# What Spark's streaming file sink keeps beside its files; its readers go by it.
+STREAM_LOG = "_spark_metadata"
+# The folder level of a table that is laid out by date.
+DATE = "row_date"
 
 
 # -- reading ---------------------------------------------------------------------
@@ -41,11 +46,24 @@ def exists(spark: SparkSession, root: str, name: str) -> bool:
     base = f"{root}/{name}"
     if _read_pointer(spark, base) is not None:
         return True
+    return any(True for _ in _visible(spark, base))
+
+
+def is_stream_table(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether the table was written by a stream in append mode."""
+    _, place, fs = _hadoop(spark, f"{root}/{name}/{STREAM_LOG}")
+    return fs.exists(place)
+
+
+def _visible(spark: SparkSession, base: str) -> Iterator:
+    """What a reader of a directory sees, fetched entry by entry."""
     _, place, fs = _hadoop(spark, base)
-    return fs.exists(place) and any(
-        not entry.getPath().getName().startswith(("_", "."))
-        for entry in fs.listStatus(place)
-    )
+    if fs.exists(place):
+        entries = fs.listStatusIterator(place)
+        while entries.hasNext():
+            entry = entries.next()
+            if not entry.getPath().getName().startswith(("_", ".")):
+                yield entry
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -58,9 +76,18 @@ def find(
     name: str,
     where: Column | str | Mapping[str, object] | None = None,
     columns: Iterable[str] | None = None,
+    schema: str | T.StructType | None = None,
 ) -> DataFrame:
-    """Rows of a table; predicate and projection reach the parquet scan."""
-    return find_rows(table(spark, root, name), where, columns)
+    """Rows of a table; predicate and projection reach the parquet scan. With a
+    ``schema``, a table that was not written yet has no rows, and a written one is read
+    without a look at its files first."""
+    if schema is None:
+        rows = table(spark, root, name)
+    elif exists(spark, root, name):
+        rows = spark.read.schema(schema).parquet(table_path(spark, root, name))
+    else:
+        rows = spark.createDataFrame([], schema)
+    return find_rows(rows, where, columns)
 
 
 def find_rows(
@@ -103,6 +130,7 @@ def append(df: DataFrame, root: str, name: str, with_id: bool = False) -> None:
     lack and must not bring others.
     """
     spark = df.sparkSession
+    _refuse_stream_table(spark, root, name)
     if with_id:
         df = df.withColumn("_id", F.uuid())
     if exists(spark, root, name):
@@ -119,6 +147,11 @@ def append(df: DataFrame, root: str, name: str, with_id: bool = False) -> None:
     df.write.mode("append").parquet(table_path(spark, root, name))
 
 
+def _refuse_stream_table(spark: SparkSession, root: str, name: str) -> None:
+    if is_stream_table(spark, root, name):
+        raise ValueError(f"{name} is written by an append stream, whose log hides other rows")
+
+
 def _refuse_unknown(columns: Iterable[str], known: Iterable[str]) -> None:
     unknown = set(columns) - set(known)
     if unknown:
@@ -137,13 +170,15 @@ def append_row(
     return row_id
 
 
-def replace(df: DataFrame, root: str, name: str) -> bool:
+def replace(df: DataFrame, root: str, name: str, make: bool = False) -> bool:
     """Make ``df`` the whole table. Empty results are skipped: the previous rows
-    stay and False is returned. The frame is computed once."""
-    spark, version = df.sparkSession, _new_version()
+    stay and False is returned. With ``make``, a table that was not written yet is
+    made empty. The frame is computed once."""
+    spark, version, seen = df.sparkSession, _new_version(), Observation()
+    _refuse_stream_table(spark, root, name)
     path = f"{root}/{name}/{version}"
-    df.write.parquet(path)
-    if spark.read.schema(df.schema).parquet(path).isEmpty():
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    if seen.get["rows"] == 0 and not (make and not exists(spark, root, name)):
         _delete(spark, path)
         return False
     _publish(spark, f"{root}/{name}", version)
@@ -177,6 +212,30 @@ def upsert(
     return _write_merged(merge_rows(target, updates, keys, insert), root, name)
 
 
+def upsert_dated(updates: DataFrame, root: str, name: str, keys: list[str], time_col: str) -> None:
+    """Update and insert by key in a table laid out by the date of ``time_col``, which
+    must be among the keys. Only touched dates are written, and no date beyond the first
+    and last of them is read.
+
+    ``updates`` must hold each key once and have the table's columns; it is read several
+    times. A repeated call changes nothing. Touched dates are replaced one after the
+    other, by Spark's partition overwrite: a reader that is on one of them may fail and
+    must read again. ``DATE`` is a column of the table.
+    """
+    spark = updates.sparkSession
+    if _read_pointer(spark, f"{root}/{name}") is not None or is_stream_table(spark, root, name):
+        raise ValueError(f"{name} is not laid out by date")
+    dated = updates.withColumn(DATE, F.to_date(time_col))
+    edge = dated.agg(F.struct(F.min(DATE).alias("low"), F.max(DATE).alias("high"))).scalar()
+    near = F.col(DATE).between(edge.low, edge.high)
+    target = find(spark, root, name, near, schema=dated.schema)
+    target = target.join(dated.select(DATE).distinct(), DATE, "left_semi").select(*dated.columns)
+    same_key = reduce(and_, (F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in [*keys, DATE]))
+    kept = target.alias("old").join(dated.alias("new"), same_key, "left_anti")
+    writer = kept.unionByName(dated).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(f"{root}/{name}")
+
+
 def merge_into(
     updates: DataFrame, table_name: str, keys: list[str], insert: bool = False
 ) -> None:
@@ -201,13 +260,14 @@ def update_where(
     where: Column | str | Mapping[str, object],
     values: Mapping[str, object],
     insert: bool = False,
+    schema: str | T.StructType | None = None,
 ) -> dict[str, int]:
     """Set columns of all rows that satisfy a condition; returns counts as ``upsert``
     does. Values are constants or expressions of the row. Without a match nothing is
     rewritten; with ``insert`` one row is then added, from a mapping's values and the
-    new ones.
+    new ones. With a ``schema``, a table that was not written yet counts as empty.
     """
-    rows = table(spark, root, name)
+    rows = find(spark, root, name, schema=schema)
     _refuse_unknown(values, rows.columns)
     if not rows.where(condition(where)).isEmpty():
         return _write_merged(update_rows(rows, where, values), root, name)
@@ -349,7 +409,31 @@ def to_json_documents(df: DataFrame) -> DataFrame:
 
 
 def _new_version() -> str:
-    return f"{VERSIONS}/{uuid.uuid4().hex}"
+    """Names sort by time, so that their order needs no file times."""
+    return f"{VERSIONS}/{datetime.now(UTC):%Y%m%dT%H%M%S.%f}-{uuid.uuid4().hex}"
+
+
+def expire(spark: SparkSession, root: str, name: str, older_than: timedelta) -> int:
+    """Delete what no reader can need that began less than ``older_than`` ago: versions
+    that were replaced before then, and rows in place that a version has replaced.
+    Returns how many entries went. The current version always stays."""
+    base = f"{root}/{name}"
+    current = _read_pointer(spark, base)
+    if current is None:
+        return 0
+    _, place, fs = _hadoop(spark, f"{base}/{VERSIONS}")
+    names = sorted(entry.getPath().getName() for entry in fs.listStatus(place))
+    limit = f"{datetime.now(UTC) - older_than:%Y%m%dT%H%M%S.%f}"
+    published = current.removeprefix(f"{VERSIONS}/")
+    versions = [n for n in names if not n.startswith(".")]
+    # A version is replaced when the next one begins at the earliest.
+    gone = [n for n, after in zip(versions, versions[1:], strict=False) if after < limit and n < published]
+    for n in gone:
+        _delete(spark, f"{base}/{VERSIONS}/{n}")
+    in_place = list(_visible(spark, base)) if versions and versions[0] < limit else []
+    for entry in in_place:
+        fs.delete(entry.getPath(), True)
+    return len(gone) + len(in_place)
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -375,7 +459,8 @@ def _read_pointer(spark: SparkSession, base: str) -> str | None:
 
 
 def _publish(spark: SparkSession, base: str, version: str) -> None:
-    """Move the pointer to a written version in one rename, then drop old ones."""
+    """Move the pointer to a written version in one rename, which must replace the old
+    pointer at once: a file system that does so for files is needed."""
     jvm, place, fs = _hadoop(spark, f"{base}/{POINTER}")
     draft = jvm.org.apache.hadoop.fs.Path(f"{base}/{version}.pointer")
     out = fs.create(draft, True)
@@ -388,19 +473,3 @@ def _publish(spark: SparkSession, base: str, version: str) -> None:
         fs.getUri(), spark._jsc.hadoopConfiguration()
     )
     files.rename(fs.makeQualified(draft), fs.makeQualified(place), over)
-    _drop_old_versions(spark, base, version)
-
-
-def _drop_old_versions(spark: SparkSession, base: str, current: str) -> None:
-    """Keep the current version, the one before, and all recent ones."""
-    _, place, fs = _hadoop(spark, f"{base}/{VERSIONS}")
-    older = [
-        entry
-        for entry in fs.listStatus(place)
-        if f"{VERSIONS}/{entry.getPath().getName()}" != current
-    ]
-    older.sort(key=lambda entry: entry.getModificationTime(), reverse=True)
-    recent = (time.time() - 60 * KEPT_MINUTES) * 1000
-    for entry in older[1:]:
-        if entry.getModificationTime() < recent:
-            fs.delete(entry.getPath(), True)

@@ -6,6 +6,8 @@ hold rows in the topic layout work everywhere and take the same decode path.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +18,9 @@ from userflow.schema import TOPIC
 USER_TOPIC = "user_data"
 RESPONSE_LIST = "results"
 
+# Files of a backlog that one micro-batch of an ingestion takes.
+MAX_FILES = 1000
+
 
 def topic_options(
     servers: str,
@@ -23,9 +28,18 @@ def topic_options(
     starting: str = "latest",
     min_partitions: int | None = None,
     max_per_trigger: int | None = None,
+    ending: str | None = None,
+    since: int | None = None,
+    until: int | None = None,
+    extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Source options for one topic.
 
+    ``starting`` and ``ending`` are offsets as the connector takes them, ``since`` and
+    ``until`` times in epoch milliseconds that stand in their place; the endings hold for
+    batch reads. ``extra`` are any other options, such as ``kafka.security.protocol``,
+    and override the rest.
+
     One topic partition is one task by default, so a topic with few or uneven
     partitions bounds the whole job. ``min_partitions`` splits large offset ranges
     over more tasks. ``max_per_trigger`` bounds a micro-batch after an outage.
@@ -39,7 +53,14 @@ def topic_options(
         options["minPartitions"] = str(min_partitions)
     if max_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
-    return options
+    if since is not None:
+        del options["startingOffsets"]
+        options["startingTimestamp"] = str(since)
+    if until is not None:
+        options["endingTimestamp"] = str(until)
+    elif ending is not None:
+        options["endingOffsets"] = ending
+    return {**options, **(extra or {})}
 
 
 def stream_topic(spark: SparkSession, servers: str, **options) -> DataFrame:
@@ -91,9 +112,32 @@ def encode_records(lines: DataFrame) -> DataFrame:
 
 
 def split_responses(responses: DataFrame) -> DataFrame:
-    """One JSON record per row out of API responses that list several."""
+    """One JSON record per row (``value``) out of API responses that list several.
+
+    A response that does not parse or lists nothing under that name gives one row, with
+    itself as ``rejected`` and a null ``value``; an empty list gives none. ``accepted`` and
+    ``rejected`` take them apart.
+    """
     listed = F.from_json("value", f"{RESPONSE_LIST} array<string>")[RESPONSE_LIST]
-    return responses.select(F.explode(listed).alias("value"))
+    either = F.when(
+        listed.isNull(),
+        F.array(F.struct(F.lit(None).cast("string").alias("value"), F.col("value").alias("rejected"))),
+    ).otherwise(
+        F.transform(
+            listed, lambda r: F.struct(r.alias("value"), F.lit(None).cast("string").alias("rejected"))
+        )
+    )
+    return responses.select(F.explode(either).alias("one")).select("one.value", "one.rejected")
+
+
+def accepted(split: DataFrame) -> DataFrame:
+    """The records of ``split_responses``."""
+    return split.where("value is not null").select("value")
+
+
+def rejected(split: DataFrame) -> DataFrame:
+    """The responses that ``split_responses`` found no records in, as they came."""
+    return split.where("rejected is not null").select(F.col("rejected").alias("value"))
 
 
 def as_topic_rows(
@@ -113,9 +157,15 @@ def as_topic_rows(
     )
 
 
-def publish(messages: DataFrame, servers: str, topic: str = USER_TOPIC) -> None:
-    """Send messages to the topic; delivery is at least once."""
-    _to_broker(messages.write, servers, topic).save()
+def publish(
+    messages: DataFrame,
+    servers: str,
+    topic: str = USER_TOPIC,
+    extra: Mapping[str, str] | None = None,
+) -> None:
+    """Send messages to the topic; delivery is at least once. ``extra`` are any other
+    options of the connector, such as producer or security settings."""
+    _to_broker(messages.write, servers, topic, extra).save()
 
 
 def publish_stream(
@@ -124,15 +174,22 @@ def publish_stream(
     checkpoint: str,
     topic: str = USER_TOPIC,
     every: str = "5 seconds",
+    extra: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Keep sending: what arrives in the source goes to the topic."""
     writer = messages.writeStream.option("checkpointLocation", checkpoint)
-    return _to_broker(writer.trigger(processingTime=every), servers, topic).start()
+    return _to_broker(writer.trigger(processingTime=every), servers, topic, extra).start()
 
 
-def stream_record_files(spark: SparkSession, path: str) -> DataFrame:
-    """A stream of text files with one raw JSON record per line."""
-    return spark.readStream.text(path)
+def stream_record_files(
+    spark: SparkSession, path: str, max_files: int | None = MAX_FILES
+) -> DataFrame:
+    """A stream of text files with one raw JSON record per line; a batch takes up to
+    ``max_files`` of a backlog, or with None all."""
+    reader = spark.readStream
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.text(path)
 
 
 def land_stream(
@@ -142,13 +199,27 @@ def land_stream(
 
     Without ``every`` the query handles what is there and ends.
     """
-    writer = as_topic_rows(messages).writeStream.option("checkpointLocation", checkpoint)
-    writer = (
-        writer.trigger(availableNow=True)
-        if every is None
-        else writer.trigger(processingTime=every)
-    )
-    return writer.format("parquet").option("path", path).start()
+    return _landing(as_topic_rows(messages), "parquet", path, checkpoint, every)
+
+
+def keep_rejected(
+    split: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Keep the responses without records as text files. The query's observed metrics
+    ``responses`` count them as ``rejected``."""
+    counted = rejected(split).observe("responses", F.count(F.lit(1)).alias("rejected"))
+    return _landing(counted, "text", path, checkpoint, every)
+
+
+def _landing(
+    rows: DataFrame, kind: str, path: str, checkpoint: str, every: str | None
+) -> StreamingQuery:
+    writer = rows.writeStream.option("checkpointLocation", checkpoint)
+    if every is None:
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=every)
+    return writer.format(kind).option("path", path).start()
 
 
 def _key(uuid: Column | None) -> Column:
@@ -157,9 +228,6 @@ def _key(uuid: Column | None) -> Column:
     return F.when(uuid.isNotNull(), F.to_json(F.struct(uuid.alias("uuid")))).cast("binary")
 
 
-def _to_broker(writer, servers: str, topic: str):
-    return (
-        writer.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-    )
+def _to_broker(writer, servers: str, topic: str, extra: Mapping[str, str] | None):
+    options = {"kafka.bootstrap.servers": servers, "topic": topic, **(extra or {})}
+    return writer.format("kafka").options(**options)

@@ -4,10 +4,12 @@ Output modes and their sinks:
 
 * ``complete`` (default): every trigger replaces the whole result table. The
   watermark neither drops late rows nor frees state here.
-* ``update``: changed rows are upserted into the result table by key.
+* ``update``: changed rows are upserted into the result table by key; results that grow
+  with time are laid out by date, and only touched dates are written.
 * ``append``: final rows only, so closed windows of inflow, or age counts of past
-  batches; Spark's file sink adds them exactly once. Such a table belongs to its stream: readers go by the sink's log and
-  do not see rows that ``tables.append`` adds.
+  batches; Spark's file sink adds them exactly once. Such a table belongs to its stream:
+  readers go by the sink's log. A stream does not append to a table that has versions,
+  and nothing else writes to the table of such a stream: both raise an error.
 
 Each query has its own checkpoint, so a restart resumes its counts.
 """
@@ -21,18 +23,22 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.util import inheritable_thread_target
 
 from userflow.operators import analytics
-from userflow.operators.parse import parse_users, stamp, with_event_time
+from userflow.operators.parse import ARRIVED, parse_users, stamp, with_event_time
 from userflow.schema import LANDED_FIELDS, RESULT_KEYS, ddl
 from userflow.sources import tables
 
 EVERY = "10 seconds"
+LAND_EVERY = "1 minute"
 STATE_PARTITIONS = 8
 
 RESULTS = tuple(analytics.NEEDS)
 # What identifies an age count that is kept per micro-batch.
 BATCH_KEYS = ["age_group", "timestamp"]
+# What inflow counts by: the clock, the topic's time of a message, the record's own.
+INFLOW_TIMES = ("processing", "arrival", "record")
 
 
 # -- results of a topic ----------------------------------------------------------
@@ -43,35 +49,33 @@ def topic_results(
     parse: str = "normalized",
     skip_bad: bool = False,
     per_batch: bool = False,
-    by_event_time: bool = False,
+    inflow_by: str = "processing",
     window: str = "1 minute",
     watermark: str | None = "1 minute",
     as_of: Column | None = None,
+    unknown_label: str | None = None,
 ) -> dict[str, DataFrame]:
     """The five results of a topic; each decodes only the fields it uses.
 
-    Inflow counts arrivals by processing time, or with ``by_event_time`` by the
-    time written in the record. ``per_batch`` keys the age counts by micro-batch.
-    The watermark applies to both.
+    Inflow counts by processing time, by ``arrival`` (the topic's own time of a
+    message, which needs no decoding and survives a replay) or by the time in the
+    ``record``, which is bounded by the arrival. ``per_batch`` keys the age counts by
+    micro-batch. The watermark applies to both.
     """
     now = F.current_timestamp() if as_of is None else as_of
 
     def users(name: str) -> DataFrame:
-        fields = analytics.NEEDS[name]
-        if name == "user_inflow" and by_event_time:
-            fields = (*fields, "timestamp")
-        parsed = parse_users(messages, parse, fields, skip_bad)
-        if "timestamp" in fields:
-            parsed = with_event_time(parsed)
-        return stamp(parsed, as_of)
-
-    inflow_time = "timestamp" if by_event_time else "processed_timestamp"
+        by = inflow_by if name == "user_inflow" else "processing"
+        return _timed_users(messages, parse, analytics.NEEDS[name], skip_bad, by, as_of)
+
+    inflow_time = _inflow_column(inflow_by)
     return {
         "gender_distribution": analytics.gender_distribution(
             users("gender_distribution"), now
         ),
         "age_distribution": analytics.age_distribution(
-            users("age_distribution"), per_batch, watermark=watermark, as_of=now
+            users("age_distribution"), per_batch, unknown_label=unknown_label,
+            watermark=watermark, as_of=now,
         ),
         "country_distribution": analytics.country_distribution(
             users("country_distribution"), now
@@ -85,6 +89,32 @@ def topic_results(
     }
 
 
+def _inflow_column(inflow_by: str) -> str:
+    if inflow_by not in INFLOW_TIMES:
+        raise ValueError(f"inflow is by one of {INFLOW_TIMES}, not {inflow_by!r}")
+    return {"processing": "processed_timestamp", "arrival": ARRIVED, "record": "timestamp"}[inflow_by]
+
+
+def _timed_users(
+    messages: DataFrame,
+    parse: str,
+    fields: tuple[str, ...],
+    skip_bad: bool,
+    inflow_by: str,
+    as_of: Column | None,
+) -> DataFrame:
+    """Parsed users with the time column that their inflow needs."""
+    record = inflow_by == "record"
+    # Without a topic's time the clock stands for the arrival.
+    topic_time = inflow_by == "arrival" or record and "timestamp" in messages.columns
+    wanted = (*fields, "timestamp") if record else fields
+    users = parse_users(messages, parse, wanted, skip_bad, topic_time)
+    if record:
+        now = F.current_timestamp() if as_of is None else as_of
+        users = with_event_time(users, arrived=F.col(ARRIVED) if topic_time else now)
+    return stamp(users, as_of)
+
+
 # -- sinks -----------------------------------------------------------------------
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -118,30 +148,52 @@ def upserting(spark: SparkSession, root: str, name: str, keys: list[str]) -> Bat
     return write
 
 
+def upserting_dated(
+    spark: SparkSession, root: str, name: str, keys: list[str], time_col: str
+) -> BatchSink:
+    """The same for a table that is laid out by date: rows of other dates are neither
+    read nor written."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        staged = f"{name}_changes"
+        if tables.replace(tables.with_lineage(batch, batch_id), root, staged):
+            changes = tables.table(spark, root, staged)
+            tables.upsert_dated(changes, root, name, keys, time_col)
+
+    return write
+
+
 def splitting(
     spark: SparkSession, root: str, names: Iterable[str] = RESULTS
 ) -> BatchSink:
     """Each batch of the combined result replaces the tables of all its results.
 
     The batch is written once; the tables are made from what was written, by small
-    jobs side by side.
+    jobs side by side, and move on one after the other. Readers that need all of one
+    batch read ``combined``, or compare ``batch_id``. A result without rows makes an
+    empty table at first and later leaves the previous rows.
     """
     names = tuple(names)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not tables.replace(tables.with_lineage(batch, batch_id), root, "combined"):
+        if not tables.replace(tables.with_lineage(batch, batch_id), root, "combined", make=True):
             return
         combined = tables.table(spark, root, "combined")
 
         def replace(name: str) -> bool:
-            return tables.replace(analytics.pick_result(combined, name), root, name)
+            return tables.replace(analytics.pick_result(combined, name), root, name, make=True)
 
+        # Jobs of the pool belong to the query, so that stopping it stops them.
         with ThreadPoolExecutor(len(names)) as pool:
-            list(pool.map(replace, names))
+            list(pool.map(inheritable_thread_target(spark)(replace), names))
 
     return write
 
 
+# What a result that grows with time is laid out by.
+TIMES = {"user_inflow": "window_start", "age_distribution": "timestamp"}
+
+
 # -- queries ---------------------------------------------------------------------
 
 
@@ -172,10 +224,17 @@ def start_result(
     else:
         writer = writer.trigger(processingTime=every)
     if mode == "append" and sink is None:
+        spark = result.sparkSession
+        if tables.exists(spark, root, name) and not tables.is_stream_table(spark, root, name):
+            raise ValueError(f"{name} holds rows that no append stream wrote, which would hide its own")
         writer = writer.format("parquet").option("path", f"{root}/{name}")
     else:
         if sink is None and mode == "update":
-            sink = upserting(result.sparkSession, root, name, keys or RESULT_KEYS[name])
+            own = keys or RESULT_KEYS[name]
+            if TIMES.get(name) in own:
+                sink = upserting_dated(result.sparkSession, root, name, own, TIMES[name])
+            else:
+                sink = upserting(result.sparkSession, root, name, own)
         writer = writer.foreachBatch(sink or replacing(root, name))
     with _shuffle_partitions(result.sparkSession, state_partitions):
         return writer.start()
@@ -225,7 +284,7 @@ def run_pipeline(
 
     Five queries scan the topic five times and advance on their own. With
     ``shared_scan`` one query scans and parses it once and writes all tables from one
-    batch, so the tables agree with each other.
+    batch; they carry the same ``batch_id`` once all have moved on.
 
     ``mode="bounded"`` appends what becomes final, so that watermarks free the state
     that would grow for ever (inflow windows, age counts per batch), and keeps the
@@ -246,9 +305,9 @@ def run_pipeline(
         )
     if per_batch or (mode != "complete" and not bounded):
         raise ValueError("a shared scan replaces whole tables of totals")
-    if "window" in parsing and not bounded:
+    if parsing.get("window", "1 minute") != "1 minute" and not bounded:
         raise ValueError("a shared scan counts inflow per minute")
-    shared = {k: parsing[k] for k in ("parse", "skip_bad", "as_of") if k in parsing}
+    shared = {k: parsing[k] for k in ("parse", "skip_bad", "as_of", "unknown_label") if k in parsing}
     if bounded:
         results = {
             "combined": combined_results(messages, windows=False, **shared),
@@ -256,8 +315,8 @@ def run_pipeline(
         }
         names = [name for name in RESULTS if name != "user_inflow"]
     else:
-        by_event_time = parsing.get("by_event_time", False)
-        combined = combined_results(messages, by_event_time=by_event_time, **shared)
+        inflow_by = parsing.get("inflow_by", "processing")
+        combined = combined_results(messages, inflow_by=inflow_by, **shared)
         results, names = {"combined": combined}, RESULTS
     return start_all(
         results, root, checkpoint, {"user_inflow": "append"}, every,
@@ -265,9 +324,12 @@ def run_pipeline(
     )
 
 
-def backfill(messages: DataFrame, root: str, batch_id: int = 0, **parsing) -> None:
-    """The same five tables from a batch of messages, read and parsed once."""
-    combined = combined_results(messages, **parsing)
+def backfill(
+    messages: DataFrame, root: str, batch_id: int = 0, inflow_by: str = "arrival", **parsing
+) -> None:
+    """The same five tables from a batch of messages, read and parsed once. Inflow is by
+    the topic's own time, since the clock would put all of a replay into one window."""
+    combined = combined_results(messages, inflow_by=inflow_by, **parsing)
     splitting(messages.sparkSession, root)(combined, batch_id)
 
 
@@ -275,21 +337,18 @@ def combined_results(
     messages: DataFrame,
     parse: str = "normalized",
     skip_bad: bool = False,
-    by_event_time: bool = False,
+    inflow_by: str = "processing",
     windows: bool = True,
     as_of: Column | None = None,
+    unknown_label: str | None = None,
 ) -> DataFrame:
     """All results of a topic from one scan and one parse; without ``windows`` all but
     the inflow."""
-    timed = by_event_time and windows
-    fields = ("gender", "age", "country", *(["timestamp"] if timed else []))
-    users = parse_users(messages, parse, fields, skip_bad)
-    if timed:
-        users = with_event_time(users)
-    users = stamp(users, as_of)
-    time_col = "timestamp" if timed else "processed_timestamp"
+    time_col = _inflow_column(inflow_by)
+    fields = ("gender", "age", "country")
+    users = _timed_users(messages, parse, fields, skip_bad, inflow_by if windows else "processing", as_of)
     now = F.current_timestamp() if as_of is None else as_of
-    combined = analytics.analytics_in_one_pass(users, time_col if windows else None)
+    combined = analytics.analytics_in_one_pass(users, time_col if windows else None, unknown_label)
     return combined.withColumn("timestamp", now)
 
 
@@ -300,16 +359,22 @@ def land_users(
     messages: DataFrame,
     path: str,
     checkpoint: str,
-    every: str | None = EVERY,
+    every: str | None = LAND_EVERY,
     parse: str = "normalized",
     skip_bad: bool = False,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Parse the topic once into a columnar table that later queries stream from.
 
-    Rows keep their arrival time and are laid out by arrival date.
+    Rows keep their arrival time and are laid out by arrival date. Each batch adds at
+    least a file for each of its tasks; ``files`` deals its rows to so many, at the price
+    of a shuffle, and a longer ``every`` makes fewer batches. ``archive_dates`` puts
+    closed dates into few files.
     """
     users = stamp(parse_users(messages, parse, skip_bad=skip_bad))
     dated = users.withColumn("arrival_date", F.to_date("processed_timestamp"))
+    if files is not None:
+        dated = dated.repartition(files)
     writer = (
         dated.writeStream.format("parquet")
         .partitionBy("arrival_date")
@@ -321,6 +386,21 @@ def land_users(
     return writer.trigger(processingTime=every).start()
 
 
+def archive_dates(
+    spark: SparkSession, path: str, archive: str, before: str, files_per_date: int = 1
+) -> None:
+    """Copy the landed rows of all dates before ``before`` into a table of its own, with
+    few files for each date. Streams go on reading ``path``, batch jobs read closed dates
+    from ``archive``. Dates that are there already are written anew, so a repeated call
+    changes nothing; pass a later landing folder, or let the landing stream's file
+    ``retention`` go, to drop what is archived."""
+    closed = spark.read.parquet(path).where(F.col("arrival_date") < F.lit(before).cast("date"))
+    piece = F.pmod(F.xxhash64("id", "processed_timestamp"), F.lit(files_per_date))
+    dates = closed.repartition("arrival_date", piece)
+    writer = dates.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("arrival_date").parquet(archive)
+
+
 def stream_users(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Stream of a table written by ``land_users``."""
     reader = spark.readStream.schema(ddl(LANDED_FIELDS))
