@@ -8,24 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from userflow.llm import decontaminate, near_dups, packing, quality, toxicity
+from userflow.llm.ship import table
 from userflow.llm.tables import stored
 from userflow.llm.tokens import public
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier, learnt from all labels, lets pass."""
-    return toxicity.drop_toxic(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality ranking, learnt from all labels, puts above its cut."""
-    return quality.drop_poor(docs, _table(spark, sf_dir, "labels"))
+    return quality.drop_poor(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +32,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a notable part of the benchmark."""
-    return decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +55,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table of documents."""
-    rows = _table(spark, sf_dir, "documents")
+    rows = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         rows = stored(stage(spark, rows, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, rows, sf_dir)

@@ -6,15 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from userflow.llm import decontaminate, lengths, licenses, multi_index, near_dups, packing, quality, tokens, toxicity, url_filter, warc
+from userflow.llm import (
+    decontaminate,
+    lengths,
+    licenses,
+    multi_index,
+    near_dups,
+    packing,
+    quality,
+    tokens,
+    toxicity,
+    url_filter,
+    warc,
+)
 from userflow.llm.labelled import held_out
+from userflow.llm.ship import table
 from userflow.llm.tables import stored
 
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # The rules, and the words that put a host on the list.
 URL_RULES = (
     url_filter.Rule("allow", "org", "/"),
@@ -27,7 +35,7 @@ LISTED_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages")
     url = F.col("url")
     named = F.arrays_overlap(F.split(url_filter.host(url), "[.-]"), F.array(*[F.lit(w) for w in LISTED_WORDS]))
     listed = pages.where(named).select(F.concat(url_filter.host(url), url_filter.path(url)).alias("key"))
@@ -35,13 +43,13 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dups.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The table has no capture times; they follow from the ids.
     captured = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("page_id"))
-    pages = _table(spark, sf_dir, "pages").select("page_id", "url", captured.alias("captured"), "html")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", captured.alias("captured"), "html")
     return warc.archived(pages).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key",
         F.unix_seconds("captured").alias("captured_s"),
@@ -49,11 +57,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(_table(spark, sf_dir, "documents"), tokens.public())
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokens.public())
     digests = pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "place"
     )
@@ -66,30 +74,30 @@ def _judged(docs: DataFrame, score: Column, out: Column) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     out = held_out(F.col("doc_id"), 5, 0)
-    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), ~out)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~out)
     return _judged(docs, toxicity.score("text", model), out)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     out = held_out(F.col("doc_id"), 3, 1)
-    model = quality.fit(docs, _table(spark, sf_dir, "labels"), ~out)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~out)
     return _judged(docs, quality.score("text", model), out)
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return multi_index.near_vectors(_table(spark, sf_dir, "embeddings"), similarity=0.98)
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings"), similarity=0.98)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = lengths.histogram(_table(spark, sf_dir, "documents"), tokens.public())
+    counts = lengths.histogram(table(spark, sf_dir, "documents"), tokens.public())
     return lengths.with_suffix_sums(counts)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return decontaminate.judged(found).select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(listed, 256).alias("items_sha256"), "contaminated"
