@@ -226,10 +226,10 @@ def upsert_dated(updates: DataFrame, root: str, name: str, keys: list[str], time
     if _read_pointer(spark, f"{root}/{name}") is not None or is_stream_table(spark, root, name):
         raise ValueError(f"{name} is not laid out by date")
     dated = updates.withColumn(DATE, F.to_date(time_col))
-    edge = dated.agg(F.struct(F.min(DATE).alias("low"), F.max(DATE).alias("high"))).scalar()
-    near = F.col(DATE).between(edge.low, edge.high)
-    target = find(spark, root, name, near, schema=dated.schema)
-    target = target.join(dated.select(DATE).distinct(), DATE, "left_semi").select(*dated.columns)
+    days = F.struct(F.min(DATE).alias("low"), F.max(DATE).alias("high"), F.collect_set(DATE).alias("each"))
+    touched = dated.agg(days).scalar()
+    near = F.col(DATE).between(touched.low, touched.high)
+    target = find(spark, root, name, near & F.array_contains(touched.each, F.col(DATE)), schema=dated.schema)
     same_key = reduce(and_, (F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in [*keys, DATE]))
     kept = target.alias("old").join(dated.alias("new"), same_key, "left_anti")
     writer = kept.unionByName(dated).write.mode("overwrite")
