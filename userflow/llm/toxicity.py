@@ -103,20 +103,29 @@ def _fit(numbers: list[np.ndarray], toxic: np.ndarray, fairness: float) -> Model
     row, feature = row[used[feature]], number[feature[used[feature]]]
     swap_feature = number[swap_feature]
     share = toxic.mean()
-    bias, weight, seen = float(np.log(share / (1 - share))), np.zeros(len(name)), np.zeros(len(name))
-    for _ in range(ROUNDS):
-        z = bias + np.bincount(row, weight[feature], n)
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic) / n
-        change = np.bincount(swap_row, weight[swap_feature] * sign, n)
-        slope = np.bincount(feature, error[row], len(name))
-        slope += fairness / n * np.bincount(swap_feature, change[swap_row] * sign, len(name))
-        seen += slope * slope
-        step = 0.3 / np.sqrt(seen + 1e-10)
-        weight -= step * slope
-        weight = np.sign(weight) * np.maximum(np.abs(weight) - step * SPARSITY, 0)
-        bias -= 2 * float(error.sum())
-    kept = weight != 0
-    return Model(bias, name[kept], weight[kept])
+    bias, weight = float(np.log(share / (1 - share))), np.zeros(len(name))
+    # First with the penalty, which picks the features, then those alone without it,
+    # which would keep scores too close to the base rate.
+    for sparsity in (SPARSITY, 0.0):
+        if not sparsity:
+            kept = weight != 0
+            number, name, weight = np.cumsum(kept) - 1, name[kept], weight[kept]
+            row, feature = row[kept[feature]], number[feature[kept[feature]]]
+            on = kept[swap_feature]
+            swap_row, swap_feature, sign = swap_row[on], number[swap_feature[on]], sign[on]
+        seen = np.zeros(len(name))
+        for _ in range(ROUNDS):
+            z = bias + np.bincount(row, weight[feature], n)
+            error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic) / n
+            change = np.bincount(swap_row, weight[swap_feature] * sign, n)
+            slope = np.bincount(feature, error[row], len(name))
+            slope += fairness / n * np.bincount(swap_feature, change[swap_row] * sign, len(name))
+            seen += slope * slope
+            step = 0.3 / np.sqrt(seen + 1e-10)
+            weight -= step * slope
+            weight = np.sign(weight) * np.maximum(np.abs(weight) - step * sparsity, 0)
+            bias -= 2 * float(error.sum())
+    return Model(bias, name, weight)
 
 
 def fit(
