@@ -1,4 +1,4 @@
-"""Connected components of a link table, by label spreading and pointer jumping."""
+"""Connected components of a link table, by contraction towards local minima."""
 
 from __future__ import annotations
 
@@ -12,26 +12,35 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): component is the smallest
     node reachable. Self links and repeated links change nothing.
 
-    Each round takes the smallest label among a node's own and its neighbours', then
-    the label of that label, so that a chain shortens by more than half a round. Labels
-    are aggregated before they are shuffled; the joins read written tables, so that a
-    node with very many links is split by the adaptive plan.
+    In each round every node moves to the node of the lowest rank among its neighbours
+    and itself. Ranks are hashes, other ones in each round, so that a constant part of the
+    nodes goes on average, whatever the graph's shape. Links between nodes that moved to
+    one place are gone, so that all links are read once and few of them again. Ranks are
+    aggregated before they are shuffled; the joins read written tables, so that a node
+    with very many links is split by the adaptive plan.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = stored(both.where("a <> b").distinct(), "edges")
-    labels = stored(
-        edges.groupBy(F.col("a").alias("node"))
-        .agg(F.min("b").alias("label"))
-        .select("node", F.least("node", "label").alias("label")),
-        "labels",
+    edges = stored(
+        links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges"
     )
-    while True:
-        seen = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").select(F.col("a").alias("node"), "label")
-        spread = stored(labels.union(seen).groupBy("node").agg(F.min("label").alias("label")), "labels")
-        jump = spread.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        following = stored(spread.join(jump, "label").select("node", F.col("further").alias("label")), "labels")
-        old = labels.select("node", F.col("label").alias("old"))
-        moved = following.join(old, "node").where("label <> old").limit(1).count()
-        labels = following
-        if not moved:
-            return labels.withColumnRenamed("label", "component")
+    placed = stored(edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct(), "nodes")
+    placed, turn = placed.withColumn("place", F.col("node")), 0
+    while not edges.isEmpty():
+        turn += 1
+
+        def rank(node: str, turn=turn):
+            return F.xxhash64(node, F.lit(turn))
+
+        seen = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(
+            edges.select(F.col("b").alias("node"), F.col("a").alias("to"))
+        )
+        lowest = seen.groupBy("node").agg(F.min_by("to", rank("to")).alias("to"))
+        to = F.when(rank("to") < rank("node"), F.col("to")).otherwise(F.col("node"))
+        moves = stored(lowest.select("node", to.alias("to")), "moves")
+        first = moves.select(F.col("node").alias("a"), F.col("to").alias("x"))
+        second = moves.select(F.col("node").alias("b"), F.col("to").alias("y"))
+        moved = edges.join(first, "a").join(second, "b").where("x <> y")
+        edges = stored(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        steps = moves.select(F.col("node").alias("place"), "to")
+        placed = stored(placed.join(steps, "place", "left").select("node", F.coalesce("to", "place").alias("place")), "places")
+    smallest = stored(placed.groupBy("place").agg(F.min("node").alias("component")), "components")
+    return placed.join(smallest, "place").select("node", "component")

@@ -190,9 +190,9 @@ def near_duplicates(
     )
     keyed = classes.select("node", F.explode("bands").alias("key"))
     # The hub order is the same for all buckets, so that most share few hubs.
-    hub = F.min(F.struct(F.xxhash64("node").alias("rank"), "node")).alias("hub")
+    hub = F.min_by("node", F.xxhash64("node")).alias("hub")
     buckets = stored(
-        keyed.groupBy("key").agg(hub, F.count("*").alias("n")).where("n > 1").select("key", F.col("hub.node").alias("hub")),
+        keyed.groupBy("key").agg(hub, F.count("*").alias("n")).where("n > 1").drop("n"),
         "buckets",
     )
     members = stored(keyed.join(buckets, "key"), "members")
@@ -218,14 +218,17 @@ def near_duplicates(
     ).where("parts > 1")
     mixed = stored(largest.select("key", F.col("top.component").alias("main")), "mixed")
     mixed_members = stored(
-        placed.join(mixed, "key").join(forms, "node").select("key", "node", "component", "main", "form"), "mixed-members"
+        placed.join(mixed, "key").join(classes.select("node", "form", "bands"), "node")
+        .select("key", "node", "component", "main", "form", "bands"), "mixed-members"
     )
-    one = mixed_members.where("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("form").alias("x"))
+    one = mixed_members.where("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("form").alias("x"), F.col("bands").alias("own"))
     other = mixed_members.select(
-        "key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("main"), F.col("form").alias("y")
+        "key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("main"), F.col("form").alias("y"), F.col("bands").alias("others")
     )
     once = (F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))
-    rest = one.join(other, "key").where((F.col("ca") != F.col("cb")) & once & plausible)
+    # Of the buckets that two classes share, the one of the least key holds them together.
+    here = F.array_min(F.array_intersect("own", "others")) == F.col("key")
+    rest = one.join(other, "key").where((F.col("ca") != F.col("cb")) & once & plausible & here)
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = verified(stored(rest, "pairs"), docs, shingle, percent)
     # An id of several texts ties their classes.
