@@ -232,7 +232,9 @@ def upsert_dated(updates: DataFrame, root: str, name: str, keys: list[str], time
     target = find(spark, root, name, near & F.array_contains(touched.each, F.col(DATE)), schema=dated.schema)
     same_key = reduce(and_, (F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in [*keys, DATE]))
     kept = target.alias("old").join(dated.alias("new"), same_key, "left_anti")
-    writer = kept.unionByName(dated).write.mode("overwrite")
+    # One file for a date, unless it is a large one: the adaptive plan splits those.
+    merged = kept.unionByName(dated).hint("rebalance", F.col(DATE))
+    writer = merged.write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(f"{root}/{name}")
 
 
