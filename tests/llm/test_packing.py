@@ -34,7 +34,9 @@ def test_every_id_lies_in_one_piece(documents, library):
     rows = [(i, " ".join(draw.choice(["tion", "Straße", "é", "cat", "\n\n"]) for _ in range(draw.choice([0, 5, 300, 900, 3000])))) for i in range(150)]
     rows += [(200, None), (201, ""), (None, "x"), (202, "<|endoftext|> a"), (203, "z " * 30_000), (0, rows[0][1])]
     pieces = stored(packing.pack(documents(rows).repartition(3), VOCABULARY), "test-pieces")
-    got = packing.with_step_groups(pieces, step_ids=8192).collect()
+    grouped = packing.with_step_groups(pieces, step_ids=8192)
+    assert grouped.columns == [*(c for c in pieces.columns if c != "place"), "step_group"]
+    got = grouped.collect()
     want = defaultdict(list)
     for i, text in rows:
         want[i].append([*library.encode(text or "", add_special_tokens=False).ids, 1])

@@ -37,8 +37,7 @@ def rows():
 
 
 def test_archives_round_trip(spark, rows, tmp_path):
-    folder = f"file://{tmp_path}"
-    index = warc.archived(pages(spark, rows), folder).collect()
+    index = warc.archived(pages(spark, rows), str(tmp_path)).collect()
     holder = {}
     for i, _, _, html in rows:
         body = (html or "").encode()

@@ -235,7 +235,7 @@ def _linked(units: DataFrame, similarity: float) -> DataFrame:
     index = build(units, similarity)
     cells = stored(
         units.select("node", "label", "unit").mapInArrow(
-            _cells(index), "node long, label long, first int, second int, home boolean"
+            _cells(index), "node long, label string, first int, second int, home boolean"
         ),
         "cells",
     )
@@ -281,11 +281,11 @@ def near_vectors(
     """
     given = vectors.select(
         F.col(vec_id).cast("long").alias("vec_id"),
-        (F.lit(0) if label is None else F.col(label)).cast("long").alias("label"),
+        (F.lit("") if label is None else F.col(label).cast("string")).alias("label"),
         F.col(embedding).cast("array<double>").alias("embedding"),
     )
     able = given.where("vec_id is not null and label is not null and embedding is not null")
-    units = able.mapInArrow(_unit_rows, "vec_id long, label long, size int, mark binary, unit array<double>")
+    units = able.mapInArrow(_unit_rows, "vec_id long, label string, size int, mark binary, unit array<double>")
     rows = stored(units.withColumn("row", F.monotonically_increasing_id()), "units")
     # Equal vectors of a label are one node, so that copies never meet in a cell.
     classes = stored(

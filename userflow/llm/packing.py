@@ -204,5 +204,6 @@ def with_step_groups(pieces: DataFrame, step_ids: int = STEP_IDS) -> DataFrame:
     before = Window.partitionBy("window").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     counts = stored(counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "sequence-counts")
     groups = max(1, -(-(counts.agg(F.sum(F.col("n") * F.col("window"))).first()[0] or 0) // step_ids))
-    joined = tasked.join(counts.drop("n"), ["task", "window"])
-    return joined.withColumn("step_group", F.pmod(F.col("before") + F.col("place"), F.lit(groups))).drop("task", "before", "place")
+    group = F.pmod(F.col("before") + F.col("place"), F.lit(groups)).alias("step_group")
+    kept = [c for c in pieces.columns if c != "place"]
+    return tasked.join(counts.drop("n"), ["task", "window"]).select(*kept, group)

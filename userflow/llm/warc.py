@@ -22,7 +22,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from userflow.llm import bloom
@@ -277,6 +277,14 @@ def merged_index(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     return dealt.sortWithinPartitions("file", "place").mapInArrow(_merge, SCHEMA).drop("place")
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a full URI: Spark takes one without a scheme for its default file
+    system, the tasks' own file access would not."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return re.sub(r"^file:/(?!/)", "file:///", uri)
+
+
 def archived(pages: DataFrame, folder: str | None = None, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Writes ``pages`` (page_id, url, captured, html) as archives, reads them back and
     returns the merged index: url_key, captured, page_id, payload_bytes, payload_digest
@@ -287,6 +295,5 @@ def archived(pages: DataFrame, folder: str | None = None, least_bytes: int = LEA
     rows are records of their own; those that share the largest page_id of a payload are
     all responses. Other columns are not looked at. An empty table gives an empty index.
     """
-    folder = folder or scratch(pages.sparkSession, "llm/warc")
-    folder = folder if re.match(r"\w[\w+.-]*:", folder) else f"file://{folder}"
+    folder = _qualified(pages.sparkSession, folder or scratch(pages.sparkSession, "llm/warc"))
     return merged_index(read_runs(write_archives(pages, folder, least_bytes), folder))
