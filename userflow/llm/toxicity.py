@@ -93,14 +93,17 @@ def _fit(numbers: list[np.ndarray], toxic: np.ndarray, fairness: float) -> Model
     if not n or toxic.min() == toxic.max():
         share = (toxic.sum() + 0.5) / (n + 2)
         return Model(float(np.log(share / (1 - share))), np.empty(0, np.int64), np.empty(0))
-    feature = np.concatenate(numbers).astype(np.int64)
-    row = np.repeat(np.arange(n), [len(x) for x in numbers])
+    held = np.zeros(size, np.int32)
+    for own in numbers:  # each number once in a text
+        held[own] += 1
     swap_row, swap_feature, sign = _counterfactuals(numbers)
-    used = np.bincount(feature, minlength=size) >= min(LEAST_TEXTS, n)
+    used = held >= min(LEAST_TEXTS, n)
     used[swap_feature] = True
     name = np.flatnonzero(used)
-    number = np.cumsum(used) - 1
-    row, feature = row[used[feature]], number[feature[used[feature]]]
+    number = (np.cumsum(used) - 1).astype(np.int32)
+    known = [number[own[used[own]]] for own in numbers]
+    feature = np.concatenate(known)
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(own) for own in known])
     swap_feature = number[swap_feature]
     share = toxic.mean()
     bias, weight = float(np.log(share / (1 - share))), np.zeros(len(name))
