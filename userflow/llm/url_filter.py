@@ -5,7 +5,8 @@ the second level encodes those. Some listed keys pass the second; the third enco
 and so on until none passes. A key is then listed exactly when the first level that it
 does not pass is an even one (or it passes all, and their number is odd). The levels are
 small arrays that each task holds, so that membership needs no join and is exact for every
-key of the universe that the cascade was built over.
+key of the universe that the cascade was built over. Building joins once: the few keys that
+pass the first level are held against the listed ones.
 """
 
 from __future__ import annotations
