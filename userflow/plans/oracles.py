@@ -201,6 +201,7 @@ _BODIES = {
        (select {BRACKET} as age_group, cast(date_trunc('day', ts) as timestamp) as day,
                count(*) as count from u group by 1, 2)""",
     "stream_avg_age": MEANS,
+    "stream_gender_every": GENDERS,
     "stream_inflow_complete": INFLOW,
     "stream_inflow_append": CLOSED,
     "stream_inflow_update": INFLOW,

@@ -68,6 +68,24 @@ def stream_avg_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_gender_every(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Started by the clock, as in service, and stopped when all is counted."""
+
+    def start(messages: DataFrame, root: str, checkpoint: str):
+        result = pipeline.topic_results(messages)["gender_distribution"]
+        query = pipeline.start_result(
+            result, root, "gender_distribution", checkpoint, every="1 second"
+        )
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return [query]
+
+    root = _run(spark, sf_dir, start)
+    return tables.find(spark, root, "gender_distribution", columns=["gender", "count"])
+
+
 def stream_inflow_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _run(spark, sf_dir, _one("user_inflow"))
     return _windows(tables.table(spark, root, "user_inflow"))
@@ -222,6 +240,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         stream_avg_age,
+        stream_gender_every,
         stream_inflow_complete,
         stream_inflow_append,
         stream_inflow_update,
