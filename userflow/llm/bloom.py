@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEAST_BITS = 1 << 16
+MOST_BITS = 1 << 27  # of a filter on ids, 16 MB
+FEW_IDS = 1 << 20  # a table of ids that Spark's own size check may broadcast
 _CHUNK = 1 << 10  # 64-bit words of a chunk
 
 
@@ -60,3 +62,19 @@ def build(keys: DataFrame, key: str, bits: int, hashes: int, salt: int = 0) -> F
 
     chunks = words.groupBy(F.shiftright("word", 10).alias("chunk")).agg(ordered("word", "bits").alias("bits"))
     return Filter(bits, hashes, salt, chunks.agg(ordered("chunk", "bits").alias("chunks")))
+
+
+def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` is not among ``ids`` (written, one column); rows with a
+    null stay. Few ids are left to Spark's choice of join; with more, a filter lets only
+    rows that may go into the join's shuffle, the others stay where they are read."""
+    gone = ids.toDF("__gone")
+
+    def left(some: DataFrame) -> DataFrame:
+        return some.join(gone, some[column] == F.col("__gone"), "left_anti")
+
+    n = ids.count()
+    if n <= FEW_IDS:
+        return left(rows)
+    maybe = build(gone, "__gone", bits_for(n, 16, MOST_BITS), 2).contains(F.col(column).cast("long"))
+    return rows.where(~maybe).unionByName(left(rows.where(maybe)))

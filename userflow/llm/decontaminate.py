@@ -18,13 +18,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from userflow.llm import words
+from userflow.llm import bloom, words
 from userflow.llm.tables import empty, stored
 
 WINDOW = 13
+SHARE = 20  # a document is contaminated when one word in so many is hit
 BLOCK_BYTES = 16 << 20  # benchmark text sent to the tasks at once
 SHARD_WORDS = 1 << 20  # words of a suffix array, unless one document has more
 
@@ -157,9 +158,9 @@ class Shard:
         return text, rows, places, order, search(padded, order, self.block)
 
 
-def _shards(block: Block, batch: pa.RecordBatch, on_words, on_shard) -> None:
+def _shards(block: Block, texts: pa.Array, on_words, on_shard) -> None:
     shard = Shard(block, int(block.lengths.max()))
-    for part in words.slices(batch.column(1)):
+    for part in words.slices(texts):
         found = words.words(part, words.ALNUM)
         on_words(part.first, np.diff(found.bounds))
         shard.add(found, part.first)
@@ -172,55 +173,57 @@ def _shards(block: Block, batch: pa.RecordBatch, on_words, on_shard) -> None:
 SPAN = pa.struct([("first", pa.int64()), ("past", pa.int64())])
 
 
+def _found(block: Block, texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Of each text: its words, the spans hit, and the items whose windows occur."""
+    n = len(texts)
+    n_words = np.zeros(n, np.int64)
+    spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    pairs: list[np.ndarray] = []
+
+    def count(row, held):
+        n_words[row : row + len(held)] = held
+
+    def match(text, rows, places, order, result):
+        first, last, _, _ = result
+        hits = np.flatnonzero(first < last)
+        if not len(hits):
+            return
+        hits = hits[np.lexsort((first[hits], block.needs[hits]))]
+        cover = np.zeros(len(text) + 1, np.int64)
+        key = np.stack([block.needs[hits], first[hits]])
+        new = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
+        for a, b in zip(new, [*new[1:], len(hits)], strict=True):
+            at = order[first[hits[a]] : last[hits[a]]]
+            np.add.at(cover, at, 1)
+            np.add.at(cover, at + block.needs[hits[a]], -1)
+            touched = np.unique(rows[at])
+            items = np.unique(block.items[hits[a:b]])
+            pairs.append((touched[:, None] * len(block.ids) + items[None, :]).ravel())
+        starts, ends = words.runs(np.cumsum(cover[:-1]) > 0, np.array([0, len(text)]))
+        spans.append((rows[starts], places[starts], places[ends - 1] + 1))
+
+    _shards(block, texts, count, match)
+    row, a, b = (np.concatenate(x) for x in zip(*spans, strict=True)) if spans else (np.empty(0, np.int64),) * 3
+    by_place = np.lexsort((a, row))
+    row, a, b = row[by_place], a[by_place], b[by_place]
+    pair = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
+    ids = [block.ids[i] for i in pair % len(block.ids)]
+    rows_of = np.arange(n + 1)
+    span = pa.StructArray.from_arrays([pa.array(a), pa.array(b)], fields=list(SPAN))
+    named = pa.array(ids, pa.int64())
+    return (
+        pa.array(n_words),
+        pa.ListArray.from_arrays(pa.array(np.searchsorted(row, rows_of), pa.int32()), span),
+        pa.ListArray.from_arrays(pa.array(np.searchsorted(pair // len(block.ids), rows_of), pa.int32()), named),
+    )
+
+
 def _by_document(block: Block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            n_words = np.zeros(n, np.int64)
-            spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            pairs: list[np.ndarray] = []
-
-            def count(row, held, n_words=n_words):
-                n_words[row : row + len(held)] = held
-
-            def match(text, rows, places, order, result, spans=spans, pairs=pairs):
-                first, last, _, _ = result
-                hits = np.flatnonzero(first < last)
-                if not len(hits):
-                    return
-                hits = hits[np.lexsort((first[hits], block.needs[hits]))]
-                cover = np.zeros(len(text) + 1, np.int64)
-                key = np.stack([block.needs[hits], first[hits]])
-                new = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
-                for a, b in zip(new, [*new[1:], len(hits)], strict=True):
-                    at = order[first[hits[a]] : last[hits[a]]]
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + block.needs[hits[a]], -1)
-                    touched = np.unique(rows[at])
-                    items = np.unique(block.items[hits[a:b]])
-                    pairs.append((touched[:, None] * len(block.ids) + items[None, :]).ravel())
-                starts, ends = words.runs(np.cumsum(cover[:-1]) > 0, np.array([0, len(text)]))
-                spans.append((rows[starts], places[starts], places[ends - 1] + 1))
-
-            _shards(block, batch, count, match)
-            row, a, b = (np.concatenate(x) for x in zip(*spans, strict=True)) if spans else (np.empty(0, np.int64),) * 3
-            by_place = np.lexsort((a, row))
-            row, a, b = row[by_place], a[by_place], b[by_place]
-            pair = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
-            ids = [block.ids[i] for i in pair % len(block.ids)]
-            rows_of = np.arange(n + 1)
-            span = pa.StructArray.from_arrays([pa.array(a), pa.array(b)], fields=list(SPAN))
+            found = _found(block, batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array(n_words),
-                    pa.ListArray.from_arrays(pa.array(np.searchsorted(row, rows_of), pa.int32()), span),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.searchsorted(pair // len(block.ids), rows_of), pa.int32()), pa.array(ids, pa.int64())
-                    ),
-                ],
-                ["doc_id", "mark", "n_words", "spans", "items"],
+                [batch.column(0), batch.column(2), *found], ["doc_id", "mark", "n_words", "spans", "items"]
             )
 
     return run
@@ -236,7 +239,7 @@ def _by_suffix(block: Block):
                 for i in np.flatnonzero(longest >= block.needs):
                     out.append((block.ids[block.items[i]], int(block.offsets[i]), int(longest[i]), int(rows[place[i]]), int(places[place[i]])))
 
-            _shards(block, batch, lambda *_: None, match)
+            _shards(block, batch.column(1), lambda *_: None, match)
             ids = batch.column(0).to_pylist()
             columns = list(zip(*[(i, w, n, ids[r], p) for i, w, n, r, p in out], strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
@@ -308,13 +311,12 @@ def matches(
     return sorted_spans.select("doc_id", "n_words", merged.alias("spans"), clean.alias("items"), copies.alias("copy")).drop("copy")
 
 
-def judged(found: DataFrame, share: int = 20) -> DataFrame:
+def judged(found: DataFrame, share: int = SHARE) -> DataFrame:
     """``matches`` with n_hit, n_items and contaminated: any hit, and at least one word
     in ``share`` hit."""
     n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.past - s.first)")
-    return found.withColumns({"n_hit": n_hit, "n_items": F.size("items").cast("long")}).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
-    )
+    counted = found.withColumns({"n_hit": n_hit, "n_items": F.size("items").cast("long")})
+    return counted.withColumn("contaminated", _contaminated(F.col("n_words"), F.col("n_hit"), share))
 
 
 def longest_matches(
@@ -333,9 +335,32 @@ def longest_matches(
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without the contaminated documents; all columns stay. A row
-    without an id stays, and of an id's rows all go if one is contaminated."""
-    bad = judged(matches(docs, benchmark, window, doc_id, text)).where("contaminated and doc_id is not null")
-    bad = stored(bad.select(F.col("doc_id").alias("__contaminated")).distinct(), "contaminated")
-    return docs.join(bad, F.col(doc_id) == F.col("__contaminated"), "left_anti")
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` without the contaminated ones; all columns stay. Each repeated
+    row is judged by its own text. With a benchmark of one block, rows are judged where
+    they are read; with several, by id: then a row without an id stays, and of an id's
+    rows all go if one is contaminated."""
+    _, items = _columns(docs, benchmark, doc_id, text, "item_id", "text")
+    blocks = _blocks(items, window, block_bytes)
+    block, more = next(blocks, None), next(blocks, None)
+    if block is None:
+        return docs
+    if more is None:
+
+        @F.arrow_udf("struct<n_words: long, spans: array<struct<first: long, past: long>>>")
+        def found(texts: pa.Array) -> pa.Array:
+            n_words, spans, _ = _found(block, texts)
+            return pa.StructArray.from_arrays([n_words, spans], ["n_words", "spans"])
+
+        seen = found(F.col(text))
+        n_hit = F.aggregate(seen.spans, F.lit(0).cast("long"), lambda n, s: n + s.past - s["first"])
+        return docs.where(~_contaminated(seen.n_words, n_hit, SHARE))
+    bad = judged(matches(docs, benchmark, window, doc_id, text, block_bytes=block_bytes)).where("contaminated and doc_id is not null")
+    return bloom.without(docs, doc_id, stored(bad.select("doc_id").distinct(), "contaminated"))
+
+
+def _contaminated(n_words: Column, n_hit: Column, share: int) -> Column:
+    return (n_hit > 0) & (share * n_hit >= n_words)

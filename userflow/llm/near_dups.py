@@ -35,7 +35,6 @@ ROWS = 4  # samples that make one band key
 SAMPLES = 192  # samples folded into a sketch
 SKETCH_WORDS = 4  # 64-bit words of a sketch
 PARITY_WORDS = 16  # 64-bit words of the whole set's parity
-ID_BITS = 1 << 27  # of the filter that finds the texts to read again, at most
 MISS = 1e-7  # chance that a pair at the threshold shares no band
 SIGMAS = 4.7  # allowance of the sketch's estimate below the threshold
 
@@ -131,7 +130,7 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
     again; one side of a pair carries its set to the other."""
     ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
     # Most texts are in no pair: a filter of bounded size keeps them out of the shuffle.
-    few = bloom.build(ids, "doc_id", bloom.bits_for(ids.count(), 16, ID_BITS), 2)
+    few = bloom.build(ids, "doc_id", bloom.bits_for(ids.count(), 16, bloom.MOST_BITS), 2)
     texts = docs.where(few.contains(F.col("doc_id"))).join(ids, "doc_id", "left_semi")
     items = stored(texts.mapInArrow(_sets(shingle), "doc_id long, items array<long>"), "sets")
     left = items.select(F.col("doc_id").alias("a"), F.col("items").alias("left"))
@@ -251,13 +250,13 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` whose document stands for its group; all columns stay. Of rows
     that share an id one stays; all rows without an id stay."""
-    judged = near_duplicates(docs, text, doc_id, shingle, percent)
-    gone = stored(judged.where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    judged = stored(near_duplicates(docs, text, doc_id, shingle, percent), "judged")
+    gone = stored(judged.where("not kept").select("doc_id").distinct(), "gone")
     repeated = stored(
         judged.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__repeated")),
         "repeated",
     )
-    left = docs.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
+    left = bloom.without(docs, doc_id, gone)
     if repeated.isEmpty():
         return left
     single = left.join(repeated, F.col(doc_id) == F.col("__repeated"), "left_anti")
