@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from userflow.llm import decontaminate, words
+from userflow.llm import bloom, decontaminate, words
 
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -65,8 +65,18 @@ def test_hits_against_all_windows(cases, block_bytes):
 
 def test_contaminated_documents_go(cases):
     docs, rows, benchmark, items = cases
-    bad = {r[0] for r in expected(rows, items, 13) if r[4] and r[0] is not None}
+    want = [r[0] for r in expected(rows, items, 13) if not r[4]]
     left = decontaminate.decontaminate(docs, benchmark)
+    assert len(want) < len(rows) and left.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("few", [bloom.FEW_IDS, 0])
+def test_contaminated_documents_go_by_id(cases, few, monkeypatch):
+    monkeypatch.setattr(bloom, "FEW_IDS", few)
+    docs, rows, benchmark, items = cases
+    bad = {r[0] for r in expected(rows, items, 13) if r[4] and r[0] is not None}
+    left = decontaminate.decontaminate(docs, benchmark, block_bytes=100)
     assert bad and left.columns == docs.columns
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(i) for i, _ in rows if i not in bad)
 
@@ -76,6 +86,8 @@ def test_empty_tables(spark, documents):
     some = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert judged(documents([(1, "a b"), (2, None)]), benchmark) == [(1, 2, 0, [], False), (2, 0, 0, [], False)]
     assert judged(documents([]), some) == []
+    assert decontaminate.decontaminate(documents([]), some).count() == 0
+    assert decontaminate.decontaminate(documents([(1, "a b")]), benchmark).count() == 1
     assert decontaminate.longest_matches(documents([(1, "a")]), benchmark).collect() == []
 
 
