@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from userflow.llm import labelled, words
 
-SAMPLE_ROWS = 8000  # labelled texts to learn from, at most
+SAMPLE_ROWS = 6000  # labelled texts to learn from, at most
 BITS = 20  # of a feature's number
 LEAST_TEXTS = 4  # that a feature must occur in to be learnt
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # bytes of a word's beginning that make a feature
