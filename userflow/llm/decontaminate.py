@@ -237,7 +237,9 @@ def _by_suffix(block: Block):
             def match(text, rows, places, order, result, out=out):
                 _, _, longest, place = result
                 for i in np.flatnonzero(longest >= block.needs):
-                    out.append((block.ids[block.items[i]], int(block.offsets[i]), int(longest[i]), int(rows[place[i]]), int(places[place[i]])))
+                    at = place[i]
+                    found = (block.offsets[i], longest[i], rows[at], places[at])
+                    out.append((block.ids[block.items[i]], *map(int, found)))
 
             _shards(block, batch.column(1), lambda *_: None, match)
             ids = batch.column(0).to_pylist()
@@ -358,7 +360,8 @@ def decontaminate(
         seen = found(F.col(text))
         n_hit = F.aggregate(seen.spans, F.lit(0).cast("long"), lambda n, s: n + s.past - s["first"])
         return docs.where(~_contaminated(seen.n_words, n_hit, SHARE))
-    bad = judged(matches(docs, benchmark, window, doc_id, text, block_bytes=block_bytes)).where("contaminated and doc_id is not null")
+    found = judged(matches(docs, benchmark, window, doc_id, text, block_bytes=block_bytes))
+    bad = found.where("contaminated and doc_id is not null")
     return bloom.without(docs, doc_id, stored(bad.select("doc_id").distinct(), "contaminated"))
 
 

@@ -86,10 +86,12 @@ def _index(base: DataFrame, templates: list[tuple[int, str, list[str]]], contain
     held = base.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     ranked = words.join(held, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     entry = F.struct("n", "token")
-    whole = ranked.groupBy("template", "label").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x.token).alias("ordered"))
+    by_rarity = F.transform(F.array_sort(F.collect_list(entry)), lambda x: x.token)
+    whole = ranked.groupBy("template", "label").agg(by_rarity.alias("ordered"))
     least = F.ceil(F.lit(contained) * F.size("ordered") - 1e-9).cast("int")
     index = whole.withColumn("least", least)
-    return index.select("template", "label", "ordered", "least", F.posexplode(F.slice("ordered", F.lit(1), F.size("ordered") - F.col("least") + 1)).alias("place", "token"))
+    prefix = F.slice("ordered", F.lit(1), F.size("ordered") - F.col("least") + 1)
+    return index.select("template", "label", "ordered", "least", F.posexplode(prefix).alias("place", "token"))
 
 
 def scan(

@@ -183,7 +183,7 @@ def near_duplicates(
         .agg(
             F.min("doc_id").alias("node"),
             F.first("bands").alias("bands"),
-            F.struct(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")).alias("form"),
+            F.struct(*(F.first(c).alias(c) for c in ("n_shingles", "sketch", "parity"))).alias("form"),
         ),
         "classes",
     )
@@ -217,13 +217,15 @@ def near_duplicates(
     ).where("parts > 1")
     mixed = stored(largest.select("key", F.col("top.component").alias("main")), "mixed")
     mixed_members = stored(
-        placed.join(mixed, "key").join(classes.select("node", "form", "bands"), "node")
-        .select("key", "node", "component", "main", "form", "bands"), "mixed-members"
+        placed.join(mixed, "key")
+        .join(classes.select("node", "form", "bands"), "node")
+        .select("key", "node", "component", "main", "form", "bands"),
+        "mixed-members",
     )
-    one = mixed_members.where("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("form").alias("x"), F.col("bands").alias("own"))
-    other = mixed_members.select(
-        "key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("main"), F.col("form").alias("y"), F.col("bands").alias("others")
+    one = mixed_members.where("component <> main").selectExpr(
+        "key", "node as a", "component as ca", "form as x", "bands as own"
     )
+    other = mixed_members.selectExpr("key", "node as b", "component as cb", "main", "form as y", "bands as others")
     once = (F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))
     # Of the buckets that two classes share, the one of the least key holds them together.
     here = F.array_min(F.array_intersect("own", "others")) == F.col("key")
@@ -252,10 +254,8 @@ def drop_near_duplicates(
     that share an id one stays; all rows without an id stay."""
     judged = stored(near_duplicates(docs, text, doc_id, shingle, percent), "judged")
     gone = stored(judged.where("not kept").select("doc_id").distinct(), "gone")
-    repeated = stored(
-        judged.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__repeated")),
-        "repeated",
-    )
+    rows = judged.where("doc_id is not null").groupBy(F.col("doc_id").alias("__repeated")).agg(F.count("*").alias("n"))
+    repeated = stored(rows.where("n > 1").drop("n"), "repeated")
     left = bloom.without(docs, doc_id, gone)
     if repeated.isEmpty():
         return left
