@@ -71,3 +71,14 @@ def test_cells_are_visited_from_the_nearest_on():
     sums = first[:, None] + second[None, :]
     cells = multi_index.visited(first, second, 0.8)
     assert [sums[c] for c in cells] == sorted(sums[sums <= 0.8])
+
+
+def test_vectors_of_few_directions_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "CELL_ROWS", 4)
+    draw = np.random.default_rng(4)
+    x = (draw.normal(size=(2000, 3)) @ draw.normal(size=(3, 64))).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist(), 1, "n", "c") for i, v in enumerate(x)], SCHEMA)
+    found = {r.vec_id: r.n_links for r in multi_index.near_vectors(table).collect()}
+    x = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(1))[:, None]
+    want = (x @ x.T >= 0.98).sum(1) - 1
+    assert want.sum() and [found[i] for i in range(len(x))] == want.tolist()

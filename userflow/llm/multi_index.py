@@ -2,12 +2,16 @@
 
 Each half of a unit vector has its own codebook; a pair of codes is a cell of the product
 grid, and an inverted list holds the vectors of a cell. A query visits cells in the order
-of their distance (multi-sequence traversal of the two sorted code lists), up to the
-distance at which the target recall is reached: that of neighbours made at the threshold
-similarity in random directions. A cell's distance is how far the query's halves lie
-from the planes that part the cell's codes from the query's own. What is found is verified
-by the cosine. A pair is found when either of the two visits the other's cell, so that far
-fewer pairs are missed than the target allows for one query.
+of their distance (multi-sequence traversal of the two sorted code lists), up to a reach
+that misses no pair. A cell's distance is how far the query's halves lie from the planes
+that part the cell's codes from the query's own, added up. What is found is verified by
+the cosine.
+
+A pair is found when either of the two visits the other's cell. In each half the two lie on
+opposite sides of one plane, so that their distances from it, a and b, make at most the
+distance of the halves: (a1 + b1)^2 + (a2 + b2)^2 <= |x - y|^2 <= 2 - 2 * similarity. Then
+(a1 + a2) + (b1 + b2) <= 2 * sqrt(1 - similarity), and the smaller of the two sums is
+at most sqrt(1 - similarity): the reach.
 
 Cells are searched in blocks of bounded size, points against queries, so that a crowded
 cell is dealt to many tasks. A block returns counts and a spanning forest of its links,
@@ -32,16 +36,16 @@ from userflow.llm import graph
 from userflow.llm.tables import stored
 
 SAMPLE_ROWS = 20000  # vectors that the codebooks are fitted on, at most
-CALIBRATION_ROWS = 5000  # neighbours made to find the reach
-RECALL = 0.999  # of neighbours at the threshold, by one query's visits
 LEAST_CODES, MOST_CODES = 4, 512
 CELL_ROWS = 64
 ROUNDS = 12  # of k-means
 BLOCK_ROWS = 512  # points, and queries, that one block holds on average
+CLOSE = 1e-3  # codes nearer to each other are not parted, their plane cannot be told exactly
+SLACK = 1e-6  # of the reach, far above what rounding makes of the distances
 
 
 class Index(NamedTuple):
-    """Codebooks of the two halves, and the greatest squared distance of a visited cell."""
+    """Codebooks of the two halves, and the greatest distance of a visited cell."""
 
     split: int
     codes: tuple[np.ndarray, np.ndarray]
@@ -108,26 +112,17 @@ def _codebook(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def _least(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Squared distance of each x to the plane between each code and its nearest one."""
+    """Distance of each x to the plane between each code and its nearest one."""
     squared = _distances(x, codes)
     near = squared.argmin(1)
     between = np.sqrt(_distances(codes, codes))[near]
-    plane = (squared - squared[np.arange(len(x)), near][:, None]) / (2 * np.where(between > 0, between, np.inf))
-    return np.maximum(plane, 0) ** 2
+    plane = (squared - squared[np.arange(len(x)), near][:, None]) / (2 * np.where(between > CLOSE, between, np.inf))
+    return np.maximum(plane, 0)
 
 
-def _reach(index: Index, x: np.ndarray, similarity: float, recall: float) -> float:
-    """Squared distance within which a share of ``recall`` of neighbours at the threshold
-    have their cells, over random directions from the sample."""
-    draw = np.random.default_rng(1)
-    x = x[draw.integers(len(x), size=CALIBRATION_ROWS)]
-    aside = draw.normal(size=x.shape)
-    aside -= (aside * x).sum(1)[:, None] * x
-    aside /= np.maximum(np.sqrt((aside * aside).sum(1)), 1e-300)[:, None]
-    first, second = index.own(similarity * x + math.sqrt(max(0.0, 1 - similarity**2)) * aside)
-    near, far = index.least(x)
-    rows = np.arange(len(x))
-    return float(np.quantile(near[rows, first] + far[rows, second], recall))
+def _reach(similarity: float) -> float:
+    """Distance up to which one of any two vectors at least so similar visits the other's cell."""
+    return math.sqrt(max(0.0, 1 - similarity)) + SLACK
 
 
 def visited(first: np.ndarray, second: np.ndarray, most: float) -> list[tuple[int, int]]:
@@ -217,7 +212,7 @@ def _searched(index: Index, similarity: float):
     return run
 
 
-def build(units: DataFrame, similarity: float, recall: float = RECALL, sample_rows: int = SAMPLE_ROWS) -> Index:
+def build(units: DataFrame, similarity: float, sample_rows: int = SAMPLE_ROWS) -> Index:
     """Codebooks fitted on at most ``sample_rows`` of the (written, not empty) unit vectors,
     those with the smallest hashes; as many codes as make a cell of the grid hold CELL_ROWS
     on average, within fixed bounds. All vectors are indexed."""
@@ -226,8 +221,7 @@ def build(units: DataFrame, similarity: float, recall: float = RECALL, sample_ro
     x = _matrix(fetched["unit"])
     split = max(1, x.shape[1] // 2)
     number = int(min(MOST_CODES, max(LEAST_CODES, math.sqrt(n / CELL_ROWS))))
-    index = Index(split, (_codebook(x[:, :split], number), _codebook(x[:, split:], number)), 0.0)
-    return index._replace(most=_reach(index, x, similarity, recall))
+    return Index(split, (_codebook(x[:, :split], number), _codebook(x[:, split:], number)), _reach(similarity))
 
 
 def _linked(units: DataFrame, similarity: float) -> DataFrame:
