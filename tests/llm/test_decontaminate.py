@@ -81,6 +81,17 @@ def test_contaminated_documents_go_by_id(cases, few, monkeypatch):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(i) for i, _ in rows if i not in bad)
 
 
+@pytest.mark.parametrize("few", [bloom.FEW_IDS, 0])
+def test_documents_go_alike_with_any_number_of_blocks(cases, documents, few, monkeypatch):
+    monkeypatch.setattr(bloom, "FEW_IDS", few)
+    _, rows, benchmark, items = cases
+    rows = [*rows, (203, "a clean text"), (None, "another"), (None, None), (None, rows[-1][1])]
+    want = [r[0] for r in expected(rows, items, 13) if not r[4]]
+    left = decontaminate.decontaminate(documents(rows), benchmark, block_bytes=100)
+    assert None in want and 203 in want and left.columns == documents(rows).columns
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(map(str, want))
+
+
 def test_empty_tables(spark, documents):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c")], "item_id long, text string")

@@ -76,5 +76,5 @@ def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     n = ids.count()
     if n <= FEW_IDS:
         return left(rows)
-    maybe = build(gone, "__gone", bits_for(n, 16, MOST_BITS), 2).contains(F.col(column).cast("long"))
+    maybe = build(gone, "__gone", bits_for(n, 16, MOST_BITS), 2).contains(F.col(column).cast(gone.schema[0].dataType))
     return rows.where(~maybe).unionByName(left(rows.where(maybe)))

@@ -13,6 +13,7 @@ once for each block. One block is the rule.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -302,15 +303,19 @@ def matches(
     put = found.groupBy("doc_id", "mark", "n_words").agg(
         F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"), F.count("*").alias("rows")
     )
-    sorted_spans = put.withColumn("spans", F.array_sort("spans"))
+    copies = F.explode(F.sequence(F.lit(1), (F.col("rows") / len(scans)).cast("int")))
+    return _merged(put).select("doc_id", "n_words", "spans", clean.alias("items"), copies.alias("copy")).drop("copy")
+
+
+def _merged(found: DataFrame) -> DataFrame:
+    """With the spans of several blocks as disjoint ones."""
     merged = F.expr(
         "aggregate(spans, cast(array() as array<struct<first: bigint, past: bigint>>), (done, s) ->"
         " case when size(done) > 0 and s.first <= element_at(done, -1).past"
         " then concat(slice(done, 1, size(done) - 1), array(named_struct('first', element_at(done, -1).first,"
         " 'past', greatest(element_at(done, -1).past, s.past)))) else concat(done, array(s)) end)"
     )
-    copies = F.explode(F.sequence(F.lit(1), (F.col("rows") / len(scans)).cast("int")))
-    return sorted_spans.select("doc_id", "n_words", merged.alias("spans"), clean.alias("items"), copies.alias("copy")).drop("copy")
+    return found.withColumn("spans", F.array_sort("spans")).withColumn("spans", merged)
 
 
 def judged(found: DataFrame, share: int = SHARE) -> DataFrame:
@@ -341,10 +346,10 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text",
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The rows of ``docs`` without the contaminated ones; all columns stay. Each repeated
-    row is judged by its own text. With a benchmark of one block, rows are judged where
-    they are read; with several, by id: then a row without an id stays, and of an id's
-    rows all go if one is contaminated."""
+    """The rows of ``docs`` without the contaminated ones; all columns stay. Each row is
+    judged by its own text, with a benchmark of any size; ids are not looked at. With a
+    benchmark of one block rows are judged where they are read; with several, what each
+    block found is put together by the texts' SHA-256, and rows go by it."""
     _, items = _columns(docs, benchmark, doc_id, text, "item_id", "text")
     blocks = _blocks(items, window, block_bytes)
     block, more = next(blocks, None), next(blocks, None)
@@ -360,9 +365,17 @@ def decontaminate(
         seen = found(F.col(text))
         n_hit = F.aggregate(seen.spans, F.lit(0).cast("long"), lambda n, s: n + s.past - s["first"])
         return docs.where(~_contaminated(seen.n_words, n_hit, SHARE))
-    found = judged(matches(docs, benchmark, window, doc_id, text, block_bytes=block_bytes))
-    bad = found.where("contaminated and doc_id is not null")
-    return bloom.without(docs, doc_id, stored(bad.select("doc_id").distinct(), "contaminated"))
+    key = F.sha2(F.col(text), 256)
+    texts = docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), key.alias("mark"))
+    schema = "doc_id long, mark string, n_words long, spans array<struct<first: long, past: long>>, items array<long>"
+    found = empty(docs.sparkSession, "mark string, n_words long, spans array<struct<first: long, past: long>>")
+    for block in itertools.chain([block, more], blocks):
+        hit = texts.mapInArrow(_by_document(block), schema).where("size(spans) > 0")
+        found = found.union(stored(hit.select(found.columns).dropDuplicates(["mark"]), "hits"))
+    put = _merged(found.groupBy("mark", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.past - s.first)")
+    bad = stored(put.where(_contaminated(F.col("n_words"), n_hit, SHARE)).select("mark"), "contaminated")
+    return bloom.without(docs.withColumn("__mark", key), "__mark", bad).drop("__mark")
 
 
 def _contaminated(n_words: Column, n_hit: Column, share: int) -> Column:
