@@ -75,3 +75,12 @@ def test_learning_is_bounded_and_repeatable(spark, documents, cases):
     docs, known = documents(rows), spark.createDataFrame(labels, LABELS)
     first, second = (toxicity.fit(docs.repartition(n), known, rows=100) for n in (1, 5))
     assert first.bias == second.bias and (first.weights == second.weights).all()
+
+
+def test_few_toxic_labels_are_all_learnt_from(spark, documents):
+    rows = [(i, f"a remark {i % 7}" + " of vile scum" * (i < 12)) for i in range(600)]
+    known = spark.createDataFrame([(i, int(i < 12)) for i, _ in rows], "doc_id long, toxic int")
+    docs = documents(rows)
+    model = toxicity.fit(docs, known, rows=60)
+    scores = {r.doc_id: r.s for r in docs.select("doc_id", toxicity.score("text", model).alias("s")).collect()}
+    assert min(scores[i] for i in range(12)) > 0.5 > max(scores[i] for i in range(12, 600))

@@ -18,8 +18,33 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learns: Column, rows:
     a 0 or 1 in ``label``, for which ``learns`` holds: those with the smallest hashes of
     their ids. Ids labelled both ways, null ids and null labels are left out; of rows that
     share an id one is taken."""
+    present = _present(docs, labels, label, learns)
+    return _with_text(docs, stored(_first(present, rows), "labelled"))
+
+
+def sample_by_class(docs: DataFrame, labels: DataFrame, label: str, learns: Column, rows: int) -> tuple[DataFrame, float]:
+    """As ``sample``, half of the rows of each class, more of one where the other has
+    fewer; and the share of ones among all labelled documents."""
+    present = stored(_present(docs, labels, label, learns), "labelled-all")
+    held = {r["label"]: r["n"] for r in present.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n = sum(held.values())
+    chosen = present.limit(0)
+    for value, own in held.items():
+        most = max(rows // 2, rows - (n - own))
+        chosen = chosen.union(_first(present.where(F.col("label") == F.lit(value)), most))
+    ones = sum(own for value, own in held.items() if float(value) == 1)
+    return _with_text(docs, stored(chosen, "labelled")), ones / max(n, 1)
+
+
+def _present(docs: DataFrame, labels: DataFrame, label: str, learns: Column) -> DataFrame:
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learns)
     known = known.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("most")).where("label = most")
-    present = docs.select("doc_id").join(known, "doc_id").select("doc_id", "label").distinct()
-    chosen = stored(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "labelled")
+    return docs.select("doc_id").join(known, "doc_id").select("doc_id", "label").distinct()
+
+
+def _first(present: DataFrame, rows: int) -> DataFrame:
+    return present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
+def _with_text(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return docs.join(chosen, "doc_id").dropDuplicates(["doc_id"])

@@ -12,18 +12,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from userflow.llm import labelled, words
 
-SAMPLE_ROWS = 6000  # labelled texts to learn from, at most
+SAMPLE_ROWS = 8000  # labelled texts to learn from, at most
 BITS = 20  # of a feature's number
 LEAST_TEXTS = 4  # that a feature must occur in to be learnt
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # bytes of a word's beginning that make a feature
 SPARSITY = 1e-3
 FAIRNESS = 1.0  # weight of the counterfactual penalty
 ROUNDS = 200
+PART = 1 << 20  # features of the learning texts that a step takes at once, about
 
 # Neutral names of groups, swapped for each other.
 IDENTITY_TERMS = (
@@ -87,12 +89,24 @@ def _counterfactuals(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray,
     return np.array(rows, np.int64), np.array(features, np.int64), np.array(signs)
 
 
-def _fit(numbers: list[np.ndarray], toxic: np.ndarray, fairness: float) -> Model:
-    """Proximal gradient steps, scaled per feature."""
+def _logit(share: float) -> float:
+    return float(np.log(share / (1 - share)))
+
+
+def _parts(at: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of texts with about PART features each; ``at`` is where those of each start."""
+    cuts = np.unique(np.searchsorted(at, np.arange(0, at[-1], PART), "right") - 1)
+    cuts = np.unique(np.concatenate([[0], cuts, [len(at) - 1]]))
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+
+
+def _fit(numbers: list[np.ndarray], toxic: np.ndarray, fairness: float, share: float) -> Model:
+    """Proximal gradient steps, scaled per feature, over texts of which ``share`` would be
+    toxic if both classes had been drawn alike. Empties ``numbers``: a text's features are
+    held once."""
     n, size = len(numbers), 1 << BITS
     if not n or toxic.min() == toxic.max():
-        share = (toxic.sum() + 0.5) / (n + 2)
-        return Model(float(np.log(share / (1 - share))), np.empty(0, np.int64), np.empty(0))
+        return Model(_logit((toxic.sum() + 0.5) / (n + 2)), np.empty(0, np.int64), np.empty(0))
     held = np.zeros(size, np.int32)
     for own in numbers:  # each number once in a text
         held[own] += 1
@@ -101,34 +115,41 @@ def _fit(numbers: list[np.ndarray], toxic: np.ndarray, fairness: float) -> Model
     used[swap_feature] = True
     name = np.flatnonzero(used)
     number = (np.cumsum(used) - 1).astype(np.int32)
-    known = [number[own[used[own]]] for own in numbers]
-    feature = np.concatenate(known)
-    row = np.repeat(np.arange(n, dtype=np.int32), [len(own) for own in known])
+    at = np.concatenate([[0], np.cumsum([np.count_nonzero(used[own]) for own in numbers])])
+    feature = np.empty(at[-1], np.int32)
+    for i, own in enumerate(numbers):
+        feature[at[i] : at[i + 1]] = number[own[used[own]]]
+    numbers.clear()
     swap_feature = number[swap_feature]
-    share = toxic.mean()
-    bias, weight = float(np.log(share / (1 - share))), np.zeros(len(name))
+    bias, weight = _logit(toxic.mean()), np.zeros(len(name))
     # First with the penalty, which picks the features, then those alone without it,
     # which would keep scores too close to the base rate.
     for sparsity in (SPARSITY, 0.0):
         if not sparsity:
             kept = weight != 0
-            number, name, weight = np.cumsum(kept) - 1, name[kept], weight[kept]
-            row, feature = row[kept[feature]], number[feature[kept[feature]]]
+            number, name, weight = (np.cumsum(kept) - 1).astype(np.int32), name[kept], weight[kept]
+            on = kept[feature]
+            at = np.concatenate([[0], np.cumsum(on)])[at]
+            feature = number[feature[on]]
             on = kept[swap_feature]
             swap_row, swap_feature, sign = swap_row[on], number[swap_feature[on]], sign[on]
-        seen = np.zeros(len(name))
+        seen, parts = np.zeros(len(name)), _parts(at)
         for _ in range(ROUNDS):
-            z = bias + np.bincount(row, weight[feature], n)
-            error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic) / n
+            slope, off = np.zeros(len(name)), 0.0
+            for a, b in parts:
+                own, row = feature[at[a] : at[b]], np.repeat(np.arange(b - a), np.diff(at[a : b + 1]))
+                z = bias + np.bincount(row, weight[own], b - a)
+                error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic[a:b]) / n
+                slope += np.bincount(own, error[row], len(name))
+                off += float(error.sum())
             change = np.bincount(swap_row, weight[swap_feature] * sign, n)
-            slope = np.bincount(feature, error[row], len(name))
             slope += fairness / n * np.bincount(swap_feature, change[swap_row] * sign, len(name))
             seen += slope * slope
             step = 0.3 / np.sqrt(seen + 1e-10)
             weight -= step * slope
             weight = np.sign(weight) * np.maximum(np.abs(weight) - step * sparsity, 0)
-            bias -= 2 * float(error.sum())
-    return Model(bias, name, weight)
+            bias -= 2 * off
+    return Model(bias + _logit(share) - _logit(toxic.mean()), name, weight)
 
 
 def fit(
@@ -136,20 +157,25 @@ def fit(
     doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
 ) -> Model:
     """Learns from at most ``rows`` labelled texts for whose label ``learns`` holds (a
-    condition on labels.doc_id); their features are fetched to the driver. Without labels
+    condition on labels.doc_id), half of them toxic where there are enough; the bias is then
+    set to the share of all labels. Their features are fetched to the driver. Without labels
     of both kinds the model knows no feature and gives every text one score, on the
     labelled side, or not toxic when there is no label at all."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
-    taken = labelled.sample(docs, known, "label", F.lit(True) if learns is None else learns, rows)
+    taken, share = labelled.sample_by_class(docs, known, "label", F.lit(True) if learns is None else learns, rows)
 
     @F.arrow_udf("binary")
     def listed(texts: pa.Array) -> pa.Array:
         return _feature_lists(texts)
 
-    fetched = taken.select("doc_id", "label", listed("text").alias("features")).toArrow().sort_by("doc_id")
-    numbers = [np.frombuffer(x, "<i4") for x in fetched["features"].to_pylist()]
-    return _fit(numbers, np.array(fetched["label"].to_pylist(), float), fairness)
+    fetched = taken.select("doc_id", "label", listed("text").alias("features")).toArrow()
+    order = pc.sort_indices(fetched["doc_id"]).to_numpy()
+    toxic = np.array(fetched["label"].to_pylist(), float)[order]
+    lists = [np.frombuffer(x.as_buffer(), "<i4") for x in fetched["features"]]  # not copied
+    numbers = [lists[i] for i in order]
+    del fetched, lists
+    return _fit(numbers, toxic, fairness, share)
 
 
 def _scores(texts: pa.Array, model: Model) -> pa.Array:
