@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +99,14 @@ def test_no_pair_list_of_copies(documents):
     rows = [(i, "same words in every one of the copies") for i in range(500)]
     got = near_dups.near_duplicates(documents(rows)).agg(F.countDistinct("component_id"), F.sum(F.col("kept").cast("int"))).first()
     assert tuple(got) == (1, 1)
+
+
+def test_sketches_seldom_refute_a_pair_at_the_threshold():
+    draw, lost = np.random.default_rng(5), 0
+    samples, bits, rows = near_dups.SAMPLES, 64 * near_dups.SKETCH_WORDS, 20_000
+    for _ in range(15):
+        differing = draw.binomial(samples, 0.2, rows)
+        row = np.repeat(np.arange(rows), 2 * differing)
+        flips = np.bincount(row * bits + draw.integers(bits, size=len(row)), minlength=rows * bits)
+        lost += ((flips.reshape(rows, bits) & 1).sum(1) > near_dups.most_flips(80, samples)).sum()
+    assert lost == 0

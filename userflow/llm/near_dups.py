@@ -35,8 +35,7 @@ ROWS = 4  # samples that make one band key
 SAMPLES = 192  # samples folded into a sketch
 SKETCH_WORDS = 4  # 64-bit words of a sketch
 PARITY_WORDS = 16  # 64-bit words of the whole set's parity
-MISS = 1e-7  # chance that a pair at the threshold shares no band
-SIGMAS = 4.7  # allowance of the sketch's estimate below the threshold
+MISS = 1e-7  # chance that a pair at the threshold shares no band, and that its sketches refute it
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -44,12 +43,25 @@ def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     return max(1, math.ceil(math.log(miss) / math.log1p(-((percent / 100) ** rows))))
 
 
-def most_flips(percent: int, samples: int) -> int:
-    """The largest population count that a pair at the threshold shows within SIGMAS."""
+def flips_beyond(percent: int, samples: int) -> np.ndarray:
+    """For each population count the chance that a pair at the threshold shows more: each
+    sample differs by itself and then flips two bits, of which those flipped an odd number
+    of times count."""
     bits, j = 64 * SKETCH_WORDS, percent / 100
-    differing = 2 * samples * (1 - j)
-    spread = math.sqrt(4 * samples * j * (1 - j) + bits / 4 * (math.exp(4 * differing / bits) - 1))
-    return math.floor(bits / 2 * (1 - math.exp(-2 * (differing + SIGMAS * spread) / bits)))
+    count = np.arange(bits + 1)
+    odd = (count == 0).astype(float)  # the chance of each count after so many flips
+    total = np.zeros(bits + 1)
+    for differing in range(samples + 1):
+        total += math.comb(samples, differing) * (1 - j) ** differing * j ** (samples - differing) * odd
+        for _ in range(2):
+            up, down = odd * (bits - count) / bits, odd * count / bits
+            odd = np.concatenate([[0.0], up[:-1]]) + np.concatenate([down[1:], [0.0]])
+    return np.concatenate([np.cumsum(total[::-1])[::-1][1:], [0.0]])
+
+
+def most_flips(percent: int, samples: int, miss: float = MISS) -> int:
+    """The largest population count that a pair at the threshold shows but that often."""
+    return int(np.argmax(flips_beyond(percent, samples) <= miss))
 
 
 def _signed(found: words.Words, bands: int, samples: int) -> tuple[np.ndarray, np.ndarray]:
