@@ -71,16 +71,6 @@ def test_contaminated_documents_go(cases):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(map(str, want))
 
 
-@pytest.mark.parametrize("few", [bloom.FEW_IDS, 0])
-def test_contaminated_documents_go_by_id(cases, few, monkeypatch):
-    monkeypatch.setattr(bloom, "FEW_IDS", few)
-    docs, rows, benchmark, items = cases
-    bad = {r[0] for r in expected(rows, items, 13) if r[4] and r[0] is not None}
-    left = decontaminate.decontaminate(docs, benchmark, block_bytes=100)
-    assert bad and left.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(i) for i, _ in rows if i not in bad)
-
-
 @pytest.mark.parametrize("few", [bloom.FEW_IDS, 0])
 def test_documents_go_alike_with_any_number_of_blocks(cases, documents, few, monkeypatch):
     monkeypatch.setattr(bloom, "FEW_IDS", few)

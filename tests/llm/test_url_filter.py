@@ -20,6 +20,36 @@ def test_membership_is_exact(spark):
     assert "Join" not in plan
 
 
+COLLIDING = ("ads.org/", "agl.org/HMbBre;S")  # one xxhash64
+
+
+def test_colliding_keys_end(spark):
+    hashed = keys(spark, COLLIDING).select(F.xxhash64("key").alias("h")).distinct().count()
+    built = url_filter.cascade(keys(spark, COLLIDING[:1]), keys(spark, [*COLLIDING, "c.org/"]))
+    assert hashed == 1 and len(built.levels) < url_filter.MOST_LEVELS
+    found = keys(spark, [*COLLIDING, "c.org/", None]).select("key", built.contains(F.col("key")).alias("in")).collect()
+    assert {r.key: r["in"] for r in found} == {COLLIDING[0]: True, COLLIDING[1]: False, "c.org/": False, None: False}
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+@pytest.mark.parametrize("residue", [url_filter.MOST_RESIDUE, 1])
+def test_the_residue_is_exact(spark, monkeypatch, levels, residue):
+    monkeypatch.setattr(url_filter, "MOST_LEVELS", levels)
+    monkeypatch.setattr(url_filter, "MOST_RESIDUE", residue)
+    for name in ("FIRST_HASHES", "LATER_HASHES"):  # many keys pass each level
+        monkeypatch.setattr(url_filter, name, 1)
+    listed = [f"bad{i}" for i in range(8000)]
+    rows = keys(spark, listed + [f"good{i}" for i in range(20_000)] + [None])
+    built = url_filter.cascade(keys(spark, listed), rows)
+    assert built is not None or residue == 1
+    assert (built is None) == (residue == 1) or levels == 3  # so few are left
+    if built is not None:
+        assert len(built.levels) == levels and built.residue is not None
+    flags = url_filter.with_listed(rows, keys(spark, listed))
+    assert flags.count() == 28_001
+    assert flags.where(F.col("listed") != F.coalesce(F.col("key").startswith("bad"), F.lit(False))).isEmpty()
+
+
 @pytest.mark.parametrize("most", [url_filter.MOST_KEYS, 1])
 def test_listed_flags(spark, monkeypatch, most):
     monkeypatch.setattr(url_filter, "MOST_KEYS", most)

@@ -34,7 +34,9 @@ class Filter(NamedTuple):
 
 
 def _places(key: Column, bits: int, hashes: int, salt: int) -> list[Column]:
-    return [F.xxhash64(key, F.lit(salt), F.lit(i)).bitwiseAND(F.lit(bits - 1)) for i in range(hashes)]
+    # The hash takes its arguments from left to right: with the key last, keys that collide
+    # under one salt and number part again under the others.
+    return [F.xxhash64(F.lit(salt), F.lit(i), key).bitwiseAND(F.lit(bits - 1)) for i in range(hashes)]
 
 
 def bits_for(keys: int, per_key: float, most: int) -> int:

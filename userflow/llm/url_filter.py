@@ -7,6 +7,10 @@ does not pass is an even one (or it passes all, and their number is odd). The le
 small arrays that each task holds, so that membership needs no join and is exact for every
 key of the universe that the cascade was built over. Building joins once: the few keys that
 pass the first level are held against the listed ones.
+
+Urls are written by strangers, who may choose keys that collide. Every level hashes anew, and
+after MOST_LEVELS levels the keys still left are held as they are (the residue), so that the
+cascade ends whatever the keys.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ FIRST_BITS, FIRST_HASHES = 12, 6  # of the first level, for each listed key
 LATER_BITS, LATER_HASHES = 6, 3
 MOST_BITS = 1 << 28  # of a level, 32 MB
 MOST_KEYS = MOST_BITS // FIRST_BITS  # beyond, membership is by a join
+MOST_LEVELS = 16  # some 22 million keys take seven
+MOST_RESIDUE, RESIDUE_BYTES = 1 << 12, 1 << 20  # keys left after them, beyond is a join
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -61,10 +67,13 @@ def ruled(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 class Cascade(NamedTuple):
     levels: list[bloom.Filter]
+    residue: DataFrame | None = None  # one row: keys that pass the last level but are not in it
 
     def contains(self, key: Column) -> Column:
         """Whether a key of the universe is listed; false for null."""
         listed = F.lit(len(self.levels) % 2 == 1)
+        if self.residue is not None:
+            listed = F.array_contains(self.residue.scalar(), key) != listed
         for number in range(len(self.levels), 0, -1):
             listed = F.when(self.levels[number - 1].contains(key), listed).otherwise(F.lit(number % 2 == 0))
         return listed & key.isNotNull()
@@ -73,14 +82,15 @@ class Cascade(NamedTuple):
 def cascade(listed: DataFrame, universe: DataFrame, key: str = "key") -> Cascade | None:
     """A cascade of the keys of ``listed`` over those of ``universe``; repeats and nulls
     are left out. Without listed keys it has no level. None when there are more than
-    MOST_KEYS: a level would be too large for every task to hold."""
+    MOST_KEYS, or more than MOST_RESIDUE (or RESIDUE_BYTES of them) after MOST_LEVELS: it
+    would be too large for every task to hold."""
     inside = stored(listed.select(key).where(F.col(key).isNotNull()).distinct(), "listed")
     n = inside.count()
     if n > MOST_KEYS:
         return None
     levels: list[bloom.Filter] = []
     outside = None
-    while n:
+    while n and len(levels) < MOST_LEVELS:
         first = not levels
         bits = bloom.bits_for(n, FIRST_BITS if first else LATER_BITS, MOST_BITS)
         level = bloom.build(inside, key, bits, FIRST_HASHES if first else LATER_HASHES, salt=len(levels) + 1)
@@ -93,7 +103,11 @@ def cascade(listed: DataFrame, universe: DataFrame, key: str = "key") -> Cascade
         # What passed is encoded next; what was encoded is then held against that.
         outside, inside = inside, stored(passed, "passed")
         n = inside.count()
-    return Cascade(levels)
+    if not n:
+        return Cascade(levels)
+    if n > MOST_RESIDUE or inside.agg(F.sum(F.octet_length(F.col(key).cast("string")))).first()[0] > RESIDUE_BYTES:
+        return None
+    return Cascade(levels, stored(inside.agg(F.collect_set(key).alias("keys")), "residue"))
 
 
 def with_listed(rows: DataFrame, listed: DataFrame, key: str = "key", out: str = "listed") -> DataFrame:
