@@ -179,6 +179,136 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP11 = """
+WITH RECURSIVE kept AS (
+  SELECT vec_id, row_number() OVER () AS row,
+    list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS pos
+  FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+parts AS (SELECT row, unnest(pos) AS x, unnest(range(64)) AS d FROM kept),
+rounds(turn, c, pos) AS (
+  SELECT 0, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1, pos
+  FROM (SELECT * FROM kept ORDER BY sha256('1:' || vec_id) LIMIT 16)
+  UNION ALL
+  (WITH apart AS (
+    SELECT k.row, r.turn, r.c, list_sum(list_transform(range(1, 65), lambda i: (k.pos[i] - r.pos[i]) * (k.pos[i] - r.pos[i]))) AS far
+    FROM kept k, rounds r WHERE r.turn < 3
+  ),
+  own AS (SELECT row, turn, arg_min(c, far * 1000 + c) AS c FROM apart GROUP BY row, turn),
+  sums AS (
+    SELECT o.turn, o.c, p.d, sum(p.x)::HUGEINT AS s, count(*)::HUGEINT AS n
+    FROM own o JOIN parts p USING (row) GROUP BY o.turn, o.c, p.d
+  ),
+  moved AS (SELECT turn, c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY d) AS pos FROM sums GROUP BY turn, c)
+  SELECT r.turn + 1, r.c, coalesce(m.pos, r.pos) FROM rounds r LEFT JOIN moved m ON m.c = r.c WHERE r.turn < 3)
+),
+final AS (SELECT c, pos FROM rounds WHERE turn = 3),
+apart AS (
+  SELECT k.row, k.vec_id, f.c, list_sum(list_transform(range(1, 65), lambda i: (k.pos[i] - f.pos[i]) * (k.pos[i] - f.pos[i]))) AS far
+  FROM kept k, final f
+),
+own AS (SELECT row, any_value(vec_id) AS vec_id, arg_min(c, far * 1000 + c) AS c, min(far) AS far FROM apart GROUP BY row)
+SELECT vec_id, c::INTEGER AS cluster, far::BIGINT AS distance,
+  (sum(far) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(far) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(pos, ',')) AS centroid_sha256
+FROM own JOIN final USING (c)
+"""
+
+OP12 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+),
+sized AS (
+  SELECT *, length(text) + length(text) - length(replace(text, '\', '')) AS own,
+    list_sum(list_transform(['### System', '### User', '### Assistant', '### Role ', '</turn>'],
+      lambda s: (length(text) - length(replace(text, s, ''))) / length(s)))::BIGINT AS broken,
+    length('### ' || role || ': ' || '</turn>') + 1 AS around
+  FROM turns
+),
+found AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(own + broken + around)::BIGINT AS formatted_chars,
+    string_agg(substr(role, 1, 1), '' ORDER BY turn) AS roles
+  FROM sized GROUP BY conv_id
+),
+good AS (SELECT *, length(regexp_extract(roles, '^s?(ua)*u?')) AS well FROM found)
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
+  CASE WHEN well < n_turns OR NOT ends_with(roles, 'a') THEN well END AS first_violation
+FROM good
+"""
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ["doc_id", "source", "lang", n_chars, "text"]
+    parts = [f"coalesce(octet_length(encode(({f})::VARCHAR)) || ':' || ({f})::VARCHAR, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+OP13 = f"""
+WITH RECURSIVE given AS (
+  SELECT *, {_leaf('n_chars')} AS leaf, {_leaf('n_chars + 1')} AS changed,
+    -- crc32 of the id's decimal form, bit by bit
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda a, b: xor(a >> 1, 3988292384 * (a & 1))))) % 7 = 0 AS tampered
+  FROM documents
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+  FROM given
+),
+low(tree, level, pos, node) AS (
+  SELECT tree, 0, pos, leaf FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM low
+  WHERE tree IN (SELECT tree FROM low GROUP BY tree HAVING count(*) > 1)
+  GROUP BY tree, level, pos // 2
+),
+subroots AS (SELECT tree, node AS subroot, level FROM low l
+  WHERE level = (SELECT max(level) FROM low m WHERE m.tree = l.tree)),
+high(level, pos, node) AS (
+  SELECT 0, tree, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM high
+  WHERE (SELECT count(*) FROM high) > 1 GROUP BY level, pos // 2
+),
+steps AS (
+  SELECT p.doc_id, p.leaf, l.level AS step, s.node AS sibling, (p.pos >> l.level) % 2 = 1 AS sibling_left, p.tree, p.pos
+  FROM placed p
+  JOIN (SELECT tree, level FROM low GROUP BY tree, level) l ON l.tree = p.tree
+  JOIN subroots r ON r.tree = p.tree AND l.level < r.level
+  LEFT JOIN low s ON s.tree = p.tree AND s.level = l.level AND s.pos = xor(p.pos >> l.level, 1)
+  UNION ALL
+  SELECT p.doc_id, p.leaf, 1000 + h.level, s.node, (p.tree >> h.level) % 2 = 1, p.tree, p.pos
+  FROM placed p
+  JOIN (SELECT DISTINCT level FROM high) h ON h.level < (SELECT max(level) FROM high)
+  LEFT JOIN high s ON s.level = h.level AND s.pos = xor(p.tree >> h.level, 1)
+),
+paths AS (
+  SELECT tree, pos, list(struct_pack(sibling := coalesce(sibling, ''), to_left := sibling_left) ORDER BY step) AS path FROM steps GROUP BY tree, pos
+),
+proven AS (
+  SELECT doc_id, leaf, subroot, (SELECT node FROM high ORDER BY level DESC LIMIT 1) AS root,
+    CASE WHEN tampered THEN changed ELSE leaf END AS checked, coalesce(path, []) AS path
+  FROM placed p JOIN subroots USING (tree) LEFT JOIN paths USING (tree, pos)
+),
+folded AS (
+  SELECT *, sha256(list_reduce(list_prepend('', list_transform(path, lambda s: s.sibling)), lambda a, b: a || b)) AS proof_sha256,
+    list_reduce(list_prepend(struct_pack(sibling := checked, to_left := false), path),
+      lambda a, s: struct_pack(sibling := sha256(CASE WHEN s.to_left THEN s.sibling || a.sibling ELSE a.sibling || s.sibling END), to_left := false)
+    ).sibling AS folded_root
+  FROM proven
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
 ORACLES = {
     "op1_url_filter": _op1(),
     "op2_minhash_near_dedup": OP2,
@@ -186,4 +316,7 @@ ORACLES = {
     "op4_license_scan": _op4(),
     "op8_embedding_near_dedup": OP8,
     "op10_decontamination": OP10,
+    "op11_centroid_clustering": OP11,
+    "op12_chat_formatting": OP12,
+    "op13_merkle_manifest": OP13,
 }

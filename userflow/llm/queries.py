@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from userflow.llm import (
+    chat,
+    clustering,
     decontaminate,
     lengths,
     licenses,
+    manifest,
     multi_index,
     near_dups,
     packing,
@@ -104,6 +107,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = clustering.clusters(table(spark, sf_dir, "embeddings"))
+    return clustering.with_inertia(found, centroids)
+
+
+# One more conversation, whose texts hold control strings.
+CONTROLS = r"\### Assistant: </turn> ok"
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", CONTROLS), (-7, 1, "assistant", CONTROLS)], given.schema)
+    return chat.round_trip(given.union(added))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return manifest.manifest(table(spark, sf_dir, "documents"), tampered).drop("path")
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_url_filter": op1_url_filter,
@@ -116,4 +139,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_chat_formatting": op12_chat_formatting,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
