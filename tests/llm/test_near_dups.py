@@ -79,7 +79,86 @@ def test_one_of_each_group_stays(documents):
     rows = [(4, text), (2, text), (2, text), (7, "else"), (7, "other"), (None, text), (None, None), (8, None)]
     left = near_dups.drop_near_duplicates(documents(rows))
     assert left.columns == documents(rows).columns
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect()) == [(False, 2), (False, 7), (False, 8), (True, 0), (True, 0)]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect()) == [(False, 2), (False, 7), (False, 7), (False, 8), (True, 0), (True, 0)]
+
+
+def survivors(rows, n=5, percent=80):
+    """Rows that stay: one text (id, set) of each group of linked texts, one row of each text."""
+    texts = sorted({(i, t) for i, t in rows if i is not None and shingles(t, n)})
+    sets = [shingles(t, n) for _, t in texts]
+    group = list(range(len(texts)))
+
+    def find(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for k, a in enumerate(sets):
+        for j, b in enumerate(sets[:k]):
+            if 100 * len(a & b) >= percent * len(a | b):
+                group[max(find(j), find(k))] = min(find(j), find(k))
+    groups = {}
+    for k, text in enumerate(texts):
+        groups.setdefault(find(k), []).append(text)
+    bare = {(i, t) for i, t in rows if i is not None and not shingles(t, n)}
+    return groups.values(), bare, [t for i, t in rows if i is None]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark, partitions):
+    draw = random.Random(11)
+    bases = [[f"v{draw.randrange(300)}" for _ in range(40)] for _ in range(12)]
+    rows = []
+    for _ in range(150):
+        own = list(draw.choice(bases))
+        for _ in range(draw.randrange(3)):
+            own[draw.randrange(40)] = f"x{draw.randrange(5)}"
+        rows.append((draw.choice([1, 2, 3, draw.randrange(60)]), draw.choice([" ", "  "]).join(own)))
+    rows += [(1, "alpha beta gamma delta epsilon zeta"), (1, "one two three four five six"), (1, None), (1, ""), (1, None), (2, " "), (None, rows[0][1]), (None, None)]
+    # Names that helper columns might take.
+    docs = spark.createDataFrame([(i, t, "a", "b", "c", "d") for i, t in rows], "doc_id long, text string, gone string, again string, key string, mark string")
+    left = near_dups.drop_near_duplicates(docs.repartition(partitions, "text"))
+    assert left.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in left.collect()]
+    groups, bare, nameless = survivors(rows)
+    assert sorted(t or "" for i, t in got if i is None) == sorted(t or "" for t in nameless)
+    named = [r for r in got if r[0] is not None]
+    assert len(set(named)) == len(named) == len(groups) + len(bare) and bare <= set(named)
+    for group in groups:
+        stays = [r for r in named if r in group]
+        assert len(stays) == 1 and stays[0][0] == min(i for i, _ in group)
+
+
+def look_alikes(n, common, own):
+    """Texts of one template, none linked with another."""
+    return [(i, " ".join([*(f"c{k}" for k in range(common)), *(f"u{i}w{k}" for k in range(own))])) for i in range(n)]
+
+
+@pytest.mark.parametrize("wide", [0, 3])
+def test_wide_buckets_lose_no_link(documents, monkeypatch, wide):
+    monkeypatch.setattr(near_dups, "WIDE", wide)
+    draw = random.Random(wide)
+    rows = look_alikes(60, 60, 30)
+    for i, text in rows[:40]:
+        own = text.split()
+        own[draw.randrange(len(own))] = "other"
+        rows.append((100 + i, " ".join(own)))
+    checked(documents(rows), rows)
+
+
+def test_look_alikes_are_compared_in_proportion(documents, monkeypatch):
+    monkeypatch.setattr(near_dups, "WIDE", 8)
+    across, made = near_dups._across, []
+    monkeypatch.setattr(near_dups, "_across", lambda *a: made.append(across(*a)) or made[-1])
+    compared = {}
+    for n in (200, 800):
+        made.clear()
+        rows = look_alikes(n, 70, 34)  # similarity 0.5
+        got = near_dups.near_duplicates(documents(rows)).where("kept").count()
+        compared[n] = sum(df.count() for df in made)
+        assert got == n
+    # All pairs of the buckets would be some 44,000 and 710,000.
+    assert compared[800] <= 6 * max(compared[200], 100)
 
 
 def test_sketches_tell_high_similarities(documents):

@@ -7,6 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from userflow.llm.tables import free
+
 LEAST_BITS = 1 << 16
 MOST_BITS = 1 << 27  # of a filter on ids, 16 MB
 FEW_IDS = 1 << 20  # a table of ids that Spark's own size check may broadcast
@@ -70,13 +72,14 @@ def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """``rows`` whose ``column`` is not among ``ids`` (written, one column); rows with a
     null stay. Few ids are left to Spark's choice of join; with more, a filter lets only
     rows that may go into the join's shuffle, the others stay where they are read."""
-    gone = ids.toDF("__gone")
+    name = free(rows, "gone")
+    gone = ids.toDF(name)
 
     def left(some: DataFrame) -> DataFrame:
-        return some.join(gone, some[column] == F.col("__gone"), "left_anti")
+        return some.join(gone, F.col(column) == F.col(name), "left_anti")
 
     n = ids.count()
     if n <= FEW_IDS:
         return left(rows)
-    maybe = build(gone, "__gone", bits_for(n, 16, MOST_BITS), 2).contains(F.col(column).cast(gone.schema[0].dataType))
+    maybe = build(gone, name, bits_for(n, 16, MOST_BITS), 2).contains(F.col(column).cast(gone.schema[0].dataType))
     return rows.where(~maybe).unionByName(left(rows.where(maybe)))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from userflow.llm import bloom, words
-from userflow.llm.tables import empty, stored
+from userflow.llm.tables import empty, free, stored
 
 WINDOW = 13
 SHARE = 20  # a document is contaminated when one word in so many is hit
@@ -375,7 +375,8 @@ def decontaminate(
     put = _merged(found.groupBy("mark", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans")))
     n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.past - s.first)")
     bad = stored(put.where(_contaminated(F.col("n_words"), n_hit, SHARE)).select("mark"), "contaminated")
-    return bloom.without(docs.withColumn("__mark", key), "__mark", bad).drop("__mark")
+    name = free(docs, "mark")
+    return bloom.without(docs.withColumn(name, key), name, bad).drop(name)
 
 
 def _contaminated(n_words: Column, n_hit: Column, share: int) -> Column:

@@ -15,6 +15,11 @@ hub of each of its buckets. Links found so join classes. Then only pairs of diff
 components are left: in each bucket the members outside its largest component are held
 against the others. What a hub has already joined is never compared again, and no link
 between components is skipped.
+
+A bucket may be full of look-alikes below the threshold, say of one template, so that many
+are outside. Buckets with more than WIDE of them are split further, by their members' full
+sets: ordered from the rarest shingle to the commonest, two sets that meet the threshold
+share one of their first shingles (prefix filter), and a template's common ones are last.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from userflow.llm import bloom, graph, words
-from userflow.llm.tables import stored
+from userflow.llm.tables import free, stored
 
 ROWS = 4  # samples that make one band key
 SAMPLES = 192  # samples folded into a sketch
 SKETCH_WORDS = 4  # 64-bit words of a sketch
 PARITY_WORDS = 16  # 64-bit words of the whole set's parity
+WIDE = 32  # members outside its largest component that a bucket may have before it is split
+COUNTERS = 1 << 20  # of shingles, by hash: tell common ones from rare ones
 MISS = 1e-7  # chance that a pair at the threshold shares no band, and that its sketches refute it
 
 
@@ -89,6 +97,12 @@ def _parities(found: words.Words) -> np.ndarray:
     return np.packbits(odd).view(np.uint64)
 
 
+def _marks(found: words.Words) -> pa.Array:
+    """A digest of each set; null for the empty one."""
+    ends = zip(found.bounds[:-1], found.bounds[1:], strict=True)
+    return pa.array([hashlib.blake2b(found.hashes[a:b], digest_size=16).digest() if a < b else None for a, b in ends], pa.binary())
+
+
 def _signatures(shingle: int, bands: int, samples: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,17 +112,13 @@ def _signatures(shingle: int, bands: int, samples: int):
                 full = np.flatnonzero(sizes)
                 kept = words.Words(found.hashes, np.concatenate([[0], found.bounds[1:][full]]))
                 keys, sketch = _signed(kept, bands, samples)
-                marks = [
-                    hashlib.blake2b(found.hashes[a:b], digest_size=16).digest() if a < b else None
-                    for a, b in zip(found.bounds[:-1], found.bounds[1:], strict=True)
-                ]
                 width = np.zeros(len(sizes) + 1, np.int64)
                 width[1:] = np.cumsum(sizes > 0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, len(sizes)),
                         pa.array(sizes, pa.int64()),
-                        pa.array(marks, pa.binary()),
+                        _marks(found),
                         words.lists(keys.reshape(-1), width * bands),
                         words.lists(sketch.reshape(-1), width * SKETCH_WORDS),
                         words.lists(_parities(kept), width * PARITY_WORDS),
@@ -132,21 +142,47 @@ def _sets(shingle: int):
             for part in words.slices(batch.column(1)):
                 found = words.distinct(words.windows(words.words(part), shingle))
                 ids = batch.column(0).slice(part.first, len(found.bounds) - 1)
-                yield pa.RecordBatch.from_arrays([ids, words.lists(*found)], ["doc_id", "items"])
+                yield pa.RecordBatch.from_arrays([ids, _marks(found), words.lists(*found)], ["doc_id", "mark", "items"])
 
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets meet the threshold. Only their texts are read
-    again; one side of a pair carries its set to the other."""
-    ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
-    # Most texts are in no pair: a filter of bounded size keeps them out of the shuffle.
-    few = bloom.build(ids, "doc_id", bloom.bits_for(ids.count(), 16, bloom.MOST_BITS), 2)
-    texts = docs.where(few.contains(F.col("doc_id"))).join(ids, "doc_id", "left_semi")
-    items = stored(texts.mapInArrow(_sets(shingle), "doc_id long, items array<long>"), "sets")
-    left = items.select(F.col("doc_id").alias("a"), F.col("items").alias("left"))
-    right = items.select(F.col("doc_id").alias("b"), F.col("items").alias("right"))
+def _marked(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch.column(1)):
+                found = words.distinct(words.windows(words.words(part), shingle))
+                n = len(found.bounds) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(part.first, n), batch.column(2).slice(part.first, n), _marks(found)], ["doc_id", "key", "mark"]
+                )
+
+    return run
+
+
+def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, items): the full sets of the classes ``nodes`` (written). Only texts of their
+    documents are read again; one text stands for a class."""
+    wanted = classes.join(nodes, "node", "left_semi").select("node", F.col("doc").alias("own"), F.col("mark").alias("set"))
+    wanted = stored(wanted, "wanted")
+    n = wanted.count()
+    # Most texts are not wanted: a filter of bounded size keeps them out of the shuffle.
+    few = bloom.build(wanted, "own", bloom.bits_for(n, 16, bloom.MOST_BITS), 2)
+    read = docs.where(few.contains(F.col("doc_id"))).mapInArrow(_sets(shingle), "doc_id long, mark binary, items array<long>")
+    same = (F.col("doc_id") == F.col("own")) & (F.col("mark") == F.col("set"))
+    items = stored(read.join(wanted, same).select("node", "items"), "sets")
+    if items.count() > n:  # repeated rows
+        items = stored(items.dropDuplicates(["node"]), "sets")
+    return items
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets meet the threshold. One side of a pair
+    carries its set to the other."""
+    nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "ids")
+    items = sets_of(nodes, classes, docs, shingle)
+    left = items.select(F.col("node").alias("a"), F.col("items").alias("left"))
+    right = items.select(F.col("node").alias("b"), F.col("items").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
     linked = 100 * shared >= percent * (F.size("left") + F.size("right") - shared)
     return pairs.join(left, "a").join(right, "b").where(linked).select("a", "b")
@@ -169,31 +205,86 @@ def _plausible(flips: int, percent: int):
     )
 
 
-def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, percent: int = 80, samples: int = SAMPLES
-) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
+def mains(placed: DataFrame) -> DataFrame:
+    """Of each bucket of ``placed`` (key, node, component) with several components: main, its
+    largest one, and outside, how many members are in others."""
+    held = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = held.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("parts"))
+    return largest.where("parts > 1").select("key", F.col("top.component").alias("main"), (F.col("n") - F.col("top.n")).alias("outside"))
 
-    Two texts are linked when 100 * shared >= percent * (all of both), over distinct
-    shingles of ``shingle`` words; a text of fewer words is one shingle. component_id is
-    the smallest doc_id reachable by links, kept tells whether it is the row's own.
 
-    Null, empty and blank texts have no shingles and are linked with nothing. Repeated
-    rows and rows of one id with several texts are one node, linked to what any of the
-    texts is linked to; each row is returned. A row without an id is linked with nothing
-    and kept, its component_id is null. Other columns are not looked at. An empty table
-    gives an empty result.
-    """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _prefixes(counts: np.ndarray, percent: int):
+    """Of each set the first shingles in a common order, rarest first: as many as must hold
+    one that a set at the threshold shares. One that no other set has needs no bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            bounds = lists.offsets.to_numpy()
+            values = lists.values.to_numpy().view(np.uint64)
+            seen = counts[(values & np.uint64(COUNTERS - 1)).astype(np.int64)]
+            rows, tokens = [], []
+            for i in range(len(lists)):
+                own, often = values[bounds[i] : bounds[i + 1]], seen[bounds[i] : bounds[i + 1]]
+                n = len(own)
+                first = np.lexsort((own, often))[: n - -(-percent * n // 100) + 1]
+                first = first[often[first] > 1]
+                rows.append(np.full(len(first), i))
+                tokens.append(own[first])
+            at = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64))
+            token = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)], ["key", "node", "component"]
+            )
+
+    return run
+
+
+def split_by_prefix(members: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Buckets (key, node, component) of ``members`` (node, component): by the shingles of
+    their prefixes. Two members that meet the threshold share one."""
+    items = sets_of(members.select("node"), classes, docs, shingle)
+    placed = stored(items.join(members, "node").select("node", "component", "items"), "wide-sets")
+    slot = F.explode(F.transform("items", lambda x: x.bitwiseAND(F.lit(COUNTERS - 1)))).alias("slot")
+    counted = placed.select(slot).groupBy("slot").agg(F.count("*").alias("n")).toArrow()  # COUNTERS rows at most
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    return placed.mapInArrow(_prefixes(counts, percent), "key long, node long, component long")
+
+
+def _across(placed: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Pairs of members of one bucket and different components, those outside its main
+    component against the others: key, a, b."""
+    held = stored(placed.join(mixed.select("key", "main"), "key"), "mixed-members")
+    one = held.where("component <> main").selectExpr("key", "node as a", "component as ca")
+    other = held.selectExpr("key", "node as b", "component as cb", "main")
+    once = (F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))
+    return one.join(other, "key").where((F.col("ca") != F.col("cb")) & once).select("key", "a", "b")
+
+
+class Linked(NamedTuple):
+    """rows: doc_id, n_shingles, mark of each row; classes: mark, node (a number), doc (the
+    smallest id), of the texts with equal sets; links: pairs (a, b) of nodes, enough to
+    connect all that are connected."""
+
+    rows: DataFrame
+    classes: DataFrame
+    links: DataFrame
+
+
+def linked(docs: DataFrame, shingle: int, percent: int, samples: int) -> Linked:
+    """The classes of ``docs`` (doc_id, text), and their links."""
     bands = bands_for(percent)
     samples = max(samples, bands * ROWS)
-    rows = stored(signatures(docs, shingle, bands, samples), "signatures")
+    signed = signatures(docs, shingle, bands, samples).withColumn("row", F.monotonically_increasing_id())
+    rows = stored(signed, "signatures")
     # Equal sets have equal bands and sketches, so that copies collapse before the shuffle.
     classes = stored(
         rows.where("mark is not null and doc_id is not null")
         .groupBy("mark")
         .agg(
-            F.min("doc_id").alias("node"),
+            F.min("row").alias("node"),
+            F.min("doc_id").alias("doc"),
             F.first("bands").alias("bands"),
             F.struct(*(F.first(c).alias(c) for c in ("n_shingles", "sketch", "parity"))).alias("form"),
         ),
@@ -207,50 +298,64 @@ def near_duplicates(
         "buckets",
     )
     members = stored(keyed.join(buckets, "key"), "members")
-    flips = most_flips(percent, samples)
-    forms = classes.select("node", "form")
-    plausible = _plausible(flips, percent)
+    plausible = _plausible(most_flips(percent, samples), percent)
 
-    def of(side: str, name: str) -> DataFrame:
-        return forms.select(F.col("node").alias(side), F.col("form").alias(name))
+    def of(side: str, name: str, *more: str) -> DataFrame:
+        return classes.select(F.col("node").alias(side), F.col("form").alias(name), *more)
 
     stars = (
         members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
         .join(of("a", "x"), "a").join(of("b", "y"), "b").where(plausible).select("a", "b").distinct()
     )
-    links = stored(verified(stored(stars, "pairs"), docs, shingle, percent), "links")
+    links = stored(verified(stored(stars, "pairs"), classes, docs, shingle, percent), "links")
     joined = graph.components(links)
 
     placed = members.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     placed = stored(placed, "placed")
-    held = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = held.groupBy("key").agg(
-        F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    mixed = stored(largest.select("key", F.col("top.component").alias("main")), "mixed")
-    mixed_members = stored(
-        placed.join(mixed, "key")
-        .join(classes.select("node", "form", "bands"), "node")
-        .select("key", "node", "component", "main", "form", "bands"),
-        "mixed-members",
-    )
-    one = mixed_members.where("component <> main").selectExpr(
-        "key", "node as a", "component as ca", "form as x", "bands as own"
-    )
-    other = mixed_members.selectExpr("key", "node as b", "component as cb", "main", "form as y", "bands as others")
-    once = (F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))
+    mixed = stored(mains(placed), "mixed")
     # Of the buckets that two classes share, the one of the least key holds them together.
     here = F.array_min(F.array_intersect("own", "others")) == F.col("key")
-    rest = one.join(other, "key").where((F.col("ca") != F.col("cb")) & once & plausible & here)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = verified(stored(rest, "pairs"), docs, shingle, percent)
+    own = of("a", "x", F.col("bands").alias("own"))
+    others = of("b", "y", F.col("bands").alias("others"))
+    narrow = stored(_across(placed, mixed.where(f"outside <= {WIDE}")), "narrow")
+    rest = narrow.join(own, "a").join(others, "b").where(plausible & here).select("a", "b")
+    wide = mixed.where(f"outside > {WIDE}").select("key")
+    if not wide.isEmpty():
+        inside = stored(placed.join(wide, "key", "left_semi").select("node", "component").distinct(), "wide")
+        split = stored(split_by_prefix(inside, classes, docs, shingle, percent), "prefixes")
+        pairs = _across(split, mains(split)).select("a", "b").distinct()
+        rest = rest.union(pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").where(plausible).select("a", "b"))
+    rest = stored(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    more = verified(rest, classes, docs, shingle, percent)
+    every = stored(links.union(more), "links")
+    return Linked(rows.select("doc_id", "n_shingles", "mark"), classes.select("mark", "node", "doc"), every)
+
+
+def near_duplicates(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, percent: int = 80, samples: int = SAMPLES
+) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
+
+    Two texts are linked when 100 * shared >= percent * (all of both), over distinct
+    shingles of ``shingle`` words; a text of fewer words is one shingle. component_id is
+    the smallest doc_id reachable by links, kept tells whether it is the row's own.
+
+    Null, empty and blank texts have no shingles and are linked with nothing. Repeated
+    rows and rows of one id with several texts are one node, linked to what any of the
+    texts is linked to; each row is returned. A row without an id is linked with nothing
+    and kept, its component_id is null. Other columns are not looked at. An empty table
+    gives an empty result.
+    """
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows, classes, links = linked(docs, shingle, percent, samples)
+    nodes = stored(rows.join(classes, "mark", "left").select("doc_id", "n_shingles", "node", "doc"), "nodes")
     # An id of several texts ties their classes.
-    nodes = stored(rows.join(classes.select("mark", "node"), "mark", "left").select("doc_id", "n_shingles", "node"), "nodes")
     spans = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
     ties = spans.select("doc_id", "a").join(nodes, "doc_id").select("a", F.col("node").alias("b"))
-    final = graph.components(stored(links.union(more).union(ties), "links"))
-
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
+    final = stored(graph.components(stored(links.union(ties), "links")), "components")
+    smallest = final.join(classes, "node").groupBy("component").agg(F.min("doc").alias("smallest"))
+    final = stored(final.join(smallest, "component").select("node", "smallest"), "smallest")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "doc", "doc_id"))
     return nodes.join(final, "node", "left").select(
         "doc_id",
         "n_shingles",
@@ -260,17 +365,42 @@ def near_duplicates(
 
 
 def drop_near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, percent: int = 80
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, percent: int = 80, samples: int = SAMPLES
 ) -> DataFrame:
-    """The rows of ``docs`` whose document stands for its group; all columns stay. Of rows
-    that share an id one stays; all rows without an id stay."""
-    judged = stored(near_duplicates(docs, text, doc_id, shingle, percent), "judged")
-    gone = stored(judged.where("not kept").select("doc_id").distinct(), "gone")
-    rows = judged.where("doc_id is not null").groupBy(F.col("doc_id").alias("__repeated")).agg(F.count("*").alias("n"))
-    repeated = stored(rows.where("n > 1").drop("n"), "repeated")
-    left = bloom.without(docs, doc_id, gone)
+    """The rows of ``docs`` that stand for their group; all columns stay.
+
+    A row is judged by its own text: groups are of linked texts, and the text of the smallest
+    id stays (of several with that id, the one of the smallest digest). Rows that share an id
+    and hold unlike texts are so judged each. Of rows equal in id and text one stays; all rows
+    without an id stay, and all unlike texts without shingles.
+    """
+    table = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows, classes, links = linked(table, shingle, percent, samples)
+    placed = stored(graph.components(links).join(classes, "node"), "placed")
+    chosen = placed.groupBy("component").agg(F.min(F.struct("doc", "mark")).alias("stays"))
+    # Of each class with links: the document and the set that stay.
+    losing = stored(placed.join(chosen, "component").select("mark", "doc", "stays"), "chosen")
+    # Of the others, the smallest id of the class.
+    stays = stored(
+        classes.join(losing.select("mark", "stays"), "mark", "left").select("mark", F.coalesce("stays", F.struct("doc", "mark")).alias("stays")), "stays"
+    )
+    known = rows.where("doc_id is not null")
+    repeated = stored(known.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    of_stay = (F.col("doc_id") == F.col("stays.doc")) & (F.col("mark") == F.col("stays.mark"))
+    gone = known.join(stays, "mark").where(~of_stay).select("doc_id").distinct().join(repeated, "doc_id", "left_anti")
+    left = bloom.without(docs, doc_id, stored(gone, "gone"))
     if repeated.isEmpty():
         return left
-    single = left.join(repeated, F.col(doc_id) == F.col("__repeated"), "left_anti")
-    several = left.join(repeated, F.col(doc_id) == F.col("__repeated"), "left_semi")
-    return single.unionByName(several.dropDuplicates([doc_id]))
+    again, key, chosen_key = free(docs, "again"), free(docs, "key"), free(docs, "chosen_key")
+    repeated = repeated.withColumnRenamed("doc_id", again)
+    same = F.col(doc_id).cast("long") == F.col(again)
+    single = left.join(repeated, same, "left_anti")
+    several = left.join(repeated, same, "left_semi").withColumn(key, F.coalesce(F.sha2(F.col(text), 256), F.lit("")))
+    own = several.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(key).alias("key"))
+    marked = own.dropDuplicates(["doc_id", "key"]).mapInArrow(_marked(shingle), "doc_id long, key string, mark binary")
+    kept = marked.join(stays, "mark", "left").where(F.col("mark").isNull() | of_stay)
+    # Texts with one set, spaced in different ways, are one.
+    kept = kept.groupBy("doc_id", F.coalesce("mark", F.col("key").cast("binary"))).agg(F.min("key").alias("key"))
+    kept = stored(kept.select(F.col("doc_id").alias(again), F.col("key").alias(chosen_key)), "kept")
+    judged = several.dropDuplicates([doc_id, key]).join(kept, same & (F.col(key) == F.col(chosen_key)), "left_semi").drop(key)
+    return single.unionByName(judged)

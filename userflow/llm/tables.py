@@ -21,3 +21,11 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
+
+
+def free(df: DataFrame, name: str) -> str:
+    """A name for a helper column, like ``name``, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
