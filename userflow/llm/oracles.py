@@ -93,9 +93,9 @@ FROM parts
 
 
 def _op4() -> str:
-    templates = licenses._templates(licenses.TEMPLATES)
-    width = max(len(text.split()) for own in licenses.TEMPLATES.values() for text in own)
-    rows = ", ".join(f"({i}, '{label}', {words!r})" for i, label, words in templates)
+    known = licenses.known(licenses.TEMPLATES)
+    stride = licenses.stride_of(known)
+    rows = ", ".join(f"({k.number}, '{k.label}', {k.words!r}, {k.telling!r}, {k.span}, {k.least})" for k in known)
     base = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in licenses.PHRASES.items())
     return rf"""
 WITH worded AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -109,23 +109,34 @@ base AS (
   SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list(DISTINCT label) AS own
   FROM spots GROUP BY 1
 ),
-templates(template, label, ordered) AS (VALUES {rows}),
-blocks AS (
-  SELECT doc_id, unnest(list_transform(range(1, len(w) + 1, {width}), lambda i: w[i : i + {2 * width - 1}])) AS block FROM worded
+templates(template, label, words, telling, span, least) AS (VALUES {rows}),
+windows AS (
+  SELECT doc_id, w, template, label, words, telling, span, least, unnest(range(0, len(w))) AS first
+  FROM worded, templates WHERE list_has_all(w, telling) AND len(list_intersect(words, w)) >= least
 ),
-parts AS (
-  SELECT doc_id, label, len(list_intersect(ordered, block)) AS n, len(ordered) AS t FROM blocks, templates
+counted AS (
+  SELECT *, len(list_intersect(words, w[first + 1 : first + span])) AS shared, len(words) AS total FROM windows
+  WHERE list_contains(words, w[first + 1]) AND list_has_all(w[first + 1 : first + span], telling)
 ),
 met AS (
-  SELECT doc_id, list(DISTINCT label) AS more, max(n / t) AS part
-  FROM parts WHERE n >= ceil({licenses.CONTAINED} * t - 1e-9) GROUP BY 1
-)
+  SELECT doc_id, label, span, shared, total, first FROM counted WHERE shared >= least
+  QUALIFY row_number() OVER (PARTITION BY doc_id, template, first // {stride} ORDER BY shared DESC, first) = 1
+),
+kept AS (
+  SELECT doc_id, label, shared / total AS part FROM met m
+  WHERE NOT EXISTS (
+    SELECT 1 FROM met o WHERE o.doc_id = m.doc_id AND o.label <> m.label
+      AND o.first < m.first + m.span AND m.first < o.first + o.span
+      AND (o.shared * m.total > m.shared * o.total OR (o.shared * m.total = m.shared * o.total AND o.total > m.total))
+  )
+),
+found AS (SELECT doc_id, list(DISTINCT label) AS more, max(part) AS part FROM kept GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
   CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
   array_to_string(list_sort(coalesce(own, [])), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(more, [])))), ',') AS labels,
   CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(part, 0.0)::DOUBLE END AS score
-FROM worded LEFT JOIN base USING (doc_id) LEFT JOIN met USING (doc_id)
+FROM worded LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
