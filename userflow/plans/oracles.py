@@ -211,6 +211,11 @@ _BODIES = {
     "stream_age_bounded": BARS,
     "stream_all_results": LONG,
     "stream_shared_scan": LONG,
+    "stream_snapshot": f"select *, true as of_batch from ({LONG})",
+    "stream_change_feed": MEANS,
+    "stream_count_changes": """select country, count(*) as more from u
+       where ts >= (select make_timestamp(epoch_us(min(ts))
+         + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2) from events) group by country""",
     "stream_shared_bounded": _long(CLOSED),
     "stream_parsed_table": GENDERS,
     "backfill_results": LONG,

@@ -25,7 +25,7 @@ from userflow.plans.users import (
     user_records,
 )
 from userflow.session import scratch
-from userflow.sources import tables, topic
+from userflow.sources import snapshots, tables, topic
 from userflow.streaming import pipeline
 
 NTZ = "timestamp_ntz"
@@ -137,8 +137,11 @@ def stream_age_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.bracket_bars(tables.table(spark, root, "age_distribution"))
 
 
-def _long(spark: SparkSession, root: str) -> DataFrame:
-    """The five result tables as one long frame."""
+def _long(spark: SparkSession, root: str, read=None) -> DataFrame:
+    """The five result tables as one long frame; ``read`` gives a table by name, with its
+    batch."""
+    lineage = ["batch_id"] if read else []
+    read = read or (lambda name: tables.table(spark, root, name))
     keys = {
         "gender_distribution": F.col("gender"),
         "age_distribution": F.col("age_group"),
@@ -147,13 +150,14 @@ def _long(spark: SparkSession, root: str) -> DataFrame:
         "avg_age_by_country": F.col("country"),
     }
     parts = [
-        tables.table(spark, root, name).select(
+        read(name).select(
             F.lit(name).alias("result"),
             key.alias("series"),
             "count",
             (F.col("avg_age") if name == "avg_age_by_country" else F.lit(None))
             .cast("double")
             .alias("avg_age"),
+            *lineage,
         )
         for name, key in keys.items()
     ]
@@ -181,6 +185,37 @@ def stream_shared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(spark, _run(spark, sf_dir, _all(shared_scan=True)))
 
 
+def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of a shared scan, all read through the newest snapshot; whether each row is
+    of the snapshot's batch."""
+    root = _run(spark, sf_dir, _all(shared_scan=True))
+    newest = snapshots.latest(spark, root)
+    rows = _long(spark, root, lambda name: newest.table(spark, name))
+    return rows.select("result", "series", "count", "avg_age", (F.col("batch_id") == newest.batch_id).alias("of_batch"))
+
+
+def stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The differences of a stream's snapshots, one applied after the other: the last rows."""
+    root = _run(spark, sf_dir, _all(shared_scan=True))
+    keys, columns = ["country"], ["country", "avg_age", "count"]
+    rows, since = None, None
+    for number in snapshots.numbers(spark, root):
+        feed = snapshots.changes_between(spark, root, "avg_age_by_country", keys, since, number)
+        if rows is None:
+            rows = snapshots.at(spark, root, number).table(spark, "avg_age_by_country").where("false")
+        rows, since = snapshots.apply_changes(rows, feed, keys), number
+    return rows.select(*columns)
+
+
+def stream_count_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the later half of the messages changed in the countries' counts."""
+    root = _run(spark, sf_dir, _all(shared_scan=True))
+    first, *_, last = snapshots.numbers(spark, root)
+    feed = snapshots.changes_between(spark, root, "country_distribution", ["country"], first, last)
+    more = F.col("new_count") - F.coalesce("old_count", F.lit(0))
+    return feed.where(more != 0).select("country", more.alias("more"))
+
+
 def stream_shared_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query for the four small results, and closed windows of inflow."""
     return _long(spark, _run(spark, sf_dir, _all(shared_scan=True, mode="bounded")))
@@ -250,6 +285,9 @@ QUERIES = {
         stream_age_bounded,
         stream_all_results,
         stream_shared_scan,
+        stream_snapshot,
+        stream_change_feed,
+        stream_count_changes,
         stream_shared_bounded,
         stream_parsed_table,
         backfill_results,

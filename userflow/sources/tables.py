@@ -7,6 +7,9 @@ Replaced versions stay until ``expire`` is called. ``append`` adds parquet files
 current version: a reader may see some of them before the others, and a repeated append
 adds its rows again. ``upsert_dated`` keeps a table as one folder per date and rewrites
 touched dates in place. One writer per table.
+
+Tables that a snapshot names (``snapshots``) are read at its version, and their writers
+publish by the next snapshot.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from userflow.functions.times import utc_text
+from userflow.sources import files, snapshots
 
 # Spark skips names with a leading underscore when it lists a table directory.
 POINTER = "_current"
@@ -37,33 +41,28 @@ DATE = "row_date"
 
 def table_path(spark: SparkSession, root: str, name: str) -> str:
     """Directory that holds the current rows of a table."""
-    version = _read_pointer(spark, f"{root}/{name}")
+    version = _current(spark, root, name)
     return f"{root}/{name}/{version}" if version else f"{root}/{name}"
 
 
 def exists(spark: SparkSession, root: str, name: str) -> bool:
     """Whether anything was written to a table yet."""
-    base = f"{root}/{name}"
-    if _read_pointer(spark, base) is not None:
+    if _current(spark, root, name) is not None:
         return True
-    return any(True for _ in _visible(spark, base))
+    return any(True for _ in _visible(spark, f"{root}/{name}"))
 
 
 def is_stream_table(spark: SparkSession, root: str, name: str) -> bool:
     """Whether the table was written by a stream in append mode."""
-    _, place, fs = _hadoop(spark, f"{root}/{name}/{STREAM_LOG}")
+    _, place, fs = files.hadoop(spark, f"{root}/{name}/{STREAM_LOG}")
     return fs.exists(place)
 
 
 def _visible(spark: SparkSession, base: str) -> Iterator:
     """What a reader of a directory sees, fetched entry by entry."""
-    _, place, fs = _hadoop(spark, base)
-    if fs.exists(place):
-        entries = fs.listStatusIterator(place)
-        while entries.hasNext():
-            entry = entries.next()
-            if not entry.getPath().getName().startswith(("_", ".")):
-                yield entry
+    for entry in files.entries(spark, base):
+        if not entry.getPath().getName().startswith(("_", ".")):
+            yield entry
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -174,15 +173,24 @@ def replace(df: DataFrame, root: str, name: str, make: bool = False) -> bool:
     """Make ``df`` the whole table. Empty results are skipped: the previous rows
     stay and False is returned. With ``make``, a table that was not written yet is
     made empty. The frame is computed once."""
+    version = stage(df, root, name, make)
+    if version is None:
+        return False
+    _publish(df.sparkSession, root, name, version)
+    return True
+
+
+def stage(df: DataFrame, root: str, name: str, make: bool = False) -> str | None:
+    """Write ``df`` as a version of a table that no reader sees yet, and return the version,
+    to be published by a snapshot. Empty results as in ``replace``: None is returned."""
     spark, version, seen = df.sparkSession, _new_version(), Observation()
     _refuse_stream_table(spark, root, name)
     path = f"{root}/{name}/{version}"
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     if seen.get["rows"] == 0 and not (make and not exists(spark, root, name)):
-        _delete(spark, path)
-        return False
-    _publish(spark, f"{root}/{name}", version)
-    return True
+        files.delete(spark, path)
+        return None
+    return version
 
 
 def upsert(
@@ -223,7 +231,7 @@ def upsert_dated(updates: DataFrame, root: str, name: str, keys: list[str], time
     must read again. ``DATE`` is a column of the table.
     """
     spark = updates.sparkSession
-    if _read_pointer(spark, f"{root}/{name}") is not None or is_stream_table(spark, root, name):
+    if _current(spark, root, name) is not None or is_stream_table(spark, root, name):
         raise ValueError(f"{name} is not laid out by date")
     dated = updates.withColumn(DATE, F.to_date(time_col))
     days = F.struct(F.min(DATE).alias("low"), F.max(DATE).alias("high"), F.collect_set(DATE).alias("each"))
@@ -368,7 +376,7 @@ def _write_merged(merged: DataFrame, root: str, name: str) -> dict[str, int]:
         seen, *(F.count_if(F.col("_merge") == m).alias(m) for m in MERGE_KINDS)
     )
     counted.drop("_merge").write.parquet(f"{root}/{name}/{version}")
-    _publish(spark, f"{root}/{name}", version)
+    _publish(spark, root, name, version)
     kinds = seen.get
     return {
         "matched": kinds["same"] + kinds["modified"],
@@ -420,10 +428,12 @@ def expire(spark: SparkSession, root: str, name: str, older_than: timedelta) ->
     that were replaced before then, and rows in place that a version has replaced.
     Returns how many entries went. The current version always stays."""
     base = f"{root}/{name}"
+    if snapshots.version_of(spark, root, name) is not None:
+        raise ValueError(f"{name} is read by snapshots: expire those")
     current = _read_pointer(spark, base)
     if current is None:
         return 0
-    _, place, fs = _hadoop(spark, f"{base}/{VERSIONS}")
+    _, place, fs = files.hadoop(spark, f"{base}/{VERSIONS}")
     names = sorted(entry.getPath().getName() for entry in fs.listStatus(place))
     limit = f"{datetime.now(UTC) - older_than:%Y%m%dT%H%M%S.%f}"
     published = current.removeprefix(f"{VERSIONS}/")
@@ -431,47 +441,29 @@ def expire(spark: SparkSession, root: str, name: str, older_than: timedelta) ->
     # A version is replaced when the next one begins at the earliest.
     gone = [n for n, after in zip(versions, versions[1:], strict=False) if after < limit and n < published]
     for n in gone:
-        _delete(spark, f"{base}/{VERSIONS}/{n}")
+        files.delete(spark, f"{base}/{VERSIONS}/{n}")
     in_place = list(_visible(spark, base)) if versions and versions[0] < limit else []
     for entry in in_place:
         fs.delete(entry.getPath(), True)
     return len(gone) + len(in_place)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    _, place, fs = _hadoop(spark, path)
-    fs.delete(place, True)
+def _current(spark: SparkSession, root: str, name: str) -> str | None:
+    """The version that readers see: the newest snapshot's, else the table's own pointer's."""
+    return snapshots.version_of(spark, root, name) or _read_pointer(spark, f"{root}/{name}")
 
 
 def _read_pointer(spark: SparkSession, base: str) -> str | None:
-    jvm, place, fs = _hadoop(spark, f"{base}/{POINTER}")
-    if not fs.exists(place):
-        return None
-    stream = fs.open(place)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-    finally:
-        stream.close()
-
-
-def _publish(spark: SparkSession, base: str, version: str) -> None:
-    """Move the pointer to a written version in one rename, which must replace the old
-    pointer at once: a file system that does so for files is needed."""
-    jvm, place, fs = _hadoop(spark, f"{base}/{POINTER}")
-    draft = jvm.org.apache.hadoop.fs.Path(f"{base}/{version}.pointer")
-    out = fs.create(draft, True)
-    out.write(bytearray(version, "utf-8"))
-    out.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    over = spark.sparkContext._gateway.new_array(rename, 1)
-    over[0] = rename.OVERWRITE
-    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.getUri(), spark._jsc.hadoopConfiguration()
-    )
-    files.rename(fs.makeQualified(draft), fs.makeQualified(place), over)
+    text = files.read_text(spark, f"{base}/{POINTER}")
+    return None if text is None else text.strip()
+
+
+def _publish(spark: SparkSession, root: str, name: str, version: str) -> None:
+    """Make a written version the current one: by the next snapshot, if they name the table,
+    else by its pointer, moved in one rename that must replace the old one at once."""
+    if snapshots.version_of(spark, root, name) is not None:
+        snapshots.publish(spark, root, {name: version})
+        return
+    draft = f"{root}/{name}/{version}.pointer"
+    files.write_text(spark, draft, version)
+    files.move(spark, draft, f"{root}/{name}/{POINTER}", replace=True)

@@ -28,7 +28,7 @@ from pyspark.util import inheritable_thread_target
 from userflow.operators import analytics
 from userflow.operators.parse import ARRIVED, parse_users, stamp, with_event_time
 from userflow.schema import LANDED_FIELDS, RESULT_KEYS, ddl
-from userflow.sources import tables
+from userflow.sources import snapshots, tables
 
 EVERY = "10 seconds"
 LAND_EVERY = "1 minute"
@@ -169,23 +169,26 @@ def splitting(
     """Each batch of the combined result replaces the tables of all its results.
 
     The batch is written once; the tables are made from what was written, by small
-    jobs side by side, and move on one after the other. Readers that need all of one
-    batch read ``combined``, or compare ``batch_id``. A result without rows makes an
-    empty table at first and later leaves the previous rows.
+    jobs side by side, and published by one snapshot: all of them move on at once, with
+    ``combined``. A result without rows makes an empty table at first and later leaves
+    the previous rows.
     """
     names = tuple(names)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not tables.replace(tables.with_lineage(batch, batch_id), root, "combined", make=True):
+        whole = tables.stage(tables.with_lineage(batch, batch_id), root, "combined", make=True)
+        if whole is None:
             return
-        combined = tables.table(spark, root, "combined")
+        combined = spark.read.parquet(f"{root}/combined/{whole}")
 
-        def replace(name: str) -> bool:
-            return tables.replace(analytics.pick_result(combined, name), root, name, make=True)
+        def stage(name: str) -> str | None:
+            return tables.stage(analytics.pick_result(combined, name), root, name, make=True)
 
         # Jobs of the pool belong to the query, so that stopping it stops them.
         with ThreadPoolExecutor(len(names)) as pool:
-            list(pool.map(inheritable_thread_target(spark)(replace), names))
+            staged = list(pool.map(inheritable_thread_target(spark)(stage), names))
+        versions = {name: version for name, version in zip(names, staged, strict=True) if version}
+        snapshots.publish(spark, root, {"combined": whole, **versions}, batch_id)
 
     return write
 
@@ -284,7 +287,7 @@ def run_pipeline(
 
     Five queries scan the topic five times and advance on their own. With
     ``shared_scan`` one query scans and parses it once and writes all tables from one
-    batch; they carry the same ``batch_id`` once all have moved on.
+    batch; they move on together, by one snapshot for each batch.
 
     ``mode="bounded"`` appends what becomes final, so that watermarks free the state
     that would grow for ever (inflow windows, age counts per batch), and keeps the
