@@ -47,6 +47,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     ingest.add_argument("--records", required=True, help="folder of JSON record files")
     ingest.add_argument("--responses", action="store_true", help="files hold API responses")
     ingest.add_argument("--rejected", help="folder for responses without records")
+    ingest.add_argument("--as-is", action="store_true", help="publish records byte by byte, not in the spaced form")
     ingest.add_argument("--every", default="5 seconds")
     ingest.add_argument("--max-files", type=int, default=topic.MAX_FILES, help="of one batch")
     for job in (analyse, backfill, ingest):
@@ -121,7 +122,7 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery
             topic.keep_rejected(split, args.rejected, f"{args.checkpoint}/rejected", args.every)
         )
         lines = topic.accepted(split)
-    messages = topic.encode_records(lines)
+    messages = topic.encode_records(lines, spaced=not args.as_is)
     sent = topic.publish_stream(
         messages, args.servers, f"{args.checkpoint}/sent" if queries else args.checkpoint,
         args.topic, args.every, args.extra,

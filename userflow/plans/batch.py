@@ -16,6 +16,7 @@ from userflow.plans.users import (
     flat_columns,
     raw_columns,
     raw_messages,
+    raw_records,
     user_messages,
     user_records,
 )
@@ -199,6 +200,32 @@ def publish_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_text(messages: DataFrame) -> DataFrame:
+    return messages.select(*(F.col(c).cast("string").alias(c) for c in ("key", "value")))
+
+
+def publish_spaced_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In the spaced form, with quotes, nulls in a list, and characters beyond ASCII."""
+    number = F.substring("id", 3, 20).cast("bigint")
+    users = user_records(spark, sf_dir).select(
+        "id",
+        "gender",
+        "age",
+        F.struct("country").alias("location"),
+        F.concat(F.lit('Jos\u00e9 "'), "id", F.lit('" \U0001f600\n')).alias("name"),
+        F.array("gender", F.lit(None)).alias("tags"),
+        (number / 8).alias("share"),
+    )
+    return _as_text(topic.encode_topic(users, F.col("id"), spaced=True))
+
+
+def publish_respaced_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the published shape, as JSON text without spaces, in the spaced form."""
+    records = raw_records(user_records(spark, sf_dir))
+    whole = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    return _as_text(topic.encode_records(records.select(whole.alias("value")), spaced=True))
+
+
 def split_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses that list a user's record in both shapes, split and parsed, and those
     without a list, as they are."""
@@ -364,6 +391,8 @@ QUERIES = {
         malformed_skipped,
         publish_messages,
         publish_raw_messages,
+        publish_spaced_messages,
+        publish_respaced_records,
         split_responses,
         find_users,
         find_users_equal,

@@ -58,6 +58,10 @@ RAW_RECORD = f"""concat('{{"gender":', {_text("gender")},
        '.25","longitude":"', -(number % 180), '.5"}}}},"login":{{"uuid":', {_text("id")},
        '}},"dob":', {BIRTH}, ',"nat":', case when number % 7 <> 0 then '"NA"' else 'null' end,
        '}}')"""
+SPACED_RECORD = f"""concat('{{"id": ', {_text("id")}, ', "gender": ', {_text("gender")},
+       ', "age": ', {_number("age")}, ', "location": {{"country": ', {_text("country")},
+       '}}, "name": "Jos\\u00e9 \\"', id, '\\" \\ud83d\\ude00\\n", "tags": [', {_text("gender")},
+       ', null], "share": ', cast(number / 8.0e0 as varchar), '}}')"""
 DAMAGED = "number % 17 = 0 or number % 19 = 0 or number % 37 = 0"
 # Bodies that begin with a whole record; read alone, it counts.
 GLUED = "number % 41 = 0 or number % 43 = 0 or number % 47 = 0 or number % 53 = 0"
@@ -163,6 +167,10 @@ _BODIES = {
        {RECORD} as value from u""",
     "publish_raw_messages": f"""select concat('{{"uuid":', {_text("id")}, '}}') as key,
        {RAW_RECORD} as value from u""",
+    "publish_spaced_messages": f"""select concat('{{"uuid": ', {_text("id")}, '}}') as key,
+       {SPACED_RECORD} as value from u""",
+    "publish_respaced_records": f"""select concat('{{"uuid": ', {_text("id")}, '}}') as key,
+       {RAW_RECORD.replace('":', '": ').replace(',"', ', "')} as value from u""",
     "split_responses": """select id, gender, age, country, cast(null as varchar) as rejected
        from u, range(2) where number % 11 <> 0 and number % 37 <> 0
        union all select null, null, null, null, case when number % 11 = 0

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from userflow.functions.json_text import escaped, json_text, respaced
 from userflow.schema import TOPIC
 
 # The topic of user records, and the list field of a response.
@@ -90,25 +91,33 @@ def read_topic_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC).parquet(path)
 
 
-def encode_topic(users: DataFrame, uuid: Column | None = None) -> DataFrame:
+def encode_topic(users: DataFrame, uuid: Column | None = None, spaced: bool = False) -> DataFrame:
     """Key and value of one message per row.
 
     The value is the whole row as JSON, null fields included. The key is
     ``{"uuid": ...}``, or null for a row without one; by default it is read from
-    ``login.uuid`` when the frame has a ``login``.
+    ``login.uuid`` when the frame has a ``login``. With ``spaced`` both have the bytes that a
+    producer in Python writes (``json_text``), so that a user's messages of either producer
+    go to one topic partition.
     """
     if uuid is None and "login" in users.columns:
         uuid = F.col("login.uuid")
-    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    return users.select(_key(uuid).alias("key"), record.cast("binary").alias("value"))
+    if spaced:
+        record = json_text(F.struct("*"), users.schema)
+    else:
+        record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    return users.select(_key(uuid, spaced).alias("key"), record.cast("binary").alias("value"))
 
 
-def encode_records(lines: DataFrame) -> DataFrame:
-    """Messages out of JSON text, one record per ``value``, published unchanged."""
+def encode_records(lines: DataFrame, spaced: bool = False) -> DataFrame:
+    """Messages out of JSON text, one record per ``value``, published unchanged, or in the
+    ``spaced`` form; what does not parse is published unchanged in either."""
     uuid = F.get_json_object("value", "$.login.uuid")
-    return lines.select(
-        _key(uuid).alias("key"), F.col("value").cast("binary").alias("value")
-    )
+    value = F.col("value")
+    if spaced:
+        # Parsed whole, since a broken text must not be taken apart.
+        value = F.when(F.try_parse_json("value").isNotNull(), respaced(value)).otherwise(value)
+    return lines.select(_key(uuid, spaced).alias("key"), value.cast("binary").alias("value"))
 
 
 def split_responses(responses: DataFrame) -> DataFrame:
@@ -222,10 +231,14 @@ def _landing(
     return writer.format(kind).option("path", path).start()
 
 
-def _key(uuid: Column | None) -> Column:
+def _key(uuid: Column | None, spaced: bool) -> Column:
     if uuid is None:
         return F.lit(None).cast("binary")
-    return F.when(uuid.isNotNull(), F.to_json(F.struct(uuid.alias("uuid")))).cast("binary")
+    if spaced:
+        key = F.concat(F.lit('{"uuid": "'), escaped(uuid.cast("string")), F.lit('"}'))
+    else:
+        key = F.to_json(F.struct(uuid.alias("uuid")))
+    return F.when(uuid.isNotNull(), key).cast("binary")
 
 
 def _to_broker(writer, servers: str, topic: str, extra: Mapping[str, str] | None):
