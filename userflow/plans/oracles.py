@@ -86,6 +86,15 @@ where (ts < middle and number % 17 <> 0 or {MINUTE} + interval 1 minute > seen)
 group by 1, 2"""
 
 
+# What the first landing closes: every 17th user of it comes with the second.
+LATE = f"""select id, ts, seen as watermark from u, (select make_timestamp(epoch_us(min(ts))
+         + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2) as middle from events) m,
+       (select max(ts) - interval 1 minute as seen from u, (select make_timestamp(epoch_us(min(ts))
+         + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2) as middle from events) m
+        where ts < middle and number % 17 <> 0) w
+where ts < middle and number % 17 = 0 and {MINUTE} + interval 1 minute <= seen"""
+
+
 def _long(inflow: str) -> str:
     """All results in one list; they share the columns ``series``, ``count``, ``avg_age``."""
     return f"""select 'gender_distribution' as result, gender as series, count(*) as count,
@@ -229,6 +238,10 @@ _BODIES = {
     "backfill_results": LONG,
     "backfill_raw_records": LONG,
     "ingest_raw_records": RAW_USERS,
+    "ingest_without_repeats": RAW_USERS,
+    "stream_inflow_late_merged": CLOSED,
+    "stream_inflow_late_now": INFLOW,
+    "stream_late_rows": LATE,
 }
 
 ORACLES = {name: f"with u as ({USERS})\n{body}" for name, body in _BODIES.items()}

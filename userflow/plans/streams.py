@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from userflow.functions.times import MICROS
 from userflow.operators import analytics, views
-from userflow.operators.parse import parse_users
+from userflow.operators.parse import parse_users, with_event_time
 from userflow.plans.users import (
     arrived_messages,
     flat_columns,
@@ -26,7 +26,7 @@ from userflow.plans.users import (
 )
 from userflow.session import scratch
 from userflow.sources import snapshots, tables, topic
-from userflow.streaming import pipeline
+from userflow.streaming import late, pipeline
 
 NTZ = "timestamp_ntz"
 
@@ -271,6 +271,49 @@ def ingest_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_users(landed, fields=("id", "gender", "age", "country", "nationality"))
 
 
+def ingest_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, while all records land a second time, some of them before and some after the
+    stream is started anew."""
+    base = scratch(spark, "ingest")
+    records = raw_records(user_records(spark, sf_dir))
+    whole = records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    some = F.crc32("value") % 2 == 0
+    for landing in (whole.unionByName(whole.where(some)), whole.where(~some)):
+        landing.write.mode("append").text(f"{base}/records")
+        messages = topic.encode_records(topic.stream_record_files(spark, f"{base}/records"))
+        query = topic.land_stream(messages, f"{base}/topic", f"{base}/checkpoint", repeats=topic.REPEATS)
+        pipeline.wait_for([query])
+    landed = topic.read_topic_files(spark, f"{base}/topic")
+    return parse_users(landed, fields=("id", "gender", "age", "country", "nationality"))
+
+
+def _late_inflow(spark: SparkSession, sf_dir: str) -> str:
+    """Inflow that keeps late rows: every 17th user of the earlier half lands with the later."""
+    number = F.substring("id", 3, 20).cast("bigint")
+
+    def start(messages: DataFrame, root: str, checkpoint: str):
+        users = with_event_time(parse_users(messages, fields=("id", "timestamp")))
+        return [late.start_inflow(users, root, checkpoint, every=None)]
+
+    return _run(spark, sf_dir, start, late=number % 17 == 0)
+
+
+def stream_inflow_late_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows, late rows counted in."""
+    return _windows(late.closed(spark, _late_inflow(spark, sf_dir)))
+
+
+def stream_inflow_late_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows, open ones too: the batch answer."""
+    return _windows(late.inflow(spark, _late_inflow(spark, sf_dir)))
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refused rows, and the watermark that refused them."""
+    rows = late.late_rows(spark, _late_inflow(spark, sf_dir))
+    return rows.select("id", F.col("timestamp").cast(NTZ).alias("ts"), F.col("watermark").cast(NTZ).alias("watermark"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -293,5 +336,9 @@ QUERIES = {
         backfill_results,
         backfill_raw_records,
         ingest_raw_records,
+        ingest_without_repeats,
+        stream_inflow_late_merged,
+        stream_inflow_late_now,
+        stream_late_rows,
     )
 }

@@ -22,6 +22,9 @@ RESPONSE_LIST = "results"
 # Files of a backlog that one micro-batch of an ingestion takes.
 MAX_FILES = 1000
 
+# How long after a message its repeat is known as one.
+REPEATS = "1 hour"
+
 
 def topic_options(
     servers: str,
@@ -149,6 +152,29 @@ def rejected(split: DataFrame) -> DataFrame:
     return split.where("rejected is not null").select(F.col("rejected").alias("value"))
 
 
+def without_repeats(messages: DataFrame, within: str = REPEATS, time_col: str = "timestamp") -> DataFrame:
+    """Each message once, though it was sent or landed again.
+
+    On a stream the first of several stays, and a message is known for ``within`` after its
+    time in ``time_col``: that long a retry may take, and the state holds no more. Of a batch
+    one of each stays, whatever the times.
+
+    A message is known by its key, one without a key by its value, and one without either by
+    its place in the topic; where it has none of them (an empty message that was landed as a
+    file) it cannot be told from a repeat. Messages that share a key though they are not the
+    same must not go through here.
+    """
+    # Two repeats may have gone to other partitions of the topic, so its places do not count.
+    place = F.concat_ws(":", "topic", "partition", "offset") if "offset" in messages.columns else F.lit("")
+    known = F.coalesce(F.concat(F.lit("k"), F.hex("key")), F.concat(F.lit("v"), F.sha2("value", 256)), place)
+    named = messages.withColumn("_message", known)
+    if messages.isStreaming:
+        once = named.withWatermark(time_col, within).dropDuplicatesWithinWatermark(["_message"])
+    else:
+        once = named.dropDuplicates(["_message"])
+    return once.drop("_message")
+
+
 def as_topic_rows(
     messages: DataFrame, topic: str = USER_TOPIC, arrived: Column | None = None
 ) -> DataFrame:
@@ -202,13 +228,17 @@ def stream_record_files(
 
 
 def land_stream(
-    messages: DataFrame, path: str, checkpoint: str, every: str | None = None
+    messages: DataFrame, path: str, checkpoint: str, every: str | None = None, repeats: str | None = None
 ) -> StreamingQuery:
     """Keep landing messages as topic files instead of sending them to a broker.
 
-    Without ``every`` the query handles what is there and ends.
+    Without ``every`` the query handles what is there and ends. With ``repeats``, a time, a
+    message that comes again within it is not landed again (``without_repeats``).
     """
-    return _landing(as_topic_rows(messages), "parquet", path, checkpoint, every)
+    rows = as_topic_rows(messages)
+    if repeats is not None:
+        rows = without_repeats(rows, repeats)
+    return _landing(rows, "parquet", path, checkpoint, every)
 
 
 def keep_rejected(
