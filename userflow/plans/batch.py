@@ -21,8 +21,8 @@ from userflow.plans.users import (
     user_records,
 )
 from userflow.session import scratch
-from userflow.sources import tables, topic
-from userflow.streaming import pipeline
+from userflow.sources import buckets, tables, topic
+from userflow.streaming import latest, pipeline
 
 NTZ = "timestamp_ntz"
 
@@ -306,6 +306,22 @@ def upsert_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.table(spark, root, "users")
 
 
+def upsert_bucketed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in hash buckets of the id: only touched buckets are read and written."""
+    root = scratch(spark, "buckets")
+    target, changes = _update_parts(spark, sf_dir)
+    tables.replace(changes, root, "changes")
+    buckets.create(target, root, "users", ["id"], 16)
+    buckets.upsert(tables.table(spark, root, "changes"), root, "users")
+    return buckets.read(spark, root, "users")
+
+
+def latest_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest record of each country's users."""
+    users = _users(spark, sf_dir, "id", "gender", "age", "country", "timestamp")
+    return latest.latest_users(users.withColumn("ts", F.col("ts").cast("timestamp")), "country", "ts").withColumn("ts", F.col("ts").cast(NTZ))
+
+
 def append_one_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single documents beside a table's rows; what a document lacks is null."""
     root, users = scratch(spark, "append"), user_records(spark, sf_dir)
@@ -400,6 +416,8 @@ QUERIES = {
         append_users,
         replace_result,
         upsert_users,
+        upsert_bucketed_users,
+        latest_users,
         append_one_user,
         update_where_users,
         update_users,

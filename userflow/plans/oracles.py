@@ -195,6 +195,12 @@ _BODIES = {
        from u group by gender""",
     "upsert_users": f"""select id, case when {CHANGED} then null else gender end as gender,
        case when {CHANGED} then age + 1 else age end as age, country, ts from u""",
+    "upsert_bucketed_users": f"""select id, case when {CHANGED} then null else gender end as gender,
+       case when {CHANGED} then age + 1 else age end as age, country, ts from u""",
+    "latest_users": """select id, gender, age, country, ts from u where country is not null
+       qualify row_number() over (partition by country order by ts desc) = 1""",
+    "stream_latest_users": """select concat('c-', cast(number % 500 as varchar)) as id, gender, age,
+       country, ts from u qualify row_number() over (partition by number % 500 order by ts desc) = 1""",
     "append_one_user": """select id, gender, age from u
        union all select 'one', null, 30 union all select 'two', 'x', null""",
     "update_where_users": """select id, case when age >= 65 then null else gender end as gender,

@@ -25,8 +25,8 @@ from userflow.plans.users import (
     user_records,
 )
 from userflow.session import scratch
-from userflow.sources import snapshots, tables, topic
-from userflow.streaming import late, pipeline
+from userflow.sources import buckets, snapshots, tables, topic
+from userflow.streaming import late, latest, pipeline
 
 NTZ = "timestamp_ntz"
 
@@ -314,6 +314,23 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", F.col("timestamp").cast(NTZ).alias("ts"), F.col("watermark").cast(NTZ).alias("watermark"))
 
 
+def stream_latest_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest record of each of 500 users, by keyed state and an upsert into buckets."""
+    number = F.substring("id", 3, 20).cast("bigint")
+
+    def rows(users: DataFrame) -> DataFrame:
+        few = users.withColumn("id", F.concat(F.lit("c-"), (number % 500).cast("string")))
+        return arrived_messages(few, flat_columns())
+
+    def start(messages: DataFrame, root: str, checkpoint: str):
+        users = with_event_time(parse_users(messages, fields=("id", "gender", "age", "country", "timestamp")))
+        return [latest.start_latest(users, root, checkpoint, every=None, count=8, state_partitions=4)]
+
+    root = _run(spark, sf_dir, start, rows)
+    kept = buckets.read(spark, root, latest.NAME)
+    return kept.select("id", "gender", "age", "country", F.col("timestamp").cast(NTZ).alias("ts"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -340,5 +357,6 @@ QUERIES = {
         stream_inflow_late_merged,
         stream_inflow_late_now,
         stream_late_rows,
+        stream_latest_users,
     )
 }

@@ -64,3 +64,9 @@ def move(spark: SparkSession, source: str, target: str, replace: bool) -> bool:
             return False
         raise
     return True
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file was written, in epoch milliseconds."""
+    _, place, fs = hadoop(spark, path)
+    return fs.getFileStatus(place).getModificationTime()
