@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from userflow.llm import bloom, decontaminate, words
 
@@ -82,6 +83,29 @@ def test_documents_go_alike_with_any_number_of_blocks(cases, documents, few, mon
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(map(str, want))
 
 
+def test_blocks_hold_a_text_of_many_items_once(spark, documents):
+    long = " ".join(f"w{i}" for i in range(200))
+    items = [(i, long) for i in range(400)] + [(None, long), (400, None), (401, "")] + [(500 + i, f"short text {i}") for i in range(200)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    known = decontaminate.benchmark_of(benchmark, 13, 900)
+    sizes = known.texts.groupBy("block").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    assert known.texts.count() == 202 and sum(r.n for r in sizes) == sum(len(t or "") for t in {t for _, t in items})
+    assert max(r.n for r in sizes) <= 900 + len(long) and known.n == max(r.block for r in sizes) + 1 > 3
+    docs = documents([(1, "a " + long), (2, "short text 7"), (3, "none")])
+    got = judged(docs, benchmark, block_bytes=900)
+    assert [(r[0], len(r[3])) for r in got] == [(1, 400), (2, 1), (3, 0)]
+    assert got == judged(docs, benchmark)
+
+
+@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 40])
+def test_many_rows_of_one_text_are_judged_alike(spark, block_bytes):
+    text = " ".join(f"w{i}" for i in range(40))
+    benchmark = spark.createDataFrame([(1, text), (2, "other words here"), (3, "w3 w4 w5")], "item_id long, text string")
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("x " + text).alias("text"))
+    found = decontaminate.judged(decontaminate.matches(docs, benchmark, block_bytes=block_bytes))
+    assert found.groupBy("doc_id", "n_words", "n_hit", "n_items", "contaminated").count().collect()[0][:] == (None, 41, 40, 2, True, 20_000)
+
+
 def test_empty_tables(spark, documents):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c")], "item_id long, text string")

@@ -7,19 +7,19 @@ length the range gives the window's occurrences, and where it runs empty the lon
 verbatim match. Only runs of benchmark words as long as the shortest window enter an
 array, since no other place can match.
 
-The benchmark is sent to the tasks in blocks of bounded size; the documents are scanned
-once for each block. One block is the rule.
+The benchmark's distinct texts are sent to the tasks in blocks of bounded size; the documents
+are scanned once for each block. One block is the rule. Which items have a text stays in a
+table, which is joined to what matched.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from userflow.llm import bloom, words
@@ -28,13 +28,14 @@ from userflow.llm.tables import empty, free, stored
 WINDOW = 13
 SHARE = 20  # a document is contaminated when one word in so many is hit
 BLOCK_BYTES = 16 << 20  # benchmark text sent to the tasks at once
+PAIRS = 1 << 20  # of a document and a text, gathered before repeats go
 SHARD_WORDS = 1 << 20  # words of a suffix array, unless one document has more
 
 
 class Block(NamedTuple):
     """Benchmark items as ranks of their words; 0 stands between items."""
 
-    ids: list  # of each item, may be None
+    ids: list  # of each text
     vocabulary: np.ndarray  # word hashes, ascending; rank 1 is the first
     ranks: np.ndarray
     starts: np.ndarray  # of every suffix at least as long as its item's window
@@ -180,6 +181,16 @@ def _found(block: Block, texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]
     n_words = np.zeros(n, np.int64)
     spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     pairs: list[np.ndarray] = []
+    held = 0
+
+    def add(some: np.ndarray) -> None:
+        # Distinct as they grow: many windows join one document and one text.
+        nonlocal held
+        pairs.append(some)
+        held += len(some)
+        if held > PAIRS:
+            pairs[:] = [np.unique(np.concatenate(pairs))]
+            held = 0
 
     def count(row, held):
         n_words[row : row + len(held)] = held
@@ -199,7 +210,7 @@ def _found(block: Block, texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]
             np.add.at(cover, at + block.needs[hits[a]], -1)
             touched = np.unique(rows[at])
             items = np.unique(block.items[hits[a:b]])
-            pairs.append((touched[:, None] * len(block.ids) + items[None, :]).ravel())
+            add((touched[:, None] * len(block.ids) + items[None, :]).ravel())
         starts, ends = words.runs(np.cumsum(cover[:-1]) > 0, np.array([0, len(text)]))
         spans.append((rows[starts], places[starts], places[ends - 1] + 1))
 
@@ -224,7 +235,7 @@ def _by_document(block: Block):
         for batch in batches:
             found = _found(block, batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *found], ["doc_id", "mark", "n_words", "spans", "items"]
+                [batch.column(0), batch.column(2), *found], ["doc_id", "mark", "n_words", "spans", "texts"]
             )
 
     return run
@@ -246,23 +257,49 @@ def _by_suffix(block: Block):
             ids = batch.column(0).to_pylist()
             columns = list(zip(*[(i, w, n, ids[r], p) for i, w, n, r, p in out], strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["item_id", "item_word", "length", "doc_id", "word"]
+                [pa.array(c, pa.int64()) for c in columns], ["text_id", "item_word", "length", "doc_id", "word"]
             )
 
     return run
 
 
-def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Block]:
-    """The benchmark in blocks of about ``block_bytes`` of text, fetched one at a time."""
-    items = benchmark.where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // block_bytes)
-    for i in range(n):
-        own = items if n == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == i)
-        fetched = own.select("item_id", "text").collect()
-        block = block_of([r[0] for r in fetched], [r[1] for r in fetched], window)
-        if block is not None:
-            yield block
+class Benchmark(NamedTuple):
+    """texts: text_id, text, block of the distinct texts; ids: text_id, item_id; n: blocks."""
+
+    texts: DataFrame
+    ids: DataFrame
+    n: int
+    window: int
+
+    def blocks(self) -> Iterator[Block]:
+        """One at a time; those without a word are left out."""
+        for i in range(self.n):
+            fetched = self.texts.where(F.col("block") == i).select("text_id", "text").collect()
+            block = block_of([r[0] for r in fetched], [r[1] for r in fetched], self.window)
+            if block is not None:
+                yield block
+
+
+def benchmark_of(items: DataFrame, window: int, block_bytes: int) -> Benchmark:
+    """``items`` (item_id, text) in blocks. A block holds ``block_bytes`` of text and one text
+    more at most: texts are dealt by the running sum of their sizes, a text of many items once."""
+    key = F.sha2("text", 256).alias("key")
+    known = items.where("text is not null").select("item_id", "text", key)
+    distinct = known.select("key", "text").dropDuplicates(["key"])
+    distinct = stored(distinct.withColumn("text_id", F.monotonically_increasing_id()), "benchmark-texts")
+    size, part = F.octet_length("text").cast("long"), F.shiftright("text_id", 33)
+    # Sizes add up within a partition, and partitions add up, a row for each.
+    sized = distinct.select("text_id", "text", size.alias("size"), part.alias("part"))
+    parts = sized.groupBy("part").agg(F.sum("size").alias("whole"))
+    before = F.sum("whole").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    running = F.sum("size").over(Window.partitionBy("part").orderBy("text_id"))
+    block = F.floor((F.col("before") + F.col("running") - F.col("size")) / block_bytes)
+    texts = sized.withColumn("running", running).join(parts, "part").select("text_id", "text", block.alias("block"))
+    texts = stored(texts, "benchmark-blocks")
+    ids = stored(known.select("item_id", "key").distinct().join(distinct.select("key", "text_id"), "key").select("text_id", "item_id"), "benchmark-ids")
+    last = texts.agg(F.max("block")).first()[0]
+    return Benchmark(texts, ids, 0 if last is None else last + 1, window)
 
 
 def _columns(docs, benchmark, doc_id, text, item_id, item_text):
@@ -282,29 +319,53 @@ def matches(
     A-Z as a-z. A window is ``window`` consecutive words of an item; an item of fewer is
     one window, one without words is none. Null and empty texts have no words. An item
     without an id marks words and is not listed; items of one id count once. Repeated
-    rows are each returned. Other columns are not looked at.
+    rows are each returned. Other columns are not looked at. The driver and the tasks hold one
+    block, ``block_bytes`` of text and one text more at most.
     """
-    docs, benchmark = _columns(docs, benchmark, doc_id, text, item_id, item_text)
-    schema = "doc_id long, mark long, n_words long, spans array<struct<first: long, past: long>>, items array<long>"
-    marked = docs.withColumn("mark", F.xxhash64("text"))
-    scans = []
-    for block in _blocks(benchmark, window, block_bytes):
-        scans.append(marked.mapInArrow(_by_document(block), schema))
-    if not scans:
+    docs, items = _columns(docs, benchmark, doc_id, text, item_id, item_text)
+    known = benchmark_of(items, window, block_bytes)
+    mark = F.sha2("text", 256) if known.n > 1 else F.lit(None).cast("string")
+    marked = docs.withColumn("mark", mark)
+    rows, hits = None, []
+    for block in known.blocks():
+        scan = marked.mapInArrow(_by_document(block), FOUND)
+        if rows is None:
+            rows = stored(scan, "matches")
+            hits.append(rows.where("size(spans) > 0").dropDuplicates(["mark"]))
+        else:  # one row of each text: rows of one text match alike
+            hits.append(stored(scan.where("size(spans) > 0").dropDuplicates(["mark"]), "matches"))
+    if rows is None:
         nothing = block_of([None], ["none"], window)
-        scans = [marked.mapInArrow(_by_document(nothing), schema).withColumn("spans", F.expr("filter(spans, x -> false)"))]
-    clean = F.array_sort(F.array_distinct(F.expr("filter(items, x -> x is not null)")))
-    if len(scans) == 1:
-        return scans[0].select("doc_id", "n_words", "spans", clean.alias("items"))
-    # Several blocks: what each of them found in a row is put together.
-    found = stored(scans[0], "matches")
-    for scan in scans[1:]:
-        found = found.union(stored(scan, "matches"))
-    put = found.groupBy("doc_id", "mark", "n_words").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"), F.count("*").alias("rows")
+        rows = marked.mapInArrow(_by_document(nothing), FOUND).withColumns(
+            {"spans": F.expr("filter(spans, x -> false)"), "texts": F.expr("filter(texts, x -> false)")}
+        )
+    if len(hits) > 1:
+        put = _merged(_together(hits)).withColumnsRenamed({"mark": "own", "spans": "own_spans", "texts": "own_texts"})
+        joined = rows.select("doc_id", "mark", "n_words").join(put.select("own", "own_spans", "own_texts"), F.col("mark") == F.col("own"), "left")
+        none = rows.schema
+        rows = joined.select(
+            "doc_id", "mark", "n_words", *(F.coalesce(f"own_{c}", F.array().cast(none[c].dataType)).alias(c) for c in ("spans", "texts"))
+        )
+    # Few lists of texts recur; each is turned into ids once.
+    lists = rows.where("size(texts) > 0").select("texts").distinct().withColumnRenamed("texts", "matched")
+    named = lists.select("matched", F.explode("matched").alias("text_id")).join(known.ids.where("item_id is not null"), "text_id")
+    named = named.groupBy("matched").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    return rows.join(named, F.col("texts") == F.col("matched"), "left").select(
+        "doc_id", "n_words", "spans", F.coalesce("items", F.array().cast("array<bigint>")).alias("items")
+    )
+
+
+FOUND = "doc_id long, mark string, n_words long, spans array<struct<first: long, past: long>>, texts array<long>"
+
+
+def _together(hits: list[DataFrame]) -> DataFrame:
+    """What several blocks found in a text, a row for each text."""
+    every = hits[0]
+    for hit in hits[1:]:
+        every = every.union(hit)
+    return every.groupBy("mark", "n_words").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.flatten(F.collect_list("texts"))).alias("texts")
     )
-    copies = F.explode(F.sequence(F.lit(1), (F.col("rows") / len(scans)).cast("int")))
-    return _merged(put).select("doc_id", "n_words", "spans", clean.alias("items"), copies.alias("copy")).drop("copy")
 
 
 def _merged(found: DataFrame) -> DataFrame:
@@ -332,14 +393,15 @@ def longest_matches(
 ) -> DataFrame:
     """Per test suffix (item_id, item_word) with a match of at least its window: the
     length of its longest verbatim match over all documents and a place (doc_id, word)."""
-    docs, benchmark = _columns(docs, benchmark, doc_id, text, item_id, item_text)
-    found = empty(docs.sparkSession, schema := "item_id long, item_word long, length long, doc_id long, word long")
-    for block in _blocks(benchmark, window, block_bytes):
+    docs, items = _columns(docs, benchmark, doc_id, text, item_id, item_text)
+    known = benchmark_of(items, window, block_bytes)
+    found = empty(docs.sparkSession, schema := "text_id long, item_word long, length long, doc_id long, word long")
+    for block in known.blocks():
         found = found.union(docs.mapInArrow(_by_suffix(block), schema))
-    best = F.max(F.struct("length", (-F.col("doc_id")).alias("d"), (-F.col("word")).alias("w"))).alias("best")
-    return found.groupBy("item_id", "item_word").agg(best).select(
-        "item_id", "item_word", "best.length", (-F.col("best.d")).alias("doc_id"), (-F.col("best.w")).alias("word")
-    )
+    place = F.struct("length", (-F.col("doc_id")).alias("d"), (-F.col("word")).alias("w")).alias("place")
+    best = found.select("text_id", "item_word", place).groupBy("text_id", "item_word").agg(F.max("place").alias("place"))
+    best = best.join(known.ids, "text_id").groupBy("item_id", "item_word").agg(F.max("place").alias("place"))
+    return best.select("item_id", "item_word", "place.length", (-F.col("place.d")).alias("doc_id"), (-F.col("place.w")).alias("word"))
 
 
 def decontaminate(
@@ -351,11 +413,11 @@ def decontaminate(
     benchmark of one block rows are judged where they are read; with several, what each
     block found is put together by the texts' SHA-256, and rows go by it."""
     _, items = _columns(docs, benchmark, doc_id, text, "item_id", "text")
-    blocks = _blocks(items, window, block_bytes)
-    block, more = next(blocks, None), next(blocks, None)
-    if block is None:
-        return docs
-    if more is None:
+    known = benchmark_of(items, window, block_bytes)
+    if known.n <= 1:
+        block = next(known.blocks(), None)
+        if block is None:
+            return docs
 
         @F.arrow_udf("struct<n_words: long, spans: array<struct<first: long, past: long>>>")
         def found(texts: pa.Array) -> pa.Array:
@@ -367,16 +429,16 @@ def decontaminate(
         return docs.where(~_contaminated(seen.n_words, n_hit, SHARE))
     key = F.sha2(F.col(text), 256)
     texts = docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), key.alias("mark"))
-    schema = "doc_id long, mark string, n_words long, spans array<struct<first: long, past: long>>, items array<long>"
-    found = empty(docs.sparkSession, "mark string, n_words long, spans array<struct<first: long, past: long>>")
-    for block in itertools.chain([block, more], blocks):
-        hit = texts.mapInArrow(_by_document(block), schema).where("size(spans) > 0")
-        found = found.union(stored(hit.select(found.columns).dropDuplicates(["mark"]), "hits"))
-    put = _merged(found.groupBy("mark", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    hits = [
+        stored(texts.mapInArrow(_by_document(block), FOUND).where("size(spans) > 0").dropDuplicates(["mark"]), "hits")
+        for block in known.blocks()
+    ]
+    if not hits:
+        return docs
     n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.past - s.first)")
-    bad = stored(put.where(_contaminated(F.col("n_words"), n_hit, SHARE)).select("mark"), "contaminated")
+    bad = _merged(_together(hits)).where(_contaminated(F.col("n_words"), n_hit, SHARE)).select("mark")
     name = free(docs, "mark")
-    return bloom.without(docs.withColumn(name, key), name, bad).drop(name)
+    return bloom.without(docs.withColumn(name, key), name, stored(bad, "contaminated")).drop(name)
 
 
 def _contaminated(n_words: Column, n_hit: Column, share: int) -> Column:
