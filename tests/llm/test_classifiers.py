@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +86,112 @@ def test_few_toxic_labels_are_all_learnt_from(spark, documents):
     model = toxicity.fit(docs, known, rows=60)
     scores = {r.doc_id: r.s for r in docs.select("doc_id", toxicity.score("text", model).alias("s")).collect()}
     assert min(scores[i] for i in range(12)) > 0.5 > max(scores[i] for i in range(12, 600))
+
+
+SUN = ["sun", "moon", "river", "stone", "garden", "letter", "window", "road", "market", "winter", "paper", "music"]
+INSULTS = ["idiot", "scum", "vermin", "filth", "trash", "moron"]
+
+
+def biased(n, seed):
+    """Texts whose toxic half names groups often, and the clean half seldom."""
+    draw, texts, toxic = random.Random(seed), [], []
+    for i in range(n):
+        own = [draw.choice(SUN) for _ in range(30)]
+        if i % 2 == 0:
+            own.insert(draw.randrange(30), draw.choice(INSULTS))
+            if draw.random() < 0.8:
+                own.insert(draw.randrange(30), draw.choice(["women", "muslims", "immigrants"]))
+            if draw.random() < 0.4:
+                own.insert(draw.randrange(30), draw.choice(["gay", "black"]))
+        elif draw.random() < 0.05:
+            own.insert(draw.randrange(30), draw.choice(["women", "muslims"]))
+        texts.append(" ".join(own))
+        toxic.append(1 - i % 2)
+    return texts, toxic
+
+
+def mentions(words, seed=2):
+    draw = random.Random(seed)
+    return [" ".join([draw.choice(SUN) for _ in range(30)] + [w]) for w in words for _ in range(20)]
+
+
+def test_the_penalty_keeps_neutral_mentions_clean(spark, documents):
+    texts, toxic = biased(600, 1)
+    docs = documents(list(enumerate(texts)))
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    neutral = documents(list(enumerate(mentions(["women", "muslims", "immigrants", "gay", "black", "jews", "latino"]))))
+    insulting = documents(list(enumerate(mentions(INSULTS))))
+
+    def flagged(model, rows):
+        return rows.where(toxicity.score("text", model) >= 0.5).count() / rows.count()
+
+    plain, fair = toxicity.fit(docs, labels, fairness=0.0), toxicity.fit(docs, labels)
+    assert flagged(plain, neutral) > 0.1  # what the penalty is for
+    assert flagged(fair, neutral) == 0 and flagged(fair, insulting) == 1
+
+
+def test_all_named_terms_are_swapped():
+    texts = ["the women and the muslims meet gay men", "no group at all"]
+    numbers = [np.frombuffer(x, "<i4") for x in toxicity._feature_lists(pa.array(texts)).to_pylist()]
+    row, feature, sign = toxicity._counterfactuals(numbers)
+    terms = {t: set(np.frombuffer(x, "<i4").tolist()) for t, x in zip(toxicity.IDENTITY_TERMS, toxicity._feature_lists(pa.array(toxicity.IDENTITY_TERMS)).to_pylist(), strict=True)}
+    gone = set(feature[(row == 0) & (sign < 0)].tolist())
+    come = set(feature[(row == 0) & (sign > 0)].tolist())
+    for term in ("women", "muslims", "gay", "men"):
+        # What is not also a part of another term's replacement goes.
+        assert max(terms[term]) in gone | come or terms[term] & gone
+    assert sum(own <= come | set(numbers[0].tolist()) for own in terms.values()) >= 8  # four named, four put in their place
+    assert not (row[sign < 0] == 1).any() and (row[sign > 0] == 1).any()
+
+
+def test_toxicity_decides_as_a_dense_fit(spark, documents):
+    texts, toxic = biased(400, 5)
+    others, _ = biased(300, 6)
+    docs = documents(list(enumerate(texts)))
+    model = toxicity.fit(docs, spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"))
+    got = np.array(toxicity._scores(pa.array(others), model))
+
+    # The loss with its penalties, minimised by plain gradient steps over a dense matrix of words.
+    known = sorted({w for t in texts for w in t.split()} | set(toxicity.IDENTITY_TERMS))
+
+    def dense(some):
+        return np.array([[w in t.split() for w in known] for t in some], float)
+
+    x, y = dense(texts), np.array(toxic, float)
+    named = np.array([w in toxicity.IDENTITY_TERMS for w in known])
+    swapped = np.where(named, -x, 0.0)
+    swapped[:, known.index("jews")] += 1
+    w, b = np.zeros(len(known)), 0.0
+    for _ in range(3000):
+        error = (1 / (1 + np.exp(-(x @ w + b))) - y) / len(y)
+        w -= 1.0 * (x.T @ error + swapped.T @ (swapped @ w) / len(y))
+        w = np.sign(w) * np.maximum(np.abs(w) - 1e-3, 0)
+        b -= 1.0 * error.sum()
+    want = 1 / (1 + np.exp(-(dense(others) @ w + b)))
+    assert ((got >= 0.5) == (want >= 0.5)).mean() > 0.98
+
+
+def test_quality_decides_as_a_dense_fit(spark, documents, cases):
+    rows, labels = cases
+    model = quality.fit(documents(rows), spark.createDataFrame(labels, LABELS))
+    shapes = quality._shapes(pa.array([t for _, t in rows]))
+    good = np.array([q for _, _, q, _ in labels])
+    x = quality._expanded(shapes, model.centre, model.spread)
+    # All pairs, and plain gradient steps.
+    apart = (x[good == 1][:, None, :] - x[good == 0][None, :, :]).reshape(-1, x.shape[1])
+    w = np.zeros(x.shape[1])
+    for _ in range(400):
+        wrong = 1 / (1 + np.exp(np.clip(apart @ w, -30, 30)))
+        w += 0.05 * ((apart * wrong[:, None]).mean(axis=0) - quality.SHRINK * w)
+    want = x @ w >= np.quantile(x @ w, (good == 0).mean(), method="midpoint")
+    got = x @ model.weights >= model.cut
+    assert (got == want).mean() > 0.98
+
+
+def test_long_texts_are_left_out_of_learning_first(spark):
+    rows = [(i, "x" * (100_000 if i < 4 else 100), i % 2) for i in range(40)]
+    taken = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    assert toxicity.labelled.within(taken, 1 << 20).count() == 40
+    kept = {r.doc_id for r in toxicity.labelled.within(taken, 220_000).collect()}
+    assert kept >= set(range(4, 40)) and len(kept) == 38
+    assert toxicity.labelled.within(taken.where("false"), 10).count() == 0

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from userflow.llm.tables import stored
 
 
+LONG = 64 << 10  # bytes of a long text
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether a document's label is kept for testing: crc32 of its id's text."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
@@ -17,7 +20,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learns: Column, rows:
     """(doc_id, text, label) of at most ``rows`` documents of ``docs`` (doc_id, text) with
     a 0 or 1 in ``label``, for which ``learns`` holds: those with the smallest hashes of
     their ids. Ids labelled both ways, null ids and null labels are left out; of rows that
-    share an id one is taken."""
+    share an id the least text is taken."""
     present = _present(docs, labels, label, learns)
     return _with_text(docs, stored(_first(present, rows), "labelled"))
 
@@ -36,6 +39,18 @@ def sample_by_class(docs: DataFrame, labels: DataFrame, label: str, learns: Colu
     return _with_text(docs, stored(chosen, "labelled")), ones / max(n, 1)
 
 
+def within(taken: DataFrame, most_bytes: int) -> DataFrame:
+    """As many of the sampled texts as have ``most_bytes`` together, the same part for each
+    label. Long texts are left out first, so that few are; a sample is small enough for its
+    sizes to be added up by label in one task each."""
+    labels = taken.select("label").distinct().count()
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    order = Window.partitionBy("label").orderBy(F.floor(size / LONG), F.xxhash64("doc_id"), "doc_id")
+    sizes = taken.select("doc_id", "label", F.sum(size).over(order).alias("running"))
+    kept = sizes.where(F.col("running") <= most_bytes // max(labels, 1)).select("doc_id")
+    return taken.join(kept, "doc_id", "left_semi")
+
+
 def _present(docs: DataFrame, labels: DataFrame, label: str, learns: Column) -> DataFrame:
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learns)
     known = known.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("most")).where("label = most")
@@ -47,4 +62,5 @@ def _first(present: DataFrame, rows: int) -> DataFrame:
 
 
 def _with_text(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    return docs.join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return stored(texts.select("doc_id", "text", "label"), "labelled-texts")

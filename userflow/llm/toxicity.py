@@ -1,8 +1,8 @@
 """Counterfactual-regularised toxicity classifier.
 
 A logistic model over hashed words and word beginnings, with an L1 penalty that leaves
-few of them. For each learning text a counterfactual is made by swapping an identity
-term for another one (in a text that names none, by naming one), and the squared change
+few of them. For each learning text a counterfactual is made by swapping all its identity
+terms for other ones (in a text that names none, by naming one), and the squared change
 of the score is penalised, so that naming a group does not by itself make a text toxic.
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from userflow.llm import labelled, words
 
 SAMPLE_ROWS = 8000  # labelled texts to learn from, at most
+SAMPLE_BYTES = 64 << 20  # of their text
 BITS = 20  # of a feature's number
 LEAST_TEXTS = 4  # that a feature must occur in to be learnt
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # bytes of a word's beginning that make a feature
@@ -72,17 +73,19 @@ def _feature_lists(texts: pa.Array) -> pa.Array:
 
 
 def _counterfactuals(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse rows (row, feature, +1 or -1): what swapping a term changes in a text."""
+    """Sparse rows (row, feature, +1 or -1): what swapping its terms changes in a text."""
     terms = [np.frombuffer(x, "<i4") for x in _feature_lists(pa.array(IDENTITY_TERMS)).to_pylist()]
     words_only = [set(t) for t in terms]
     rows, features, signs = [], [], []
     for i, own in enumerate(numbers):
         held = set(own.tolist())
         named = [k for k, t in enumerate(words_only) if t <= held]
-        old = named[0] if named else None
-        new = (7 * i + 3 + (old or 0)) % len(terms)
-        gone = words_only[old] - words_only[new] if old is not None else set()
-        come = words_only[new] - held
+        # Term k becomes the term so many places on; a text without one gets one.
+        ahead = 1 + (7 * i + 3) % (len(terms) - 1)
+        new = [(k + ahead) % len(terms) for k in named] or [ahead]
+        old = set().union(*(words_only[k] for k in named))
+        fresh = set().union(*(words_only[k] for k in new))
+        gone, come = old - fresh, fresh - held
         rows += [i] * (len(gone) + len(come))
         features += [*gone, *come]
         signs += [-1.0] * len(gone) + [1.0] * len(come)
@@ -158,12 +161,14 @@ def fit(
 ) -> Model:
     """Learns from at most ``rows`` labelled texts for whose label ``learns`` holds (a
     condition on labels.doc_id), half of them toxic where there are enough; the bias is then
-    set to the share of all labels. Their features are fetched to the driver. Without labels
+    set to the share of all labels. Their features are fetched to the driver: of ``rows``
+    texts and SAMPLE_BYTES of text in all, the longest left out first. Without labels
     of both kinds the model knows no feature and gives every text one score, on the
     labelled side, or not toxic when there is no label at all."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
     taken, share = labelled.sample_by_class(docs, known, "label", F.lit(True) if learns is None else learns, rows)
+    taken = labelled.within(taken, SAMPLE_BYTES)
 
     @F.arrow_udf("binary")
     def listed(texts: pa.Array) -> pa.Array:
