@@ -147,18 +147,22 @@ def test_wide_buckets_lose_no_link(documents, monkeypatch, wide):
 
 
 def test_look_alikes_are_compared_in_proportion(documents, monkeypatch):
-    monkeypatch.setattr(near_dups, "WIDE", 8)
-    across, made = near_dups._across, []
-    monkeypatch.setattr(near_dups, "_across", lambda *a: made.append(across(*a)) or made[-1])
-    compared = {}
+    across, compared = near_dups._across, []
+
+    def counted(placed, mixed, forms, plausible):
+        n = placed.groupBy("key").agg(F.count("*").alias("n"))
+        compared.append(mixed.join(n, "key").agg(F.coalesce(F.sum(F.col("outside") * F.col("n")), F.lit(0))).first()[0])
+        return across(placed, mixed, forms, plausible)
+
+    monkeypatch.setattr(near_dups, "_across", counted)
+    totals = {}
     for n in (200, 800):
-        made.clear()
+        compared.clear()
         rows = look_alikes(n, 70, 34)  # similarity 0.5
-        got = near_dups.near_duplicates(documents(rows)).where("kept").count()
-        compared[n] = sum(df.count() for df in made)
-        assert got == n
+        assert near_dups.near_duplicates(documents(rows)).where("kept").count() == n
+        totals[n] = sum(compared)
     # All pairs of the buckets would be some 44,000 and 710,000.
-    assert compared[800] <= 6 * max(compared[200], 100)
+    assert totals[800] <= 8 * max(totals[200], 100)
 
 
 def test_sketches_tell_high_similarities(documents):

@@ -334,11 +334,10 @@ def matches(
             hits.append(rows.where("size(spans) > 0").dropDuplicates(["mark"]))
         else:  # one row of each text: rows of one text match alike
             hits.append(stored(scan.where("size(spans) > 0").dropDuplicates(["mark"]), "matches"))
+    no_items = F.array().cast("array<bigint>")
     if rows is None:
-        nothing = block_of([None], ["none"], window)
-        rows = marked.mapInArrow(_by_document(nothing), FOUND).withColumns(
-            {"spans": F.expr("filter(spans, x -> false)"), "texts": F.expr("filter(texts, x -> false)")}
-        )
+        rows = marked.mapInArrow(_by_document(block_of([None], ["none"], window)), FOUND)
+        return rows.select("doc_id", "n_words", F.expr("filter(spans, x -> false)").alias("spans"), no_items.alias("items"))
     if len(hits) > 1:
         put = _merged(_together(hits)).withColumnsRenamed({"mark": "own", "spans": "own_spans", "texts": "own_texts"})
         joined = rows.select("doc_id", "mark", "n_words").join(put.select("own", "own_spans", "own_texts"), F.col("mark") == F.col("own"), "left")
@@ -350,9 +349,9 @@ def matches(
     lists = rows.where("size(texts) > 0").select("texts").distinct().withColumnRenamed("texts", "matched")
     named = lists.select("matched", F.explode("matched").alias("text_id")).join(known.ids.where("item_id is not null"), "text_id")
     named = named.groupBy("matched").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    return rows.join(named, F.col("texts") == F.col("matched"), "left").select(
-        "doc_id", "n_words", "spans", F.coalesce("items", F.array().cast("array<bigint>")).alias("items")
-    )
+    found = rows.where("size(texts) > 0").join(named, F.col("texts") == F.col("matched"), "left")
+    found = found.select("doc_id", "n_words", "spans", F.coalesce("items", no_items).alias("items"))
+    return rows.where("size(texts) = 0").select("doc_id", "n_words", "spans", no_items.alias("items")).union(found)
 
 
 FOUND = "doc_id long, mark string, n_words long, spans array<struct<first: long, past: long>>, texts array<long>"

@@ -19,7 +19,8 @@ between components is skipped.
 A bucket may be full of look-alikes below the threshold, say of one template, so that many
 are outside. Buckets with more than WIDE of them are split further, by their members' full
 sets: ordered from the rarest shingle to the commonest, two sets that meet the threshold
-share one of their first shingles (prefix filter), and a template's common ones are last.
+share one of their first shingles (prefix filter), and a template's common ones are last. At
+the first that they share, enough shingles must be left in both (positional filter).
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from userflow.llm import bloom, graph, words
@@ -41,7 +42,7 @@ ROWS = 4  # samples that make one band key
 SAMPLES = 192  # samples folded into a sketch
 SKETCH_WORDS = 4  # 64-bit words of a sketch
 PARITY_WORDS = 16  # 64-bit words of the whole set's parity
-WIDE = 32  # members outside its largest component that a bucket may have before it is split
+WIDE = 1  # members outside its largest component that a bucket may have before it is split
 COUNTERS = 1 << 20  # of shingles, by hash: tell common ones from rare ones
 MISS = 1e-7  # chance that a pair at the threshold shares no band, and that its sketches refute it
 
@@ -213,9 +214,20 @@ def mains(placed: DataFrame) -> DataFrame:
     return largest.where("parts > 1").select("key", F.col("top.component").alias("main"), (F.col("n") - F.col("top.n")).alias("outside"))
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of a task's sets fall to each counter."""
+    counts = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        values = batch.column(0).flatten().to_numpy().view(np.uint64)
+        counts += np.bincount((values & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+    slot = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot])], ["slot", "n"])
+
+
 def _prefixes(counts: np.ndarray, percent: int):
-    """Of each set the first shingles in a common order, rarest first: as many as must hold
-    one that a set at the threshold shares. One that no other set has needs no bucket."""
+    """Of each set the first shingles in a common order, rarest first, with their places: as
+    many as must hold one that a set at the threshold shares. One that no other set has needs
+    no bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,43 +235,47 @@ def _prefixes(counts: np.ndarray, percent: int):
             bounds = lists.offsets.to_numpy()
             values = lists.values.to_numpy().view(np.uint64)
             seen = counts[(values & np.uint64(COUNTERS - 1)).astype(np.int64)]
-            rows, tokens = [], []
+            rows, places, tokens = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
             for i in range(len(lists)):
                 own, often = values[bounds[i] : bounds[i + 1]], seen[bounds[i] : bounds[i + 1]]
                 n = len(own)
                 first = np.lexsort((own, often))[: n - -(-percent * n // 100) + 1]
-                first = first[often[first] > 1]
-                rows.append(np.full(len(first), i))
-                tokens.append(own[first])
-            at = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64))
-            token = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
+                place = np.flatnonzero(often[first] > 1)
+                rows.append(np.full(len(place), i))
+                places.append(place)
+                tokens.append(own[first[place]])
+            at = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)], ["key", "node", "component"]
+                [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(places))],
+                ["key", "node", "component", "place"],
             )
 
     return run
 
 
 def split_by_prefix(members: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Buckets (key, node, component) of ``members`` (node, component): by the shingles of
-    their prefixes. Two members that meet the threshold share one."""
+    """Buckets (key, node, component, place) of ``members`` (node, component): by the shingles
+    of their prefixes. Two members that meet the threshold share one."""
     items = sets_of(members.select("node"), classes, docs, shingle)
     placed = stored(items.join(members, "node").select("node", "component", "items"), "wide-sets")
-    slot = F.explode(F.transform("items", lambda x: x.bitwiseAND(F.lit(COUNTERS - 1)))).alias("slot")
-    counted = placed.select(slot).groupBy("slot").agg(F.count("*").alias("n")).toArrow()  # COUNTERS rows at most
+    counted = placed.select("items").mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    counted = counted.toArrow()  # COUNTERS rows at most
     counts = np.zeros(COUNTERS, np.int64)
     counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
-    return placed.mapInArrow(_prefixes(counts, percent), "key long, node long, component long")
+    return placed.mapInArrow(_prefixes(counts, percent), "key long, node long, component long, place long")
 
 
-def _across(placed: DataFrame, mixed: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket and different components, those outside its main
-    component against the others: key, a, b."""
-    held = stored(placed.join(mixed.select("key", "main"), "key"), "mixed-members")
-    one = held.where("component <> main").selectExpr("key", "node as a", "component as ca")
-    other = held.selectExpr("key", "node as b", "component as cb", "main")
-    once = (F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))
-    return one.join(other, "key").where((F.col("ca") != F.col("cb")) & once).select("key", "a", "b")
+def _across(placed: DataFrame, mixed: DataFrame, forms: DataFrame, plausible: Column) -> DataFrame:
+    """Pairs (a, b) of members x, y of one bucket and different components, those outside its
+    main component against the others, that are plausible. ``forms`` are joined by node."""
+    held = placed.join(mixed.select("key", "main"), "key").join(forms, "node")
+    held = stored(held, "mixed-members")
+    x, y = held.where("component <> main").alias("x"), held.alias("y")
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    apart = F.col("x.component") != F.col("y.component")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & once & plausible)
+    low, high = F.least("x.node", "y.node"), F.greatest("x.node", "y.node")
+    return pairs.select(low.alias("a"), high.alias("b"))
 
 
 class Linked(NamedTuple):
@@ -300,8 +316,8 @@ def linked(docs: DataFrame, shingle: int, percent: int, samples: int) -> Linked:
     members = stored(keyed.join(buckets, "key"), "members")
     plausible = _plausible(most_flips(percent, samples), percent)
 
-    def of(side: str, name: str, *more: str) -> DataFrame:
-        return classes.select(F.col("node").alias(side), F.col("form").alias(name), *more)
+    def of(side: str, name: str) -> DataFrame:
+        return classes.select(F.col("node").alias(side), F.col("form").alias(name))
 
     stars = (
         members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -314,18 +330,18 @@ def linked(docs: DataFrame, shingle: int, percent: int, samples: int) -> Linked:
     placed = stored(placed, "placed")
     mixed = stored(mains(placed), "mixed")
     # Of the buckets that two classes share, the one of the least key holds them together.
-    here = F.array_min(F.array_intersect("own", "others")) == F.col("key")
-    own = of("a", "x", F.col("bands").alias("own"))
-    others = of("b", "y", F.col("bands").alias("others"))
-    narrow = stored(_across(placed, mixed.where(f"outside <= {WIDE}")), "narrow")
-    rest = narrow.join(own, "a").join(others, "b").where(plausible & here).select("a", "b")
+    here = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
+    form = classes.select("node", "bands", "form.*")
+    rest = _across(placed, mixed.where(f"outside <= {WIDE}"), form, here & plausible)
     wide = mixed.where(f"outside > {WIDE}").select("key")
     if not wide.isEmpty():
         inside = stored(placed.join(wide, "key", "left_semi").select("node", "component").distinct(), "wide")
         split = stored(split_by_prefix(inside, classes, docs, shingle, percent), "prefixes")
-        pairs = _across(split, mains(split)).select("a", "b").distinct()
-        rest = rest.union(pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").where(plausible).select("a", "b"))
-    rest = stored(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        # At the first shingle that two sets share, as many must be left as they need in common.
+        left = F.least(F.col("x.n_shingles") - F.col("x.place"), F.col("y.n_shingles") - F.col("y.place"))
+        enough = (100 + percent) * left >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles"))
+        rest = rest.union(_across(split, mains(split), form.drop("bands"), enough & plausible))
+    rest = stored(rest.distinct(), "pairs")
     more = verified(rest, classes, docs, shingle, percent)
     every = stored(links.union(more), "links")
     return Linked(rows.select("doc_id", "n_shingles", "mark"), classes.select("mark", "node", "doc"), every)
