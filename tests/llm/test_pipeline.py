@@ -49,3 +49,12 @@ def test_stages(spark, duck, small_dir, tmp_path):
 def test_run_gives_the_last_stages_rows(spark, small_dir):
     rows = corpus_pipeline.run(spark, small_dir)
     assert {"doc_id", "start", "length", "ids_crc32", "sequence_id", "offset", "step_group"} <= set(rows.columns) and rows.count() > 0
+
+
+def test_no_documents(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    rows = docs.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, rows, small_dir)
+        assert rows.count() == 0, name
+        assert name == "packing" or rows.columns == docs.columns
