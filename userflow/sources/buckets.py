@@ -100,7 +100,8 @@ def upsert(updates: DataFrame, root: str, name: str, insert: bool = True) -> dic
     _refuse_null_keys(fresh, table.keys)
     if not fresh.groupBy(*table.keys).count().where("count > 1").isEmpty():
         raise ValueError(f"updates hold several rows for one key of {table.keys}")
-    touched = [r[0] for r in fresh.select(bucket_of(table.keys, table.count)).distinct().collect()]  # at most ``count``
+    # One row of at most ``count`` numbers.
+    touched = fresh.agg(F.collect_set(bucket_of(table.keys, table.count))).first()[0]
     target = _bucketed(spark, table, {b: table.held[b] for b in touched if b in table.held})
     seen = Observation()
     merged = _merged(target, fresh, table.keys, insert)
