@@ -21,6 +21,15 @@ _SOURCES = {
 }
 
 
+# What a record holds beside these keys is unknown. Keys below a key are listed where only they
+# are read; a key without any is read whole.
+_KNOWN = {
+    "declared": dict.fromkeys(USER_FIELDS, {}),
+    "normalized": {**dict.fromkeys(TEXT_FIELDS, {}), "login": {"uuid": {}}},
+}
+_PLACE = {"country": {}, "city": {}, "coordinates": {"latitude": {}, "longitude": {}}}
+# The unknown keys, among the parsed columns.
+UNKNOWN = "unknown"
 # When the topic got a message, among the parsed columns.
 ARRIVED = "arrived"
 # A record's own time may lie so far beyond its message's arrival.
@@ -39,6 +48,7 @@ def parse_users(
     fields: Iterable[str] | None = None,
     skip_bad: bool = False,
     arrival: bool = False,
+    unknown: bool = False,
 ) -> DataFrame:
     """User rows out of messages whose ``value`` holds one JSON record each.
 
@@ -53,12 +63,13 @@ def parse_users(
     are counted whether or not they parse. ``skip_bad`` drops those rows.
 
     ``fields`` limits the columns, and with them what is decoded at all. ``arrival``
-    adds the message's own ``timestamp`` as ``ARRIVED``.
+    adds the message's own ``timestamp`` as ``ARRIVED``, and ``unknown`` what
+    ``unknown_keys`` keeps as ``UNKNOWN``, at the price of a second decoding.
     """
     wanted = FIELDS if fields is None else tuple(fields)
-    unknown = set(wanted) - set(FIELDS)
-    if unknown:
-        raise ValueError(f"no such user fields: {sorted(unknown)}")
+    strange = set(wanted) - set(FIELDS)
+    if strange:
+        raise ValueError(f"no such user fields: {sorted(strange)}")
     if mode == "declared":
         available, resolve = USER_FIELDS, _declared
     elif mode == "normalized":
@@ -68,6 +79,9 @@ def parse_users(
 
     body = decode(messages, arrival)
     extra = [ARRIVED] if arrival else []
+    if unknown:
+        body = body.withColumn(UNKNOWN, unknown_keys(F.col("value"), mode))
+        extra.append(UNKNOWN)
     if not wanted and not skip_bad:
         return body.select(*extra)
     schema = _schema(wanted, available, mode) or "`id` string"
@@ -95,6 +109,50 @@ def _strict(schema: str) -> Column:
     return F.explode(alone)
 
 
+def unknown_keys(text: Column, mode: str = "normalized") -> Column:
+    """What a record of JSON text holds beside the keys that ``parse_users`` reads, as a
+    variant object, with unknown keys below ``location`` (and ``login``) in place.
+
+    Null if there is nothing, and for text that is no JSON object or names a key twice: such a
+    body has a row of its declared fields all the same. ``unknown_value`` reads from it.
+    """
+    known = {**_KNOWN[mode], "location": _PLACE}
+    found = F.transform(F.array(F.try_parse_json(text)), lambda body: _beside(body, known))[0]
+    return F.transform(F.array(found), lambda m: F.when(F.size(m) > 0, F.to_variant_object(m)))[0]
+
+
+def unknown_value(path: str, kind: str = "string", column: str = UNKNOWN) -> Column:
+    """A value among the unknown keys, by its path (``$.device.os``); null if it is not there
+    or cannot be read as ``kind``."""
+    return F.try_variant_get(F.col(column), path, kind)
+
+
+_KEYS = "map<string,variant>"
+
+
+def _beside(value: Column, known: dict[str, dict]) -> Column:
+    """The keys of a variant object that are not known, and below known ones those that are
+    not; null if it is no object. Each object is taken apart once."""
+    below = {key: keys for key, keys in known.items() if keys}
+
+    def rest(own: Column) -> Column:
+        parts = [F.map_filter(own, lambda key, _: ~key.isin(list(known)))]
+        none = F.map_filter(own, lambda key, _: F.lit(False))
+        inner = (_under(name, F.try_element_at(own, F.lit(name)), keys) for name, keys in below.items())
+        return F.map_concat(*parts, *(F.coalesce(i, none) for i in inner))
+
+    return F.transform(F.array(F.try_variant_get(value, "$", _KEYS)), lambda own: rest(own))[0]
+
+
+def _under(name: str, value: Column, known: dict[str, dict]) -> Column:
+    """What is unknown in the object below a key, by that key; null if there is nothing."""
+
+    def named(own: Column) -> Column:
+        return F.when(F.size(own) > 0, F.create_map(F.lit(name), F.to_variant_object(own)))
+
+    return F.transform(F.array(_beside(value, known)), named)[0]
+
+
 def stamp(users: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Add ``processed_timestamp``: the given time, else the clock.
 
