@@ -19,8 +19,7 @@ def utc_text(instant: Column | str, zoned: bool = True) -> Column:
     """
     instant = F.col(instant) if isinstance(instant, str) else instant
     if zoned:
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        instant = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+        instant = wall_clock(instant)
     return F.substring(instant.cast("string"), 1, 19)
 
 
@@ -37,3 +36,9 @@ def event_time(text: Column | str, kind: str = "timestamp") -> Column:
 def wall_time(moment: datetime) -> Column:
     """A zone-free time as a literal, the same in every session zone."""
     return F.lit(moment.isoformat()).cast("timestamp_ntz")
+
+
+def wall_clock(instant: Column) -> Column:
+    """What a clock in UTC shows at an instant, without a zone, whatever the session's is."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)

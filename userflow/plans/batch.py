@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.functions.times import wall_time
-from userflow.operators import analytics, views
-from userflow.operators.parse import parse_users, with_event_time
+from userflow.functions.times import wall_clock, wall_time
+from userflow.operators import analytics, frequent, views
+from userflow.operators.parse import parse_users, unknown_value, with_event_time
 from userflow.plans.users import (
     arrived_messages,
     damaged_messages,
@@ -17,11 +18,12 @@ from userflow.plans.users import (
     raw_columns,
     raw_messages,
     raw_records,
+    spread_series,
     user_messages,
     user_records,
 )
 from userflow.session import scratch
-from userflow.sources import buckets, tables, topic
+from userflow.sources import buckets, levels, skipping, tables, topic
 from userflow.streaming import latest, pipeline
 
 NTZ = "timestamp_ntz"
@@ -111,6 +113,45 @@ def user_inflow_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.inflow_series(inflow, newest - F.expr("interval 12 hours"), "1 day")
 
 
+def _levels(spark: SparkSession, windows: DataFrame, *keys: str) -> tuple[str, list]:
+    """Levels of time made of windows, and a few ranges over them."""
+    root = scratch(spark, "levels")
+    tables.replace(windows, root, "windows")
+    stored = tables.table(spark, root, "windows")
+    levels.add(stored, root, "inflow", keys)
+    first, last = stored.agg(F.min("window_start"), F.max("window_start")).first()
+    edges = ((0, 1), (7, -11), (4321, -1560))
+    return root, [(first + timedelta(minutes=a), last + timedelta(minutes=b)) for a, b in edges]
+
+
+def inflow_of_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many users came in each of some ranges, from levels of time."""
+    root, ranges = _levels(spark, user_inflow(spark, sf_dir))
+    totals = (levels.total(spark, root, "inflow", *r).withColumn("range", F.lit(n)) for n, r in enumerate(ranges))
+    return reduce(DataFrame.unionByName, totals)
+
+
+def inflow_of_range_by_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users = _users(spark, sf_dir, "gender", "timestamp")
+    start = F.window("ts", "1 minute").start.alias("window_start")
+    root, ranges = _levels(spark, users.groupBy("gender", start).count(), "gender")
+    return levels.total(spark, root, "inflow", *ranges[1], keys=["gender"])
+
+
+def inflow_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All hours, from the level of hours."""
+    root, ranges = _levels(spark, user_inflow(spark, sf_dir))
+    first, until = ranges[0]
+    hours = levels.series(spark, root, "inflow", 60, first - timedelta(hours=1), until)
+    return _in_utc(hours)
+
+
+def _in_utc(windows: DataFrame) -> DataFrame:
+    return windows.select(
+        *(wall_clock(F.col(c)).alias(c) if c.startswith("window_") else F.col(c) for c in windows.columns)
+    )
+
+
 def gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.share(gender_distribution(spark, sf_dir))
 
@@ -129,6 +170,11 @@ def top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.top_k(country_distribution(spark, sf_dir))
 
 
+def top_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent of a hundred thousands of values, without a count for each."""
+    return frequent.top_k(_users(spark, sf_dir, "id").select(spread_series()), "series", tracked=1000)
+
+
 def user_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.total(country_distribution(spark, sf_dir))
 
@@ -176,6 +222,30 @@ def parse_normalized_raw_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def parse_unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of both shapes and damaged ones, with keys that no schema names, one of them
+    below a known key."""
+    number = F.substring("id", 3, 20).cast("bigint")
+    device = F.struct(F.struct((number % 5).alias("version"), F.lit("x").alias("os")).alias("device"))
+    more = F.concat(F.lit(","), F.substring(F.to_json(device), 2, 99))
+    street = F.concat(F.lit('{"street":{"number":'), number.cast("string"), F.lit("},"))
+    flat, raw = (F.to_json(F.struct(*c), {"ignoreNullFields": "false"}) for c in (flat_columns(), raw_columns()))
+    text = F.when(number % 2 == 0, flat).otherwise(raw)
+    placed = F.replace(text, F.lit('"location":{'), F.concat(F.lit('"location":'), street))
+    whole = F.concat(F.expr("left(body, length(body) - 1)"), "more")
+    bodies = user_records(spark, sf_dir).select(placed.alias("body"), more.alias("more"), number.alias("number"))
+    cut = F.when(F.col("number") % 17 == 0, F.expr("left(body, length(body) - 1)")).otherwise(whole)
+    users = parse_users(bodies.select(cut.alias("value")), fields=("id", "country"), unknown=True)
+    return users.select(
+        F.when(F.col("unknown").isNotNull(), F.col("id")).alias("id"),
+        F.when(F.col("unknown").isNotNull(), F.col("country")).alias("country"),
+        unknown_value("$.device.os").alias("os"),
+        unknown_value("$.device.version", "int").alias("version"),
+        unknown_value("$.location.street.number", "bigint").alias("street"),
+        unknown_value("$.location.country").alias("declared"),
+    )
+
+
 def malformed_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = parse_users(damaged_messages(spark, sf_dir), fields=("gender",))
     return analytics.gender_distribution(users)
@@ -267,6 +337,16 @@ def find_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def find_by_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by a range and by a list of ids, each from the files that notes do not rule out."""
+    root = scratch(spark, "notes")
+    tables.replace(skipping.clustered(user_records(spark, sf_dir), ["age", "id"], 16), root, "users")
+    skipping.index(spark, root, "users", ["age", "country"], ["id"])
+    wanted = {"age": skipping.Between(30, 33), "country": ["FRANCE", "CHINA", None]}, {"id": ["u-5", "u-77", "u-none"]}
+    found = (skipping.find(spark, root, "users", where) for where in wanted)
+    return reduce(DataFrame.unionByName, found)
+
+
 def append_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, users = scratch(spark, "append"), user_records(spark, sf_dir)
     tables.append(users.where("gender is null"), root, "users", with_id=True)
@@ -392,10 +472,14 @@ QUERIES = {
         inflow_by_processing_time,
         analytics_in_one_pass,
         user_inflow_recent,
+        inflow_of_ranges,
+        inflow_of_range_by_gender,
+        inflow_by_hour,
         gender_share,
         latest_by_gender,
         age_bars,
         top_countries,
+        top_frequent,
         user_total,
         country_markers,
         inflow_bands,
@@ -403,6 +487,7 @@ QUERIES = {
         parse_declared,
         parse_declared_raw_shape,
         parse_normalized_raw_shape,
+        parse_unknown_keys,
         malformed_counted,
         malformed_skipped,
         publish_messages,
@@ -413,6 +498,7 @@ QUERIES = {
         find_users,
         find_users_equal,
         find_events,
+        find_by_notes,
         append_users,
         replace_result,
         upsert_users,

@@ -119,6 +119,18 @@ union all select 'avg_age_by_country', null, null, country, null, null, avg(age)
 union all select 'user_inflow', null, null, null, {MINUTE}, {MINUTE} + interval 1 minute,
        avg(age), count(*) from u group by 5, 6"""
 
+SPREAD = """select concat('s-', cast(case when number % 2 = 0 then number & -number else number end
+       as varchar)) as series, count(*) as count from u group by 1 order by 2 desc, 1 limit 10"""
+
+
+def _ranges(columns: str, edges: str) -> str:
+    """Counts of users whose minute lies in ranges, given by minutes from the first and last."""
+    return f"""select {columns}, count(*) as count from u,
+       (select min({MINUTE}) as lo, max({MINUTE}) as hi from u),
+       (values {edges}) as edges(range, a, b)
+where {MINUTE} >= lo + to_minutes(a) and {MINUTE} < hi + to_minutes(b) group by 1"""
+
+
 _BODIES = {
     "gender_distribution": GENDERS,
     "age_distribution": AGES,
@@ -137,6 +149,11 @@ _BODIES = {
     "user_inflow_recent": f"""select {MINUTE} as window_start, count(*) as count from u
        where {MINUTE} between (select max({MINUTE}) from u) - interval 36 hours
          and (select max({MINUTE}) from u) - interval 12 hours group by 1""",
+    "inflow_of_ranges": _ranges("range", "(0, 0, 1), (1, 7, -11), (2, 4321, -1560)"),
+    "inflow_of_range_by_gender": _ranges("gender", "(1, 7, -11)"),
+    "inflow_by_hour": """select cast(date_trunc('hour', ts) as timestamp) as window_start,
+       cast(date_trunc('hour', ts) as timestamp) + interval 1 hour as window_end,
+       count(*) as count from u group by 1, 2""",
     "gender_share": """select gender, count(*) as count,
        100.0e0 * count(*) / sum(count(*)) over () as percent from u group by gender""",
     "latest_by_gender": """select gender, arg_max(count, d) as count from
@@ -145,6 +162,10 @@ _BODIES = {
     "age_bars": BARS,
     "top_countries": """select country, count(*) as count from u
        where country is not null group by country order by count desc, country limit 10""",
+    "top_frequent": SPREAD,
+    "stream_top_frequent": SPREAD,
+    "stream_inflow_levels": f"""select cast(date_trunc('hour', window_start) as timestamp)
+       as window_start, cast(sum(count) as bigint) as count from ({CLOSED}) group by 1""",
     "user_total": "select count(*) as total from u",
     "country_markers": f"""select country, avg_age, count,
        case when hi = lo then 2.0e0
@@ -168,6 +189,12 @@ _BODIES = {
        cast(concat(cast(number % 90 as varchar), '.25') as double) as latitude,
        cast(concat(cast(-(number % 180) as varchar), '.5') as double) as longitude
        from u""",
+    "parse_unknown_keys": """select case when number % 17 <> 0 then id end as id,
+       case when number % 17 <> 0 then country end as country,
+       case when number % 17 <> 0 then 'x' end as os,
+       case when number % 17 <> 0 then cast(number % 5 as int) end as version,
+       case when number % 17 <> 0 then cast(number as bigint) end as street,
+       cast(null as varchar) as declared from u""",
     "malformed_counted": f"""select case when {DAMAGED} then null else gender end as gender,
        count(*) as count from u group by 1""",
     "malformed_skipped": f"""select gender, count(*) as count from u
@@ -190,6 +217,9 @@ _BODIES = {
     "find_users_equal": """select id, gender, age, country, ts from u
        where gender = 'male' and country is null""",
     "find_events": "select event_id, user_id from events where event_type = 'error'",
+    "find_by_notes": """select * exclude (number) from u where age between 30 and 33
+       and (country in ('FRANCE', 'CHINA') or country is null)
+       union all select * exclude (number) from u where id in ('u-5', 'u-77', 'u-none')""",
     "append_users": "select id, gender, age, country, ts from u",
     "replace_result": """select gender, count(*) as count, cast(1 as bigint) as batch_id
        from u group by gender""",

@@ -7,13 +7,14 @@ tables are read back.
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.functions.times import MICROS
-from userflow.operators import analytics, views
+from userflow.functions.times import MICROS, wall_clock
+from userflow.operators import analytics, frequent, views
 from userflow.operators.parse import parse_users, with_event_time
 from userflow.plans.users import (
     arrived_messages,
@@ -21,12 +22,13 @@ from userflow.plans.users import (
     land_in_two,
     raw_columns,
     raw_records,
+    spread_series,
     user_messages,
     user_records,
 )
 from userflow.session import scratch
-from userflow.sources import buckets, snapshots, tables, topic
-from userflow.streaming import late, latest, pipeline
+from userflow.sources import buckets, levels, snapshots, tables, topic
+from userflow.streaming import late, latest, pipeline, sketches
 
 NTZ = "timestamp_ntz"
 
@@ -331,6 +333,34 @@ def stream_latest_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("id", "gender", "age", "country", F.col("timestamp").cast(NTZ).alias("ts"))
 
 
+def stream_inflow_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows added to levels of time batch by batch; the hours of the closed windows."""
+
+    def start(messages: DataFrame, root: str, checkpoint: str):
+        inflow = pipeline.topic_results(messages, inflow_by="record")["user_inflow"]
+        sink = levels.adding(root, "inflow")
+        return [pipeline.start_result(inflow, root, "inflow", checkpoint, "append", every=None, sink=sink)]
+
+    root = _run(spark, sf_dir, start)
+    hours = levels.series(spark, root, "inflow", 60, datetime(1970, 1, 1), datetime(9999, 1, 1))
+    return hours.select(wall_clock(F.col("window_start")).alias("window_start"), "count")
+
+
+def stream_top_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sketch for each batch; the values that the merged one names, counted exactly."""
+    feeds = []
+
+    def start(messages: DataFrame, root: str, checkpoint: str):
+        values = parse_users(messages, fields=("id",)).select(spread_series())
+        feeds.append(f"{root}/sketches")
+        sink = sketches.sketching(feeds[0], "series", 1000)
+        return [pipeline.start_result(values, root, "sketches", checkpoint, "append", every=None, sink=sink)]
+
+    _run(spark, sf_dir, start)
+    users = parse_users(user_messages(spark, sf_dir), fields=("id",)).select(spread_series())
+    return frequent.top_k(users, "series", tracked=1000, sketched=sketches.merged(spark, feeds[0], 1000))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -358,5 +388,7 @@ QUERIES = {
         stream_inflow_late_now,
         stream_late_rows,
         stream_latest_users,
+        stream_inflow_levels,
+        stream_top_frequent,
     )
 }

@@ -73,6 +73,14 @@ def raw_columns() -> list[Column]:
     ]
 
 
+def spread_series(number: Column | None = None) -> Column:
+    """A series of very many values, of which a few are frequent: each power of two half as
+    often as the one before, and every other user alone."""
+    number = F.substring("id", 3, 20).cast("bigint") if number is None else number
+    lowest = number.bitwiseAND(-number)
+    return F.concat(F.lit("s-"), F.when(number % 2 == 0, lowest).otherwise(number).cast("string")).alias("series")
+
+
 def flat_records(users: DataFrame) -> DataFrame:
     return users.select(*flat_columns())
 
