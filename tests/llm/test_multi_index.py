@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from userflow.llm import multi_index
@@ -73,12 +75,36 @@ def test_cells_are_visited_from_the_nearest_on():
     assert [sums[c] for c in cells] == sorted(sums[sums <= 0.8])
 
 
-def test_vectors_of_few_directions_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(multi_index, "CELL_ROWS", 4)
+def _batch(x):
+    unit = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+    return pa.RecordBatch.from_arrays([pa.array(range(len(x))), pa.array(["a"] * len(x)), unit], ["node", "label", "unit"])
+
+
+def test_cells_are_the_same_in_parts(monkeypatch):
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(300, 8))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    index = multi_index.Index(4, (x[:40, :4], x[40:70, 4:]), 0.2)
+    whole = list(multi_index._cells(index)(iter([_batch(x)])))
+    monkeypatch.setattr(multi_index, "AT_ONCE", 2000)
+    parts = list(multi_index._cells(index)(iter([_batch(x), _batch(x[:0])])))
+    assert len(whole) == 1 and len(parts) > 40
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches(whole).combine_chunks())
+    assert (np.concatenate([p["node"] for p in parts]) == whole[0]["node"]).all()
+    assert pa.Table.from_batches(parts).filter(pa.compute.field("home")).num_rows == 300
+
+
+@pytest.mark.parametrize("cell_rows,codes", [(4, 22), (0.002, 1000)])
+def test_vectors_of_few_directions_lose_no_link(spark, monkeypatch, cell_rows, codes):
+    monkeypatch.setattr(multi_index, "CELL_ROWS", cell_rows)  # small cells: more codes, without a cap in reach
+    built = []
+    build = multi_index.build
+    monkeypatch.setattr(multi_index, "build", lambda *given: built.append(build(*given)) or built[0])
     draw = np.random.default_rng(4)
     x = (draw.normal(size=(2000, 3)) @ draw.normal(size=(3, 64))).astype(np.float32)
     table = spark.createDataFrame([(i, v.tolist(), 1, "n", "c") for i, v in enumerate(x)], SCHEMA)
     found = {r.vec_id: r.n_links for r in multi_index.near_vectors(table).collect()}
     x = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(1))[:, None]
     want = (x @ x.T >= 0.98).sum(1) - 1
+    assert [len(c) for c in built[0].codes] == [codes, codes]
     assert want.sum() and [found[i] for i in range(len(x))] == want.tolist()

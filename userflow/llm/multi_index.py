@@ -35,10 +35,12 @@ from pyspark.sql import functions as F
 from userflow.llm import graph
 from userflow.llm.tables import stored
 
-SAMPLE_ROWS = 20000  # vectors that the codebooks are fitted on, at most
-LEAST_CODES, MOST_CODES = 4, 512
+SAMPLE_ROWS = 20000  # vectors that the codebooks are fitted on, or CODE_ROWS for each code if that is more
+CODE_ROWS = 16
+LEAST_CODES, MOST_CODES = 4, 8192  # enough for four billion vectors
 CELL_ROWS = 64
 ROUNDS = 12  # of k-means
+AT_ONCE = 1 << 22  # distances of vectors and codes that are held at once
 BLOCK_ROWS = 512  # points, and queries, that one block holds on average
 CLOSE = 1e-3  # codes nearer to each other are not parted, their plane cannot be told exactly
 SLACK = 1e-6  # of the reach, far above what rounding makes of the distances
@@ -55,7 +57,7 @@ class Index(NamedTuple):
         return x[:, : self.split], x[:, self.split :]
 
     def own(self, x: np.ndarray) -> list[np.ndarray]:
-        return [_distances(h, c).argmin(1) for h, c in zip(self.halves(x), self.codes, strict=True)]
+        return [_nearest(h, c) for h, c in zip(self.halves(x), self.codes, strict=True)]
 
     def least(self, x: np.ndarray) -> list[np.ndarray]:
         return [_least(h, c) for h, c in zip(self.halves(x), self.codes, strict=True)]
@@ -99,11 +101,21 @@ def _distances(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return np.maximum(apart, 0)
 
 
+def _slices(rows: int, codes: int) -> Iterator[slice]:
+    """Slices of some rows whose distances from the codes may be held at once."""
+    step = max(1, AT_ONCE // codes)
+    return (slice(at, at + step) for at in range(0, rows, step))
+
+
+def _nearest(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return np.concatenate([_distances(x[own], codes).argmin(1) for own in _slices(len(x), len(codes))])
+
+
 def _codebook(x: np.ndarray, n: int) -> np.ndarray:
     draw = np.random.default_rng(0)
     codes = x[draw.choice(len(x), min(n, len(x)), replace=False)]
     for _ in range(ROUNDS):
-        nearest = _distances(x, codes).argmin(1)
+        nearest = _nearest(x, codes)
         held = np.bincount(nearest, minlength=len(codes))
         sums = np.zeros_like(codes)
         np.add.at(sums, nearest, x)
@@ -115,7 +127,8 @@ def _least(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Distance of each x to the plane between each code and its nearest one."""
     squared = _distances(x, codes)
     near = squared.argmin(1)
-    between = np.sqrt(_distances(codes, codes))[near]
+    kinds, at = np.unique(near, return_inverse=True)
+    between = np.sqrt(_distances(codes[kinds], codes))[at]
     plane = (squared - squared[np.arange(len(x)), near][:, None]) / (2 * np.where(between > CLOSE, between, np.inf))
     return np.maximum(plane, 0)
 
@@ -142,28 +155,33 @@ def visited(first: np.ndarray, second: np.ndarray, most: float) -> list[tuple[in
     return cells
 
 
+def _visits(index: Index, batch: pa.RecordBatch) -> pa.RecordBatch:
+    x = _matrix(batch.column("unit"))
+    first, second = index.least(x)
+    own = np.stack(index.own(x), axis=1)
+    cells = [visited(a, b, index.most) for a, b in zip(first, second, strict=True)]
+    rows = np.repeat(np.arange(len(x)), [len(c) for c in cells])
+    codes = np.array([c for found in cells for c in found])
+    taken = pa.array(rows)
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("node").take(taken),
+            batch.column("label").take(taken),
+            pa.array(codes[:, 0], pa.int32()),
+            pa.array(codes[:, 1], pa.int32()),
+            pa.array((codes == own[rows]).all(1)),
+        ],
+        ["node", "label", "first", "second", "home"],
+    )
+
+
 def _cells(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _matrix(batch.column("unit"))
-            first, second = index.least(x)
-            own = np.stack(index.own(x), axis=1)
-            cells = [visited(a, b, index.most) for a, b in zip(first, second, strict=True)]
-            rows = np.repeat(np.arange(len(x)), [len(c) for c in cells])
-            codes = np.array([c for found in cells for c in found])
-            taken = pa.array(rows)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("node").take(taken),
-                    batch.column("label").take(taken),
-                    pa.array(codes[:, 0], pa.int32()),
-                    pa.array(codes[:, 1], pa.int32()),
-                    pa.array((codes == own[rows]).all(1)),
-                ],
-                ["node", "label", "first", "second", "home"],
-            )
+            # A vector may visit hundreds of cells: few vectors at a time.
+            widest = 8 * max(len(codes) for codes in index.codes)
+            for part in _slices(batch.num_rows, widest):
+                yield _visits(index, batch.slice(part.start, part.stop - part.start))
 
     return run
 
@@ -213,14 +231,15 @@ def _searched(index: Index, similarity: float):
 
 
 def build(units: DataFrame, similarity: float, sample_rows: int = SAMPLE_ROWS) -> Index:
-    """Codebooks fitted on at most ``sample_rows`` of the (written, not empty) unit vectors,
-    those with the smallest hashes; as many codes as make a cell of the grid hold CELL_ROWS
-    on average, within fixed bounds. All vectors are indexed."""
-    n = units.count()
-    fetched = units.orderBy(F.xxhash64("node"), "node").limit(sample_rows).select("unit").toArrow()
+    """Codebooks fitted on at most ``sample_rows``, or CODE_ROWS for each code, of the (written,
+    not empty) unit vectors, those with the smallest hashes; as many codes as make a cell of the
+    grid hold CELL_ROWS on average, so that cells do not grow with the table. All vectors are
+    indexed."""
+    number = int(min(MOST_CODES, max(LEAST_CODES, math.sqrt(units.count() / CELL_ROWS))))
+    most = max(sample_rows, CODE_ROWS * number)
+    fetched = units.orderBy(F.xxhash64("node"), "node").limit(most).select("unit").toArrow()
     x = _matrix(fetched["unit"])
     split = max(1, x.shape[1] // 2)
-    number = int(min(MOST_CODES, max(LEAST_CODES, math.sqrt(n / CELL_ROWS))))
     return Index(split, (_codebook(x[:, :split], number), _codebook(x[:, split:], number)), _reach(similarity))
 
 
