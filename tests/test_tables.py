@@ -370,3 +370,22 @@ def test_document_times_over_clock_changes(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert [(r.i, r.f) for r in rows] == [(t, t) for t in texts]
+
+
+def test_only_the_first_match_is_set(spark, tmp_path):
+    root, kinds = str(tmp_path), "id string, n int, v string"
+    given = [("b", 1, "x"), ("a", 2, "x"), (None, 3, "x"), ("a", 1, "y"), ("a", None, "y")]
+    tables.append(spark.createDataFrame(given, kinds), root, "t")
+
+    def now():
+        return {(r.id, r.n): r.v for r in tables.table(spark, root, "t").collect()}
+
+    one = {"matched": 1, "modified": 1, "inserted": 0}
+    assert tables.update_where(spark, root, "t", {"v": "x"}, {"v": "z"}, first_by=["id"]) == one
+    assert now() == {("b", 1): "x", ("a", 2): "x", (None, 3): "z", ("a", 1): "y", ("a", None): "y"}
+    assert tables.update_where(spark, root, "t", "v = 'y'", {"v": "w"}, first_by=["id", "n"]) == one
+    assert now()[("a", None)] == "w" and now()[("a", 1)] == "y"
+    with pytest.raises(ValueError):
+        tables.update_where(spark, root, "t", "id = 'a'", {"v": "q"}, first_by=["id"])
+    none = {"matched": 0, "modified": 0, "inserted": 0}
+    assert tables.update_where(spark, root, "t", "id = 'q'", {"v": "q"}, first_by=["id"]) == none

@@ -424,6 +424,14 @@ def update_where_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.table(spark, root, "users")
 
 
+def update_first_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One match set, the first by its id."""
+    root = scratch(spark, "first")
+    tables.append(user_records(spark, sf_dir), root, "users")
+    tables.update_where(spark, root, "users", {"gender": "female"}, {"country": "unknown"}, first_by=["id"])
+    return tables.table(spark, root, "users")
+
+
 def update_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, changes = _update_parts(spark, sf_dir)
     merged = tables.merge_rows(target, changes.select("id", "gender", "age"), ["id"])
@@ -506,6 +514,7 @@ QUERIES = {
         latest_users,
         append_one_user,
         update_where_users,
+        update_first_users,
         update_users,
         set_users,
         upsert_counts,

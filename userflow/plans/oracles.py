@@ -237,6 +237,8 @@ _BODIES = {
        case when age >= 65 then age + 1 else age end as age, country, ts from u
        union all select 'new', null, 1, null, null
        union all select 'other', null, 2, null, null""",
+    "update_first_users": """select id, gender, age, case when id = (select min(id) from u
+       where gender = 'female') then 'unknown' else country end as country, ts from u""",
     "update_users": f"""select id, case when {CHANGED} then null else gender end as gender,
        case when {CHANGED} then age + 1 else age end as age, country, ts from u
        where country is not null""",

@@ -271,16 +271,21 @@ def update_where(
     values: Mapping[str, object],
     insert: bool = False,
     schema: str | T.StructType | None = None,
+    first_by: list[str] | None = None,
 ) -> dict[str, int]:
     """Set columns of all rows that satisfy a condition; returns counts as ``upsert``
     does. Values are constants or expressions of the row. Without a match nothing is
     rewritten; with ``insert`` one row is then added, from a mapping's values and the
     new ones. With a ``schema``, a table that was not written yet counts as empty.
+
+    With ``first_by`` one row is set, the first match in the order of these columns (nulls
+    first), which must tell the first two matches apart.
     """
     rows = find(spark, root, name, schema=schema)
     _refuse_unknown(values, rows.columns)
-    if not rows.where(condition(where)).isEmpty():
-        return _write_merged(update_rows(rows, where, values), root, name)
+    met = condition(where) if first_by is None else _first(rows, condition(where), first_by)
+    if not rows.where(met).isEmpty():
+        return _write_merged(update_rows(rows, met, values), root, name)
     if insert:
         given = {**(where if isinstance(where, Mapping) else {}), **values}
         one = spark.range(1).select(
@@ -290,6 +295,15 @@ def update_where(
     return {"matched": 0, "modified": 0, "inserted": int(insert)}
 
 
+def _first(rows: DataFrame, met: Column, by: list[str]) -> Column:
+    """The condition of the first of the rows that satisfy a condition."""
+    two = rows.where(met).orderBy(*by).limit(2).select(*by).collect()
+    if len(two) == 2 and two[0] == two[1]:
+        raise ValueError(f"several rows are first by {by}")
+    own = (F.col(c).eqNullSafe(F.lit(two[0][c]).cast(rows.schema[c].dataType)) for c in by if two)
+    return reduce(and_, own, met)
+
+
 MERGE_KINDS = ("untouched", "same", "modified", "inserted")
 
 
