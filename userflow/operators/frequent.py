@@ -37,12 +37,17 @@ def estimates(sketched: DataFrame, series: str, tracked: int = TRACKED, k: int |
     The sketch's map has at least ``tracked / 0.75`` places, and its error is 3.5 of the rows
     by that number. Every value with more than twice the error is named.
     """
-    found = F.call_function("approx_top_k_estimate", F.col("state"), F.lit(min(k or tracked, tracked)))
+    found = _found(min(k or tracked, tracked))
     error = F.ceil(F.col("rows") * 3.5 * 0.75 / tracked)
     each = sketched.select(F.explode(found).alias("found"), error.alias("error"))
     return each.select(F.col("found.item").alias(series), F.col("found.count").alias("count"), "error")
 
 
+def _found(k: int) -> Column:
+    """What a sketch names, as one list."""
+    return F.call_function("approx_top_k_estimate", F.col("state"), F.lit(k))
+
+
 def top_k(
     rows: DataFrame,
     series: str,
@@ -62,18 +67,21 @@ def top_k(
     sketch, also of other rows: it decides on the cost only, never on the result.
     """
     sketched = sketch(rows, series, tracked) if sketched is None else sketched
-    named = [r[0] for r in estimates(sketched, series, tracked, 4 * k).select(series).collect()]
+    named = sketched.select(F.transform(_found(min(4 * k, tracked)), lambda f: f["item"])).first()[0]
     known = rows.where(F.col(series).isNotNull()).select(series)
     is_named = F.col(series).isin(named) if named else F.lit(False)
     bucket = F.pmod(F.xxhash64(series), F.lit(buckets))
     kinds = F.when(is_named, F.col(series)).alias(series), F.when(~is_named, bucket).alias("bucket")
-    counted = known.select(*kinds).groupBy(series, "bucket").count().collect()
-    first = sorted((r["count"] for r in counted if r.bucket is None), reverse=True)
-    least = first[k - 1] if len(first) >= k else 0
-    open_ = [r.bucket for r in counted if r.bucket is not None and r["count"] >= least]
-    exact = rows.sparkSession.createDataFrame(
-        [(r[series], r["count"]) for r in counted if r.bucket is None], _counts(known)
+    counted = known.select(*kinds).groupBy(series, "bucket").count()
+    lists = (
+        F.collect_list(F.when(F.col("bucket").isNull(), F.struct(series, "count"))).alias("first"),
+        F.collect_list(F.when(F.col("bucket").isNotNull(), F.struct("bucket", "count"))).alias("others"),
     )
+    both = counted.agg(*lists).first()  # one row of at most 4 k and ``buckets`` entries
+    largest = sorted((r["count"] for r in both.first), reverse=True)
+    least = largest[k - 1] if len(largest) >= k else 0
+    open_ = [r.bucket for r in both.others if r["count"] >= least]
+    exact = rows.sparkSession.createDataFrame([tuple(r) for r in both.first], _counts(known))
     if open_:
         rest = known.where(~is_named & _among(bucket, open_, buckets))
         exact = exact.unionByName(rest.groupBy(series).count())

@@ -210,7 +210,7 @@ def files_of(spark: SparkSession, root: str, name: str, where: Mapping[str, obje
     # What cannot be told keeps the file.
     met = F.coalesce(reduce(and_, room), F.lit(True))
     kept = both.where(F.col("_noted").isNull() | met).select("file_path")
-    paths = [r[0] for r in kept.limit(MOST_FILES + 1).collect()]
+    paths = kept.limit(MOST_FILES + 1).agg(F.collect_list("file_path")).first()[0]
     return None if len(paths) > MOST_FILES else paths
 
 

@@ -297,11 +297,14 @@ def update_where(
 
 def _first(rows: DataFrame, met: Column, by: list[str]) -> Column:
     """The condition of the first of the rows that satisfy a condition."""
-    two = rows.where(met).orderBy(*by).limit(2).select(*by).collect()
-    if len(two) == 2 and two[0] == two[1]:
+    least = rows.where(met).agg(F.min(F.struct(*by))).first()[0]
+    if least is None:
+        return met
+    own = (F.col(c).eqNullSafe(F.lit(least[c]).cast(rows.schema[c].dataType)) for c in by)
+    only = reduce(and_, own, met)
+    if rows.where(only).count() > 1:
         raise ValueError(f"several rows are first by {by}")
-    own = (F.col(c).eqNullSafe(F.lit(two[0][c]).cast(rows.schema[c].dataType)) for c in by if two)
-    return reduce(and_, own, met)
+    return only
 
 
 MERGE_KINDS = ("untouched", "same", "modified", "inserted")

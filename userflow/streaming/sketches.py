@@ -14,7 +14,7 @@ def sketching(path: str, series: str, tracked: int = frequent.TRACKED) -> BatchS
 
     def write(batch: DataFrame, batch_id: int) -> None:
         one = frequent.sketch(batch, series, tracked)
-        one.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        one.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
 
