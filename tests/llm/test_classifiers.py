@@ -195,3 +195,21 @@ def test_long_texts_are_left_out_of_learning_first(spark):
     kept = {r.doc_id for r in toxicity.labelled.within(taken, 220_000).collect()}
     assert kept >= set(range(4, 40)) and len(kept) == 38
     assert toxicity.labelled.within(taken.where("false"), 10).count() == 0
+
+
+def test_quality_learns_from_every_label(spark, documents, monkeypatch):
+    draw = random.Random(8)
+    rows = [(i, "!! ".join(prose(draw).upper().split()) if i % 3 == 0 else prose(draw, draw.randrange(5, 60))) for i in range(600)]
+    labels = [(i, int(i % 3 != 0 and (i + i // 7) % 11 != 0)) for i, _ in rows]
+    docs, known = documents(rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    shapes, good = quality._shapes(pa.array([t for _, t in rows])), np.array([q for _, q in labels])
+    for block in (8192, 50):  # one block of all, and many
+        monkeypatch.setattr(quality, "BLOCK", block)
+        model = quality.fit(docs, known)
+        assert np.allclose(model.centre, shapes.mean(axis=0)) and np.allclose(model.spread, shapes.std(axis=0) + 1e-9)
+        x = quality._expanded(shapes, model.centre, model.spread)
+        # The slope of the loss over all pairs ends there.
+        apart = (x[good == 1][:, None, :] - x[good == 0][None, :, :]).reshape(-1, x.shape[1])
+        wrong = 1 / (1 + np.exp(apart @ model.weights))
+        assert np.abs(-(apart * wrong[:, None]).mean(axis=0) + quality.SHRINK * model.weights).max() < 1e-4
+        assert np.isclose(model.cut, np.quantile(x @ model.weights, (good == 0).mean(), method="midpoint"))

@@ -51,10 +51,16 @@ def within(taken: DataFrame, most_bytes: int) -> DataFrame:
     return taken.join(kept, "doc_id", "left_semi")
 
 
+def known(labels: DataFrame, label: str, learns: Column) -> DataFrame:
+    """(doc_id, label) of each id with a 0 or 1 in ``label``, and not both, for which
+    ``learns`` holds."""
+    there = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learns)
+    there = there.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("most"))
+    return there.where("label = most").select("doc_id", "label")
+
+
 def _present(docs: DataFrame, labels: DataFrame, label: str, learns: Column) -> DataFrame:
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learns)
-    known = known.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("most")).where("label = most")
-    return docs.select("doc_id").join(known, "doc_id").select("doc_id", "label").distinct()
+    return docs.select("doc_id").join(known(labels, label, learns), "doc_id").select("doc_id", "label").distinct()
 
 
 def _first(present: DataFrame, rows: int) -> DataFrame:
