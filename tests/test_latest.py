@@ -65,3 +65,25 @@ def test_batch_takes_the_newest(spark):
     ties = spark.createDataFrame([("a", i, START) for i in range(9)], "id string, age int, timestamp timestamp")
     assert latest.latest_users(ties).collect() == latest.latest_users(ties.repartition(5).orderBy(F.desc("age"))).collect()
     assert latest.latest_users(rows.where("false")).collect() == []
+
+
+def test_tasks_give_the_state_few_records_of_a_user(spark, feed, tmp_path):
+    draw = random.Random(7)
+    feed.land([record(f"u{draw.randrange(3)}", draw.randrange(600), i) for i in range(3000)])
+    query = latest.start_latest(users_of(feed.stream()), f"{tmp_path}/tables", f"{tmp_path}/checkpoints", every=None, count=8, state_partitions=2)
+    pipeline.wait_for([query])
+    assert as_set(buckets.read(spark, f"{tmp_path}/tables", "latest_users")) == as_set(latest.latest_users(users_of(feed.batch())))
+    beaten = latest._without_beaten(latest._ordered(users_of(feed.batch()), "id", "timestamp"), "id")
+    assert beaten.count() <= 3 * beaten.rdd.getNumPartitions()
+
+
+def test_the_newest_stays_whatever_is_held(spark, monkeypatch):
+    draw = random.Random(3)
+    rows = [(draw.choice([1, 2, 3, 4, None]), i % 5, None if i % 9 == 0 else START + timedelta(minutes=draw.randrange(20))) for i in range(400)]
+    users = spark.createDataFrame(rows, "id int, age int, timestamp timestamp").repartition(3)
+    want = {tuple(r) for r in latest.latest_users(users).collect()}
+    monkeypatch.setattr(latest, "COMBINED", 1)
+    some = latest._without_beaten(latest._ordered(users, "id", "timestamp"), "id").drop(latest.MICROS, latest.TIE)
+    assert {tuple(r) for r in latest.latest_users(some).collect()} == want
+    pairs = users.withColumn("id", F.struct("id", "age"))
+    assert latest._without_beaten(latest._ordered(pairs, "id", "timestamp"), "id").count() == pairs.where("id is not null and timestamp is not null").count()

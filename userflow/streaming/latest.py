@@ -2,7 +2,9 @@
 
 A user's state is the newest record by its own time, and a timer that clears it when the
 watermark has passed that time by ``idle``. A record behind the watermark is refused, so that
-one that comes after its user's state was cleared is always newer than what was there. What
+one that comes after its user's state was cleared is always newer than what was there. Tasks
+leave out records that a newer one of the same user beats before the shuffle, so that the state
+sees few of a user with many. What
 changes in a micro-batch is upserted into a table in hash buckets of the user's key, of which
 only the touched ones are read and written; rows of idle users stay there.
 """
@@ -12,6 +14,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +27,9 @@ from userflow.streaming.pipeline import EVERY, BatchSink, _shuffle_partitions
 NAME = "latest_users"
 BUCKETS = 64
 STATE_PARTITIONS = 64
+COMBINED = 1 << 15  # newest rows that a task holds before it gives them on
+# Kinds of keys whose equal values are neighbours when sorted.
+_SORTED = (T.StringType, T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Helper columns: a record's time in microseconds, and a digest that parts equal times.
 MICROS, TIE = "_micros", "_tie"
@@ -43,6 +50,35 @@ def latest_users(users: DataFrame, key: str = "id", time_col: str = "timestamp")
     return _ordered(users, key, time_col).groupBy(key).agg(newest).select("row.*")
 
 
+def _newest_rows(rows: pa.Table, key: str) -> pa.Table:
+    order = pc.sort_indices(rows, [(key, "ascending"), (MICROS, "descending"), (TIE, "descending")])
+    keys = pc.take(rows[key], order).combine_chunks()
+    first = pa.concat_arrays([pa.array([True]), pc.not_equal(keys[1:], keys[:-1])])
+    return rows.take(order.filter(first))
+
+
+def _without_beaten(ordered: DataFrame, key: str) -> DataFrame:
+    """The rows without such as a newer one of their key beats within a task: all that are the
+    newest of their key stay. A key of another kind than those that sort is left as it is."""
+    if not isinstance(ordered.schema[key].dataType, _SORTED) or "variant" in ordered.schema.simpleString():
+        return ordered
+
+    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fresh = _newest_rows(pa.Table.from_batches([batch]), key)
+            held = fresh if held is None else _newest_rows(pa.concat_tables([held, fresh]), key)
+            if held.num_rows > COMBINED:
+                yield from held.to_batches()
+                held = None
+        if held is not None:
+            yield from held.to_batches()
+
+    return ordered.mapInArrow(combined, ordered.schema)
+
+
 class Newest(StatefulProcessor):
     """Keeps the newest row of a key, and gives it out when it changes."""
 
@@ -81,7 +117,7 @@ def stream_latest(
     """The newest row of each key, each time that it changes, out of a stream. The state holds
     two numbers for each key that had a record within ``idle`` of the watermark."""
     idle_ms = users.sparkSession.range(1).select(_millis(idle)).first()[0]
-    timed = _ordered(users, key, time_col).withWatermark(time_col, watermark)
+    timed = _without_beaten(_ordered(users, key, time_col), key).withWatermark(time_col, watermark)
     return timed.groupBy(key).transformWithState(
         statefulProcessor=Newest(users.schema, idle_ms), outputStructType=users.schema, outputMode="update", timeMode="eventtime"
     )
