@@ -213,3 +213,35 @@ def test_quality_learns_from_every_label(spark, documents, monkeypatch):
         wrong = 1 / (1 + np.exp(apart @ model.weights))
         assert np.abs(-(apart * wrong[:, None]).mean(axis=0) + quality.SHRINK * model.weights).max() < 1e-4
         assert np.isclose(model.cut, np.quantile(x @ model.weights, (good == 0).mean(), method="midpoint"))
+
+
+def test_toxicity_learns_from_every_label(spark, documents, monkeypatch):
+    texts, toxic = biased(400, 9)
+    docs, known = documents(list(enumerate(texts))), spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    ends, solved = [], toxicity._solved
+    monkeypatch.setattr(toxicity, "_solved", lambda *a: ends.append(solved(*a)) or ends[-1])
+    monkeypatch.setattr(toxicity, "ROUNDS", 5)
+    model = toxicity.fit(docs, known, fairness=0.0)
+    bias, weights = ends[-1][0], ends[-1][1:][ends[-1][1:] != 0]
+    # Over all texts and all their features, no slope is beyond the penalty there.
+    lists = [set(np.frombuffer(x, "<i4").tolist()) for x in toxicity._feature_lists(pa.array(texts)).to_pylist()]
+    every = sorted(set().union(*lists))
+    x, y = np.array([[f in own for f in every] for own in lists], float), np.array(toxic, float)
+    w = np.zeros(len(every))
+    w[np.searchsorted(every, model.features)] = weights
+    slope = x.T @ (1 / (1 + np.exp(-bias - x @ w)) - y) / len(y)
+    often = x.sum(axis=0) >= toxicity.LEAST_TEXTS
+    assert np.abs(slope[often]).max() < 1.02 * toxicity.SPARSITY
+    assert np.allclose(slope[w != 0], -toxicity.SPARSITY * np.sign(w[w != 0]), atol=5e-5)
+    # Held on the driver or summed by tasks, in blocks of any size, the model is the same.
+    monkeypatch.setattr(toxicity, "BLOCK", 50)
+    here = toxicity.fit(docs, known)
+    monkeypatch.setattr(toxicity, "HELD", -1)
+    there = toxicity.fit(docs, known)
+    assert here.bias == there.bias and np.array_equal(here.weights, there.weights)
+
+
+def test_packed_features_come_back():
+    lists = [np.array(x, "<i4") for x in ([], [0], [65534, 65535, 131070, 1 << 19], [(1 << 20) - 1], [5, 65540, 65541])]
+    row, number = toxicity._unpacked(pa.array([toxicity._packed(x) for x in lists], pa.binary()))
+    assert [number[row == i].tolist() for i in range(len(lists))] == [x.tolist() for x in lists]
